@@ -7,10 +7,10 @@ survives the loss of any executor and cuts the lineage.
 
 from __future__ import annotations
 
-import hashlib
 import tempfile
 import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +24,7 @@ SPACE = " \t\n\x0b\x0c\r"
 #: Stands for a null id in keys: such rows sort behind all documents.
 NO_ID = (1 << 63) - 1
 #: Text bytes that a Python worker turns into words at a time.
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 19
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -73,34 +73,74 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = ST
             start = end
 
 
-def split_words(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """Words ``[^\\x20\\x09-\\x0D]+`` of each text (null: none): offsets, codes, dictionary."""
+@dataclass
+class Words:
+    """The words of a batch of texts: where they lie in the batch's bytes, and their hashes."""
+
+    data: np.ndarray
+    bounds: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    offsets: np.ndarray
+    hashes: list[np.ndarray]
+
+
+_SPACES = np.isin(np.arange(256), [ord(c) for c in SPACE])
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+#: For each hash: an odd base and the values of the 256 bytes, drawn from fixed seeds.
+_HASHES = [(0x9E3779B97F4A7C15, np.random.default_rng(11).integers(1, 1 << 63, 256, np.uint64)), (0xD6E8FEB86659FD93, np.random.default_rng(12).integers(1, 1 << 63, 256, np.uint64))]
+
+
+def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts, end to end (null: none), and where each text begins and the last ends."""
     texts = pc.fill_null(texts, "")
+    wide = pa.types.is_large_string(texts.type)
+    _, at, data = texts.buffers()
+    if not len(texts) or data is None:
+        return np.zeros(0, np.uint8), np.zeros(len(texts) + 1, np.int64)
+    bounds = np.frombuffer(at, np.int64 if wide else np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    return np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]], bounds - bounds[0]
+
+
+def find_words(texts: pa.Array, lower: bool = False, hashes: int = 1, breaks: np.ndarray | None = None) -> Words:
+    """Words ``[^\\x20\\x09-\\x0D]+`` of each text and ``hashes`` 64-bit hashes of each, all by numpy.
+
+    ``breaks`` marks other byte values that end a word.
+    """
+    data, bounds = text_bytes(texts)
     if lower:
-        texts = pc.ascii_lower(texts)
-    parts = pc.ascii_split_whitespace(texts)
-    flat = parts.flatten()
-    offsets = np.asarray(parts.offsets).astype(np.int64)
-    offsets = offsets - offsets[0]
-    full = np.asarray(pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False), dtype=bool)
-    if not full.all():
-        offsets = np.concatenate([[0], np.cumsum(full)])[offsets]
-        flat = flat.filter(pa.array(full))
-    coded = flat.dictionary_encode()
-    if isinstance(coded, pa.ChunkedArray):
-        coded = coded.combine_chunks()
-    return offsets, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary.to_pylist()
-
-
-def word_hashes(words: list[str], seed: bytes = b"") -> np.ndarray:
-    """Two independent 64-bit hashes of each word, shape (n, 2)."""
-    digests = b"".join(hashlib.blake2b(w.encode(), digest_size=16, key=seed).digest() for w in words)
-    return np.frombuffer(digests, dtype="<u8").reshape(-1, 2)
+        data = _LOWER[data]
+    space = (_SPACES if breaks is None else _SPACES | breaks)[data]
+    first = np.ones(len(data) + 1, bool)
+    first[1:-1] = space[:-1]
+    first[bounds] = True
+    starts = np.flatnonzero(first[:-1] & ~space)
+    last = np.ones(len(data) + 1, bool)
+    last[1:-1] = space[1:]
+    last[bounds] = True
+    ends = np.flatnonzero(last[1:] & ~space) + 1
+    found = []
+    for base, values in _HASHES[:hashes]:
+        with np.errstate(over="ignore"):
+            sums = np.zeros(len(data) + 1, np.uint64)
+            np.cumsum(values[data] * powers(base, len(data)), out=sums[1:])
+            found.append(mix((sums[ends] - sums[starts]) * powers(pow(base, -1, 1 << 64), len(data) + 1)[starts] + (ends - starts).astype(np.uint64)))
+    return Words(data, bounds, starts, ends, np.searchsorted(starts, bounds), found)
+
+
+_POWERS: dict[int, np.ndarray] = {}
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(max(0, n - 1), base, np.uint64), dtype=np.uint64)])[:n]
+    """The first ``n`` powers modulo 2^64; the longest run so far is kept."""
+    kept = _POWERS.get(base)
+    if kept is None or len(kept) < n:
+        with np.errstate(over="ignore"):
+            kept = np.full(max(n, 1 << 16), base, np.uint64)
+            kept[0] = 1
+            _POWERS[base] = kept = np.cumprod(kept, dtype=np.uint64)
+    return kept[:n]
 
 
 def run_hashes(h: np.ndarray, width: int, base: int) -> np.ndarray:
