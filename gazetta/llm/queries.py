@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazetta.llm import line_dedup, minhash_dedup, substring_dedup
+from gazetta.llm import decontaminate, line_dedup, minhash_dedup, substring_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.minhash_dedup(table(spark, sf_dir, "documents"), percent=85)
 
@@ -26,5 +30,5 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = {"op1_line_dedup": op1_line_dedup, "op2_substring_dedup": op2_substring_dedup, "op5_minhash_dedup": op5_minhash_dedup}
+QUERIES = {"op1_line_dedup": op1_line_dedup, "op2_substring_dedup": op2_substring_dedup, "op3_decontaminate": op3_decontaminate, "op5_minhash_dedup": op5_minhash_dedup}
 ORACLES = {"op1_line_dedup": line_dedup.ORACLE, "op2_substring_dedup": substring_dedup.ORACLE}
