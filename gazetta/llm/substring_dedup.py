@@ -5,6 +5,11 @@ of ``run`` words inside it. Equal windows have equal anchors at different places
 so an anchor's count is at least its windows' count, and about one place in
 twelve is an anchor: the sketch is that much smaller than one over all windows.
 
+Texts that occur more than once are taken once: all their windows repeat anyway, and
+one of them stands for all where other texts share windows. Rows whose text may occur
+again are told by a bitmap over text hashes (counted as below, bounded in size); only
+those rows, about as many as there are copies, are shuffled with their texts.
+
 1. Each task sketches its own part: the cells of its anchors, two rows of a
    count-min sketch, as sorted deltas per slice of the sketch. Tasks that own a
    slice add up the parts, count by count up to 2, and return the cells that
@@ -27,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gazetta.llm.common import NO_ID, chunks, column, find_words, materialise, mix, run_hashes, run_starts
+from gazetta.llm.common import chunks, column, find_words, materialise, mix, run_hashes, run_starts, wide_key
 
 RUN = 12
 BASES = (0xA24BAED4963EE407, 0x9FB21C651E98DF25)
@@ -71,7 +76,40 @@ def unpack_cells(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(delta >> 1), (delta & 1).astype(np.uint8)
 
 
-def _sketch(window: int, run: int, bits: int):
+def _single(batch: pa.RecordBatch, texts: bytes, bits: int) -> np.ndarray:
+    """Rows that are the only one of their text, or stand for all of them."""
+    return _surely_once(batch, texts, bits) | batch.column("rep").to_numpy(zero_copy_only=False)
+
+
+def _surely_once(batch: pa.RecordBatch, texts: bytes, bits: int) -> np.ndarray:
+    cells = batch.column("t1").to_numpy().view(np.uint64) >> np.uint64(64 - bits)
+    again = np.frombuffer(texts, np.uint8)[(cells >> np.uint64(3)).astype(np.int64)]
+    return again >> (cells & np.uint64(7)).astype(np.uint8) & 1 == 0
+
+
+def _copies(bits: int, texts):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(~_surely_once(batch, texts.value, bits)))
+
+    return work
+
+
+def _text_cells(bits: int):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        local = bits - SLICE_BITS
+        for batch in batches:
+            cells, counts = np.unique((batch.column("t1").to_numpy().view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64), return_counts=True)
+            edges = np.searchsorted(cells, np.arange(0, (1 << SLICE_BITS) + 1) << local)
+            for s, (lo, hi) in enumerate(itertools.pairwise(edges)):
+                if hi > lo:
+                    blob = pack_cells(cells[lo:hi] - (s << local), counts[lo:hi] > 1)
+                    yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([blob], pa.binary())], ["slice", "cells"])
+
+    return work
+
+
+def _sketch(window: int, run: int, bits: int, text_bits: int, texts):
     local = bits - SLICE_BITS
 
     def parts(found: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -87,6 +125,7 @@ def _sketch(window: int, run: int, bits: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, held = [], 0
         for batch in chunks(batches):
+            batch = batch.filter(pa.array(_single(batch, texts.value, text_bits)))
             words = find_words(batch.column("text"))
             starts = run_starts(words.offsets, window)
             if not len(starts):
@@ -119,10 +158,11 @@ def _merge(bits: int):
     return work
 
 
-def _suspects(window: int, run: int, bits: int, sketch):
+def _suspects(window: int, run: int, bits: int, sketch, text_bits: int, texts):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         repeated = np.frombuffer(sketch.value, np.uint8).reshape(ROWS, -1)
         for batch in chunks(batches):
+            batch = batch.filter(pa.array(_single(batch, texts.value, text_bits)))
             words = find_words(batch.column("text"), hashes=2)
             starts = run_starts(words.offsets, window)
             if not len(starts):
@@ -139,13 +179,13 @@ def _suspects(window: int, run: int, bits: int, sketch):
             doc = np.searchsorted(words.offsets, starts, "right") - 1
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("owner").take(pa.array(doc)),
-                    batch.column("th").take(pa.array(doc)),
+                    batch.column("t1").take(pa.array(doc)),
+                    batch.column("t2").take(pa.array(doc)),
                     pa.array((starts - words.offsets[doc]).astype(np.int32)),
                     pa.array(run_hashes(words.hashes[0], window, BASES[1])[starts].view(np.int64)),
                     pa.array((run_hashes(words.hashes[1], window, BASES[1])[starts] >> np.uint64(32)).astype(np.uint32).view(np.int32)),
                 ],
-                ["owner", "th", "start", "w1", "w2"],
+                ["t1", "t2", "start", "w1", "w2"],
             )
 
     return work
@@ -166,10 +206,12 @@ def _rebuild(window: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
             out = []
-            rows = zip(*(batch.column(c).to_pylist() for c in ("text", "blocks", "masks")), strict=True)
-            for text, blocks, masks in rows:
+            rows = zip(*(batch.column(c).to_pylist() for c in ("text", "whole", "blocks", "masks")), strict=True)
+            for text, whole, blocks, masks in rows:
                 words = (text or "").encode().split()
-                if blocks:
+                if whole:
+                    kept = words if len(words) < window else []
+                elif blocks:
                     gone = covered(blocks, masks, len(words), window)
                     kept = list(itertools.compress(words, (~gone).tolist()))
                 else:
@@ -192,14 +234,12 @@ def sketch_bits(text_bytes: int) -> int:
     return min(MOST_BITS, max(LEAST_BITS, (max(1, text_bytes // BYTES_PER_CELL) - 1).bit_length()))
 
 
-def repeated_anchors(docs: DataFrame, window: int, run: int, bits: int) -> bytes:
-    """The merged sketch of column ``text``: a bit for each cell that reaches a count of two."""
-    spark = docs.sparkSession
-    parts = docs.select("text").mapInArrow(_sketch(window, run, bits), "slice int, cells binary")
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+def _repeated(parts: DataFrame, bits: int, rows: int) -> bytes:
+    """Merge partition sketches into one bit for each cell that reaches a count of two."""
+    n = int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     merged = parts.repartition(n, "slice").mapInArrow(_merge(bits), "slice int, bits binary")
-    out = np.zeros((ROWS << SLICE_BITS, (1 << (bits - SLICE_BITS)) // 8), np.uint8)
-    for r in merged.collect():
+    out = np.zeros((rows << SLICE_BITS, (1 << (bits - SLICE_BITS)) // 8), np.uint8)
+    for r in merged.collect():  # at most rows * 2**bits bits
         out[r["slice"]] = np.frombuffer(r["bits"], np.uint8)
     return out.tobytes()
 
@@ -216,25 +256,34 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     where rows share an id or have none, so repeated rows remove each other's
     windows. An empty table gives an empty result; other columns are ignored.
     """
-    spark = docs.sparkSession
-    base = docs.select(column(docs, id_col).cast("long").alias("id"), column(docs, text_col).alias("text")).withColumns(
-        {"owner": F.coalesce("id", F.lit(NO_ID)), "th": F.xxhash64(F.coalesce("text", F.lit("")))}
-    )
-    size = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = sketch_bits(size)
-    sketch = spark.sparkContext.broadcast(repeated_anchors(base, window, run, bits))
-    rows = base.select("owner", "th", "text").mapInArrow(_suspects(window, run, bits, sketch), "owner long, th long, start int, w1 long, w2 int")
-    suspects = materialise(rows)
+    spark, cells = docs.sparkSession, "slice int, cells binary"
+    base = docs.select(column(docs, id_col).cast("long").alias("id"), column(docs, text_col).alias("text"))
+    t1, t2 = wide_key(F.coalesce("text", F.lit("")))
+    base = base.withColumns({"t1": t1, "t2": t2})
+    size, count = base.agg(F.sum(F.octet_length("text")), F.count(F.lit(1))).first()
+    bits, text_bits = sketch_bits(size or 0), sketch_bits(BYTES_PER_CELL * 8 * count)
+    again = spark.sparkContext.broadcast(_repeated(base.select("t1").mapInArrow(_text_cells(text_bits), cells), text_bits, 1))
+
+    keyed = base.select("t1", "t2", "text")
+    copies = keyed.mapInArrow(_copies(text_bits, again), "t1 long, t2 long, text string")
+    copies = materialise(copies.groupBy("t1", "t2").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("k")))
+    once = keyed.withColumn("rep", F.lit(False)).unionByName(copies.select("t1", "t2", "text", F.lit(True).alias("rep")))
+
+    parts = once.select("t1", "text", "rep").mapInArrow(_sketch(window, run, bits, text_bits, again), cells)
+    sketch = spark.sparkContext.broadcast(_repeated(parts, bits, ROWS))
+    suspects = materialise(once.mapInArrow(_suspects(window, run, bits, sketch, text_bits, again), "t1 long, t2 long, start int, w1 long, w2 int"))
     frequent = suspects.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("w1", "w2").hint("rebalance")
     marks = (
         suspects.join(frequent, ["w1", "w2"])
-        .groupBy("owner", "th", F.floor(F.col("start") / 64).cast("int").alias("block"))
+        .groupBy("t1", "t2", F.floor(F.col("start") / 64).cast("int").alias("block"))
         .agg(F.bit_or(F.expr("shiftleft(1L, start % 64)")).alias("mask"))
-        .groupBy("owner", "th")
+        .groupBy("t1", "t2")
         .agg(F.collect_list(F.struct("block", "mask")).alias("marks"))
-        .select("owner", "th", F.col("marks.block").alias("blocks"), F.col("marks.mask").alias("masks"))
+        .select("t1", "t2", F.lit(False).alias("whole"), F.col("marks.block").alias("blocks"), F.col("marks.mask").alias("masks"))
     )
-    joined = base.join(marks, ["owner", "th"], "left").select("id", "text", "blocks", "masks")
+    whole = copies.where("k > 1").select("t1", "t2", F.lit(True).alias("whole"), F.lit(None).cast("array<int>").alias("blocks"), F.lit(None).cast("array<bigint>").alias("masks"))
+    told = whole.unionByName(marks).groupBy("t1", "t2").agg(F.max(F.struct("whole", "blocks", "masks")).alias("told")).select("t1", "t2", "told.*").hint("rebalance")
+    joined = base.join(told, ["t1", "t2"], "left").select("id", "text", F.coalesce("whole", F.lit(False)).alias("whole"), "blocks", "masks")
     out = joined.mapInArrow(_rebuild(window), "id long, n_words long, n_removed long, kept_text string")
     return out.withColumnRenamed("id", id_col)
 
