@@ -39,7 +39,7 @@ def scratch_dir(spark: SparkSession) -> str:
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` to a shared scratch table and return a scan of it."""
     path = scratch_dir(df.sparkSession)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

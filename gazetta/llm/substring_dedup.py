@@ -177,15 +177,16 @@ def _suspects(window: int, run: int, bits: int, sketch, text_bits: int, texts):
             if not len(starts):
                 continue
             doc = np.searchsorted(words.offsets, starts, "right") - 1
+            second = run_hashes(words.hashes[1], window, BASES[1])[starts]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("t1").take(pa.array(doc)),
                     batch.column("t2").take(pa.array(doc)),
-                    pa.array((starts - words.offsets[doc]).astype(np.int32)),
                     pa.array(run_hashes(words.hashes[0], window, BASES[1])[starts].view(np.int64)),
-                    pa.array((run_hashes(words.hashes[1], window, BASES[1])[starts] >> np.uint64(32)).astype(np.uint32).view(np.int32)),
+                    # The second half of the hash above the start: one field less in every shuffled row.
+                    pa.array(second.view(np.int64) & ~np.int64(0xFFFFFFFF) | (starts - words.offsets[doc])),
                 ],
-                ["t1", "t2", "start", "w1", "w2"],
+                ["t1", "t2", "w1", "w2_start"],
             )
 
     return work
@@ -271,12 +272,13 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     parts = once.select("t1", "text", "rep").mapInArrow(_sketch(window, run, bits, text_bits, again), cells)
     sketch = spark.sparkContext.broadcast(_repeated(parts, bits, ROWS))
-    suspects = materialise(once.mapInArrow(_suspects(window, run, bits, sketch, text_bits, again), "t1 long, t2 long, start int, w1 long, w2 int"))
-    frequent = suspects.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("w1", "w2").hint("rebalance")
+    suspects = materialise(once.mapInArrow(_suspects(window, run, bits, sketch, text_bits, again), "t1 long, t2 long, w1 long, w2_start long"))
+    w2, start = F.shiftright("w2_start", 32).cast("int"), F.col("w2_start").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
+    frequent = suspects.groupBy("w1", w2.alias("w2")).agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("w1", "w2").hint("rebalance")
     marks = (
-        suspects.join(frequent, ["w1", "w2"])
-        .groupBy("t1", "t2", F.floor(F.col("start") / 64).cast("int").alias("block"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, start % 64)")).alias("mask"))
+        suspects.join(frequent, (suspects["w1"] == frequent["w1"]) & (w2 == F.col("w2")))
+        .groupBy("t1", "t2", F.shiftright(start, 6).alias("block"))
+        .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), start % 64)).alias("mask"))
         .groupBy("t1", "t2")
         .agg(F.collect_list(F.struct("block", "mask")).alias("marks"))
         .select("t1", "t2", F.lit(False).alias("whole"), F.col("marks.block").alias("blocks"), F.col("marks.mask").alias("masks"))
