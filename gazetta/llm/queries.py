@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazetta.llm import decontaminate, line_dedup, minhash_dedup, sharding, substring_dedup, token_files, toxicity, warc
+from gazetta.llm import decontaminate, line_dedup, minhash_dedup, mixing, sharding, substring_dedup, token_files, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +38,10 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_round_trip(table(spark, sf_dir, "documents"))
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, sf_dir, "pages"))
 
@@ -47,5 +51,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {"op1_line_dedup": op1_line_dedup, "op2_substring_dedup": op2_substring_dedup, "op3_decontaminate": op3_decontaminate, "op5_minhash_dedup": op5_minhash_dedup, "op6_sharding": op6_sharding, "op7_token_files": op7_token_files, "op9_warc": op9_warc, "op10_toxicity": op10_toxicity}
-ORACLES = {"op1_line_dedup": line_dedup.ORACLE, "op2_substring_dedup": substring_dedup.ORACLE, "op9_warc": warc.ORACLE}
+QUERIES = {"op1_line_dedup": op1_line_dedup, "op2_substring_dedup": op2_substring_dedup, "op3_decontaminate": op3_decontaminate, "op5_minhash_dedup": op5_minhash_dedup, "op6_sharding": op6_sharding, "op7_token_files": op7_token_files, "op8_mixing": op8_mixing, "op9_warc": op9_warc, "op10_toxicity": op10_toxicity}
+ORACLES = {"op1_line_dedup": line_dedup.ORACLE, "op2_substring_dedup": substring_dedup.ORACLE, "op8_mixing": mixing.oracle(), "op9_warc": warc.ORACLE}
