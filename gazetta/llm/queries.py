@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazetta.llm import decontaminate, line_dedup, minhash_dedup, mixing, sharding, substring_dedup, token_files, toxicity, warc
+from gazetta.llm import decontaminate, embedding_dedup, line_dedup, minhash_dedup, mixing, sharding, substring_dedup, token_files, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.embedding_dedup(table(spark, sf_dir, "embeddings"))
+
+
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.minhash_dedup(table(spark, sf_dir, "documents"), percent=85)
 
@@ -51,5 +55,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {"op1_line_dedup": op1_line_dedup, "op2_substring_dedup": op2_substring_dedup, "op3_decontaminate": op3_decontaminate, "op5_minhash_dedup": op5_minhash_dedup, "op6_sharding": op6_sharding, "op7_token_files": op7_token_files, "op8_mixing": op8_mixing, "op9_warc": op9_warc, "op10_toxicity": op10_toxicity}
+QUERIES = {"op1_line_dedup": op1_line_dedup, "op2_substring_dedup": op2_substring_dedup, "op3_decontaminate": op3_decontaminate, "op4_embedding_dedup": op4_embedding_dedup, "op5_minhash_dedup": op5_minhash_dedup, "op6_sharding": op6_sharding, "op7_token_files": op7_token_files, "op8_mixing": op8_mixing, "op9_warc": op9_warc, "op10_toxicity": op10_toxicity}
 ORACLES = {"op1_line_dedup": line_dedup.ORACLE, "op2_substring_dedup": substring_dedup.ORACLE, "op8_mixing": mixing.oracle(), "op9_warc": warc.ORACLE}
