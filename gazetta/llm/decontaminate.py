@@ -12,7 +12,7 @@ of the hit, ungapped, with substitutions allowed.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -127,7 +127,7 @@ def _blocks(bench: DataFrame, item_col: str, text_col: str) -> Iterator[Items]:
 
 
 def decontaminate(
-    docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", least: int = 20, share: float = 0.8
+    docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", least: int = 20, share: float = 0.8, carry: Sequence[str] = ()
 ) -> DataFrame:
     """Documents with the benchmark items that they overlap.
 
@@ -139,7 +139,8 @@ def decontaminate(
     item or over a run of ``least`` tokens or more, and a seed hit in it. Items of
     fewer tokens than the shortest mask can't be hit. Null and
     empty texts are clean; null items are ignored; repeated items count once each
-    id; repeated rows each get their result. Empty tables give clean or no rows.
+    id; repeated rows each get their result. Empty tables give clean or no rows. Extra columns
+    are ignored but for those named in ``carry``, which follow as a struct ``row``.
     """
     spark = docs.sparkSession
     hit = pa.struct([("matched", pa.int64()), ("item", pa.int64())])
@@ -152,12 +153,17 @@ def decontaminate(
                 hits = batch.column("items").to_pylist()
                 for d, item, matched, _ in overlaps(h, offsets, items, least, share):
                     hits[d].append({"matched": matched, "item": int(items.ids[item])})
-                yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("text"), pa.array(np.diff(offsets), pa.int64()), pa.array(hits, pa.list_(hit))], ["id", "text", "n_tokens", "items"])
+                n_tokens = pa.array(np.diff(offsets), pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id"), batch.column("text"), batch.column("row"), n_tokens, pa.array(hits, pa.list_(hit))], ["id", "text", "row", "n_tokens", "items"]
+                )
 
         return run
 
-    result = docs.select(column(docs, id_col).cast("long").alias("id"), column(docs, text_col).alias("text"), F.lit(0).cast("long").alias("n_tokens"), F.expr("cast(array() as array<struct<matched: long, item: long>>)").alias("items"))
-    schema = "id long, text string, n_tokens long, items array<struct<matched: long, item: long>>"
+    row = F.struct(*(column(docs, c) for c in carry)) if carry else F.lit(0)
+    none = F.expr("cast(array() as array<struct<matched: long, item: long>>)")
+    result = docs.select(column(docs, id_col).cast("long").alias("id"), column(docs, text_col).alias("text"), row.alias("row"), F.lit(0).cast("long").alias("n_tokens"), none.alias("items"))
+    schema = result.schema
     for block in list(_blocks(bench, item_col, item_text_col)) or [Items([], [])]:
         result = result.mapInArrow(work(spark.sparkContext.broadcast(block)), schema)
     order = F.array_max(F.transform("items", lambda x: F.struct(x["matched"].alias("matched"), (-x["item"]).alias("item"))))
@@ -168,4 +174,5 @@ def decontaminate(
         (-F.col("best.item")).alias("item_id"),
         F.coalesce("best.matched", F.lit(0)).cast("long").alias("n_matched"),
         (F.size("items") > 0).alias("contaminated"),
+        *(["row"] if carry else []),
     )

@@ -17,13 +17,14 @@ each bucket: a fixed 1 MB. Every text is scored whole, with no shuffle.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from gazetta.llm.common import chunks, column, text_bytes
 
@@ -230,23 +231,27 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return train(*sample(docs, labels, id_col, text_col, label_col, most_docs, most_bytes))
 
 
-def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, carry: Sequence[str] = ()) -> DataFrame:
     """Score every whole text.
 
     Returns one row per input row: id, ``held_out``, ``score`` (0 to 1) and
     ``predicted`` (1 from ``threshold`` on). Texts that are null, empty or without
     words score near 0; rows without an id are scored too and never held out.
-    Only the text enters a score. Extra columns are ignored; no rows, no rows.
+    Only the text enters a score. No rows, no rows. Extra columns are ignored but for
+    those named in ``carry``, which follow as the columns of a struct ``row``.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(shared.value.score(batch.column("text")), pa.float64())], ["id", "score"])
-
-    base = docs.select(column(docs, id_col).cast("long").alias("id"), column(docs, text_col).alias("text"))
-    out = base.mapInArrow(run, "id long, score double")
-    return out.select(F.col("id").alias(id_col), held_out(F.col("id").cast("string")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+            score = pa.array(shared.value.score(batch.column("text")), pa.float64())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("row"), score], ["id", "row", "score"])
+
+    row = F.struct(*(column(docs, c) for c in carry)) if carry else F.lit(0)
+    base = docs.select(column(docs, id_col).cast("long").alias("id"), column(docs, text_col).alias("text"), row.alias("row"))
+    out = base.mapInArrow(run, StructType([base.schema["id"], base.schema["row"], StructField("score", DoubleType())]))
+    held = held_out(F.col("id").cast("string")).alias("held_out")
+    return out.select(F.col("id").alias(id_col), held, "score", (F.col("score") >= threshold).cast("int").alias("predicted"), *(["row"] if carry else []))
 
 
 def is_held_out(doc_id: int) -> bool:
