@@ -29,7 +29,8 @@ def encode_blocks(values: np.ndarray) -> list[bytes]:
     """All blocks of ``values``; blocks of one length and width are packed together."""
     out: list[bytes] = []
     whole = len(values) // BLOCK * BLOCK
-    parts = [values[:whole].reshape(-1, BLOCK)] if whole else []
+    # Some hundred blocks at a time: bits take 16 or 32 bytes a value while they are packed.
+    parts = [values[i : min(whole, i + 400 * BLOCK)].reshape(-1, BLOCK) for i in range(0, whole, 400 * BLOCK)]
     if len(values) > whole:
         parts.append(values[whole:].reshape(1, -1))
     for part in parts:

@@ -12,6 +12,7 @@ has met in tables of a bounded size.
 
 from __future__ import annotations
 
+import functools
 import re
 import zlib
 from array import array
@@ -33,7 +34,7 @@ from gazetta.llm.shared_files import read_files, write_file
 VOCABULARY, END_ID = "byte_bpe_50k.json", 0
 SUFFIX = ".pfor"
 #: UTF-8 bytes of text for one file, about, and entries of a worker's tables.
-FILE_BYTES, MOST_PIECES = 16 << 20, 1_000_000
+FILE_BYTES, MOST_PIECES = 16 << 20, 500_000
 _BLANKS = [chr(c) for c in range(0x3001) if chr(c).isspace()]
 BESIDE = [p for c in _BLANKS for p in (c + " ", " " + c)]
 BESIDE_ASCII = [p for p in BESIDE if p.isascii()]
@@ -101,9 +102,15 @@ class Encoder:
         return np.frombuffer(first + b"".join([pieces[p] for p in parts[1:]]), self.kind)
 
 
+@functools.lru_cache(maxsize=1)
+def encoder_of(path: str) -> Encoder:
+    """One encoder a worker: its tables serve all tasks that the worker runs."""
+    return Encoder(path)
+
+
 def _write(folder: str, path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = Encoder(path), TaskContext.get().partitionId()
+        encoder, part = encoder_of(path), TaskContext.get().partitionId()
         ids, counts, parts = [], [], []
         end = np.array([end_id], encoder.kind)
         for batch in batches:
