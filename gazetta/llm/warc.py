@@ -15,8 +15,8 @@ from __future__ import annotations
 import gzip
 import hashlib
 import re
-import struct
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -77,19 +77,30 @@ def capture_records(page: int, copy: int, url: str | None, html: str | None, dig
     return _member(request, f"GET {path} HTTP/1.1\r\n\r\n".encode()) + _member(response, block) + _member(meta, fields)
 
 
-def parse_records(data: bytes) -> Iterator[tuple]:
-    """Rows of ``SCHEMA`` for the records of an archive; records of other types are passed over."""
-    data = gzip.decompress(data)
-    at = 0
+def members(data: bytes) -> Iterator[bytes]:
+    """The gzip members of an archive, one at a time, in time linear in its length."""
+    at, view = 0, memoryview(data)
     while at < len(data):
-        end = data.index(b"\r\n\r\n", at)
-        lines = data[at:end].decode().split("\r\n")
+        reader, parts = zlib.decompressobj(31), []
+        while not reader.eof and at < len(data):
+            step = view[at : at + (1 << 13)]
+            parts.append(reader.decompress(step))
+            at += len(step) - len(reader.unused_data)
+        if not reader.eof:
+            raise ValueError("an archive ends within a record")
+        yield b"".join(parts)
+
+
+def parse_records(archive: bytes) -> Iterator[tuple]:
+    """Rows of ``SCHEMA`` for the records of an archive; records of other types are passed over."""
+    for data in members(archive):
+        end = data.index(b"\r\n\r\n")
+        lines = data[:end].decode().split("\r\n")
         if not lines[0].startswith("WARC/"):
             raise ValueError("not a WARC record")
         head = {k.lower(): v.strip() for k, _, v in (line.partition(":") for line in lines[1:])}
         size = int(head["content-length"])
         block = data[end + 4 : end + 4 + size]
-        at = end + 4 + size + 4
         kind = head["warc-type"]
         if kind not in ("request", "response", "revisit", "metadata"):
             continue
