@@ -1,4 +1,456 @@
-"""Named queries over the driver's tables, with the SQL that says the same."""
+"""Named queries over the driver's tables, with the SQL that says the same.
 
-QUERIES = {}
-ORACLES = {}
+A query is registered with ``@query(sql)``; without SQL only its rows can be checked
+here, and its behaviour is tested in ``tests/``.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from gazetta.functions import extract, html, text, urls
+from gazetta.operators import quality, records, scope
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# --- text functions -------------------------------------------------------------------
+
+NORM = "trim(regexp_replace(lower(strip_accents({0})), '[\\s\\x0b\\x85\\xa0]+', ' ', 'g'))"
+
+
+@query(f"SELECT doc_id, md5({NORM.format('text')}) AS norm_md5, length({NORM.format('text')})::BIGINT AS n FROM documents")
+def norm_search(spark, sf):
+    n = text.norm_search(F.col("text"))
+    return table(spark, sf, "documents").select("doc_id", F.md5(n.cast("binary")).alias("norm_md5"), F.length(n).cast("long").alias("n"))
+
+
+@query("SELECT p_partkey, trim(regexp_replace(lower(strip_accents(trim(p_name))), '[^a-z0-9]+', '_', 'g'), '_') AS k FROM part")
+def norm_key(spark, sf):
+    return table(spark, sf, "part").select("p_partkey", text.norm_key(F.col("p_name")).alias("k"))
+
+
+@query(f"SELECT p_partkey, regexp_replace({NORM.format('p_name')}, '[^a-z0-9]', '', 'g') AS slug FROM part")
+def slugify(spark, sf):
+    return table(spark, sf, "part").select("p_partkey", text.slugify(F.col("p_name")).alias("slug"))
+
+
+@query("SELECT c_custkey, trim(regexp_replace(lower(strip_accents(c_name)), '[^a-z0-9]+', ' ', 'g')) AS ident FROM customer")
+def identity_fold(spark, sf):
+    return table(spark, sf, "customer").select("c_custkey", text.identity(F.col("c_name")).alias("ident"))
+
+
+@query("""
+SELECT p_partkey, array_to_string(list_transform(list_filter(regexp_split_to_array(lower(trim(p_name)), '\\s+'), lambda w: w <> ''),
+  lambda w, i: CASE WHEN i > 1 AND w IN ('da','de','do','das','dos','e') THEN w
+    ELSE array_to_string(list_transform(string_split(w, '-'), lambda p: upper(substr(p, 1, 1)) || substr(p, 2)), '-') END), ' ') AS title
+FROM part""")
+def title_case_particles(spark, sf):
+    return table(spark, sf, "part").select("p_partkey", text.title_name(F.col("p_name")).alias("title"))
+
+
+@query("""
+SELECT o_orderkey, o_totalprice::BIGINT AS typed,
+  coalesce(try_cast(regexp_replace(o_orderpriority, '[^0-9]', '', 'g') AS BIGINT), 0) AS digits,
+  lower(o_orderstatus) IN ('1','s','sim','true','t','yes','y','capital') AS flag FROM
+  (SELECT o_orderkey, floor(o_totalprice) AS o_totalprice, o_orderpriority, o_orderstatus FROM orders)""")
+def parse_values(spark, sf):
+    o = table(spark, sf, "orders")
+    return o.select(
+        "o_orderkey",
+        text.parse_count(F.floor("o_totalprice")).alias("typed"),
+        text.parse_count(F.col("o_orderpriority")).alias("digits"),
+        text.parse_flag(F.col("o_orderstatus")).alias("flag"),
+    )
+
+
+@query("""
+WITH p AS (SELECT c_custkey, lpad(((c_custkey * 7919 + 31) % 100000000000)::VARCHAR, 8 + (c_custkey % 6)::INTEGER, '5') AS raw FROM customer),
+d AS (SELECT c_custkey, raw, CASE WHEN raw LIKE '55%' AND length(raw) IN (12, 13) THEN substr(raw, 3) ELSE raw END AS g FROM p)
+SELECT c_custkey, CASE length(g)
+  WHEN 11 THEN '(' || substr(g, 1, 2) || ') ' || substr(g, 3, 5) || '-' || substr(g, 8, 4)
+  WHEN 10 THEN '(' || substr(g, 1, 2) || ') ' || substr(g, 3, 4) || '-' || substr(g, 7, 4)
+  WHEN 9 THEN substr(g, 1, 5) || '-' || substr(g, 6, 4)
+  WHEN 8 THEN substr(g, 1, 4) || '-' || substr(g, 5, 4) ELSE raw END AS phone,
+  regexp_matches(g, '^([0-9][0-9])?9[0-9]{8}$') AS mobile FROM d""")
+def phone_format(spark, sf):
+    raw = F.lpad(F.pmod(F.col("c_custkey") * 7919 + 31, F.lit(100000000000)).cast("string"), 8 + F.pmod("c_custkey", F.lit(6)), F.lit("5"))
+    c = table(spark, sf, "customer").select("c_custkey", raw.alias("raw"))
+    return c.select("c_custkey", text.format_phone(F.col("raw")).alias("phone"), text.is_mobile(F.col("raw")).alias("mobile"))
+
+
+@query("""SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'Encontrado' WHEN 'O' THEN 'Não encontrado' WHEN 'P' THEN 'Bloqueio técnico' ELSE 'Necessita validação manual' END AS status FROM orders""")
+def status_normalize(spark, sf):
+    raw = F.when(F.col("o_orderstatus") == "F", " Encontrado ").when(F.col("o_orderstatus") == "O", "nao encontrado").when(F.col("o_orderstatus") == "P", "BLOQUEIO TECNICO").otherwise("outro")
+    return table(spark, sf, "orders").select("o_orderkey", text.norm_status(raw).alias("status"))
+
+
+@query("""SELECT l_orderkey, l_linenumber, array_to_string(list_distinct_ordered, '; ') AS merged FROM (
+  SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = l_linestatus THEN [l_returnflag] ELSE [l_returnflag, l_linestatus] END AS list_distinct_ordered FROM lineitem)""")
+def list_merge(spark, sf):
+    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", text.merge_lists(F.col("l_returnflag"), F.concat_ws(" ; ", "l_returnflag", "l_linestatus")).alias("merged"))
+
+
+# --- e-mails, phones, blocks, roles ---------------------------------------------------
+
+MAILS = r"list_filter(list_transform(regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}'), lambda x: trim(regexp_replace(lower(x), '(telefones|telefone|fone|celular|whatsapp)$', ''), '.,;:')), lambda x: x <> '')"
+
+
+@query(f"SELECT DISTINCT doc_id, unnest({MAILS}) AS email FROM documents")
+def email_extract(spark, sf):
+    # The cheap test is pushed below the pattern: most texts have no address.
+    d = table(spark, sf, "documents").where(F.col("text").contains("@"))
+    return d.select("doc_id", F.explode(extract.emails(F.col("text"))).alias("email"))
+
+
+@query(f"SELECT split_part(email, '@', 2) AS domain, count(*)::BIGINT AS n, count(DISTINCT doc_id)::BIGINT AS n_docs FROM (SELECT DISTINCT doc_id, unnest({MAILS}) AS email FROM documents) GROUP BY 1")
+def email_domains(spark, sf):
+    e = email_extract(spark, sf)
+    return e.groupBy(F.split_part("email", F.lit("@"), F.lit(2)).alias("domain")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("doc_id").alias("n_docs"))
+
+
+@query()
+def phone_extract(spark, sf):
+    d = table(spark, sf, "documents").where(F.col("text").rlike("[0-9]{4}"))
+    return d.select("doc_id", F.posexplode(extract.phones(F.col("text"))).alias("pos", "phone")).withColumns(
+        {"formatted": text.format_phone(F.col("phone")), "mobile": text.is_mobile(F.col("phone"))}
+    )
+
+
+@query("""
+WITH l AS (SELECT doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x)), lambda x: x <> '') AS ls FROM documents),
+b AS (SELECT doc_id, CASE WHEN length(array_to_string(ls, ' ')) > 1200
+  THEN list_transform(range(0, ((len(ls) + 7) // 8)::BIGINT), lambda i: array_to_string(ls[i * 8 + 1 : i * 8 + 8], chr(10))) ELSE [array_to_string(ls, chr(10))] END AS bs FROM l WHERE len(ls) > 0)
+SELECT doc_id, generate_subscripts(bs, 1)::INTEGER - 1 AS pos, md5(unnest(bs)) AS block_md5 FROM b""")
+def split_blocks(spark, sf):
+    b = table(spark, sf, "documents").select("doc_id", F.posexplode(extract.blocks(F.col("text"))).alias("pos", "block"))
+    return b.select("doc_id", "pos", F.md5(F.col("block").cast("binary")).alias("block_md5"))
+
+
+@query(f"""
+WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
+p AS (SELECT doc_id, ls, list_position(list_transform(ls, lambda x: {NORM.format('x')} IN ('that.', 'the.', 'is.', 'of.')), true) AS first_noise FROM l)
+SELECT doc_id, md5(array_to_string(CASE WHEN first_noise > 0 THEN ls[1 : first_noise - 1] ELSE ls END, chr(10))) AS kept_md5 FROM p""")
+def truncate_noise(spark, sf):
+    kept = extract.before_noise(F.col("text"), ["that.", "the.", "is.", "of."])
+    return table(spark, sf, "documents").select("doc_id", F.md5(kept.cast("binary")).alias("kept_md5"))
+
+
+@query()
+def role_detect(spark, sf):
+    d = table(spark, sf, "documents")
+    return d.select("doc_id", extract.roles(F.col("text")).alias("roles")).where(F.size("roles") > 0)
+
+
+# --- URLs and pages --------------------------------------------------------------------
+
+CLEAN = r"lower(regexp_extract(url, '^([A-Za-z]+)://', 1)) || '://' || lower(regexp_extract(url, '://([^/?#]*)', 1)) || CASE WHEN regexp_extract(url, '://[^/?#]*([^?#;]*)', 1) = '' THEN '/' ELSE regexp_extract(url, '://[^/?#]*([^?#;]*)', 1) END || regexp_extract(url, '(\?[^#]*)', 1)"
+
+
+@query(f"SELECT page_id, {CLEAN} AS url FROM pages")
+def clean_url(spark, sf):
+    return table(spark, sf, "pages").select("page_id", urls.clean_url(F.col("url")).alias("url"))
+
+
+HOST = r"regexp_replace(lower(regexp_extract({0}, '://([^/?#]*)', 1)), '^www\.', '')"
+
+
+@query(rf"""
+SELECT page_id, {HOST.format('url')} || '|' || CASE WHEN p = '' THEN '/' ELSE p END || '|' || regexp_extract(url, '\?([^#]*)', 1) AS url_key FROM
+(SELECT page_id, url, regexp_replace(regexp_replace(regexp_extract(url, '://[^/?#]*([^?#;]*)', 1), '/+$', ''), '/{{2,}}', '/', 'g') AS p FROM pages)""")
+def url_key(spark, sf):
+    return table(spark, sf, "pages").select("page_id", urls.url_key(F.col("url")).alias("url_key"))
+
+
+LINKS = "SELECT page_id, url, unnest(hs) AS href, generate_subscripts(hs, 1)::INTEGER - 1 AS pos FROM (SELECT page_id, url, regexp_extract_all(html, '<a\\s[^>]*href=\"([^\"]*)\"', 1) AS hs FROM pages)"
+
+
+def _links(spark, sf) -> DataFrame:
+    return table(spark, sf, "pages").select("page_id", "url", F.posexplode(urls_of_page()).alias("pos", "href"))
+
+
+def urls_of_page():
+    return html.hrefs(F.col("html"))
+
+
+@query(LINKS)
+def link_extract(spark, sf):
+    return _links(spark, sf)
+
+
+@query(rf"""SELECT page_id, pos, {HOST.format('href')} AS host, {HOST.format('href')} = {HOST.format('url')} OR ends_with({HOST.format('href')}, '.' || {HOST.format('url')}) AS same FROM ({LINKS}) WHERE href LIKE 'http%'""")
+def same_domain_links(spark, sf):
+    a = _links(spark, sf).where(F.col("href").startswith("http"))
+    return a.select("page_id", "pos", urls.host(F.col("href")).alias("host"), urls.same_domain(F.col("href"), F.col("url")).alias("same"))
+
+
+def _priority_sql(c: str) -> str:
+    low = f"replace({NORM.format(c)}, '-', '_')"
+    return "CASE " + " ".join(f"WHEN regexp_matches({low}, '{'|'.join(t)}') THEN {i}" for i, t in enumerate(urls.PRIORITIES)) + f" ELSE {len(urls.PRIORITIES)} END"
+
+
+@query(f"SELECT page_id, href, pos, {_priority_sql('href')} AS priority, row_number() OVER (PARTITION BY page_id ORDER BY {_priority_sql('href')}, pos)::INTEGER AS rank FROM ({LINKS})")
+def link_priority_rank(spark, sf):
+    p = _links(spark, sf).withColumn("priority", urls.link_priority(F.col("href")))
+    return p.select("page_id", "href", "pos", "priority", F.row_number().over(Window.partitionBy("page_id").orderBy("priority", "pos")).alias("rank"))
+
+
+@query()
+def ignore_urls(spark, sf):
+    return _links(spark, sf).select("page_id", "pos", "href", urls.ignore_reason(F.col("href")).alias("reason"))
+
+
+@query(f"""SELECT page_id, regexp_matches({NORM.format("regexp_replace(html, '<[^>]*>', ' ', 'g') || ' ' || substr(html, 1, 3000)")}, 'access denied|acesso negado|forbidden|verify you are human|verifique se voce e humano|cloudflare error|attention required|temporarily blocked') AS blocked FROM pages""")
+def block_pages(spark, sf):
+    body = F.regexp_replace("html", "<[^>]*>", " ")
+    return table(spark, sf, "pages").select("page_id", urls.block_page(body, F.col("html")).alias("blocked"))
+
+
+@query()
+def html_text(spark, sf):
+    p = table(spark, sf, "pages").select("page_id", html.html_text(F.col("html")).alias("text"))
+    return p.select("page_id", "text", F.size(F.split("text", "\n")).alias("n_lines"))
+
+
+@query()
+def html_link_rows(spark, sf):
+    return table(spark, sf, "pages").select("page_id", F.posexplode(html.html_links(F.col("html"))).alias("pos", "link")).select("page_id", "pos", "link.href", "link.anchor")
+
+
+# --- scope -----------------------------------------------------------------------------
+
+
+def _customers(spark, sf) -> DataFrame:
+    """Customers as targets: the balance plays the population, the nation the state, the first of a nation its capital."""
+    first = F.min("c_custkey").over(Window.partitionBy("c_nationkey"))
+    c = table(spark, sf, "customer").withColumn("capital", F.col("c_custkey") == first)
+    n = F.broadcast(table(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("state")))  # 25 rows at every size
+    return c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "state", F.floor("c_acctbal").alias("population"), "capital")
+
+
+CUSTOMERS = "SELECT c_custkey, n_name AS state, floor(c_acctbal)::BIGINT AS population, c_custkey = min(c_custkey) OVER (PARTITION BY c_nationkey) AS capital FROM customer JOIN nation ON c_nationkey = n_nationkey"
+
+
+@query(f"""WITH t AS ({CUSTOMERS}), r AS (SELECT n_name AS state, CASE WHEN n_regionkey = 1 THEN 3000 ELSE 1500 END AS minimum FROM nation WHERE n_regionkey IN (1, 2)),
+j AS (SELECT t.*, minimum FROM t LEFT JOIN r USING (state))
+SELECT c_custkey, state, CASE WHEN minimum IS NULL AND capital THEN 'Capital dos demais estados/DF' WHEN population > minimum THEN state || ' acima de ' || replace(format('{{:,}}', minimum), ',', '.') || ' habitantes' ELSE 'Capital incluída pela regra da UF' END AS reason
+FROM j WHERE (minimum IS NULL AND capital) OR population > minimum OR (minimum IS NOT NULL AND capital)""")
+def scope_filter(spark, sf):
+    n = table(spark, sf, "nation").where("n_regionkey IN (1, 2)")
+    rules = n.select(F.col("n_name").alias("state"), F.when(F.col("n_regionkey") == 1, 3000).otherwise(1500).cast("long").alias("minimum"))
+    return scope.scope_filter(_customers(spark, sf), F.broadcast(rules)).select("c_custkey", "state", "reason")
+
+
+@query("SELECT n_nationkey, n_name, coalesce(k, 0)::BIGINT AS population FROM nation LEFT JOIN (SELECT c_nationkey, count(*) AS k FROM customer WHERE c_acctbal > 5000 GROUP BY 1) ON c_nationkey = n_nationkey")
+def population_default_join(spark, sf):
+    known = table(spark, sf, "customer").where("c_acctbal > 5000").groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("k"))
+    n = table(spark, sf, "nation")
+    return n.join(known, n["n_nationkey"] == known["c_nationkey"], "left").select("n_nationkey", "n_name", F.coalesce("k", F.lit(0)).cast("long").alias("population"))
+
+
+@query("""SELECT r_name AS state, x.name, x.site, 'Estadual' AS sphere FROM region,
+LATERAL (SELECT unnest(['Governo de ' || r_name, 'Fazenda', 'Planejamento']) AS name, unnest(['https://' || lower(r_name) || '.example/', 'https://faz.example/', 'https://plan.example/']) AS site) x WHERE r_regionkey IN (SELECT n_regionkey FROM nation)""")
+def state_targets_expand(spark, sf):
+    organ = lambda n, s: F.struct(F.lit(n).alias("name"), F.lit(s).alias("site"), F.array(F.lit(n)).alias("categories"))
+    config = table(spark, sf, "region").select(
+        F.col("r_name").alias("state"),
+        F.concat(F.lit("Governo de "), "r_name").alias("government"),
+        F.concat(F.lit("https://"), F.lower("r_name"), F.lit(".example/")).alias("site"),
+        F.array(organ("Fazenda", "https://faz.example/"), organ("Planejamento", "https://plan.example/")).alias("organs"),
+    )
+    r = table(spark, sf, "region")
+    municipal = table(spark, sf, "nation").join(r, F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("r_name").alias("state"))
+    return scope.state_targets(municipal, config).select("state", "name", "site", "sphere")
+
+
+@query()
+def site_candidates(spark, sf):
+    n = table(spark, sf, "nation")
+    return n.select("n_nationkey", F.posexplode(scope.site_candidates(F.col("n_name"), F.lit("SP"))).alias("rank", "url"))
+
+
+@query("SELECT c_custkey, c_name FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_name = 'BRAZIL' ORDER BY c_custkey LIMIT 25")
+def choose_limit(spark, sf):
+    n = table(spark, sf, "nation").where("n_name = 'BRAZIL'")
+    c = table(spark, sf, "customer").join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"))
+    return scope.choose(c.withColumn("state", F.col("n_name")), state="brazil", most=25, order="c_custkey").select("c_custkey", "c_name")
+
+
+# --- records ---------------------------------------------------------------------------
+
+FIELDS = {
+    0: "Gabinete do Prefeito",
+    1: "vice-prefeita",
+    2: "Chefe de Gabinete",
+    3: "Secretaria de Desenvolvimento Econômico",
+    4: "Secretaria Municipal da Fazenda",
+    5: "Planejamento Urbano",
+    6: "Sala do Empreendedor",
+    7: "Desenvolvimento",
+    8: "Secretaria de Indústria, Comércio e Desenvolvimento",
+    9: "Ouvidoria",
+}
+CATEGORY_OF = ["Prefeito", "Vice-prefeito", "Chefe de gabinete", "Desenvolvimento econômico", "Finanças/Fazenda", "Planejamento", "Agências municipais de desenvolvimento", "Desenvolvimento", "Desenvolvimento econômico", ""]
+
+
+@query("SELECT o_orderkey, CASE o_orderkey % 10 " + " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(CATEGORY_OF)) + " END AS category FROM orders")
+def classify_category(spark, sf):
+    role = F.element_at(F.create_map(*(F.lit(x) for kv in FIELDS.items() for x in kv)), F.pmod("o_orderkey", F.lit(10)).cast("int"))
+    return table(spark, sf, "orders").select("o_orderkey", records.category(role).alias("category"))
+
+
+PRESENT = "SELECT DISTINCT c_nationkey, c_mktsegment AS category FROM customer WHERE c_acctbal > 9000"
+
+
+@query(f"SELECT n_nationkey AS c_nationkey, s.category FROM nation CROSS JOIN (SELECT DISTINCT c_mktsegment AS category FROM customer) s WHERE (n_nationkey, s.category) NOT IN ({PRESENT})")
+def coverage_audit(spark, sf):
+    c = table(spark, sf, "customer")
+    targets = table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"))
+    present = c.where("c_acctbal > 9000").select("c_nationkey", F.col("c_mktsegment").alias("category"))
+    return records.coverage(targets, present, c.select(F.col("c_mktsegment").alias("category")).distinct(), ["c_nationkey"])
+
+
+@query(f"""SELECT c_nationkey, c_mktsegment AS category, c_custkey, 'Encontrado' AS status FROM customer WHERE c_acctbal > 9000
+UNION ALL SELECT n_nationkey, s.category, NULL, 'Não publicado' FROM nation CROSS JOIN (SELECT DISTINCT c_mktsegment AS category FROM customer) s WHERE (n_nationkey, s.category) NOT IN ({PRESENT})""")
+def coverage_grid(spark, sf):
+    c = table(spark, sf, "customer")
+    targets = table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"))
+    found = c.where("c_acctbal > 9000").select("c_nationkey", F.col("c_mktsegment").alias("category"), "c_custkey", F.lit("Encontrado").alias("status"))
+    required = c.select(F.col("c_mktsegment").alias("category")).distinct()
+    return records.fill_coverage(found, targets, required, ["c_nationkey"], "Não publicado", "").select("c_nationkey", "category", "c_custkey", "status")
+
+
+@query("""SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY CASE o_orderstatus WHEN 'F' THEN 4 WHEN 'P' THEN 2 ELSE 0 END DESC, (o_totalprice > 100000)::INT DESC, lower(o_orderpriority) DESC, o_orderkey)::INTEGER AS rank FROM orders QUALIFY rank <= 3""")
+def candidate_rank(spark, sf):
+    o = table(spark, sf, "orders")
+    state = F.when(F.col("o_orderstatus") == "F", "Encontrado").when(F.col("o_orderstatus") == "P", "Parcial").otherwise("")
+    contact = F.when(F.col("o_totalprice") > 100000, "x").otherwise("")
+    keys = records.score(state, contact, F.lit("n"), F.col("o_orderpriority"))
+    return records.rank_candidates(o, ["o_custkey"], keys, "o_orderkey").where("rank <= 3").select("o_custkey", "o_orderkey", "rank")
+
+
+@query("SELECT user_id, event_type, event_id, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) = 1")
+def dedupe_keep_first(spark, sf):
+    return records.keep_first(table(spark, sf, "events"), ["user_id", "event_type"], "event_id").select("user_id", "event_type", "event_id", "value")
+
+
+@query("""SELECT event_id, user_id, CASE WHEN value > 10 THEN true ELSE false END AS strong FROM events e
+WHERE value > 10 OR NOT EXISTS (SELECT 1 FROM events s WHERE s.user_id = e.user_id AND s.event_type = e.event_type AND s.value > 10)""")
+def drop_weak(spark, sf):
+    strong = F.coalesce(F.col("value") > 10, F.lit(False))
+    return records.drop_weak(table(spark, sf, "events").withColumn("strong", strong), ["user_id", "event_type"], F.col("strong")).select("event_id", "user_id", "strong")
+
+
+@query("""SELECT doc_id, CASE WHEN toxic = 1 THEN 'Site fora do ar' WHEN quality = 0 THEN 'Não publicado' ELSE 'Encontrado' END AS status, CASE WHEN toxic = 1 THEN '' WHEN quality = 1 THEN 'a@example.org' ELSE '' END AS email FROM labels""")
+def downgrade_empty(spark, sf):
+    rows = table(spark, sf, "labels").select("doc_id", "toxic", F.lit("Encontrado").alias("status"), F.lit("Prefeito").alias("role"), F.lit("").alias("name"), F.when(F.col("quality") == 1, "a@example.org").otherwise("").alias("email"), F.lit("").alias("phone"), F.lit("").alias("mobile"), F.lit("").alias("notes"))
+    return records.downgrade(rows, F.col("toxic") == 1).select("doc_id", "status", "email")
+
+
+@query("SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'P' UNION ALL SELECT o_orderkey, 'N' FROM orders WHERE o_orderstatus = 'P'")
+def merge_replace(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    fresh = o.select("o_orderkey", F.when(F.col("o_orderstatus") == "P", "N").otherwise(F.col("o_orderstatus")).alias("o_orderstatus"))
+    return records.replace_part(o, fresh, F.col("o_orderstatus") != "P", F.col("o_orderstatus") == "N")
+
+
+@query("SELECT s_suppkey AS k, s_name AS name, NULL AS segment FROM supplier UNION ALL SELECT c_custkey, c_name, c_mktsegment FROM customer")
+def consolidate_union(spark, sf):
+    s = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("name"))
+    c = table(spark, sf, "customer").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))
+    return s.unionByName(c, allowMissingColumns=True)
+
+
+# --- quality ---------------------------------------------------------------------------
+
+
+@query("""WITH o AS (SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'Encontrado' WHEN 'O' THEN 'Parcial' ELSE 'x' END AS status, CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE 'u' END AS source_url, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE 'd' END AS collected_on, CASE WHEN o_orderkey % 5 = 0 THEN ' ' ELSE 'n' END AS notes FROM orders)
+SELECT o_orderkey, 'status' AS issue FROM o WHERE status = 'x' UNION ALL SELECT o_orderkey, 'source' FROM o WHERE status <> 'x' AND source_url = ''
+UNION ALL SELECT o_orderkey, 'date' FROM o WHERE collected_on IS NULL UNION ALL SELECT o_orderkey, 'note' FROM o WHERE status = 'Parcial' AND trim(notes) = ''""")
+def row_audit(spark, sf):
+    key = F.col("o_orderkey")
+    o = table(spark, sf, "orders").select(
+        "o_orderkey",
+        F.when(F.col("o_orderstatus") == "F", "Encontrado").when(F.col("o_orderstatus") == "O", "Parcial").otherwise("x").alias("status"),
+        F.when(key % 7 == 0, "").otherwise("u").alias("source_url"),
+        F.when(key % 11 != 0, "d").alias("collected_on"),
+        F.when(key % 5 == 0, " ").otherwise("n").alias("notes"),
+    )
+    return quality.row_audit(o, ["o_orderkey"])
+
+
+@query("""WITH a AS (SELECT DISTINCT c_custkey AS k FROM customer), b AS (SELECT DISTINCT o_custkey + 7 AS k FROM orders)
+SELECT k, 'missing' AS issue FROM a WHERE k NOT IN (SELECT k FROM b) UNION ALL SELECT k, 'unexpected' FROM b WHERE k NOT IN (SELECT k FROM a)""")
+def scope_audit(spark, sf):
+    a = table(spark, sf, "customer").select(F.col("c_custkey").alias("k"))
+    return quality.scope_audit(a, table(spark, sf, "orders").select((F.col("o_custkey") + 7).alias("k")), ["k"])
+
+
+@query("""SELECT c_mktsegment, o_orderstatus, GROUPING(c_mktsegment, o_orderstatus)::BIGINT AS grouping, count(*)::BIGINT AS n FROM orders JOIN customer ON o_custkey = c_custkey
+GROUP BY GROUPING SETS ((c_mktsegment, o_orderstatus), (c_mktsegment), (o_orderstatus), ())""")
+def summary_rollups(spark, sf):
+    o = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    sets = [["c_mktsegment", "o_orderstatus"], ["c_mktsegment"], ["o_orderstatus"], []]
+    return quality.rollups(o, sets, ["c_mktsegment", "o_orderstatus"])
+
+
+@query("""SELECT count(*)::BIGINT AS n_rows, count(DISTINCT o_custkey) FILTER (WHERE o_orderstatus = 'F')::BIGINT AS found, count(DISTINCT o_custkey) FILTER (WHERE o_orderstatus = 'P')::BIGINT AS partial,
+coalesce(nullif(count(*) FILTER (WHERE o_orderstatus = 'X'), 0), count(*) FILTER (WHERE o_orderpriority LIKE '1%'))::BIGINT AS down FROM orders""")
+def summary_indicators(spark, sf):
+    found = lambda s: F.countDistinct(F.when(F.col("o_orderstatus") == s, F.col("o_custkey")))
+    return table(spark, sf, "orders").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        found("F").alias("found"),
+        found("P").alias("partial"),
+        quality.or_else(F.count_if(F.col("o_orderstatus") == "X"), F.count_if(F.col("o_orderpriority").startswith("1"))).alias("down"),
+    )
+
+
+@query("SELECT c_custkey, c_nationkey FROM customer QUALIFY row_number() OVER (PARTITION BY c_nationkey ORDER BY md5(c_custkey::VARCHAR), c_custkey) <= 4")
+def stratified_sample(spark, sf):
+    return quality.stratified_sample(table(spark, sf, "customer"), "c_nationkey", F.col("c_custkey"), 4).select("c_custkey", "c_nationkey")
+
+
+@query("SELECT c_custkey, c_nationkey, ((row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1) // 10 + 1)::BIGINT AS chunk FROM customer")
+def chunk_assign(spark, sf):
+    return quality.chunks(table(spark, sf, "customer"), ["c_nationkey"], ["c_custkey"], 10).select("c_custkey", "c_nationkey", "chunk")
+
+
+@query(f"""SELECT page_id, CASE WHEN page_id % 9 = 0 THEN 'Divergente' WHEN page_id % 4 = 0 THEN 'Não validado' WHEN contains({NORM.format("regexp_replace(html, '<[^>]*>', ' ', 'g')")}, 'the of') THEN 'Validado' ELSE 'Divergente' END AS verdict FROM pages""")
+def source_verify(spark, sf):
+    p = table(spark, sf, "pages")
+    key = F.col("page_id")
+    rows = p.select("page_id", F.when(key % 9 != 0, F.concat(F.lit("u"), key)).alias("source_url"), F.lit("The Of").alias("name"))
+    sources = p.select(F.concat(F.lit("u"), key).alias("url"), F.regexp_replace("html", "<[^>]*>", " ").alias("text"), F.when(key % 4 == 0, "Site fora do ar").otherwise("Encontrado").alias("status"))
+    return quality.verify(rows, sources, ["name"]).select("page_id", "verdict")
+
+
+@query("""WITH l AS (SELECT doc_id AS doc, unnest(ls) AS line, generate_subscripts(ls, 1)::INTEGER - 1 AS pos FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents))
+SELECT DISTINCT a.doc, a.pos FROM l a JOIN l b ON a.doc = b.doc AND abs(a.pos - b.pos) <= 12 WHERE contains(a.line, '@') AND contains(lower(b.line), 'the')""")
+def line_proximity(spark, sf):
+    l = table(spark, sf, "documents").select(F.col("doc_id").alias("doc"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    return quality.near_lines(l, F.col("line").contains("@"), F.lower("line").contains("the")).select("doc", "pos")
+
+
+@query("SELECT event_id, json_extract_string(props, '$.k')::BIGINT AS k FROM events WHERE props IS NOT NULL")
+def json_paths(spark, sf):
+    parsed = F.from_json("props", "k long, alternative struct<k: long>")
+    return table(spark, sf, "events").where("props IS NOT NULL").select("event_id", F.coalesce(parsed["k"], parsed["alternative"]["k"]).alias("k"))
