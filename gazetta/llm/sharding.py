@@ -52,7 +52,7 @@ def quotas(wish: dict[tuple[int, int], int], load: list[int], room: list[int], r
         for (a, b), v in f.items():
             into[b] += v
             out[a] += v
-        return [into[s] - max(0.0, room[s] - load[s] + out[s]) for s in range(n)]
+        return [into[s] - (room[s] - load[s] + out[s]) for s in range(n)]
 
     for _ in range(rounds):
         excess = over(flow)
@@ -67,6 +67,13 @@ def quotas(wish: dict[tuple[int, int], int], load: list[int], room: list[int], r
         s = max(range(n), key=lambda i: excess[i])
         (a, b) = max((k for k in whole if k[1] == s and whole[k] > 0), key=lambda k: whole[k])
         whole[a, b] -= min(whole[a, b], max(1, int(excess[s])))
+    # What proportion and rounding left over goes to the largest wishes that still fit.
+    for _ in range(2):
+        for (a, b), wished in sorted(wish.items(), key=lambda x: (-x[1], x[0])):
+            spare = -over(whole)[b]
+            more = min(wished - whole[a, b], int(spare))
+            if more > 0:
+                whole[a, b] += more
     return {k: v for k, v in whole.items() if v > 0}
 
 
@@ -83,7 +90,7 @@ def _propagate(cells: DataFrame, room: list[int], rounds: int) -> DataFrame:
         turn = F.pmod(F.col("shard") - F.col("g1"), F.lit(shards))
         open_ = F.when(~F.col("shard").isin(full), F.struct("n", turn.alias("turn"), "shard")) if full else F.struct("n", turn.alias("turn"), "shard")
         best = cells.groupBy("g1", "g2").agg(F.max(open_).alias("best")).where("best IS NOT NULL")
-        wish = cells.join(best.hint("rebalance"), ["g1", "g2"])
+        wish = cells.join(best.hint("rebalance"), ["g1", "g2"], "left")
         # A cell moves to its group's fullest open shard unless it is fuller itself.
         moving = (F.col("shard") != F.col("best.shard")) & (F.struct("n", turn.alias("turn")) < F.struct("best.n", "best.turn"))
         wish = wish.select("g1", "g2", "shard", "n", F.when(moving, F.col("best.shard")).alias("to"), F.floor(F.log2("best.n")).cast("int").alias("gain"), F.pmod(F.xxhash64("g1", "g2", "shard"), F.lit(CLASSES)).cast("int").alias("class"))
@@ -160,6 +167,8 @@ def shard_documents(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", t
         # Ranks in salted parts of the groups; each part meets its group's cells, at most one a shard.
         joined = base.join(groups.where("n > 1").select("g1", "g2").hint("rebalance"), ["g1", "g2"], "left_semi")
         joined = joined.withColumn("part", F.pmod(salt, F.lit(parts)).cast("int"))
+        # Dealt by the part too: a partitioning by group alone would serve the window, with a hot group in one task.
+        joined = joined.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "g1", "g2", "part")
         counts = joined.groupBy("g1", "g2", "part").agg(F.count(F.lit(1)).alias("many"))
         before = F.coalesce(F.sum("many").over(Window.partitionBy("g1", "g2").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         ends = F.sum("n").over(Window.partitionBy("g1", "g2").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0))
