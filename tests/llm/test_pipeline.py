@@ -1,0 +1,38 @@
+"""The pipeline against its parts, and every query over the smallest tables."""
+
+import pytest
+
+import __spark_entry__
+import corpus_pipeline
+from gazetta.llm import decontaminate, minhash_dedup, token_files, toxicity
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages_take_effect(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    clean = corpus_pipeline.reject_toxic(spark, docs, SF)
+    assert clean.columns == docs.columns and 0 < clean.count() < docs.count()
+    model = toxicity.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    assert toxicity.score_toxicity(clean, model).where("predicted = 1").count() == 0
+    single = corpus_pipeline.drop_near_duplicates(spark, clean, SF)
+    assert minhash_dedup.minhash_dedup(single).where("NOT kept").count() == 0
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet")
+    safe = corpus_pipeline.drop_contaminated(spark, single, SF)
+    assert safe.columns == docs.columns
+    assert decontaminate.decontaminate(safe, bench).where("contaminated").count() == 0
+    mixed = corpus_pipeline.mix_sources(spark, safe, SF)
+    assert mixed.join(safe, docs.columns, "left_anti").count() == 0
+    assert token_files.token_round_trip(mixed).count() == mixed.count()
+
+
+def test_repeated_rows_and_rows_without_id(spark):
+    rows = [(1, "a b c d e f g", "en", "s", 1), (1, "a b c d e f g", "en", "s", 1), (None, "x y", None, None, None), (2, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()
+    assert sorted(str(r["doc_id"]) for r in got) == ["1", "2", "None"]
+
+
+@pytest.mark.parametrize("name", ["op1_line_dedup", "op3_decontaminate", "op6_sharding", "op9_warc"])
+def test_queries_run(spark, name):
+    assert __spark_entry__.queries()[name](spark, SF).count() > 0
