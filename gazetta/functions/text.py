@@ -157,3 +157,11 @@ def unit_of_role(c: Column) -> Column:
 def add_note(notes: Column, note: str) -> Column:
     """Append a note unless it is there."""
     return F.when(blank(notes), F.lit(note)).when(notes.contains(note), notes).otherwise(F.concat(F.trim(notes), F.lit(" "), F.lit(note)))
+
+
+def norm_python_key(value: str) -> str:
+    """``norm_key`` for a name that the driver holds."""
+    import re
+
+    bare = "".join(c for c in unicodedata.normalize("NFKD", value) if not unicodedata.combining(c))
+    return re.sub("[^a-z0-9]+", "_", bare.strip().lower()).strip("_")

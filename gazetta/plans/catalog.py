@@ -11,8 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gazetta.functions import extract, html, text, urls
-from gazetta.operators import quality, records, scope
+from gazetta.functions import contacts, extract, html, text, urls
+from gazetta.operators import frontier, quality, records, scope
+from gazetta.streaming import incremental
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -454,3 +455,35 @@ def line_proximity(spark, sf):
 def json_paths(spark, sf):
     parsed = F.from_json("props", "k long, alternative struct<k: long>")
     return table(spark, sf, "events").where("props IS NOT NULL").select("event_id", F.coalesce(parsed["k"], parsed["alternative"]["k"]).alias("k"))
+
+
+# --- extraction, frontier, latest state --------------------------------------------------
+
+
+@query()
+def contact_extract(spark, sf):
+    return contacts.extract_contacts(table(spark, sf, "documents"), ["doc_id"])
+
+
+@query()
+def contact_extract_turns(spark, sf):
+    return contacts.extract_contacts(table(spark, sf, "conversations"), ["conv_id", "turn"])
+
+
+@query()
+def contact_extract_pages(spark, sf):
+    pages = table(spark, sf, "pages").select("page_id", "url", html.html_text(F.col("html")).alias("text"))
+    return contacts.extract_contacts(pages, ["page_id"], url_col="url")
+
+
+@query()
+def frontier_bfs(spark, sf):
+    pages = table(spark, sf, "pages")
+    seeds = pages.where("page_id % 10 = 0").select(F.col("page_id").alias("target"), "url")
+    links = pages.select(F.col("url").alias("from_url"), F.posexplode(urls_of_page()).alias("pos", "to_url"))
+    return frontier.crawl(seeds, links, rounds=2)
+
+
+@query("SELECT user_id, ts, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1")
+def latest_state(spark, sf):
+    return incremental.latest(table(spark, sf, "events").select("user_id", "ts", "event_id", "event_type"), ["user_id"], "ts")
