@@ -117,7 +117,7 @@ def role_at_start(line: str, variants: list[tuple[str, str]]) -> tuple[str, str]
     """(role, rest) of a line that begins with a role: "Role: Name", "Role - Name", "Role Name" or the role alone."""
     low = norm_python(line)
     for v, role in variants:
-        m = re.match(rf"{re.escape(v)}(?![\w-])", low)
+        m = re.match(rf"(?:secretari[ao](?: municipal)?(?: d[aeo]s?)? )?{re.escape(v)}(?![\w-])", low)
         if m and not _of_another(v, low[m.end() :]):
             rest = " ".join(line.split())[m.end() :].strip(" :-–,|")
             if not rest or len(rest) <= 60 and (name_in(rest) or ":" in line):
