@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gazetta.functions import contacts, extract, html, text, urls
-from gazetta.operators import frontier, quality, records, scope
+from gazetta.operators import delivery, frontier, quality, records, scope
+from gazetta.plans import directory
 from gazetta.streaming import incremental
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -487,3 +488,43 @@ def frontier_bfs(spark, sf):
 @query("SELECT user_id, ts, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1")
 def latest_state(spark, sf):
     return incremental.latest(table(spark, sf, "events").select("user_id", "ts", "event_id", "event_type"), ["user_id"], "ts")
+
+
+def _directory(spark, sf) -> dict[str, DataFrame]:
+    pages = table(spark, sf, "pages").select("page_id", urls.host(F.col("url")).alias("target"), "url", "html")
+    targets = pages.groupBy("target").agg(F.min("url").alias("site")).withColumns({"state": F.lit("SP"), "sphere": F.lit("Municipal")})
+    return directory.build(targets, pages, "2024-01-01")
+
+
+@query()
+def directory_data(spark, sf):
+    return _directory(spark, sf)["data"]
+
+
+@query()
+def directory_summary(spark, sf):
+    return _directory(spark, sf)["summary"]
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'Site não localizado' WHEN k > 0 AND f > 0 THEN 'Encontrado' WHEN k > 0 THEN 'Parcial' ELSE 'Não publicado' END AS target_status FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS k, count(*) FILTER (WHERE o_orderstatus = 'F') AS f FROM orders WHERE o_orderstatus IN ('F', 'P') GROUP BY 1) ON o_custkey = c_custkey")
+def target_status(spark, sf):
+    c = table(spark, sf, "customer").select("c_custkey", F.when(F.col("c_custkey") % 3 == 0, "").otherwise("u").alias("site"))
+    o = table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"), F.when(F.col("o_orderstatus") == "F", "Encontrado").when(F.col("o_orderstatus") == "P", "Parcial").otherwise("-").alias("status"))
+    crawl = c.select("c_custkey", F.lit("Encontrado").alias("status"))
+    return delivery.target_status(c, crawl, o, ["c_custkey"]).select("c_custkey", "target_status")
+
+
+@query("SELECT n_nationkey, CASE n_nationkey % 4 WHEN 0 THEN 'Prefeito; Planejamento' WHEN 1 THEN 'Finanças/Fazenda' WHEN 2 THEN '' ELSE 'Desenvolvimento econômico' END AS categories FROM nation")
+def category_parse(spark, sf):
+    k = F.col("n_nationkey") % 4
+    listed = F.when(k == 0, "PREFEITO;planejamento, prefeito").when(k == 1, "financas fazenda").when(k == 2, "nothing").otherwise("Desenvolvimento Economico")
+    return table(spark, sf, "nation").select("n_nationkey", F.array_join(delivery.parse_categories(listed), "; ").alias("categories"))
+
+
+@query("SELECT s_suppkey, s_name, n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_nationkey < 5")
+def overrides_join(spark, sf):
+    n = table(spark, sf, "nation")
+    s = table(spark, sf, "supplier").join(F.broadcast(n), F.col("s_nationkey") == F.col("n_nationkey"))
+    targets = s.select("s_suppkey", "s_name", "n_name", F.col("n_name").alias("state"), F.lit("x").alias("name"), F.lit("m").alias("sphere"))
+    known = n.where("n_nationkey < 5").select(F.lower("n_name").alias("state"), F.lit("X ").alias("name"), F.lit("M").alias("sphere"))
+    return delivery.apply_overrides(targets, known).select("s_suppkey", "s_name", "n_name")

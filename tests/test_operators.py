@@ -139,3 +139,39 @@ def test_upsert_twice_changes_nothing(spark):
     once = rows(kept["df"], "k", "t", "v")
     apply(batch, 0)
     assert rows(kept["df"], "k", "t", "v") == once == [("a", 2, "y"), ("b", 1, "z")]
+
+
+def test_official_sites(spark):
+    from gazetta.operators import delivery
+
+    t = spark.createDataFrame([("https://www.vilaserra.sp.gov.br/x", "Vila da Serra", ""), ("https://camara.vilaserra.sp.gov.br/", "Vila da Serra", ""), ("https://pm.sp.gov.br/", "Vila da Serra", "Prefeitura de Vila Serra"), ("https://vilaserra.example/", "Vila da Serra", "")], "u string, n string, t string")
+    got = [r[0] for r in t.select(delivery.official_site(F.col("u"), F.col("n"), F.lit("SP"), F.col("t"))).collect()]
+    assert got == [True, False, True, False]
+    wrapped = spark.createDataFrame([("//r.example/l/?uddg=https%3A%2F%2Fh.example%2Fa&x=1",), ("https://h.example/",), ("/x",)], "h string")
+    assert [r[0] for r in wrapped.select(delivery.unwrap_result(F.col("h"))).collect()] == ["https://h.example/a", "https://h.example/", ""]
+
+
+def test_invalid_rows_and_gate(spark):
+    from gazetta.operators import delivery
+
+    t = spark.createDataFrame([(1, "Encontrado", "", "", "", "", "Prefeito", "u", "Vila", "SP"), (2, "Encontrado", "Vila", "a@x", "", "", "Prefeito", "u", "Vila", "SP"), (3, "Encontrado", "Ana Lima", "a@x", "", "", "Planejamento", "https://h/saude", "Vila", "SP"), (4, "Encontrado", "Ana Lima", "a@x", "", "", "Prefeito", "u", "Vila", "SP")], "k int, status string, name string, email string, phone string, mobile string, role string, source_url string, target string, state string")
+    bad = delivery.invalid_rows(t, ["k"])
+    assert rows(bad, "k", "reasons") == [(1, ["no data"]), (2, ["place"]), (3, ["source"])]
+    assert rows(delivery.to_rerun(t, bad, ["k"]), "k") == [(1,), (2,), (3,)]
+    verified = spark.createDataFrame([("Validado",)], "verdict string")
+    assert delivery.gate(t.where("false"), verified) == (True, [])
+    assert delivery.gate(t, verified.unionByName(spark.createDataFrame([("Divergente",)], "verdict string"))) == (False, ["audit", "verification"])
+
+
+def test_directory_covers_every_category(spark):
+    from gazetta.plans import directory
+
+    page = "<main><p>Prefeito: Ana Lima Souza</p><p>E-mail: prefeita@v.example.org</p>" + "<p>texto institucional da vila</p>" * 5 + "</main>"
+    targets = spark.createDataFrame([("Vila", "SP", "Municipal", "https://v.example/"), ("Outra", "SP", "Municipal", "")], "target string, state string, sphere string, site string")
+    pages = spark.createDataFrame([(1, "Vila", "https://v.example/gabinete", page)], "page_id long, target string, url string, html string")
+    out = directory.build(targets, pages, "2024-01-01")
+    data = out["data"]
+    assert data.count() == 16
+    assert rows(data.where("status = 'Encontrado'"), "target", "role", "name", "email") == [("Vila", "Prefeito", "Ana Lima Souza", "prefeita@v.example.org")]
+    assert rows(out["targets"], "target", "target_status") == [("Outra", "Site não localizado"), ("Vila", "Encontrado")]
+    assert out["audit"].isEmpty()
