@@ -79,6 +79,16 @@ def worst_spans(offsets: np.ndarray, worth: np.ndarray, count: np.ndarray) -> np
     return out
 
 
+def summed(rows: np.ndarray, which: np.ndarray, begins: np.ndarray, step: int = 20_000) -> np.ndarray:
+    """Sums of ``rows[which]`` over the stretches that start at ``begins``, some stretches at a time."""
+    out = np.empty((len(begins), rows.shape[1]), rows.dtype)
+    for i in range(0, len(begins), step):
+        part = begins[i : i + step]
+        end = begins[i + step] if i + step < len(begins) else len(which)
+        np.add.reduceat(rows[which[part[0] : end]], part - part[0], axis=0, out=out[i : i + step])
+    return out
+
+
 def _adam(params: list[np.ndarray], state: list, grads: list[np.ndarray], t: int, rate: float) -> None:
     for p, s, g in zip(params, state, grads, strict=True):
         s[0] += 0.1 * (g - s[0])
@@ -112,7 +122,8 @@ def train(texts: list[str], labels: list[int], rounds: tuple[int, ...] = (8, 7,
     docs = [[vocabulary.setdefault(w, len(vocabulary)) for w in FOLD[np.frombuffer(t.encode(), np.uint8)].tobytes().split()] for t in texts]
     n_words = np.array([len(d) for d in docs])
     offsets = np.concatenate([[0], np.cumsum(n_words)])
-    words = np.concatenate([np.array(d, np.int64) for d in docs])
+    words = np.concatenate([np.array(d, np.int32) for d in docs])
+    del docs
     if not len(words):
         return Model(np.zeros(1 << BUCKET_BITS), 0.0, -25.0, -25.0)
     _, owner, bucket = grams(pa.array(list(vocabulary), pa.binary()).cast(pa.string()))
@@ -124,13 +135,17 @@ def train(texts: list[str], labels: list[int], rounds: tuple[int, ...] = (8, 7,
     order = order[spread[bucket[order]] >= FEWEST]
     whole = np.bincount(owner, minlength=len(vocabulary))
     owner = owner[order]
-    used, gram = np.unique(bucket[order], return_inverse=True)
+    used, gram = np.unique(bucket[order].astype(np.int32), return_inverse=True)
+    gram = gram.astype(np.int32)
+    del bucket, order
     if not len(used):
         return Model(np.zeros(1 << BUCKET_BITS), 0.0, -25.0, -25.0)
-    known, owner = np.unique(owner, return_inverse=True)
+    known, owner = np.unique(owner.astype(np.int32), return_inverse=True)
+    owner = owner.astype(np.int32)
     word_begins = np.searchsorted(owner, np.arange(len(known)))
-    place = np.full(len(vocabulary), len(known))
+    place = np.full(len(vocabulary), len(known), np.int32)
     place[known] = np.arange(len(known))
+    vocabulary.clear()
     # Spans one after another; the last of a text may be shorter.
     doc_spans = -(-n_words // SPAN)
     span_doc = np.repeat(np.arange(len(y)), doc_spans)
@@ -142,10 +157,12 @@ def train(texts: list[str], labels: list[int], rounds: tuple[int, ...] = (8, 7,
     by_word = np.argsort(place, kind="stable")
     occurrences = np.searchsorted(place[by_word], np.arange(len(known)))
     by_word = by_word[: int((place < len(known)).sum())]
-    span_by_word = np.repeat(np.arange(n_spans), span_words)[by_word]
+    span_by_word = np.repeat(np.arange(n_spans, dtype=np.int32), span_words)[by_word]
+    del by_word
     by_gram = np.argsort(gram, kind="stable")
     gram_begins = np.searchsorted(gram[by_gram], np.arange(len(used)))
     word_by_gram = owner[by_gram]
+    del by_gram
     rng = np.random.default_rng(seed)
     vectors = rng.normal(0, 0.1, (len(used), DIM)).astype(np.float32)
     softmax, bias = rng.normal(0, 0.5, (DIM, 2)).astype(np.float32), np.zeros(2, np.float32)
@@ -155,8 +172,8 @@ def train(texts: list[str], labels: list[int], rounds: tuple[int, ...] = (8, 7,
     weight = taught[span_doc].astype(np.float32)
 
     def forward() -> tuple[np.ndarray, np.ndarray]:
-        of_word = np.concatenate([np.add.reduceat(vectors[gram], word_begins, axis=0), np.zeros((1, DIM), np.float32)])
-        mean = np.add.reduceat(of_word[place], begins, axis=0) / length
+        of_word = np.concatenate([summed(vectors, gram, word_begins), np.zeros((1, DIM), np.float32)])
+        mean = summed(of_word, place, begins) / length
         return mean, mean @ softmax + bias
 
     for number, epochs in enumerate(rounds):
@@ -176,8 +193,8 @@ def train(texts: list[str], labels: list[int], rounds: tuple[int, ...] = (8, 7,
             p[np.arange(n_spans), target] -= 1
             p *= weight[:, None]
             back = (p @ softmax.T) / length
-            word_back = np.add.reduceat(back[span_by_word], occurrences, axis=0)
-            grad = np.add.reduceat(word_back[word_by_gram], gram_begins, axis=0)
+            word_back = summed(back, span_by_word, occurrences)
+            grad = summed(word_back, word_by_gram, gram_begins)
             _adam(params, state, [grad, mean.T @ p, p.sum(axis=0)], t, 0.1)
     worth = np.zeros(1 << BUCKET_BITS)
     worth[used] = vectors @ (softmax[:, 1] - softmax[:, 0])
@@ -227,7 +244,7 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label
     return texts, ys
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", most_docs: int = 1500, most_bytes: int = 5 << 19) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", most_docs: int = 1500, most_bytes: int = 3 << 19) -> Model:
     return train(*sample(docs, labels, id_col, text_col, label_col, most_docs, most_bytes))
 
 
