@@ -34,7 +34,7 @@ from gazetta.llm.shared_files import read_files, write_file
 VOCABULARY, END_ID = "byte_bpe_50k.json", 0
 SUFFIX = ".pfor"
 #: UTF-8 bytes of text for one file, about, and entries of a worker's tables.
-FILE_BYTES, MOST_PIECES = 16 << 20, 500_000
+FILE_BYTES, MOST_PIECES = 16 << 20, 400_000
 _BLANKS = [chr(c) for c in range(0x3001) if chr(c).isspace()]
 BESIDE = [p for c in _BLANKS for p in (c + " ", " " + c)]
 BESIDE_ASCII = [p for p in BESIDE if p.isascii()]
@@ -56,20 +56,35 @@ class _Pieces(dict):
 
     def __init__(self, tokenizer: Tokenizer, find, code: str):
         self.model, self.find, self.code, self.letters = tokenizer.model, find, code, _byte_letters()
+        self.bare: dict[str, bytes] = {}
 
     def ids(self, pre_token: str) -> bytes:
-        found = self.model.tokenize(pre_token.encode().decode("latin-1").translate(self.letters))
-        return array(self.code, [t.id for t in found]).tobytes()
+        if pre_token.isascii() and pre_token[1:].isalpha():  # such letters stand for themselves, a space for its own letter
+            letters = pre_token.replace(" ", chr(self.letters[32]))
+        else:
+            letters = pre_token.encode().decode("latin-1").translate(self.letters)
+        return array(self.code, [t.id for t in self.model.tokenize(letters)]).tobytes()
+
+    def bare_ids(self, pre_token: str) -> bytes:
+        """Pre-tokens without a space before them: marks, line ends and what follows these."""
+        found = self.bare.get(pre_token)
+        if found is None:
+            if len(self.bare) >= MOST_PIECES // 4:
+                self.bare.clear()
+            found = self.bare[pre_token] = self.ids(pre_token)
+        return found
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= MOST_PIECES:
-            self.clear()
         if piece.isalpha():  # one pre-token of letters
             found = self.ids(" " + piece)
         else:
             parts = self.find(" " + piece)
-            head = self.ids(parts[0]) if len(parts) == 1 or len(parts[0]) < 2 else self[parts[0][1:]]
-            found = head + b"".join([self.ids(p) for p in parts[1:]])
+            head = self.bare_ids(parts[0]) if len(parts) == 1 or len(parts[0]) < 2 else self[parts[0][1:]]
+            found = head + b"".join([self.bare_ids(p) for p in parts[1:]])
+            if "\n" in piece:  # two words around a line end hardly come again
+                return found
+        if len(self) >= MOST_PIECES:
+            self.clear()
         self[piece] = found
         return found
 
@@ -98,7 +113,7 @@ class Encoder:
         else:
             parts = text.split(" ")
         pieces = self.pieces
-        first = b"".join([pieces.ids(p) for p in self.find(parts[0])])
+        first = b"".join([pieces.bare_ids(p) for p in self.find(parts[0])])
         return np.frombuffer(first + b"".join([pieces[p] for p in parts[1:]]), self.kind)
 
 
