@@ -34,7 +34,7 @@ from gazetta.llm.shared_files import read_files, write_file
 VOCABULARY, END_ID = "byte_bpe_50k.json", 0
 SUFFIX = ".pfor"
 #: UTF-8 bytes of text for one file, about, and entries of a worker's tables.
-FILE_BYTES, MOST_PIECES = 16 << 20, 400_000
+FILE_BYTES, MOST_PIECES = 16 << 20, 250_000
 _BLANKS = [chr(c) for c in range(0x3001) if chr(c).isspace()]
 BESIDE = [p for c in _BLANKS for p in (c + " ", " " + c)]
 BESIDE_ASCII = [p for p in BESIDE if p.isascii()]

@@ -30,6 +30,8 @@ from gazetta.llm.common import chunks, column, text_bytes
 
 BUCKET_BITS, DIM, SPAN, GRAMS, FEWEST = 18, 8, 3, (3, 4, 5, 6), 4
 THRESHOLD = 0.3
+#: Bytes of text scored at a time: a byte takes part in four n-grams, each with some 8-byte numbers.
+STEP = 1 << 17
 #: ASCII letters go to lower case; white space and ASCII punctuation go to a space.
 FOLD = np.arange(256, dtype=np.uint8)
 FOLD[65:91] += 32
@@ -260,7 +262,7 @@ def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_c
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches):
+        for batch in chunks(batches, most=STEP):
             score = pa.array(shared.value.score(batch.column("text")), pa.float64())
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("row"), score], ["id", "row", "score"])
 
