@@ -146,9 +146,13 @@ def write_archives(pages: DataFrame, folder: str, page_col: str = "page_id", url
     """
     base = pages.select(F.coalesce(column(pages, page_col).cast("long"), F.lit(NO_ID)).alias("page"), column(pages, url_col).alias("url"), F.coalesce(column(pages, html_col), F.lit("")).alias("html"))
     base = base.withColumn("digest", F.sha1(F.encode("html", "UTF-8")))
-    large = base.where(F.octet_length("html") >= least)
-    first = large.groupBy("digest").agg(F.max("page").alias("last"), F.count(F.lit(1)).alias("k")).where("k > 1").select("digest", "last").hint("rebalance")
-    named = base.join(first, "digest", "left").withColumn("original", F.when(F.col("page") != F.col("last"), F.col("last")))
+    # What a payload's rows revisit is settled on keys alone; pages meet it by their id, which also numbers
+    # them, so that a payload is shuffled once.
+    keys = base.where(F.octet_length("html") >= least).select("page", "digest")
+    first = keys.groupBy("digest").agg(F.max("page").alias("last"), F.count(F.lit(1)).alias("k")).where("k > 1").select("digest", "last").hint("rebalance")
+    revisits = keys.join(first, "digest").where("page != last").groupBy("page").agg(F.collect_set(F.struct("digest", "last")).alias("known"))
+    original = F.filter("known", lambda x: x["digest"] == F.col("digest"))
+    named = base.join(revisits, "page", "left").withColumn("original", F.when(F.size(original) > 0, original[0]["last"])).drop("known")
     # Only ids that several rows share need a number, which tells their records apart.
     numbered = F.row_number().over(Window.partitionBy("page").orderBy(F.col("original").isNotNull(), "url", "digest"))
     ready = named.withColumn("copy", numbered - 1).select("page", "copy", "url", "html", "digest", "original")
