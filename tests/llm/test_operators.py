@@ -245,6 +245,28 @@ def test_embedding_dedup(spark):
     assert embedding_dedup.embedding_dedup(df.where("false")).count() == 0
 
 
+def two_balls() -> list[tuple]:
+    rng = np.random.default_rng(4)
+    centres = np.eye(16)[0], np.eye(16)[0] + 0.1 * np.eye(16)[1]
+    return [(8 * c + k, (centre + rng.normal(size=16) * 0.004).tolist(), 0) for c, centre in enumerate(centres) for k in range(8)]
+
+
+def test_embedding_dedup_links_past_saturated_lists(spark):
+    df = spark.createDataFrame(two_balls(), "vec_id long, embedding array<double>, label int")
+    out = embedding_dedup.embedding_dedup(df).collect()
+    assert {(r["n_links"], r["component_id"]) for r in out} == {(15, 0)}
+
+
+def test_embedding_dedup_below_the_goal_compares_all(spark, monkeypatch):
+    rows = two_balls() + [(100 + i, v, 1) for i, v, _ in two_balls()[:9]] + [(200, [0.0] * 15 + [1.0], 1)]
+    monkeypatch.setattr(embedding_dedup, "audit", lambda *_: 0.5)
+    monkeypatch.setattr(embedding_dedup, "MOST_ROUNDS", 2)
+    monkeypatch.setattr(embedding_dedup, "_joined", lambda lists, *_: embedding_dedup._components(lists.where("sim > 2")))
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 5)
+    out = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_dedup.embedding_dedup(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert out == {i: (15, 0) for i in range(16)} | {100 + i: (8, 100) for i in range(9)} | {200: (0, 200)}
+
+
 def test_sharding(spark, docs, none):
     rows = [(i, "copy") for i in range(40)] + [(100 + i, f"pair {i // 2}") for i in range(30)] + [(200 + i, f"alone {i}") for i in range(27)] + [(None, None), (None, ""), (7, "copy")]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("shard", F.lit("clash"))
