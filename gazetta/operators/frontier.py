@@ -8,20 +8,29 @@ from pyspark.sql import functions as F
 from gazetta.functions.urls import clean_url, ignore_reason, link_priority, same_domain, url_key
 
 
-def crawl(seeds: DataFrame, links: DataFrame, most_pages: int = 60, rounds: int = 5) -> DataFrame:
+def _cut(df: DataFrame) -> DataFrame:
+    """``df``, computed once: a round must not repeat those before it."""
+    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.localCheckpoint()
+
+
+def crawl(seeds: DataFrame, links: DataFrame, most_pages: int = 60, rounds: int | None = None) -> DataFrame:
     """Breadth-first visits of each target: ``target``, ``url``, ``round``, ``rank``.
 
     ``seeds``: target, url. ``links``: from_url, to_url, pos. A URL is visited once for each
     target, whatever its scheme; at most ``most_pages`` for each. Links within the target's site that no rule
     ignores are taken, best kind first. Each round is one join with the links and one anti-join with what is visited.
+    Rounds go on until one finds nothing new (at most ``most_pages`` of them, as each adds a page to some target), or for ``rounds``.
     """
     start = seeds.select("target", clean_url(F.col("url")).alias("url")).where("url <> ''")
     seen = start.withColumns({"key": url_key(F.col("url")), "site": F.col("url"), "round": F.lit(0)})
     seen = seen.withColumn("rank", F.row_number().over(Window.partitionBy("target").orderBy("url")))
     edges = links.select(url_key(clean_url(F.col("from_url"))).alias("key"), clean_url(F.col("to_url")).alias("next"), "pos").where("next <> ''")
     edges = edges.where(ignore_reason(F.col("next")).isNull())
-    newest = seen
-    for number in range(1, rounds + 1):
+    newest = seen = _cut(seen)
+    edges = _cut(edges)
+    number = 0
+    while rounds is None or number < rounds:
+        number += 1
         out = newest.select("target", "site", "key", F.col("rank").alias("parent")).join(edges, "key").where(same_domain(F.col("next"), F.col("site")))
         out = out.select("target", "site", F.col("next").alias("url"), url_key(F.col("next")).alias("key"), "parent", link_priority(F.col("next")).alias("priority"), "pos")
         fresh = out.join(seen.select("target", "key"), ["target", "key"], "left_anti")
@@ -30,6 +39,8 @@ def crawl(seeds: DataFrame, links: DataFrame, most_pages: int = 60, rounds: int
         room = seen.groupBy("target").agg((F.lit(most_pages) - F.count(F.lit(1))).alias("room"), F.max("rank").alias("last"))
         order = F.row_number().over(Window.partitionBy("target").orderBy("parent", "priority", "pos", "url"))
         fresh = fresh.withColumn("nth", order).join(room, "target").where("nth <= room")
-        newest = fresh.select("target", "url", "key", "site", F.lit(number).alias("round"), (F.col("last") + F.col("nth")).alias("rank"))
+        newest = _cut(fresh.select("target", "url", "key", "site", F.lit(number).alias("round"), (F.col("last") + F.col("nth")).alias("rank")))
+        if newest.isEmpty():
+            break
         seen = seen.select("target", "url", "key", "site", "round", "rank").unionByName(newest)
     return seen.select("target", "url", "round", "rank")

@@ -480,9 +480,9 @@ def contact_extract_pages(spark, sf):
 @query()
 def frontier_bfs(spark, sf):
     pages = table(spark, sf, "pages")
-    seeds = pages.where("page_id % 10 = 0").select(F.col("page_id").alias("target"), "url")
+    seeds = pages.select(F.col("page_id").alias("target"), "url")
     links = pages.select(F.col("url").alias("from_url"), F.posexplode(urls_of_page()).alias("pos", "to_url"))
-    return frontier.crawl(seeds, links, rounds=2)
+    return frontier.crawl(seeds, links)
 
 
 @query("SELECT user_id, ts, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1")

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gazetta.operators import frontier, quality, records, scope
+from gazetta.plans import catalog
 from gazetta.sources import tables
 from gazetta.streaming import incremental
 
@@ -100,6 +101,20 @@ def test_frontier_visits_once_and_within_its_site(spark):
     assert [(r["url"], r["round"]) for r in out.orderBy("rank").collect()] == [("https://h.example/", 0), ("https://h.example/gabinete", 1), ("https://h.example/contato", 2)]
 
 
+def test_frontier_follows_links_to_the_end(spark):
+    url = lambda k: f"https://h.example/p{k}"
+    links = spark.createDataFrame([(url(k), url(k + 1), 0) for k in range(9)], "from_url string, to_url string, pos int")
+    seeds = spark.createDataFrame([("t", url(0))], "target string, url string")
+    assert [(r["url"], r["round"], r["rank"]) for r in frontier.crawl(seeds, links).orderBy("rank").collect()] == [(url(k), k, k + 1) for k in range(10)]
+    assert frontier.crawl(seeds, links, most_pages=4).count() == 4
+
+
+def test_frontier_query_crawls_every_page(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    out = catalog.frontier_bfs(spark, "/root/testdata/sf0.001")
+    assert out.select("target").distinct().count() == pages.where("url IS NOT NULL AND url <> ''").count()
+
+
 def test_target_lists(spark, tmp_path):
     p = tmp_path / "t.csv"
     p.write_text("Cidade;UF;Habitantes;Capital;Site\nVila;sp;1.200;sim;vila.example\nOutra;RJ;;não;\n", encoding="utf-8")
