@@ -221,7 +221,10 @@ def held_out(id_text):
 
 
 def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, most_docs: int, most_bytes: int) -> tuple[list[str], list[int]]:
-    """Labelled texts to learn from: for either class at most ``most_docs`` rows and ``most_bytes`` bytes."""
+    """Labelled texts to learn from: for either class at most ``most_docs`` rows and ``most_bytes`` bytes.
+
+    A text that no longer fits is passed over and those after it are taken; where none of a class fits, its shortest is taken.
+    """
     known = labels.select(column(labels, id_col).cast("long").alias("id"), column(labels, label_col).cast("int").alias("y")).where("id IS NOT NULL AND y IN (0, 1)")
     known = known.groupBy("id").agg(F.max("y").alias("y")).where(~held_out(F.col("id").cast("string")))
     order = F.xxhash64("id")
@@ -232,11 +235,14 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label
         # At most most_docs ids, so the broadcast is bounded.
         sized = base.join(F.broadcast(ids), "id").select("id", F.octet_length("text").alias("size"), F.xxhash64("text").alias("th"))
         chosen, held = [], 0
-        for row in sized.orderBy(order, "id", "size", "th").collect():
-            held += row["size"]
-            if held > most_bytes:
-                break
-            chosen.append((row["id"], row["th"]))
+        rows = sized.orderBy(order, "id", "size", "th").collect()
+        for row in rows:
+            if held + row["size"] <= most_bytes:
+                held += row["size"]
+                chosen.append((row["id"], row["th"]))
+        if rows and not chosen:
+            least = min(rows, key=lambda row: row["size"])
+            chosen.append((least["id"], least["th"]))
         if chosen:
             picked = docs.sparkSession.createDataFrame(chosen, "id long, th long").distinct()
             rows = base.join(F.broadcast(picked), (base["id"] == picked["id"]) & (F.xxhash64(base["text"]) == picked["th"])).select(base["id"], "text").orderBy(F.xxhash64(base["id"]), base["id"], "text")

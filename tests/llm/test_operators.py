@@ -405,6 +405,17 @@ def test_toxicity(spark, docs, none):
     assert toxicity.score_toxicity(none, toxicity.fit(none, given)).count() == 0
 
 
+def test_toxicity_sample_passes_over_long_texts(spark):
+    first = [r["id"] for r in spark.range(200).orderBy(F.xxhash64("id")).collect() if not toxicity.is_held_out(r["id"])]
+    labels = [(i, n % 2) for n, i in enumerate(first)]
+    rows = [(i, ("bad " if y else "good ") * (1000 if n < 2 else 3)) for n, (i, y) in enumerate(labels)]
+    df, given = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    got, ys = toxicity.sample(df, given, "doc_id", "text", "toxic", 1500, 2000)
+    assert sorted(ys) == sorted(y for _, y in labels[2:]) and max(map(len, got)) < 2000
+    got, ys = toxicity.sample(df, given, "doc_id", "text", "toxic", 1500, 5)
+    assert sorted(ys) == [0, 1] and max(map(len, got)) < 20
+
+
 def test_toxicity_scores_whole_texts_alike(spark):
     rows, labels = toxic_rows()
     model = toxicity.train([t for _, t in rows], [y for _, y in labels])
