@@ -1,7 +1,9 @@
-"""Benchmark decontamination by spaced-seed hashing.
+"""Benchmark decontamination by seed hashing that misses no overlap.
 
-A seed is a fixed mask over consecutive tokens: selected positions are hashed, the
-others are ignored, so a hit survives substitutions under the ignored positions.
+A seed is a run of consecutive tokens of an item. An item that can only be hit as a whole
+is cut into one part more than the rule allows unequal tokens, so that some part is
+equal in every overlap (pigeonhole). In longer items, which can be hit in a run,
+every run of tokens is a seed whose length each overlap is bound to hold equal.
 The test items' hashes form a table of a checked size that is broadcast; where the
 items exceed that size, they are taken in blocks of that size, one pass over the
 corpus a block, so nothing is left out and nothing unbounded is broadcast. The
@@ -12,6 +14,7 @@ of the hit, ungapped, with substitutions allowed.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -21,8 +24,10 @@ from pyspark.sql import functions as F
 
 from gazetta.llm.common import chunks, column, find_words, mix
 
-#: Fixed masks; 1 selects a token position. Any 8 tokens in a row are a hit of the first.
-MASKS = ("11111111", "110110101101", "1011001110010101", "11010001011000110101")
+#: Tokens of a seed at most; an overlap of the default rule holds four equal tokens in a row, short items fewer.
+MOST_SEED = 8
+#: Hits listed, and tokens compared, at a time.
+STEP_HITS, STEP_TOKENS = 1 << 18, 1 << 21
 #: Bytes of item text whose tokens are broadcast at once.
 BLOCK_BYTES = 8 << 20
 #: Bytes that end a token besides white space: ASCII punctuation.
@@ -35,39 +40,73 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return words.hashes[0], words.offsets
 
 
-def seed_hashes(h: np.ndarray, mask: str, number: int) -> np.ndarray:
-    """The hash of the selected tokens at each place where the whole mask fits."""
-    n = len(h) - len(mask) + 1
+def seed_hashes(h: np.ndarray, width: int) -> np.ndarray:
+    """The hash of the ``width`` tokens from each place on where they fit."""
+    n = len(h) - width + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    out = np.full(n, number + 1, np.uint64)
+    out = np.full(n, width, np.uint64)
     with np.errstate(over="ignore"):
-        for i, c in enumerate(mask):
-            if c == "1":
-                out = (out * np.uint64(0xFF51AFD7ED558CCD)) ^ (h[i : i + n] * np.uint64(2 * i + 0x9E3779B1))
+        for i in range(width):
+            out = (out * np.uint64(0xFF51AFD7ED558CCD)) ^ (h[i : i + n] * np.uint64(2 * i + 0x9E3779B1))
     return mix(out)
 
 
+def unequal(size: int, share: float) -> int:
+    """Tokens of ``size`` that may differ where ``share`` of them are equal."""
+    return size - math.ceil(share * size - 1e-9)
+
+
+def seeds(size: int, least: int, share: float) -> list[tuple[int, int]]:
+    """Place and width of the seeds of an item of ``size`` tokens: every overlap holds one of them whole."""
+    if size <= least:
+        parts = min(size, unequal(size, share) + 1)
+        edges = [size * i // parts for i in range(parts + 1)] if parts else []
+        return [(lo, min(MOST_SEED, hi - lo)) for lo, hi in zip(edges, edges[1:], strict=False)]
+    # A run of twice ``least`` or more holds a shorter one of that share, so these lengths stand for all.
+    sizes = [size, *range(least, min(size, 2 * least) + 1)]
+    width = min(MOST_SEED, *(-(-(n - unequal(n, share)) // (unequal(n, share) + 1)) for n in sizes))
+    return [(lo, max(1, width)) for lo in range(size - max(1, width) + 1)]
+
+
 class Items:
     """The tokens of a block of items and the places of their seeds, sorted by hash."""
 
-    def __init__(self, ids: list[int], texts: list[str]):
+    def __init__(self, ids: list[int], texts: list[str], least: int, share: float):
         self.h, self.offsets = tokens(pa.array(texts, pa.string()))
         self.ids = np.array(ids, np.int64)
         self.item = np.repeat(np.arange(len(ids)), np.diff(self.offsets))
-        places, keys = [], []
-        for number, mask in enumerate(MASKS):
-            k = seed_hashes(self.h, mask, number)
-            at = np.arange(len(k))
-            whole = self.item[at] == self.item[at + len(mask) - 1] if len(at) else np.zeros(0, bool)
-            places.append(at[whole])
-            keys.append(k[whole])
+        by: dict[int, list[int]] = {}
+        known: dict[int, list[tuple[int, int]]] = {}
+        for start, size in zip(self.offsets[:-1].tolist(), np.diff(self.offsets).tolist(), strict=True):
+            if size not in known:
+                known[size] = seeds(size, least, share)
+            for at, width in known[size]:
+                by.setdefault(width, []).append(start + at)
+        self.widths = sorted(by)
+        places = [np.array(by[w], np.int64) for w in self.widths] or [np.zeros(0, np.int64)]
+        keys = [seed_hashes(self.h, w)[at] for w, at in zip(self.widths, places, strict=True)] if self.widths else [np.zeros(0, np.uint64)]
         order = np.argsort(np.concatenate(keys), kind="stable")
         self.keys, self.places = np.concatenate(keys)[order], np.concatenate(places)[order]
         self.screen = np.zeros(1 << 22, bool)
         self.screen[(self.keys >> np.uint64(42)).astype(np.int64)] = True
 
 
+def steps(sizes: np.ndarray, most: int) -> Iterator[slice]:
+    """Stretches whose sizes sum to about ``most`` (one entry at least)."""
+    ends, start = np.cumsum(sizes), 0
+    while start < len(sizes):
+        before = ends[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield slice(start, end)
+        start = end
+
+
+def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, end to end."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+
+
 def overlaps(h: np.ndarray, offsets: np.ndarray, items: Items, least: int, share: float) -> list[tuple[int, int, int, int]]:
     """(document, item, matched tokens, length) of the best verified overlap of each pair.
 
@@ -77,28 +116,42 @@ def overlaps(h: np.ndarray, offsets: np.ndarray, items: Items, least: int, share
     ``least`` tokens has that share.
     """
     doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    found: set[tuple[int, int, int]] = set()
-    for number, mask in enumerate(MASKS):
-        k = seed_hashes(h, mask, number)
+    best: dict[tuple[int, int], tuple[int, int]] = {}
+    for width in items.widths:
+        k = seed_hashes(h, width)
         at = np.flatnonzero(items.screen[(k >> np.uint64(42)).astype(np.int64)])
-        at = at[doc[at] == doc[at + len(mask) - 1]]
+        at = at[doc[at] == doc[at + width - 1]]
         lo, hi = np.searchsorted(items.keys, k[at], "left"), np.searchsorted(items.keys, k[at], "right")
-        for a, x, y in zip(at[hi > lo].tolist(), lo[hi > lo].tolist(), hi[hi > lo].tolist(), strict=True):
-            for place in set(items.places[x:y].tolist()):
-                found.add((int(doc[a]), int(items.item[place]), a - place))
-    best: dict[tuple[int, int], tuple[int, int]] = {}
-    for d, item, shift in found:
-        lo, hi = int(items.offsets[item]), int(items.offsets[item + 1])
-        a, b = max(lo, int(offsets[d]) - shift), min(hi, int(offsets[d + 1]) - shift)
-        same = items.h[a:b] == h[a + shift : b + shift]
-        got, size = int(same.sum()), hi - lo
-        if got < share * size:
-            got, size = longest_share(same, least, share)
-        if got and got > best.get((d, item), (0, 0))[0]:
-            best[d, item] = (got, size)
+        at, lo, many = at[hi > lo], lo[hi > lo], (hi - lo)[hi > lo]
+        for step in steps(many, STEP_HITS):
+            a, place = np.repeat(at[step], many[step]), items.places[ranges(lo[step], many[step])]
+            found = np.unique(np.stack([doc[a], items.item[place], a - place]), axis=1)
+            _verify(h, offsets, items, found, least, share, best)
     return [(d, item, *x) for (d, item), x in best.items()]
 
 
+def _verify(h: np.ndarray, offsets: np.ndarray, items: Items, found: np.ndarray, least: int, share: float, best: dict[tuple[int, int], tuple[int, int]]) -> None:
+    """Count equal tokens on each diagonal (document, item, shift) of ``found`` and keep what the rule takes in ``best``."""
+    doc, item, shift = found
+    first, last = items.offsets[item], items.offsets[item + 1]
+    size = last - first
+    start = np.maximum(first, offsets[doc] - shift)
+    length = np.minimum(last, offsets[doc + 1] - shift) - start
+    for step in steps(length, STEP_TOKENS):
+        at = ranges(start[step], length[step])
+        same = items.h[at] == h[at + np.repeat(shift[step], length[step])]
+        begins = np.cumsum(length[step]) - length[step]
+        equal = np.add.reduceat(same.astype(np.int64), begins)
+        for i in np.flatnonzero((equal >= share * size[step]) | (equal >= share * least - 1e-9)).tolist():
+            j = step.start + i
+            got, of = int(equal[i]), int(size[j])
+            if got < share * of:
+                got, of = longest_share(same[begins[i] : begins[i] + length[j]], least, share)
+            key = int(doc[j]), int(item[j])
+            if got and got > best.get(key, (0, 0))[0]:
+                best[key] = (got, of)
+
+
 def longest_share(same: np.ndarray, least: int, share: float) -> tuple[int, int]:
     """Matches and length of the longest run, of ``least`` tokens or more, with ``share`` equal ones."""
     score = np.concatenate([[0.0], np.cumsum(same - share)])
@@ -111,7 +164,7 @@ def longest_share(same: np.ndarray, least: int, share: float) -> tuple[int, int]
     return best
 
 
-def _blocks(bench: DataFrame, item_col: str, text_col: str) -> Iterator[Items]:
+def _blocks(bench: DataFrame, item_col: str, text_col: str, least: int, share: float) -> Iterator[Items]:
     """The items, in blocks of about ``BLOCK_BYTES``; an item is never cut."""
     rows = bench.select(column(bench, item_col).cast("long").alias("item"), column(bench, text_col).alias("text"))
     ids, texts, held = [], [], 0
@@ -120,10 +173,10 @@ def _blocks(bench: DataFrame, item_col: str, text_col: str) -> Iterator[Items]:
         texts.append(row["text"])
         held += len(row["text"].encode())
         if held >= BLOCK_BYTES:
-            yield Items(ids, texts)
+            yield Items(ids, texts, least, share)
             ids, texts, held = [], [], 0
     if ids:
-        yield Items(ids, texts)
+        yield Items(ids, texts, least, share)
 
 
 def decontaminate(
@@ -136,8 +189,9 @@ def decontaminate(
     none), ``n_matched`` (its equal tokens, 0 for none), ``contaminated``.
 
     An overlap has at least ``share`` equal tokens on one diagonal, over the whole
-    item or over a run of ``least`` tokens or more, and a seed hit in it. Items of
-    fewer tokens than the shortest mask can't be hit. Null and
+    item or over a run of ``least`` tokens or more; none is missed. Items of
+    a few tokens are hit wherever all their tokens stand in a row (fewer than five tokens: no
+    substitution). Items without tokens can't be hit. Null and
     empty texts are clean; null items are ignored; repeated items count once each
     id; repeated rows each get their result. Empty tables give clean or no rows. Extra columns
     are ignored but for those named in ``carry``, which follow as a struct ``row``.
@@ -164,7 +218,7 @@ def decontaminate(
     none = F.expr("cast(array() as array<struct<matched: long, item: long>>)")
     result = docs.select(column(docs, id_col).cast("long").alias("id"), column(docs, text_col).alias("text"), row.alias("row"), F.lit(0).cast("long").alias("n_tokens"), none.alias("items"))
     schema = result.schema
-    for block in list(_blocks(bench, item_col, item_text_col)) or [Items([], [])]:
+    for block in list(_blocks(bench, item_col, item_text_col, least, share)) or [Items([], [], least, share)]:
         result = result.mapInArrow(work(spark.sparkContext.broadcast(block)), schema)
     order = F.array_max(F.transform("items", lambda x: F.struct(x["matched"].alias("matched"), (-x["item"]).alias("item"))))
     return result.withColumn("best", order).select(

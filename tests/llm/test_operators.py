@@ -199,6 +199,30 @@ def test_decontaminate(spark, docs, none):
     assert carried.select("row.*").columns == ["doc_id", "text", "n_lines"] and carried.count() == docs.count()
 
 
+def test_decontaminate_misses_no_overlap():
+    rng = np.random.default_rng(12)
+    for size in [1, 2, 3, 4, 5, 6, 7, 8, 10, 11, 12, 14, 15, 16, 18, 20, 25, 30, 60]:
+        for trial in range(60):
+            item = [f"i{k}" for k in range(size)]
+            run = min(size, 20) if trial % 2 else size
+            lo = int(rng.integers(0, size - run + 1))
+            copy = item[lo : lo + run]
+            for k in rng.choice(run, run // 5, replace=False):
+                copy[k] = "other"
+            text = ["x"] * int(rng.integers(0, 5)) + copy + ["y"] * int(rng.integers(0, 5))
+            h, offsets = decontaminate.tokens(pa.array(["a b", " ".join(text)]))
+            found = decontaminate.overlaps(h, offsets, decontaminate.Items([7], [" ".join(item)], 20, 0.8), 20, 0.8)
+            assert [(d, n) for d, n, _, _ in found] == [(1, 0)], (size, run, copy)
+
+
+def test_decontaminate_short_items(spark):
+    bench = spark.createDataFrame([(1, "only five short words here"), (2, " ".join(f"k{i}" for i in range(12)))], "item_id long, text string")
+    swapped = [f"k{i}" if i not in (4, 8) else "other" for i in range(12)]
+    docs = spark.createDataFrame([(1, "so, only five short words here."), (2, " ".join(swapped)), (3, "only five long lines there")], "doc_id long, text string")
+    got = {r["doc_id"]: (r["item_id"], r["n_matched"]) for r in decontaminate.decontaminate(docs, bench).collect()}
+    assert got == {1: (1, 5), 2: (2, 10), 3: (None, 0)}
+
+
 def test_decontaminate_in_blocks(spark, docs, monkeypatch):
     bench = docs.where("doc_id IN (1, 2, 3, 20)").select(F.col("doc_id").alias("item_id"), "text")
     whole = bag(decontaminate.decontaminate(docs, bench).collect())
