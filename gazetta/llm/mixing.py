@@ -6,10 +6,12 @@ round. What comes out is a weight for each cell, its target share of the tokens
 the mixture. Documents are then kept with the calibrated probability of their cell,
 by a hash of their id, so that the same documents stay in every run.
 
-The cell table is bounded: values without a target fall into one class of each
-marginal, so it has at most (sources + 1) * (languages + 1) * (topics + 1) rows, and
-its size is checked before it is put into one partition, where all rounds run
-without a shuffle, and before it is broadcast back to the documents.
+Every source has a target of its own. Where there are few sources, the cell table is
+put into one partition, where all rounds run without a shuffle, and is broadcast back
+to the documents. Where there are more, the table has one row a source with its
+tokens for each language and topic: the factor of a source follows from its row, so a
+round is one sum over the rows, and the result is joined without a broadcast. Both
+take the same steps.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql import functions as F
 
 from gazetta.llm.common import column, materialise
 
-#: Production parameters: rounds, the power that tempers the shares of sources, rows of the cell table at most.
+#: Production parameters: rounds, the power that tempers the shares of sources, cells and sources of a table in one partition at most.
 ROUNDS, TEMPER, MOST_CELLS, MOST_VALUES = 12, 0.5, 200_000, 5_000
 LANGUAGES = {"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15}
 TOPICS = {"short": 0.03, "medium": 0.55, "long": 0.42}
@@ -51,6 +53,63 @@ def rake(cells: DataFrame, names: list[str], rounds: int) -> DataFrame:
     return cells
 
 
+def rake_rows(cells: DataFrame, targets: tuple[dict[str, float] | None, ...], temper: float, rounds: int) -> DataFrame:
+    """Cells (source, lang_class, topic, w, p) raked to all sources: a row a source, a sum over the rows each round."""
+    sums = {(r["lang_class"], r["topic"]): float(r["t"]) for r in cells.groupBy("lang_class", "topic").agg(F.sum("tokens").alias("t")).collect()}
+    pairs, total = sorted(sums), sum(sums.values())
+    wanted, factor = [], []
+    for i, given in enumerate(targets):
+        own: dict[str, float] = {}
+        for pair, t in sums.items():
+            own[pair[i]] = own.get(pair[i], 0.0) + t
+        share = {k: (given or {}).get(k, t / total) for k, t in own.items()}
+        wanted.append({k: v / sum(share.values()) for k, v in share.items()})
+        factor.append(dict.fromkeys(own, 1.0))
+    cell = [F.coalesce(F.sum(F.when((F.col("lang_class") == x) & (F.col("topic") == y), F.col("tokens"))), F.lit(0)).cast("double").alias(f"m{i}") for i, (x, y) in enumerate(pairs)]
+    table = cells.groupBy("source").agg(F.pow(F.sum("tokens").cast("double"), F.lit(temper)).alias("t"), *cell)
+    table = materialise(table)
+    scale = table.agg(F.sum("t")).first()[0]
+    own_factor = F.lit(1.0)
+    for _ in range(rounds):
+        product = [F.col(f"m{i}") * F.lit(factor[0][x] * factor[1][y]) for i, (x, y) in enumerate(pairs)]
+        own_factor = F.col("t") / F.lit(scale) / sum(product[1:], product[0])
+        found = table.select(*((c * own_factor).alias(f"s{i}") for i, c in enumerate(product))).agg(*(F.sum(f"s{i}") for i in range(len(pairs)))).first()
+        marginal = dict(zip(pairs, found, strict=True))
+        for i in (0, 1):
+            for k in factor[i]:
+                step = wanted[i][k] / sum(v for pair, v in marginal.items() if pair[i] == k)
+                factor[i][k] *= step
+                marginal = {pair: v * step if pair[i] == k else v for pair, v in marginal.items()}
+    each = F.array(*(F.struct(F.lit(x).alias("lang_class"), F.lit(y).alias("topic"), F.col(f"m{i}").alias("tokens"), (F.col("own") * F.lit(factor[0][x] * factor[1][y])).alias("ratio")) for i, (x, y) in enumerate(pairs)))
+    base = F.lit(1.0 / total) if not rounds else own_factor
+    told = materialise(table.withColumn("own", base).select("source", F.explode(each).alias("c")).select("source", "c.*").where("tokens > 0"))
+    most = told.agg(F.max("ratio")).first()[0]
+    return told.select("source", "lang_class", "topic", (F.col("ratio") * F.col("tokens")).alias("w"), (F.col("ratio") / F.lit(most)).alias("p"))
+
+
+def _rake_at_once(cells: DataFrame, names: list[str], languages: dict[str, float], topics: dict[str, float], temper: float, rounds: int) -> DataFrame:
+    """Cells with ``w`` and ``p``, for a cell table of bounded size."""
+    # One partition from here on: the windows of all rounds run without a shuffle.
+    everything = Window.partitionBy()
+    one = cells.coalesce(1)
+    for name, given in zip(names, (None, languages, topics), strict=True):
+        own = F.sum("tokens").over(Window.partitionBy(name)).cast("double")
+        if given is None:
+            wanted = F.pow(own, F.lit(temper))
+        else:
+            wanted = own / F.sum("tokens").over(everything)
+            for value, share in given.items():
+                wanted = F.when(F.col(name) == value, F.lit(float(share))).otherwise(wanted)
+        # A value's target counts once, at the first of its cells; shares are of the values that are there.
+        once = F.row_number().over(Window.partitionBy(name).orderBy(*names)) == 1
+        one = one.withColumn("wanted", wanted).withColumn("once", F.when(once, F.col("wanted")))
+        one = one.withColumn(f"t_{name}", F.col("wanted") / F.sum("once").over(everything)).drop("wanted", "once")
+    one = one.withColumn("w", F.col("tokens") / F.sum("tokens").over(everything))
+    raked = materialise(rake(one, names, rounds).select(*names, "tokens", "w"))
+    ratio = F.col("w") / F.col("tokens")
+    return raked.coalesce(1).select(*names, "w", (ratio / F.max(ratio).over(everything)).alias("p"))
+
+
 def mix(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -69,9 +128,9 @@ def mix(
     ``weight`` (target share of the cell), ``probability`` (of the document) and ``sampled``.
 
     The cell that is most wanted, against what there is of it, keeps all its documents;
-    every other cell keeps the part that gives it its share. Null sources and
-    languages, and values without a target, form a class ``(rest)`` that keeps its
-    natural share. Cells without tokens (empty texts) have probability 1: they weigh nothing.
+    every other cell keeps the part that gives it its share. Every source has a target;
+    null sources are one source ``(rest)``. Null languages, and those without a target, form a class
+    ``(rest)`` that keeps its natural share. Cells without tokens (empty texts) have probability 1: they weigh nothing.
     Rows without an id share one draw. No rows, no result; extra columns are ignored but
     for those named in ``carry``, which follow as a struct ``row``.
     """
@@ -82,37 +141,12 @@ def mix(
     lang_class = F.when(F.col("lang").isin(list(languages)), F.col("lang")).otherwise(REST)
     base = base.withColumns({"lang_class": lang_class, "topic": topic(F.col("n_tokens"))})
     tokens = materialise(base.groupBy("source", "lang_class", "topic").agg(F.sum("n_tokens").alias("tokens")))
-    # The sources with most tokens have targets of their own: MOST_VALUES rows at most, so they are broadcast.
-    named = tokens.groupBy("source").agg(F.sum("tokens").alias("t")).orderBy(F.desc("t"), "source").limit(MOST_VALUES)
-    named = F.broadcast(named.select("source", F.lit(True).alias("known")))
-    source_class = F.when(F.col("known"), F.col("source")).otherwise(REST)
-    cells = tokens.join(named, "source", "left").groupBy(source_class.alias("source_class"), "lang_class", "topic").agg(F.sum("tokens").alias("tokens"))
-    cells = materialise(cells.where("tokens > 0"))
-    count = cells.count()
-    if count > MOST_CELLS:
-        raise ValueError(f"{count} cells; the raking table holds {MOST_CELLS}")
-
-    # One partition from here on: the windows of all rounds run without a shuffle.
-    names, everything = ["source_class", "lang_class", "topic"], Window.partitionBy()
-    one = cells.coalesce(1)
-    for name, given in zip(names, (None, languages, topics), strict=True):
-        own = F.sum("tokens").over(Window.partitionBy(name)).cast("double")
-        if given is None:
-            wanted = F.pow(own, F.lit(temper))
-        else:
-            wanted = own / F.sum("tokens").over(everything)
-            for value, share in given.items():
-                wanted = F.when(F.col(name) == value, F.lit(float(share))).otherwise(wanted)
-        # A value's target counts once, at the first of its cells; shares are of the values that are there.
-        once = F.row_number().over(Window.partitionBy(name).orderBy(*names)) == 1
-        one = one.withColumn("wanted", wanted).withColumn("once", F.when(once, F.col("wanted")))
-        one = one.withColumn(f"t_{name}", F.col("wanted") / F.sum("once").over(everything)).drop("wanted", "once")
-    one = one.withColumn("w", F.col("tokens") / F.sum("tokens").over(everything))
-    raked = materialise(rake(one, names, rounds).select(*names, "tokens", "w"))
-    ratio = F.col("w") / F.col("tokens")
-    final = raked.coalesce(1).select(*names, "w", (ratio / F.max(ratio).over(everything)).alias("p"))
-    classed = base.join(named, "source", "left").withColumn("source_class", source_class)
-    told = classed.join(F.broadcast(final), names, "left")
+    cells = materialise(tokens.where("tokens > 0"))
+    names = ["source", "lang_class", "topic"]
+    if cells.select("source").distinct().count() <= MOST_VALUES and cells.count() <= MOST_CELLS:
+        told = base.join(F.broadcast(_rake_at_once(cells, names, languages, topics, temper, rounds)), names, "left")
+    else:
+        told = base.join(rake_rows(cells, (languages, topics), temper, rounds).hint("rebalance"), names, "left")
     p = F.round(F.coalesce("p", F.lit(1.0)), 9)
     return told.select(
         F.col("id").alias(id_col),

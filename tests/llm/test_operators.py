@@ -372,6 +372,21 @@ def test_mixing_meets_targets(spark):
     assert (cells.groupby("source").weight.sum() - tokens / tokens.sum()).abs().max() < 1e-3
 
 
+def test_mixing_rakes_every_source(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    rows = [(i, " ".join(["w"] * int(rng.integers(0, 1500))), ["en", "de", "fr", "es", "it", None][int(rng.integers(0, 6))], [f"s{i % 9}", None][i % 31 == 0]) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    values = lambda: {r["doc_id"]: (r["source"], r["topic"], r["weight"], r["probability"]) for r in mixing.mix(df).collect()}
+    want = values()
+    for name in ("MOST_VALUES", "MOST_CELLS"):
+        with monkeypatch.context() as m:
+            m.setattr(mixing, name, 3)
+            got = values()
+        assert got.keys() == want.keys()
+        for i, (source, kind, weight, p) in want.items():
+            assert got[i][:2] == (source, kind) and abs(got[i][2] - weight) < 2e-9 and abs(got[i][3] - p) < 2e-9
+
+
 def test_warc(spark):
     big, other = "<p>" + "x" * 2000, "y" * 1000
     rows = [(1, "http://a.example/1", big), (2, "http://a.example/2\r\nEvil: 1", big), (3, None, big), (4, "http://b.example/?q=1", "small"), (5, "http://b.example/", "small"), (6, "", None), (7, "http://c.example/", other), (8, "http://c.example/é", other), (8, "http://c.example/é", other), (-5, "u", "neg\r\n\r\nWARC/1.1"), (None, "v", big)]
