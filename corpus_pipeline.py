@@ -26,12 +26,17 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays, that with the smallest id.
 
-    Of rows that share an id the first by text stays; rows without an id can't be told apart, and stay.
+    Rows with the same id and text are one document, of which one row stays. Rows that share
+    an id but not the text are documents of their own, and so are rows without an id, which come last in their group.
     """
-    kept = minhash_dedup.minhash_dedup(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct().hint("rebalance")
-    order = Window.partitionBy("doc_id").orderBy("text", "source", "lang", "n_chars")
-    found = docs.join(kept, "doc_id", "left_semi").withColumn("nth", F.row_number().over(order)).where("nth = 1")
-    return found.select(*COLUMNS).unionByName(docs.where("doc_id IS NULL").select(*COLUMNS))
+    keyed = docs.withColumn("key", F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), F.coalesce("text", F.lit(""))))
+    groups = materialise(minhash_dedup.minhash_dedup(keyed, id_col="key").select("key", "component_id").distinct())
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")).alias("first")
+    named = keyed.select("doc_id", "key").join(groups.hint("rebalance"), "key")
+    kept = named.groupBy("component_id").agg(first).select("first.key").hint("rebalance")
+    order = Window.partitionBy("key").orderBy("source", "lang", "n_chars")
+    found = keyed.join(kept, "key", "left_semi").withColumn("nth", F.row_number().over(order)).where("nth = 1")
+    return found.select(*COLUMNS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -33,6 +33,14 @@ def test_repeated_rows_and_rows_without_id(spark):
     assert sorted(str(r["doc_id"]) for r in got) == ["1", "2", "None"]
 
 
+def test_texts_of_one_id_and_copies_without_id(spark):
+    text = lambda c: " ".join(f"{c}{k}" for k in range(30))
+    rows = [(1, text("a")), (1, text("b")), (2, text("b")), (None, text("c")), (None, text("c")), (None, text("a")), (3, text("d"))]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()
+    assert sorted(((r["doc_id"] or 0), r["text"]) for r in got) == [(0, text("c")), (1, text("a")), (1, text("b")), (3, text("d"))]
+
+
 @pytest.mark.parametrize("name", ["op1_line_dedup", "op3_decontaminate", "op6_sharding", "op9_warc"])
 def test_queries_run(spark, name):
     assert __spark_entry__.queries()[name](spark, SF).count() > 0
