@@ -12,7 +12,12 @@ shard, and no links are listed. Documents without a link fill what room is left.
    its capacity, moves in and out together. Within a pair of shards the wishes with
    the most gain move first, by gain and hash classes; a class that meets the end of
    the quota moves in part. So no shard is ever over its capacity.
-3. Documents take the places of their cells, by ranks within salted parts of their
+3. Where a group that fits a shard is still in several, all groups are packed anew,
+   largest first, each whole into the first shard that it fits. Groups of one size are
+   alike, so the packing is over sizes, of which there are at most about the root of
+   twice the documents. Groups larger than a shard fill whole shards, and what is left of them is
+   packed as a group. The result with fewer split groups stands.
+4. Documents take the places of their cells, by ranks within salted parts of their
    group; the rest fill the shards exactly. The law is ``rows``: counts at most one apart.
 """
 
@@ -61,11 +66,13 @@ def quotas(wish: dict[tuple[int, int], int], load: list[int], room: list[int], r
         into = [0.0] * n
         for (_, b), v in flow.items():
             into[b] += v
-        flow = {(a, b): v * (max(0.0, 1 - excess[b] / into[b]) if excess[b] > 0 else 1) for (a, b), v in flow.items()}
+        flow = {(a, b): v * (max(0.0, 1 - excess[b] / into[b]) if excess[b] > 0 and into[b] else 1) for (a, b), v in flow.items()}
     whole = {k: int(v) for k, v in flow.items()}
-    while max(excess := over(whole), default=0) > 0:  # whole numbers can be off by a few
-        s = max(range(n), key=lambda i: excess[i])
-        (a, b) = max((k for k in whole if k[1] == s and whole[k] > 0), key=lambda k: whole[k])
+    # Whole numbers can be off by a few; a shard that is over its room without an inflow has none to give back.
+    while fed := [k for k in whole if whole[k] > 0 and over(whole)[k[1]] > 0]:
+        excess = over(whole)
+        s = max((k[1] for k in fed), key=lambda i: excess[i])
+        (a, b) = max((k for k in fed if k[1] == s), key=lambda k: whole[k])
         whole[a, b] -= min(whole[a, b], max(1, int(excess[s])))
     # What proportion and rounding left over goes to the largest wishes that still fit.
     for _ in range(2):
@@ -115,6 +122,79 @@ def _propagate(cells: DataFrame, room: list[int], rounds: int) -> DataFrame:
     return cells
 
 
+def packed(sizes: list[tuple[int, int]], room: list[int]) -> tuple[dict[int, list[tuple[int, list[tuple[int, int]]]]], int]:
+    """First fit of (size, number of groups), largest first: for each size (number, [(shard, rows), ...]) in turn; groups split though they fit.
+
+    At most one group less than there are shards finds no shard for all of it in the end; such
+    groups go to the shards with most room, in as few parts as that gives.
+    """
+    left, out = list(room), {}
+    todo: list[tuple[int, int, list[tuple[int, int]], int]] = []
+
+    def spread(n: int) -> list[tuple[int, int]]:
+        pieces = []
+        for s in sorted(range(len(left)), key=lambda i: (-left[i], i)):
+            part = min(n, left[s])
+            if part > 0:
+                pieces.append((s, part))
+                left[s] -= part
+                n -= part
+        return pieces
+
+    for size, number in sorted(sizes, reverse=True):
+        if size > max(room):
+            for _ in range(number):
+                # Shards that are still empty are filled; the rest waits for its turn by size.
+                pieces, rest = [], size
+                for s in range(len(left)):
+                    if left[s] == room[s] and 0 < room[s] <= rest:
+                        pieces.append((s, left[s]))
+                        rest -= left[s]
+                        left[s] = 0
+                todo.append((rest, 1, pieces, size))
+        else:
+            todo.append((size, number, [], size))
+    late, lost = [], 0
+    for rest, number, pieces, size in sorted(todo, key=lambda x: (-x[0], -x[3])):
+        for s in range(len(left)):
+            fit = min(number, left[s] // rest) if rest else number
+            if fit:
+                out.setdefault(size, []).append((fit, [*pieces, (s, rest)] if rest else pieces))
+                left[s] -= fit * rest
+                number -= fit
+        late += [(rest, pieces, size)] * number
+    for rest, pieces, size in late:
+        lost += size <= max(room)
+        merged = dict(pieces)
+        for s, part in spread(rest):
+            merged[s] = merged.get(s, 0) + part
+        out.setdefault(size, []).append((1, sorted(merged.items())))
+    return out, lost
+
+
+def split_groups(cells: DataFrame, most: int) -> int:
+    """Groups in several shards that one of ``most`` rows would hold."""
+    whole = cells.groupBy("g1", "g2").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"))
+    return whole.where((F.col("k") > 1) & (F.col("n") <= most)).count()
+
+
+def _pack(many: DataFrame, room: list[int], parts: int) -> tuple[DataFrame, int]:
+    """Cells (g1, g2, shard, n) of all groups (g1, g2, n), packed by size, and the number of groups split though they fit."""
+    sizes = [(r["n"], r["k"]) for r in many.groupBy("n").agg(F.count(F.lit(1)).alias("k")).collect()]
+    plan, lost = packed(sizes, room)
+    rows = []
+    for size, runs in plan.items():
+        end, steps = 0, []
+        for number, pieces in runs:
+            end += number
+            steps.append((end, pieces))
+        rows.append((size, steps))
+    table = many.sparkSession.createDataFrame(rows, "n long, steps array<struct<end: long, pieces: array<struct<shard: int, n: long>>>>")
+    placed = ranked(many.select("g1", "g2", "n"), ["n"], F.xxhash64("g1", "g2"), [F.col("g1"), F.col("g2")], "rank", parts).join(F.broadcast(table), "n")
+    pieces = F.filter("steps", lambda x: x["end"] > F.col("rank"))[0]["pieces"]
+    return placed.select("g1", "g2", F.explode(pieces).alias("piece")).select("g1", "g2", "piece.shard", "piece.n"), lost
+
+
 def shard_documents(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS) -> DataFrame:
     """Put documents into shards of even counts, with equal texts together where they fit.
 
@@ -146,6 +226,14 @@ def shard_documents(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", t
     ahead = F.pmod(F.col("shard") - F.col("r"), F.lit(shards))
     dealt = dealt.withColumn("n", F.floor((F.col("n") - ahead + shards - 1) / shards).cast("long")).where("n > 0")
     cells = _propagate(materialise(dealt.select("g1", "g2", F.col("shard").cast("int").alias("shard"), "n")), room, rounds) if linked else None
+    if cells is not None:
+        # Moves in part are rounded down, so a shard can give less than it was to and end over its room.
+        over = any(r["n"] > room[r["shard"]] for r in cells.groupBy("shard").agg(F.sum("n").alias("n")).collect())
+        split = split_groups(cells, max(room))
+        if over or split:
+            again, lost = _pack(groups.where("n > 1"), room, parts)
+            if over or lost < split:
+                cells = materialise(again)
 
     # Documents of a group take its cells by rank; the others fill what room is left, in order of a hash.
     load = [0] * shards

@@ -311,6 +311,38 @@ def test_sharding(spark, docs, none):
     assert sorted(r["slot"] for r in few) == [0, 0, 0]
 
 
+def test_packed_keeps_groups_whole():
+    rng = np.random.default_rng(8)
+    cases = [([(1200, 20), (300, 40), (2, 3000)], 62_000), ([(20_000, 1), (4, 500), (3, 500), (2, 1500)], 60_000), ([(7, 5)], 35), ([(40, 3), (2, 10)], 140)]
+    cases += [([(int(n), int(rng.integers(1, 9))) for n in rng.choice(np.arange(2, 90), 12, replace=False)], 0) for _ in range(20)]
+    for sizes, total in cases:
+        total = max(total, sum(n * k for n, k in sizes))
+        room = [total // 16 + (s < total % 16) for s in range(16)]
+        plan, lost = sharding.packed(sizes, room)
+        load = collections.Counter()
+        for n, k in sizes:
+            assert sum(number for number, _ in plan[n]) == k
+            for number, pieces in plan[n]:
+                assert sum(part for _, part in pieces) == n and len({s for s, _ in pieces}) == len(pieces)
+                for s, part in pieces:
+                    load[s] += number * part
+        assert all(load[s] <= room[s] for s in range(16))
+        assert lost == sum(number for n in plan for number, pieces in plan[n] if len(pieces) > 1 and n <= max(room)) < 16
+    assert sharding.packed(*[cases[0][0], [3875] * 16])[1] == 0
+
+
+def test_sharding_keeps_groups_that_fit_whole(spark):
+    sizes = [60] * 8 + [15] * 16 + [2] * 300
+    rows = [f"group {g}" for g, n in enumerate(sizes) for _ in range(n)] + [f"alone {i}" for i in range(400)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    out = sharding.shard_documents(df).collect()
+    counts, shards = collections.Counter(r["shard"] for r in out), collections.defaultdict(set)
+    for r in out:
+        shards[rows[r["doc_id"]]].add(r["shard"])
+    assert len(out) == len(rows) and max(counts.values()) - min(counts.values()) <= 1
+    assert not [t for t, s in shards.items() if len(s) > 1]
+
+
 def test_quotas_keep_rooms():
     wish = {(0, 1): 10, (1, 0): 4, (2, 1): 10, (1, 2): 1}
     got = sharding.quotas(wish, [5, 5, 10], [9, 8, 10])
