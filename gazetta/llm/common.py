@@ -27,13 +27,37 @@ NO_ID = (1 << 63) - 1
 STEP_BYTES = 1 << 19
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """A new folder under ``spark.checkpoint.dir``, which is set only where it is unset."""
+def qualified(spark: SparkSession, folder: str) -> str:
+    """``folder`` with scheme and authority, as Spark's file systems resolve it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return "file://" + found[5:] if found.startswith("file:/") and not found.startswith("file://") else found
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """The session's part of the shared folder ``spark.checkpoint.dir``.
+
+    Where that is unset, a local session gets a temporary folder; a cluster has no
+    folder that all executors share unless one is named, so there it is an error.
+    """
     top = spark.conf.get("spark.checkpoint.dir", None)
     if not top:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         top = "file://" + tempfile.mkdtemp(prefix="gazetta-")
         spark.conf.set("spark.checkpoint.dir", top)
-    return f"{top.rstrip('/')}/gazetta-{uuid.uuid4().hex}"
+    return f"{qualified(spark, top).rstrip('/')}/gazetta-{spark.sparkContext.applicationId}"
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """A new folder in the session's part of the shared folder."""
+    return f"{scratch_root(spark)}/{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all scratch tables and files of this application; frames built on them can't be read afterwards."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -73,6 +97,12 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = ST
             start = end
 
 
+def unpacked(batches: Iterator[pa.RecordBatch], name: str | None) -> Iterator[pa.RecordBatch]:
+    """With ``name``, add a column ``text`` taken from the struct ``row``, so that a text which is carried along crosses once."""
+    for batch in batches:
+        yield batch if name is None else pa.RecordBatch.from_arrays([*batch.columns, pc.struct_field(batch.column("row"), name)], [*batch.schema.names, "text"])
+
+
 @dataclass
 class Words:
     """The words of a batch of texts: where they lie in the batch's bytes, and their hashes."""

@@ -7,7 +7,6 @@ of an executor or speculatively, leaves one whole file with the same bytes.
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyarrow import fs
@@ -15,9 +14,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def opened(folder: str) -> tuple[fs.FileSystem, str]:
+    """The file system and the path of a qualified URI; Spark's names of an object store are those of pyarrow."""
+    scheme = folder.partition("://")[0] if "://" in folder else ""
+    if not scheme:
+        raise ValueError(f"not a qualified folder: {folder}")
+    if scheme in ("s3a", "s3n"):
+        folder = "s3" + folder[len(scheme) :]
+    return fs.FileSystem.from_uri(folder)
+
+
 def write_file(folder: str, name: str, content: bytes) -> None:
-    """Write ``content`` as ``folder/name``; ``folder`` is a URI or a path that all executors share."""
-    system, path = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), os.path.abspath(folder))
+    """Write ``content`` as ``folder/name``; ``folder`` is a URI that ``common.qualified`` gave, the same one that Spark reads."""
+    system, path = opened(folder)
     system.create_dir(path, recursive=True)
     own = f"{path}/.{name}.{uuid.uuid4().hex}"
     with system.open_output_stream(own) as out:
