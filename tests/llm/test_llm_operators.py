@@ -1,6 +1,8 @@
 """Each operator against brute force on small tables, with nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
 
+import base64
 import collections
+import gzip
 import hashlib
 import itertools
 import re
@@ -223,11 +225,79 @@ def test_decontaminate_short_items(spark):
     assert got == {1: (1, 5), 2: (2, 10), 3: (None, 0)}
 
 
-def test_decontaminate_in_blocks(spark, docs, monkeypatch):
-    bench = docs.where("doc_id IN (1, 2, 3, 20)").select(F.col("doc_id").alias("item_id"), "text")
+def test_decontaminate_by_joins(spark, docs, none, monkeypatch):
+    """Beyond the broadcast bound the result is the same."""
+    bench = docs.where("doc_id IN (1, 2, 3, 20, 45)").select(F.col("doc_id").alias("item_id"), "text")
     whole = bag(decontaminate.decontaminate(docs, bench).collect())
-    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 10)
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", 10)
     assert bag(decontaminate.decontaminate(docs, bench).collect()) == whole
+    assert decontaminate.decontaminate(none, bench).count() == 0
+
+
+def cut(t):
+    return [x for x in re.split(r"[\x20\x09-\x0D!-/:-@\[-`{-~]+", low(t or "")) if x]
+
+
+def slow_overlap(doc, item, least=20, share=0.8):
+    """Most equal tokens of an overlap, by every diagonal and every run of it."""
+    best = 0
+    for shift in range(-len(item) + 1, len(doc)):
+        same = [0 <= k + shift < len(doc) and doc[k + shift] == item[k] for k in range(len(item))]
+        if sum(same) >= share * len(item) - 1e-9:
+            best = max(best, sum(same))
+            continue
+        inside = [k for k in range(len(item)) if 0 <= k + shift < len(doc)]
+        for lo in inside:
+            for hi in range(lo + least, inside[-1] + 2):
+                if sum(same[lo:hi]) >= share * (hi - lo) - 1e-9:
+                    best = max(best, 1)
+    return best
+
+
+@pytest.mark.parametrize("most", [1 << 23, 10])
+def test_decontaminate_against_brute_force(spark, monkeypatch, most):
+    """Every document against every item: ties, repeated items and rows, long texts, items of all classes of lengths."""
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", most)
+    rng = np.random.default_rng(31)
+    few = WORDS[:60]
+    items = [list(rng.choice(few, n)) for n in (1, 2, 4, 5, 8, 11, 14, 17, 19, 20, 23, 35, 50)]
+    items += [items[7], items[11][:25] + list(rng.choice(few, 10))]
+    docs = [list(rng.choice(few, int(rng.integers(0, 60)))) for _ in range(40)] + [list(rng.choice(few, 3000))]
+    for n in range(60):
+        copy = list(items[n % len(items)])
+        for k in rng.choice(len(copy), int(rng.integers(0, max(1, len(copy) // 3) + 1)), replace=False):
+            copy[k] = str(rng.choice(few))
+        at = int(rng.integers(0, 10))
+        docs.append(list(rng.choice(few, at)) + copy[int(rng.integers(0, 3)) :] + list(rng.choice(few, 10 - at)))
+    docs += [docs[50], docs[50]]
+    bench = spark.createDataFrame([(i % 14, ", ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    got = {(r["doc_id"]): r for r in decontaminate.decontaminate(spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(docs)], "doc_id long, text string"), bench).collect()}
+    for i, d in enumerate(docs):
+        found = {}
+        for k, item in enumerate(items):
+            m = slow_overlap(d, item)
+            if m:
+                found[k % 14] = max(found.get(k % 14, 0), m)
+        r = got[i]
+        assert (r["n_tokens"], r["n_items"], r["contaminated"]) == (len(d), len(found), bool(found)), (i, found)
+
+
+def lossless(masks, size, wrong):
+    """Whether each choice of ``wrong`` unequal tokens of ``size`` leaves some mask on equal ones."""
+    spots = [sum(1 << at + k for k, bit in enumerate(m) if bit == "1") for m in masks for at in range(size - len(m) + 1)]
+
+    def spoilt(hit, left):
+        rest = next((p for p in spots if not p & hit), None)
+        if rest is None:
+            return True
+        return left > 0 and any(spoilt(hit | 1 << k, left - 1) for k in range(size) if rest >> k & 1)
+
+    return not spoilt(0, wrong)
+
+
+@pytest.mark.parametrize("size", range(1, 40))
+def test_masks_miss_no_overlap(size):
+    assert lossless(decontaminate.masks_of(size, 20, 0.8), size, decontaminate.unequal(size, 0.8))
 
 
 def test_embedding_dedup(spark):
@@ -363,7 +433,6 @@ def test_token_files(spark, docs, none):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(token_files.default_tokenizer())
-    t.encode_special_tokens = True
     rows = sorted(((1 << 62 if i is None else i, x or "") for i, x in texts()))
     start, want = 0, []
     for i, x in rows:
@@ -374,12 +443,22 @@ def test_token_files(spark, docs, none):
     assert token_files.token_round_trip(none).count() == 0
 
 
-@pytest.mark.parametrize("text", ["", " ", "  a  b", "a\n\n b\t c ", " x", "x ", "a  b 's don't    z\x1c y", "\x1c \x85 é<|endoftext|> 12ab 's", "日本 語 😀 a", "a\xa0 b \xa0c", "9 9a a9 ' 's"])
+def test_token_files_of_one_id(spark, monkeypatch):
+    """Rows of one id, or of none, fill several files; starts go on from file to file."""
+    monkeypatch.setattr(token_files, "FILE_IDS", 10)
+    monkeypatch.setattr(token_files, "CHUNK_BITS", 1)
+    rows = [(None if n % 2 else 3, " ".join(["word"] * (n % 7)) or None) for n in range(60)]
+    out = token_files.token_round_trip(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    spans = sorted((r["start"], r["start"] + r["n_tokens"], r["doc_id"]) for r in out)
+    assert spans[0][0] == 0 and all(x[1] == y[0] for x, y in itertools.pairwise(spans)) and len(spans) == 60
+    assert [s[2] for s in spans] == [3] * 30 + [None] * 30
+
+
+@pytest.mark.parametrize("text", ["", " ", "  a  b", "a\n\n b\t c ", " x", "x ", "a  b 's don't    z\x1c y", "\x1c \x85 é<|endoftext|> 12ab 's", "日本 語 😀 a", "a\xa0 b \xa0c", "9 9a a9 ' 's", "a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>\n", "<|endoftext", "one,\ntwo.\n\nthree\n", "a\nb c\nd,\te", "tab\t x", " \n", "\n x\n", "(a) b(c d) \"e\" f's g' h!?\ni...", "\ta\tb c", "n\r\nm o\x85p q", "x\u3000 y\u2028z w\x1f v", "é. ß,, ñ\nÑ! 5é é5, é5"])
 def test_encoder_is_the_tokenizer(text):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(token_files.default_tokenizer())
-    t.encode_special_tokens = True
     assert token_files.encoder_of(token_files.default_tokenizer()).encode(text).tolist() == t.encode(text, add_special_tokens=False).ids
 
 
@@ -442,6 +521,30 @@ def test_warc_captures_are_nested(spark, tmp_path):
     assert rows[4]["request"]["url"] == "http://a.example/y" and rows[4]["response"]["kind"] == "response"
 
 
+def member(kind, block, **headers):
+    lines = ["WARC/1.0", f"WARC-Type: {kind}", *(f"WARC-{k.replace('_', '-')}: {v}" for k, v in headers.items()), f"Content-Length: {len(block)}"]
+    return gzip.compress("\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n")
+
+
+def test_warc_archives_of_others():
+    body = b"<p>" + b"long " * 30_000
+    base32 = base64.b32encode(hashlib.sha1(body).digest()).decode()
+    data = member("warcinfo", b"software: x", Record_ID="<urn:uuid:0>") + member("response", b"HTTP/1.1 200 OK\r\n\r\n" + body, Record_ID="<urn:uuid:12345678-1234-4234-9234-123456789012>", Target_URI="http://x/", Payload_Digest=f"sha1:{base32}")
+    data += member("response", b"HTTP/1.1 200 OK\r\n\r\nz", Record_ID="<urn:x:1>", Payload_Digest="sha256:ab") + member("metadata", b"via: x", Record_ID="<urn:x:2>", Concurrent_To="<urn:x:1>") + member("revisit", b"", Record_ID="<urn:x:3>")
+    rows = list(warc.parse_records(data))
+    assert [(r[0], r[7], r[8], r[9]) for r in rows] == [("response", hashlib.sha1(body).hexdigest(), len(body), None), ("response", "sha256:ab", 1, None), ("metadata", None, None, None), ("revisit", None, None, None)]
+    with pytest.raises(ValueError, match="damaged"):
+        list(warc.parse_records(member("response", b"HTTP/1.1 200 OK\r\nContent-Length: 9\r\n\r\nshort", Record_ID="<urn:x:1>")))
+    with pytest.raises(ValueError, match="ends within"):
+        list(warc.parse_records(data[:-9]))
+
+
+def test_warc_long_pages(spark):
+    pages = spark.createDataFrame([(1, "u", "é" * 400_000), (2, "v", "é" * 400_000)], "page_id long, url string, html string")
+    got = sorted((r["page_id"], r["payload_bytes"], r["record_type"], r["refers_to"]) for r in warc.archive_round_trip(pages).collect())
+    assert got == [(1, 800_000, "revisit", 2), (2, 800_000, "response", None)]
+
+
 @pytest.mark.parametrize(("page", "copy", "kind"), [(0, 0, "request"), (-1, 3, "response"), ((1 << 63) - 1, 9, "metadata"), (-(1 << 63), 0, "request"), (123456789, 1 << 40, "response")])
 def test_record_ids_hold_the_page(page, copy, kind):
     assert warc.page_of(warc.record_id(page, copy, kind)) == page
@@ -483,6 +586,9 @@ def test_toxicity_sample_passes_over_long_texts(spark):
     df, given = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
     got, ys = toxicity.sample(df, given, "doc_id", "text", "toxic", 1500, 2000)
     assert sorted(ys) == sorted(y for _, y in labels[2:]) and max(map(len, got)) < 2000
+    assert toxicity.score_toxicity(df, toxicity.fit(df, given), carry=["doc_id", "text"]).select("row.text").count() == df.count()
+    many = df.unionByName(spark.range(50).selectExpr(f"{first[1]} as doc_id", "concat('bad ', id) as text"))
+    assert sum(t.startswith("bad ") for t in toxicity.sample(many, given, "doc_id", "text", "toxic", 1500, 1 << 20)[0]) <= sum(y for _, y in labels) + 3
     got, ys = toxicity.sample(df, given, "doc_id", "text", "toxic", 1500, 5)
     assert sorted(ys) == [0, 1] and max(map(len, got)) < 20
 
