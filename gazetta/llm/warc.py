@@ -12,6 +12,7 @@ in WARC-Refers-To, without a join on a payload that a third of the pages may sha
 
 from __future__ import annotations
 
+import base64
 import gzip
 import hashlib
 import re
@@ -24,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gazetta.llm.common import NO_ID, column, materialise, scratch_dir
+from gazetta.llm.common import NO_ID, column, materialise, qualified, scratch_dir
 from gazetta.llm.shared_files import read_files, write_file
 
 LEAST, SUFFIX, FILE_BYTES = 1000, ".warc.gz", 8 << 20
@@ -41,8 +42,14 @@ def record_id(page: int, copy: int, kind: str) -> str:
     return f"<urn:uuid:{uuid.UUID(int=high << 80 | 8 << 76 | mid << 64 | 2 << 62 | low)}>"
 
 
-def page_of(identifier: str) -> int:
-    number = uuid.UUID(identifier[10:-1]).int
+def page_of(identifier: str) -> int | None:
+    """The page that an id of ``record_id`` holds; null for ids of other archives."""
+    try:
+        number = uuid.UUID(identifier.strip("<>").removeprefix("urn:uuid:")).int
+    except ValueError:
+        return None
+    if number >> 76 & 15 != 8 or number >> 62 & 3 != 2:
+        return None
     value = (number >> 80) << 74 | (number >> 64 & 0xFFF) << 62 | number & (1 << 62) - 1
     page = value >> 44 & (1 << 64) - 1
     return page - (1 << 64) if page >> 63 else page
@@ -92,7 +99,12 @@ def members(data: bytes) -> Iterator[bytes]:
 
 
 def parse_records(archive: bytes) -> Iterator[tuple]:
-    """Rows of ``SCHEMA`` for the records of an archive; records of other types are passed over."""
+    """Rows of ``SCHEMA`` for the records of an archive; records of other types are passed over.
+
+    Archives of other writers are read too: digests in base32 become hex, those of other algorithms stay as they are,
+    what a record leaves out is null, and ids that hold no page give none. A payload that
+    contradicts its SHA-1 or the length that its HTTP head or metadata names is an error.
+    """
     for data in members(archive):
         end = data.index(b"\r\n\r\n")
         lines = data[:end].decode().split("\r\n")
@@ -107,15 +119,28 @@ def parse_records(archive: bytes) -> Iterator[tuple]:
         digest, payload, length = None, None, None
         if kind in ("response", "revisit"):
             http, _, body = block.partition(b"\r\n\r\n")
-            digest = head["warc-payload-digest"].partition(":")[2]
             payload = body if kind == "response" else None
-            length = int(re.search(rb"(?i)content-length: *(\d+)", http)[1])
-            if kind == "response" and hashlib.sha1(body).hexdigest() != digest:
+            digest = hex_digest(head.get("warc-payload-digest"))
+            named = re.search(rb"(?im)^content-length: *(\d+)", http)
+            encoded = re.search(rb"(?im)^(transfer|content)-encoding:", http)
+            length = int(named[1]) if named else (len(body) if kind == "response" else None)
+            if kind == "response" and not encoded and (length != len(body) or (digest and len(digest) == 40 and hashlib.sha1(body).hexdigest() != digest)):
                 raise ValueError(f"the payload of {head['warc-record-id']} is damaged")
         elif kind == "metadata":
-            length = int(re.search(rb"payloadLength: *(\d+)", block)[1])
-        identifier = head["warc-record-id"]
-        yield kind, identifier, head.get("warc-concurrent-to"), head.get("warc-refers-to"), page_of(head["warc-refers-to"]) if "warc-refers-to" in head else None, head["warc-target-uri"], head["warc-date"], digest, length, page_of(identifier), payload
+            named = re.search(rb"payloadLength: *(\d+)", block)
+            length = int(named[1]) if named else None
+        identifier, refers = head["warc-record-id"], head.get("warc-refers-to")
+        yield kind, identifier, head.get("warc-concurrent-to"), refers, page_of(refers) if refers else None, head.get("warc-target-uri"), head.get("warc-date"), digest, length, page_of(identifier), payload
+
+
+def hex_digest(named: str | None) -> str | None:
+    """A labelled digest as bare hex, whether it is written in hex or in base32; other algorithms than SHA-1 keep their label."""
+    if not named:
+        return None
+    label, _, value = named.rpartition(":")
+    if label.lower() not in ("", "sha1"):
+        return named
+    return base64.b32decode(value.upper()).hex() if len(value) == 32 else value.lower()
 
 
 def _write(folder: str):
@@ -156,7 +181,7 @@ def write_archives(pages: DataFrame, folder: str, page_col: str = "page_id", url
     # Only ids that several rows share need a number, which tells their records apart.
     numbered = F.row_number().over(Window.partitionBy("page").orderBy(F.col("original").isNotNull(), "url", "digest"))
     ready = named.withColumn("copy", numbered - 1).select("page", "copy", "url", "html", "digest", "original")
-    return materialise(ready.mapInArrow(_write(folder), "written long")).agg(F.sum("written")).first()[0] or 0
+    return materialise(ready.mapInArrow(_write(qualified(pages.sparkSession, folder)), "written long")).agg(F.sum("written")).first()[0] or 0
 
 
 def read_records(spark: SparkSession, folder: str) -> DataFrame:
@@ -197,11 +222,12 @@ def archive_round_trip(pages: DataFrame, page_col: str = "page_id", url_col: str
     spark, folder = pages.sparkSession, scratch_dir(pages.sparkSession)
     if not write_archives(pages, folder, page_col, url_col, html_col):
         return spark.createDataFrame([], f"{page_col} long, payload_bytes long, payload_digest string, record_type string, refers_to long")
-    # The payloads stay behind: what is joined and returned here are facts about them.
-    captures = assemble(read_records(spark, folder).withColumn("payload", F.lit(None).cast("binary")))
+    # The payloads stay behind: what is joined and returned here are facts about them, written once, so that the archives are read once.
+    facts = materialise(read_records(spark, folder).drop("payload"))
+    captures = assemble(facts.withColumn("payload", F.lit(None).cast("binary")))
     return captures.select(
         F.nullif("page_id", F.lit(NO_ID)).alias(page_col),
-        F.col("metadata.length").alias("payload_bytes"),
+        F.col("response.header_length").alias("payload_bytes"),
         F.col("response.digest").alias("payload_digest"),
         F.col("response.kind").alias("record_type"),
         F.nullif("response.refers_page", F.lit(NO_ID)).alias("refers_to"),
