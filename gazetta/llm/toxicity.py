@@ -22,11 +22,11 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from gazetta.llm.common import chunks, column, text_bytes
+from gazetta.llm.common import chunks, column, text_bytes, unpacked
 
 BUCKET_BITS, DIM, SPAN, GRAMS, FEWEST = 18, 8, 3, (3, 4, 5, 6), 4
 THRESHOLD = 0.3
@@ -114,7 +114,10 @@ class Model:
 
 
 def train(texts: list[str], labels: list[int], rounds: tuple[int, ...] = (8, 7, 7), seed: int = 5) -> Model:
-    """Fit the vectors and the softmax jointly; a class that is absent gives a constant score."""
+    """Fit the vectors and the softmax jointly; a class that is absent gives a constant score.
+
+    Repeated texts weigh as often as they come, also with labels that contradict each other; texts without words teach nothing.
+    """
     y = np.array(labels, np.float64)
     if not len(y) or y.min() == y.max():
         level = 25.0 * (1 if len(y) and y[0] else -1)
@@ -220,10 +223,12 @@ def held_out(id_text):
     return F.coalesce(F.crc32(id_text) % 4 == 2, F.lit(False))
 
 
-def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, most_docs: int, most_bytes: int) -> tuple[list[str], list[int]]:
+def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, most_docs: int, most_bytes: int, most_rows: int = 4) -> tuple[list[str], list[int]]:
     """Labelled texts to learn from: for either class at most ``most_docs`` rows and ``most_bytes`` bytes.
 
     A text that no longer fits is passed over and those after it are taken; where none of a class fits, its shortest is taken.
+    Null labels, ids and texts are passed over; an id with both labels counts as 1. Of the rows that share an id, the
+    ``most_rows`` first by hash of the text count, equal texts once, so that what the driver holds is bounded.
     """
     known = labels.select(column(labels, id_col).cast("long").alias("id"), column(labels, label_col).cast("int").alias("y")).where("id IS NOT NULL AND y IN (0, 1)")
     known = known.groupBy("id").agg(F.max("y").alias("y")).where(~held_out(F.col("id").cast("string")))
@@ -235,7 +240,8 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label
         # At most most_docs ids, so the broadcast is bounded.
         sized = base.join(F.broadcast(ids), "id").select("id", F.octet_length("text").alias("size"), F.xxhash64("text").alias("th"))
         chosen, held = [], 0
-        rows = sized.orderBy(order, "id", "size", "th").collect()
+        rank = F.row_number().over(Window.partitionBy("id").orderBy("th"))
+        rows = sized.distinct().withColumn("rank", rank).where(F.col("rank") <= most_rows).orderBy(order, "id", "size", "th").collect()
         for row in rows:
             if held + row["size"] <= most_bytes:
                 held += row["size"]
@@ -245,7 +251,7 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label
             chosen.append((least["id"], least["th"]))
         if chosen:
             picked = docs.sparkSession.createDataFrame(chosen, "id long, th long").distinct()
-            rows = base.join(F.broadcast(picked), (base["id"] == picked["id"]) & (F.xxhash64(base["text"]) == picked["th"])).select(base["id"], "text").orderBy(F.xxhash64(base["id"]), base["id"], "text")
+            rows = base.join(F.broadcast(picked), (base["id"] == picked["id"]) & (F.xxhash64(base["text"]) == picked["th"])).select(base["id"], "text").distinct().orderBy(F.xxhash64(base["id"]), base["id"], "text")
             found = [r["text"] for r in rows.collect()]
             texts += found
             ys += [y] * len(found)
@@ -266,14 +272,15 @@ def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_c
     those named in ``carry``, which follow as the columns of a struct ``row``.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    inside = text_col if text_col in carry else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, most=STEP):
+        for batch in chunks(unpacked(batches, inside), most=STEP):
             score = pa.array(shared.value.score(batch.column("text")), pa.float64())
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("row"), score], ["id", "row", "score"])
 
     row = F.struct(*(column(docs, c) for c in carry)) if carry else F.lit(0)
-    base = docs.select(column(docs, id_col).cast("long").alias("id"), column(docs, text_col).alias("text"), row.alias("row"))
+    base = docs.select(column(docs, id_col).cast("long").alias("id"), *([] if inside else [column(docs, text_col).alias("text")]), row.alias("row"))
     out = base.mapInArrow(run, StructType([base.schema["id"], base.schema["row"], StructField("score", DoubleType())]))
     held = held_out(F.col("id").cast("string")).alias("held_out")
     return out.select(F.col("id").alias(id_col), held, "score", (F.col("score") >= threshold).cast("int").alias("predicted"), *(["row"] if carry else []))
