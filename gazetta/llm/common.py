@@ -1,23 +1,18 @@
-"""Shared ground of the training-data operators: scratch tables, keys, words.
-
-Scratch tables live in the folder that the session names in
-``spark.checkpoint.dir``; every executor can reach it, so a table written there
-survives the loss of any executor and cuts the lineage.
-"""
+"""Shared ground of the training-data operators: keys, batches, words, hashes."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gazetta.scratch import clear_scratch, materialise, qualified, scratch_dir, scratch_root  # noqa: F401
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: The white space of every word and line rule here: \x20 and \x09-\x0D.
 SPACE = " \t\n\x0b\x0c\r"
@@ -27,46 +22,6 @@ NO_ID = (1 << 63) - 1
 STEP_BYTES = 1 << 19
 
 
-def qualified(spark: SparkSession, folder: str) -> str:
-    """``folder`` with scheme and authority, as Spark's file systems resolve it."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
-    return "file://" + found[5:] if found.startswith("file:/") and not found.startswith("file://") else found
-
-
-def scratch_root(spark: SparkSession) -> str:
-    """The session's part of the shared folder ``spark.checkpoint.dir``.
-
-    Where that is unset, a local session gets a temporary folder; a cluster has no
-    folder that all executors share unless one is named, so there it is an error.
-    """
-    top = spark.conf.get("spark.checkpoint.dir", None)
-    if not top:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        top = "file://" + tempfile.mkdtemp(prefix="gazetta-")
-        spark.conf.set("spark.checkpoint.dir", top)
-    return f"{qualified(spark, top).rstrip('/')}/gazetta-{spark.sparkContext.applicationId}"
-
-
-def scratch_dir(spark: SparkSession) -> str:
-    """A new folder in the session's part of the shared folder."""
-    return f"{scratch_root(spark)}/{uuid.uuid4().hex}"
-
-
-def clear_scratch(spark: SparkSession) -> None:
-    """Delete all scratch tables and files of this application; frames built on them can't be read afterwards."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` to a shared scratch table and return a scan of it."""
-    path = scratch_dir(df.sparkSession)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def column(df: DataFrame, name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
