@@ -4,9 +4,10 @@
    digest of its set and its band keys; no set leaves the worker.
 2. Documents of equal sets are one class, stood for by their smallest id, so
    thousands of copies cost one row from here on.
-3. Classes that share a band key are tied to the smallest class of that key. A
-   key's rows are never gathered: the smallest comes from a partial aggregate.
-   The components of these ties hold every pair that shares a band.
+3. The hub of a band key is the smallest class that has it. Every class is tied to
+   the least of its hubs, and that one to its other hubs, each tie once. A key's
+   rows are never gathered: the smallest comes from a partial aggregate, and a class has
+   as many hubs as bands at most. The components of these ties hold every pair that shares a band.
 4. The shingle sets of each such component are cut into blocks of bounded size,
    and each pair of blocks is one group: an exact incidence product confirms
    links and returns a spanning forest, never all pairs. A component of several
@@ -206,7 +207,10 @@ def minhash_dedup(
     classes = facts.where("n > 0").groupBy("d1", "d2").agg(F.min("owner").alias("rep"), F.first("keys").alias("keys"))
     keyed = materialise(classes.select("rep", F.posexplode("keys").alias("band", "key")))
     hubs = keyed.groupBy("band", "key").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("k")).where("k > 1")
-    ties = keyed.join(hubs.select("band", "key", "hub").hint("rebalance"), ["band", "key"]).where("rep != hub").select("hub", "rep")
+    # One tie a class, to its least hub, and ties between hubs that share a class: hubs are few beside classes.
+    own = keyed.join(hubs.select("band", "key", "hub").hint("rebalance"), ["band", "key"]).groupBy("rep").agg(F.collect_set("hub").alias("hubs"))
+    own = own.select(F.array_min("hubs").alias("hub"), F.explode(F.array_append("hubs", F.col("rep"))).alias("rep"))
+    ties = own.where("rep != hub").distinct()
     groups = connected_components(ties, "hub", "rep").select(F.col("v").alias("owner"), F.col("label").alias("cc"))
     # A vertex may stand for several texts where rows share an id: all of them count.
     sets = materialise(base.join(groups, "owner").mapInArrow(_sets(width), "owner long, cc long, elements binary").where(F.octet_length("elements") > 0).distinct())
