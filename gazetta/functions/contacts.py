@@ -1,7 +1,9 @@
-"""Text to contact records: one pass over lines as Arrow batches.
+"""Text to contact records: one pass over a text's lines and blocks, in Arrow batches.
 
-Rules are plain functions of a line or a span, so that each can be tested alone; the
-scanner that joins them keeps no state beyond one text.
+A text is read in three ways, in this order: units that present who leads them, role
+lines with the profile below them, and blocks of text that hold contacts. Rules for names
+are in ``names``, words in ``lexicon``; both are compiled once a worker. Texts without an
+address, four digits or a word of a role can't have a record and never leave the JVM.
 """
 
 from __future__ import annotations
@@ -11,41 +13,46 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazetta.functions.extract import EMAIL, GLUED, NOISE, PHONE, ROLES, norm_python
-from gazetta.functions.text import PARTICLES
-
-# Words that no person's name holds, labels before a name, labels that
-# go on with contacts, sections that end a profile, and caps on contacts.
-NOT_NAMES = set("secretaria secretario prefeitura municipio municipal gabinete departamento diretoria telefone email contato endereco rua avenida praca centro horario atendimento governo estado cidade noticias portal servicos inicio menu fale conosco ouvidoria transparencia licitacoes concursos agenda equipe".split())
-NAME_LABELS = ("nome", "responsavel", "titular", "secretario", "secretaria", "autoridade administrativa")
-CONTACT_LABELS = ("telefone", "tel", "fone", "celular", "whatsapp", "e-mail", "email", "endereco", "horario", "contato")
-SECTIONS = ("dados gerais", "competencias", "atribuicoes", "departamentos", "setores", "estrutura")
-GENERAL, EXECUTIVE = "Contato geral", ("Prefeito", "Vice-prefeito", "Chefe de gabinete")
-WINDOW, NAME_REACH, MOST_CONTACTS = 80, 4, 4
-_NAME = re.compile(r"[A-ZÀ-Ý][a-zà-ÿ']+(?:\s+(?:(?:de|da|do|das|dos|e)\s+)?[A-ZÀ-Ý][a-zà-ÿ']+){1,5}")
+from gazetta.functions.extract import EMAIL, GLUED, NOISE, PHONE, ROLES
+from gazetta.functions.lexicon import AGENCY_NAMES, CONTACT_LINES, DATA_SECTIONS, EXECUTIVE, GENERAL, GENERIC_BOXES, PROFILE_STARTS, SUBUNITS, UNIT_TITLES, Lexicon, folded, is_agency, is_root_path, lexicon, out_of_place, path_scope
+from gazetta.functions.names import NAME, Names, full_lines, line_key, near_address, only_in_addresses
+from gazetta.functions.text import norm_python, norm_search
+
+WINDOW, NAME_REACH, LABEL_REACH, MOST_CONTACTS = 80, 4, 9, 4
+NO_CONTACT, NO_ROLE = "Cargo ou nome identificado, mas sem contato direto no mesmo bloco.", "Contato geral sem associação clara a cargo específico."
 _EMAIL, _PHONE = re.compile(rf"\b{EMAIL}\b"), re.compile(PHONE)
 FIELDS = ["role", "name", "email", "phone", "mobile", "status", "notes"]
 SCHEMA = ", ".join(f"{f} string" for f in FIELDS)
 
 
-@dataclass
+@dataclass(frozen=True)
 class Record:
     role: str
     name: str = ""
-    emails: list[str] = field(default_factory=list)
-    phones: list[str] = field(default_factory=list)
-    mobiles: list[str] = field(default_factory=list)
+    emails: tuple[str, ...] = ()
+    phones: tuple[str, ...] = ()
+    mobiles: tuple[str, ...] = ()
+
+    def contacts(self) -> tuple[str, ...]:
+        return (*self.emails, *self.phones, *self.mobiles)
+
+    def strong(self) -> bool:
+        return bool(self.name and self.contacts()) and self.role != GENERAL
 
-    def contacts(self) -> list[str]:
-        return [*self.emails, *self.phones, *self.mobiles]
+    def keys(self) -> set[str]:
+        """What tells contacts apart: addresses in lower case, digits of numbers."""
+        return {e.lower() for e in self.emails} | {digits(p) for p in (*self.phones, *self.mobiles)}
+
+    def without_contacts(self) -> Record:
+        return replace(self, emails=(), phones=(), mobiles=())
 
     def row(self) -> tuple:
-        strong = bool(self.contacts()) and self.role != GENERAL
-        note = "" if strong else "Contato sem cargo." if self.role == GENERAL else "Sem contato publicado."
-        return (self.role, self.name, "; ".join(self.emails), "; ".join(self.phones), "; ".join(self.mobiles), "Encontrado" if strong else "Parcial", note)
+        general, some = self.role == GENERAL, bool(self.contacts())
+        note = NO_ROLE if general else "" if some else NO_CONTACT
+        return (self.role, self.name, "; ".join(self.emails), "; ".join(self.phones), "; ".join(self.mobiles), "Encontrado" if some and not general else "Parcial", note)
 
 
 def digits(value: str) -> str:
@@ -72,193 +79,414 @@ def phones(text: str) -> list[str]:
     return list(dict.fromkeys(out))
 
 
+def has_contact(text: str) -> bool:
+    return bool(emails(text) or phones(text))
+
+
+def with_contacts(record: Record, text: str) -> Record:
+    found = phones(text)
+    mobile = tuple(p for p in found if is_mobile(p))
+    return replace(record, emails=tuple(emails(text)), mobiles=mobile, phones=tuple(p for p in found if p not in mobile))
+
+
 def valid_name(name: str) -> bool:
-    """Two to six different words besides particles, none of them a word of institutions."""
-    name = name.strip(" \t\r\n:-|,.;")
-    if not name or re.search(r"[@\d]", name):
-        return False
-    words = [w.strip(".,:;") for w in norm_python(name).split()]
-    core = [w for w in words if w not in PARTICLES]
-    return bool(words) and words[0] not in PARTICLES and 2 <= len(core) <= 6 and len(set(core)) == len(core) and not NOT_NAMES & set(core)
-
-
-def name_in(text: str) -> str:
-    """The first valid name, before any contact label."""
-    cut = re.split(rf"(?i)\b({'|'.join(map(re.escape, CONTACT_LABELS))})\b|@", text)[0]
-    return next((m[0] for m in _NAME.finditer(cut) if valid_name(m[0])), "")
-
-
-def _variants(config: dict[str, list[str]]) -> list[tuple[str, str]]:
-    """(normal form, role), longest first, so that a longer role is never read as a shorter one."""
-    pairs = {(norm_python(v), role) for role, vs in config.items() for v in vs}
-    return sorted(pairs, key=lambda p: (-len(p[0]), p))
-
-
-def roles_in(text: str, config: dict[str, list[str]]) -> list[str]:
-    low, out = norm_python(text), []
-    for role, variants in config.items():
-        for v in map(norm_python, variants):
-            ahead = r"(?<!vice-)(?<!vice )" if v in ("prefeito", "prefeita") else ""
-            found = next((m for m in re.finditer(rf"{ahead}(?<![\w-]){re.escape(v).replace(chr(92) + ' ', '[ -]')}(?![\w-])", low) if not _of_another(v, low[m.end() : m.end() + 80])), None)
-            if found:
-                out.append(role)
-                break
-    if "Secretaria de Desenvolvimento Econômico" in out and "Secretaria de Desenvolvimento" in out:
-        out.remove("Secretaria de Desenvolvimento")
-    return out
+    return Names(lexicon()).valid(name)
 
 
-def _of_another(variant: str, after: str) -> bool:
-    """A chief of staff of anything but the executive is another role."""
-    return variant.startswith("chef") and "gabinete" in variant and re.match(r"\s+(do|da|de)\s+(?!prefeit[oa]\b|executivo\b|municipio\b|municipal\b)", after) is not None
+# --- what belongs to a role --------------------------------------------------------------
 
 
-def role_at_start(line: str, variants: list[tuple[str, str]]) -> tuple[str, str] | None:
-    """(role, rest) of a line that begins with a role: "Role: Name", "Role - Name", "Role Name" or the role alone."""
-    low = norm_python(line)
-    for v, role in variants:
-        m = re.match(rf"(?:secretari[ao](?: municipal)?(?: d[aeo]s?)? )?{re.escape(v)}(?![\w-])", low)
-        if m and not _of_another(v, low[m.end() :]):
-            rest = " ".join(line.split())[m.end() :].strip(" :-–,|")
-            if not rest or len(rest) <= 60 and (name_in(rest) or ":" in line):
-                return role, rest
-    return None
-
-
-def _cut_noise(lines: list[str]) -> list[str]:
-    return next((lines[:i] for i, x in enumerate(lines) if norm_python(x) in NOISE), lines)
-
-
-def _window_end(lines: list[str], start: int, variants: list[tuple[str, str]]) -> int:
-    """A profile ends at a blank line without a contact behind it, a section, another role, or after ``WINDOW`` lines."""
-    for i in range(start, min(len(lines), start + WINDOW)):
-        low = norm_python(lines[i])
-        if role_at_start(lines[i], variants) or low in SECTIONS:
-            return i
-        if not low:
-            following = norm_python(lines[i + 1]) if i + 1 < len(lines) else ""
-            if not following.startswith(CONTACT_LABELS) and not emails(following) and not phones(following):
-                return i
-    return min(len(lines), start + WINDOW)
+def _address_of(role: str, address: str) -> bool:
+    """Whether an address can be one of the role's own."""
+    vice, generic = "vice" in address, address.startswith(GENERIC_BOXES)
+    if role == "Prefeito":
+        return not vice and not generic
+    if role == "Vice-prefeito":
+        return vice or not (generic or "prefeito" in address or address.startswith("prefeitura"))
+    return role != "Chefe de gabinete" or "gabinete" in address
 
 
-def _contacts(record: Record, text: str) -> Record:
-    found = phones(text)
-    mobile = [p for p in found if is_mobile(p)]
-    return replace(record, emails=emails(text), mobiles=mobile, phones=[p for p in found if p not in mobile])
-
-
-def for_role(record: Record) -> Record:
-    """Addresses that another role owns go; phones go with them if none is left."""
-    keep = list(record.emails)
-    if record.role == "Prefeito":
-        keep = [e for e in keep if not re.match(r"vice|contato@|ouvidoria@|imprensa@", e)]
-    elif record.role == "Vice-prefeito":
-        keep = [e for e in keep if "vice" in e or not re.match(r"prefeit|contato@|ouvidoria@", e)]
-    elif record.role == "Chefe de gabinete":
-        keep = [e for e in keep if "gabinete" in e] or keep
-    if record.emails and not keep:
-        return replace(record, emails=[], phones=[], mobiles=[])
+def for_role(record: Record, text: str) -> Record:
+    """Addresses and numbers that another role owns go; numbers go too where the addresses beside them were another's."""
+    keep = tuple(e for e in record.emails if _address_of(record.role, e))
+    gone = len(keep) < len(record.emails)
+    if record.role in ("Prefeito", "Vice-prefeito") and gone and not keep or record.role == "Chefe de gabinete" and gone:
+        return replace(record, emails=keep, phones=(), mobiles=())
+
+    def others(number: str) -> bool:
+        own = re.sub(r"\D", "", number)
+        line = next((norm_python(x) for x in full_lines(text) if own in re.sub(r"\D", "", x)), "")
+        return "gabinete" in line and "vice" not in line
+
+    if record.role == "Vice-prefeito":
+        return replace(record, emails=keep, phones=tuple(p for p in record.phones if not others(p)), mobiles=tuple(p for p in record.mobiles if not others(p)))
     return replace(record, emails=keep)
 
 
 def capped(record: Record, url: str) -> Record:
     """Pages that list many contacts own none of them."""
     n, general = len(record.contacts()), record.role == GENERAL
-    path = re.sub(r"^[a-z]+://[^/]*", "", url.lower()).strip("/")
-    none = replace(record, emails=[], phones=[], mobiles=[])
-    if path in ("", "index.php", "index.html", "home", "portal") and n > 1 and not general and record.role != "Prefeito":
-        return none
-    if re.search(r"equipe[-_](de[-_])?governo", path) and n > 2 and not general:
-        return none
+    if not general and (record.role != "Prefeito" and is_root_path(url) and n > 1 or "prefeito-e-equipe-de-governo" in path_scope(url) and n > 2):
+        return record.without_contacts()
     if record.role == "Prefeito" and len(record.phones) > 2:
-        record = replace(record, phones=[])
-    return none if n > MOST_CONTACTS and not general else record
-
-
-def profiles(lines: list[str], config: dict[str, list[str]]) -> list[Record]:
-    """Records of role lines: name on the line or among the next, contacts up to the end of the window."""
-    variants, out = _variants(config), []
-    for i, line in enumerate(lines):
-        start = role_at_start(line, variants)
-        if not start:
-            continue
-        role, rest = start
-        end = _window_end(lines, i + 1, variants)
-        name = name_in(rest) or next((n for n in (name_in(re.sub(rf"(?i)^({'|'.join(NAME_LABELS)})\s*:", "", x)) for x in lines[i + 1 : min(end, i + 1 + NAME_REACH)]) if n), "")
-        record = for_role(_contacts(Record(role, name), "\n".join([rest, *lines[i + 1 : end]])))
-        if name or record.contacts():
-            out.append(record)
-    return out
+        record = replace(record, phones=())
+    return record.without_contacts() if n > MOST_CONTACTS and not general else record
+
 
+def distinct(records: list[Record]) -> list[Record]:
+    """Weak records go where a strong one has their role; equal ones stand once."""
+    strong = {r.role for r in records if r.strong()}
+    return list(dict.fromkeys(r for r in records if r.strong() or r.role not in strong))
 
-def _paragraphs(lines: list[str]) -> Iterator[list[str]]:
-    held: list[str] = []
-    for x in [*lines, ""]:
-        if x.strip():
-            held.append(x.strip())
-        elif held:
-            step = 8 if len(" ".join(held)) > 1200 else len(held)
-            yield from (held[i : i + step] for i in range(0, len(held), step))
-            held = []
 
+def path_names(role: str, url: str) -> bool:
+    """Whether a page's path is about the role itself."""
+    path, wanted = path_scope(url).replace("-", " "), norm_python(role).replace("-", " ")
+    return "prefeito" in path and "vice prefeito" not in path if role == "Prefeito" else wanted in path
 
-def merged(records: list[Record]) -> list[Record]:
-    """Records of one role and compatible names are one; order of appearance decides."""
+
+def merged(records: list[Record], url: str = "") -> list[Record]:
+    """Records of one role whose names agree or are absent are one; the first that takes a record decides.
+
+    A record without a name joins one with a name only on a page about the role.
+    """
+    union = lambda a, b: tuple(dict.fromkeys((*a, *b)))
     out: list[Record] = []
     for r in records:
-        for i, o in enumerate(out):
-            if o.role == r.role and (not o.name or not r.name or norm_python(o.name) == norm_python(r.name)):
-                union = lambda a, b: list(dict.fromkeys([*a, *b]))
-                out[i] = Record(o.role, o.name or r.name, union(o.emails, r.emails), union(o.phones, r.phones), union(o.mobiles, r.mobiles))
-                break
-        else:
+        fits = (i for i, o in enumerate(out) if o.role == r.role and (r.name == o.name or not o.name or not r.name and path_names(r.role, url)))
+        i = next(fits, None)
+        if i is None:
             out.append(r)
+        else:
+            o = out[i]
+            out[i] = Record(o.role, o.name or r.name, union(o.emails, r.emails), union(o.phones, r.phones), union(o.mobiles, r.mobiles))
     return out
 
 
-def contacts_of_text(text: str | None, url: str | None = "", config: dict[str, list[str]] | None = None) -> list[tuple]:
-    """All records of a text: profiles first, then blocks with contacts that no profile has."""
-    config, url = config or ROLES, url or ""
-    lines = _cut_noise([x.strip() for x in re.sub(r"\r\n?", "\n", text or "").split("\n")])
-    found = profiles(lines, config)
-    owned = {c for r in found for c in r.contacts()}
-    named = {r.role for r in found if r.contacts()}
-    for block in _paragraphs(lines):
-        body = "\n".join(block)
-        base = _contacts(Record(GENERAL), body)
-        if not base.contacts() or set(base.contacts()) <= owned:
-            continue
-        roles = [r for r in roles_in(body, config) if r not in named]
-        if len(base.contacts()) > 2:
+# --- lines -----------------------------------------------------------------------------
+
+
+def opens_data(line: str) -> bool:
+    return line_key(line).startswith(DATA_SECTIONS)
+
+
+def opens_subunit(line: str) -> bool:
+    return line_key(line).startswith(SUBUNITS)
+
+
+def opens_noise(line: str) -> bool:
+    return norm_python(line).startswith(tuple(NOISE))
+
+
+def titles_unit(line: str) -> bool:
+    return line_key(line).startswith(UNIT_TITLES)
+
+
+def goes_on_with_contacts(line: str) -> bool:
+    """A bare contact label, or one with a contact behind it."""
+    low = norm_python(line)
+    m = re.match(rf"(?:{'|'.join(sorted(CONTACT_LINES, key=len, reverse=True))})(?:\s*[:\-–—]\s*(.*))?$", low)
+    return bool(m) and (not m[1] or has_contact(m[1]))
+
+
+def without_noise(text: str | None) -> str:
+    lines = re.split(r"\r\n?|\n", text or "")
+    return "\n".join(lines[: next((i for i, x in enumerate(lines) if opens_noise(x)), len(lines))])
+
+
+def profile_lines(text: str) -> list[str]:
+    """Trimmed lines; a run of blank ones is one empty line."""
+    lines = [x.strip() for x in re.split(r"\r\n?|\n", text)]
+    kept = [x for x, before in zip(lines, ["", *lines], strict=False) if x or before]
+    return kept[:-1] if kept and not kept[-1] else kept
+
+
+def blocks(text: str) -> Iterator[str]:
+    for part in re.split(r"\n{2,}", re.sub(r"\r\n?", "\n", text)):
+        lines = full_lines(part)
+        step = 8 if len(" ".join(lines)) > 1200 else max(1, len(lines))
+        yield from ("\n".join(lines[i : i + step]) for i in range(0, len(lines), step))
+
+
+class Extraction:
+    """The three readings of a text, for one lexicon."""
+
+    def __init__(self, lex: Lexicon):
+        self.lex, self.names = lex, Names(lex)
+
+    def _starts_profile(self, line: str) -> bool:
+        key = line_key(line)
+        return 0 < len(key) <= 140 and (self.names.role_start(line) is not None or key in ("gabinete", "prefeito", "prefeita", "vice prefeito", "vice-prefeito") or key.startswith(PROFILE_STARTS))
+
+    def window_end(self, lines: list[str], start: int, name_at: int, name: str, role: str) -> int:
+        """The line at which the profile of ``role``, begun at ``start``, is over."""
+        end = min(len(lines), start + WINDOW)
+        for i in range(name_at + 1, end):
+            line = lines[i]
+            if not line:
+                following = next((x for x in lines[i + 1 :] if x), "")
+                if goes_on_with_contacts(following):
+                    continue
+                before = next((self.names.role_start(x) for x in reversed(lines[:i]) if x), None)
+                biography = bool(before) and before[0] == role and norm_python(name) in norm_python(following)
+                if has_contact("\n".join(lines[start:i])) or not biography:
+                    return i
+                continue
+            begun = self.names.role_start(line)
+            if opens_data(line) or opens_subunit(line) or opens_noise(line) or (begun[0] if begun else None) != role and (begun or self._starts_profile(line)):
+                return i
+            if begun and i > start + 4 and has_contact("\n".join(lines[start:i])):
+                return i
+        return end
+
+    def _name_below(self, lines: list[str], at: int, role: str) -> tuple[str, int]:
+        """The name under a role line: one word a line, or behind a label, or a line of its own among the next few."""
+        name, last = self.names.stacked(lines, at + 1)
+        if name:
+            return name, last
+        for i in range(at + 1, min(len(lines), at + 1 + NAME_REACH)):
+            if not lines[i]:
+                continue
+            begun = self.names.role_start(lines[i])
+            if begun and begun[0] != role:
+                break
+            name, last = (self.names.within(begun[1]), i) if begun else self.names.after_responsible(lines, i)
+            if not name and not begun:
+                name, last = self.names.of_line(lines[i]), i
+            if name:
+                return name, last
+        return "", at
+
+    def profiles(self, text: str, url: str) -> list[Record]:
+        """Records of role lines with their names and what stands in their windows."""
+        lines, out = profile_lines(text), []
+        for i, line in enumerate(lines):
+            begun = self.names.role_start(line) if line else None
+            if line and not begun and line_key(line) == "gabinete" and i + 1 < len(lines) and self.names.of_line(lines[i + 1]):
+                begun = "Chefe de gabinete", ""
+            if not begun:
+                continue
+            role, rest = begun
+            name, name_at = self.names.within(rest), i
+            if not name:
+                name, name_at = self._name_below(lines, i, role)
+            if name:
+                span = "\n".join(x for x in lines[i : self.window_end(lines, i, name_at, name, role)] if x)
+                record = capped(for_role(with_contacts(Record(role, name), span), span), url)
+                if not out_of_place(role, url, bool(record.contacts())):
+                    out.append(record)
+        return distinct(out)
+
+    def _unit_end(self, lines: list[str], start: int) -> int:
+        for i in range(start + 1, min(len(lines), start + WINDOW)):
+            low = norm_python(lines[i])
+            if low == "secretarias" or low.startswith(("endereco", "ultimas noticias", "noticias relacionadas", "ver todas")) or titles_unit(lines[i]) or opens_subunit(lines[i]):
+                return i
+        return min(len(lines), start + WINDOW)
+
+    def _of_unit(self, roles: list[str], name: str, span: str, url: str) -> Iterator[Record]:
+        for role in roles:
+            record = with_contacts(Record(role, name), span)
+            record = capped(replace(record, phones=()) if record.mobiles else record, url)
+            if not out_of_place(role, url, bool(record.contacts())):
+                yield record
+
+    def presentations(self, text: str, url: str) -> list[Record]:
+        """Units that present who leads them: an invitation to get to know the person, the name, the role."""
+        lines, out = full_lines(text), []
+        for i, line in enumerate(lines):
+            if not norm_python(line).startswith(("conheca o secretario", "conheca a secretaria")):
+                continue
+            name, at = next(((n, k) for k in range(i + 1, min(len(lines), i + 6)) if (n := self.names.of_line(lines[k]))), ("", i))
+            if not name:
+                continue
+            roles = self.lex.roles(norm_python(lines[at + 1])) if at + 1 < len(lines) else []
+            if not roles:
+                above = [norm_python(x) for x in reversed(lines[max(0, i - 3) : i]) if "secretaria" in norm_python(x)]
+                roles = list(dict.fromkeys(r for low in above for r in self.lex.roles(low)))
+            out += self._of_unit(roles, name, "\n".join(lines[i : self._unit_end(lines, i)]), url)
+        return distinct(out)
+
+    def unit_list(self, text: str, url: str) -> list[Record]:
+        """Lists of units: a title that names a role, and within a few lines a label with the person."""
+        lines, out = full_lines(text), []
+        areas = {"secretaria de desenvolvimento economico", "secretaria de desenvolvimento", "secretaria de financas/fazenda", "secretaria de planejamento"}
+        for i, line in enumerate(lines):
+            low = norm_python(line)
+            roles = self.lex.roles(low)
+            short = len(low) <= 90 and not re.search(r"[@\d.;]", line) and any(norm_python(r) in areas for r in roles)
+            if not roles or not (titles_unit(line) or low.startswith("agencia") or short):
+                continue
+            name, at = "", i
+            for k in range(i + 1, min(len(lines), i + 1 + LABEL_REACH)):
+                label = norm_python(lines[k])
+                if label.startswith(("secretario", "secretaria")):
+                    name, at = self.names.after_secretary(lines, k)
+                elif label.startswith(("responsavel", "titular", "autoridade administrativa")):
+                    name, at = self.names.after_responsible(lines, k)
+                if name:
+                    break
+            span = "\n".join(lines[i : self._unit_end(lines, at)])
+            if name and not only_in_addresses(span, name) and not near_address(span, name):
+                out += self._of_unit(roles, name, span, url)
+        return distinct(out)
+
+    # --- blocks ------------------------------------------------------------------------
+
+    def names_executive(self, block: str, role: str) -> bool:
+        """A line of the block begins with the role or with its office."""
+        offices = {"Prefeito": ("gabinete do prefeito", "gabinete da prefeita"), "Vice-prefeito": ("gabinete do vice", "vice prefeito", "vice-prefeito"), "Chefe de gabinete": ("chefia de gabinete", "chefe de gabinete", "gabinete")}
+        return any((self.names.role_start(x) or ("",))[0] == role or line_key(x).startswith(offices[role]) for x in full_lines(block))
+
+    @staticmethod
+    def contact_before_role(block: str, roles: list[str]) -> bool:
+        """The first contact of the block stands before the first mention of a role."""
+        terms = {"Prefeito": ("prefeito", "prefeita"), "Vice-prefeito": ("vice prefeito", "vice prefeita"), "Chefe de gabinete": ("chefe de gabinete",)}
+        low = folded(block)
+        at = [low.find(t) for r in roles for t in (norm_python(r).replace("-", " "), *terms.get(r, ())) if t in low]
+        contacts = [m.start() for p in (_EMAIL, _PHONE) for m in p.finditer(block)]
+        return bool(at and contacts) and min(contacts) < min(at)
+
+    def headline(self, block: str, role: str) -> bool:
+        """The block begins like a headline: the role, a name, and a sentence that goes on."""
+        m = re.match(r"[\s-]+".join(map(re.escape, re.split(r"[\s-]+", norm_python(role)))) + r"\s+(?=\S)", folded(block.strip()))
+        tail = block.strip()[m.end() :] if m else ""
+        found = NAME.match(tail)
+        return bool(found) and self.names.valid(found[1]) and not self.names.of_line(tail)
+
+    def name_is_labelled(self, block: str, name: str) -> bool:
+        """The name stands behind a role or a label on its line."""
+        low = norm_python(name)
+        return any(
+            low in norm_python((self.names.role_start(x) or ("", ""))[1]) or low in norm_python(x) and re.search(r"\b(?:nome\s*[:\-]|secretari[oa](?:\s*\(a\))?\s*[:\-])", folded(x)) is not None
+            for x in full_lines(block)
+        )
+
+    @staticmethod
+    def from_name(block: str, name: str) -> str:
+        """The block from the line of the name to the next section."""
+        lines, low = full_lines(block), norm_python(name)
+        start = next((i for i, x in enumerate(lines) if low in norm_python(x)), None)
+        if start is None:
+            return block
+        end = next((i for i in range(start + 1, len(lines)) if opens_data(lines[i]) or opens_subunit(lines[i]) or opens_noise(lines[i])), len(lines))
+        return "\n".join(lines[start:end])
+
+    def block_records(self, block: str, url: str, found: list[Record]) -> list[Record]:
+        """Records of a block, beside those that the profiles gave."""
+        low, base = norm_python(block), with_contacts(Record(GENERAL), block)
+        roles = self.lex.roles(low)
+        if "Vice-prefeito" in roles and not any(re.match(r"prefeit[oa]\s*($|[:\-–—])", norm_python(x)) for x in full_lines(block)):
+            roles = [r for r in roles if r != "Prefeito"]
+        if len(base.emails) + len(base.phones) + len(base.mobiles) > 2:
             roles = []
-        for role in roles or [GENERAL]:
-            name = name_in(body) if role != GENERAL else ""
-            record = for_role(replace(base, role=role, name=name))
-            if not name and record.mobiles:
-                record = replace(record, phones=[])
-            if record.contacts() or name:
-                found.append(record)
-    rows = [capped(r, url).row() for r in merged(found)]
-    return list(dict.fromkeys(r for r in rows if r[1] or any(r[2:5])))
-
-
-def extract_contacts(pages: DataFrame, keys: list[str], text_col: str = "text", url_col: str | None = None) -> DataFrame:
+        strong = [r for r in found if r.strong()]
+        covers = lambda r: bool(base.keys()) and base.keys() <= r.keys()
+        known = {r.role for r in strong if r.role in EXECUTIVE}
+        repeats = any(covers(r) for r in strong if r.role in EXECUTIVE)
+        named = bool(roles)
+        roles = [r for r in roles if r not in EXECUTIVE or not (r in known or repeats)]
+        name = self.names.near(block) if roles else ""
+        if name and (only_in_addresses(block, name) or any(r not in EXECUTIVE for r in roles) and not self.name_is_labelled(block, name)):
+            name = ""
+        if not name and any(r in EXECUTIVE for r in roles):
+            subordinate = "responsavel" in low and any(t in low for t in ("departamento", "superintendencia", "diretoria", "divisao", "chefia", "conselho", "unidade"))
+            none = subordinate or self.contact_before_role(block, roles)
+            if none:
+                roles = [r for r in roles if r not in EXECUTIVE]
+            else:
+                roles = [r for r in roles if r not in EXECUTIVE or self.names_executive(block, r)]
+                named = bool(roles)
+        if name and not has_contact(self.from_name(block, name)):
+            base = base.without_contacts()
+        if strong and roles and not name:
+            return []
+        if roles:
+            roles = [r for r in roles if r not in EXECUTIVE or name or not self.headline(block, r)]
+            named = bool(roles)
+        if not roles:
+            if named or not base.contacts() or any(covers(r) for r in strong):
+                return []
+            roles = [GENERAL]
+        return [r for r in (self._of_block(replace(base, role=role, name=name), block, url) for role in roles) if r] if name or base.contacts() else []
+
+    def _of_block(self, record: Record, block: str, url: str) -> Record | None:
+        record = capped(for_role(record, block), url)
+        role = record.role
+        if record.mobiles or role != GENERAL and not record.name and not record.emails:
+            record = replace(record, phones=())
+        if is_agency(role):
+            if record.name and not any(t in norm_python(record.name) for t in AGENCY_NAMES):
+                record = replace(record, name="")
+            if not record.name:
+                record = replace(record, phones=(), mobiles=())
+                if not record.emails:
+                    return None
+        return None if out_of_place(role, url, bool(record.contacts())) else record
+
+    def records(self, text: str | None, url: str | None = "") -> list[Record]:
+        url, text = url or "", without_noise(text)
+        units = distinct([*self.presentations(text, url), *self.unit_list(text, url)])
+        if units:
+            return units
+        out = found = self.profiles(text, url)
+        for block in blocks(text):
+            out = [*out, *self.block_records(block, url, found)]
+        out = distinct(merged(out, url))
+        path = re.sub(r"^[a-z]+://[^/?#]*", "", url.lower()).split("?")[0].split("#")[0].rstrip("/") + "/"
+        if re.search("/(secretarias?|secretarias-especiais|contatos?|fale[-_]conosco)/", path):
+            return [r for r in out if r.role == GENERAL]
+        return out
+
+
+_EXTRACTIONS: dict[int, Extraction] = {}
+
+
+def extraction(config: dict[str, list[str]] | None = None) -> Extraction:
+    lex = lexicon(config)
+    return _EXTRACTIONS.setdefault(id(lex), Extraction(lex))
+
+
+def contacts_of_text(text: str | None, url: str | None = "", config: dict[str, list[str]] | None = None) -> list[tuple]:
+    """All records of a text as rows of ``FIELDS``. No text, no records."""
+    return [r.row() for r in extraction(config).records(text, url)]
+
+
+def extract_contacts(pages: DataFrame, keys: list[str], text_col: str = "text", url_col: str | None = None, config: dict[str, list[str]] | None = None) -> DataFrame:
     """One row per record of each text, in order (``pos``), with the key columns. Nulls have no records."""
     schema = ", ".join(f"{k} {dict(pages.dtypes)[k]}" for k in keys) + ", pos int, " + SCHEMA
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("_text").to_pylist()
-            sites = batch.column("_url").to_pylist()
             at, rows = [], []
-            for i, (t, u) in enumerate(zip(texts, sites, strict=True)):
-                for pos, row in enumerate(contacts_of_text(t, u)):
-                    at.append(i)
-                    rows.append((pos, *row))
+            for i, (t, u) in enumerate(zip(batch.column("_text").to_pylist(), batch.column("_url").to_pylist(), strict=True)):
+                found = contacts_of_text(t, u, config)
+                at += [i] * len(found)
+                rows += [(pos, *row) for pos, row in enumerate(found)]
             cols = [batch.column(k).take(pa.array(at, pa.int64())) for k in keys]
             parts = list(zip(*rows, strict=True)) if rows else [[] for _ in range(len(FIELDS) + 1)]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(parts[0], pa.int32()), *(pa.array(p, pa.string()) for p in parts[1:])], [*keys, "pos", *FIELDS])
 
-    base = pages.select(*keys, F.col(text_col).alias("_text"), (F.col(url_col) if url_col else F.lit("")).alias("_url"))
+    # A record has a contact or is of a role; a text without the marks of either stays behind.
+    terms = sorted({re.escape(norm_python(v)).replace(r"\ ", "[ -]") for role, variants in (config or ROLES).items() for v in (role, *variants)} | {"gabinete"})
+    text = F.col(text_col)
+    some = text.contains("@") | text.rlike(r"[0-9]{4}[\s.\-]?[0-9]{4}") | norm_search(text).rlike("|".join(terms))
+    base = pages.where(some).select(*keys, text.alias("_text"), (F.col(url_col) if url_col else F.lit("")).alias("_url"))
     return base.mapInArrow(run, schema)
+
+
+def register(spark: SparkSession, config: dict[str, list[str]] | None = None) -> None:
+    """The extraction for SQL: the table function ``extract_contacts(text, url)`` and scalar helpers."""
+    from pyspark.sql.functions import udtf
+
+    @udtf(returnType="pos int, " + SCHEMA)
+    class ExtractContacts:
+        def eval(self, text: str, url: str):
+            yield from ((pos, *row) for pos, row in enumerate(contacts_of_text(text, url, config)))
+
+    spark.udtf.register("extract_contacts", ExtractContacts)
+    spark.udf.register("extract_emails", lambda text: emails(text or ""), "array<string>")
+    spark.udf.register("extract_phones", lambda text: phones(text or ""), "array<string>")
+    spark.udf.register("detect_roles", lambda text: lexicon(config).roles(norm_python(text or "")), "array<string>")
+    spark.udf.register("nearest_name", lambda text: extraction(config).names.near(text or ""), "string")
+    spark.udf.register("valid_name", lambda name: Names(lexicon(config)).valid(name or ""), "boolean")

@@ -7,24 +7,34 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from gazetta.functions.text import is_mobile, norm_search
+from gazetta.functions.text import is_mobile, norm_python, norm_search
 
 # Patterns of e-mail addresses and of phones with an optional country and area code.
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 PHONE = r"(?<!\d)(?:\+?55\s*)?(?:\(?([1-9]{2})\)?\s*)?(9?\d{4})[\s.\-]?(\d{4})(?!\d)"
 GLUED = ["telefones", "telefone", "fone", "celular", "whatsapp"]
-# The roles in scope and the words that name them.
+# The roles in scope and the words that name them; words too general to name a role by themselves are left out.
 ROLES = {
-    "Prefeito": ["prefeito", "prefeita", "chefe do executivo"],
+    "Prefeito": ["prefeito", "prefeita", "gabinete do prefeito", "gabinete da prefeita", "chefe do executivo"],
     "Vice-prefeito": ["vice-prefeito", "vice prefeito", "vice-prefeita", "vice prefeita"],
     "Chefe de gabinete": ["chefe de gabinete", "chefia de gabinete"],
-    "Secretaria de Desenvolvimento Econômico": ["desenvolvimento econômico", "indústria e comércio"],
-    "Secretaria de Desenvolvimento": ["secretaria de desenvolvimento", "secretaria municipal de desenvolvimento"],
-    "Secretaria de Finanças/Fazenda": ["finanças", "fazenda"],
-    "Secretaria de Planejamento": ["planejamento"],
-    "Agência/Sala de Desenvolvimento": ["agência de desenvolvimento", "sala do empreendedor", "banco do povo", "casa do empreendedor"],
-}
-NOISE = ["noticias", "ultimas noticias", "leia tambem", "veja tambem", "agenda", "galeria de fotos", "redes sociais"]
+    "Secretaria de Desenvolvimento Econômico": [
+        "desenvolvimento econômico", "secretaria de desenvolvimento econômico", "secretaria municipal de desenvolvimento econômico", "secretário municipal de desenvolvimento econômico",
+        "indústria e comércio", "desenvolvimento, indústria e comércio", "desenvolvimento econômico e turismo", "trabalho e desenvolvimento econômico",
+    ],
+    "Secretaria de Desenvolvimento": ["secretaria de desenvolvimento", "secretaria municipal de desenvolvimento", "secretário municipal de desenvolvimento", "desenvolvimento urbano"],
+    "Secretaria de Finanças/Fazenda": [
+        "secretaria de finanças", "secretaria municipal de finanças", "secretaria da fazenda", "secretaria municipal da fazenda", "secretário municipal de finanças", "secretário municipal da fazenda",
+        "administração e finanças", "finanças e planejamento",
+    ],
+    "Secretaria de Planejamento": [
+        "planejameto", "secretaria de planejamento", "secretaria municipal de planejamento", "secretaria municipal de planejameto", "secretário municipal de planejamento", "planejamento urbano",
+        "gestão e planejamento", "planejamento e gestão",
+    ],
+    "Agência/Sala de Desenvolvimento": ["agência de desenvolvimento", "desenvolvimento municipal", "sala do empreendedor", "banco do povo", "casa do empreendedor"],
+}
+# Beginnings of lines that open a section of news.
+NOISE = ["ultimas noticias", "noticias recentes", "agendamento de consulta on-line", "telefones uteis", "veja tambem", "leia tambem", "noticias relacionadas"]
 
 
 def emails(text: Column) -> Column:
@@ -69,26 +79,16 @@ def blocks(text: Column, longest: int = 1200, lines: int = 8) -> Column:
 def before_noise(text: Column, noise: list[str] = NOISE) -> Column:
     """The lines before the first that opens a section of noise."""
     lines = F.split(F.coalesce(text, F.lit("")), "\n")
-    at = F.array_position(F.transform(lines, lambda x: norm_search(x).isin(noise)), True)
+    opens = "^(" + "|".join(map(re.escape, noise)) + ")"
+    at = F.array_position(F.transform(lines, lambda x: norm_search(x).rlike(opens)), True)
     return F.when(at > 0, F.array_join(F.slice(lines, F.lit(1), (at - 1).cast("int")), "\n")).otherwise(F.array_join(lines, "\n"))
 
 
 def roles(text: Column, config: dict[str, list[str]] = ROLES) -> Column:
     """The roles that a text names as whole words, in the order of the configuration."""
+    from gazetta.functions.lexicon import Lexicon
+
     low = norm_search(text)
-    found = []
-    for role, variants in config.items():
-        plain = sorted({norm_python(v) for v in variants} | {norm_python(v).replace(" ", "-") for v in variants})
-        ahead = r"(?<!vice[- ])" if role == "Prefeito" else ""
-        found.append(F.when(low.rlike(ahead + r"(?<![\w-])(" + "|".join(map(re.escape, plain)) + r")(?![\w-])"), F.lit(role)))
-    listed = F.array_compact(F.array(*found))
+    listed = F.array_compact(F.array(*(F.when(low.rlike(pattern.pattern), F.lit(role)) for role, pattern in Lexicon(config).mentions)))
     wide, narrow = "Secretaria de Desenvolvimento", "Secretaria de Desenvolvimento Econômico"
-    return F.when(F.array_contains(listed, narrow), F.array_remove(listed, wide)).otherwise(listed)
-
-
-def norm_python(text: str) -> str:
-    """``norm_search`` for a constant."""
-    import unicodedata
-
-    bare = "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
-    return " ".join(bare.lower().split())
+    return F.when(F.array_contains(listed, narrow) & low.contains("desenvolvimento economico"), F.array_remove(listed, wide)).otherwise(listed)

@@ -8,13 +8,15 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Elements without content of interest, words that mark boilerplate in
-# id, class or role, and elements that never have an end tag.
-DROPPED = {"script", "style", "noscript", "header", "nav", "footer", "aside", "form"}
-MARKED = {"menu", "navbar", "breadcrumb", "footer", "sidebar", "cookie", "banner", "social-share", "share", "newsletter"}
+# Elements without content of interest, words that mark boilerplate wherever they stand in an
+# id, class or role, marks of the main part, and elements that never have an end tag.
+DROPPED = {"script", "style", "noscript", "svg", "header", "nav", "footer", "aside"}
+MARKED = (
+    "breadcrumb", "menu", "navbar", "navigation", "rodape", "footer", "sidebar", "social-share", "social-icons", "social-media", "rede-social", "redes-sociais", "share", "search", "acessibilidade",
+)
+MAIN_TAGS, MAIN_CLASSES, MAIN_IDS = {"main", "article"}, {"entry-content", "post-content", "page-content", "content-area"}, {"content", "main"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
-MAIN = {"main", "article"}
-LEAST_MAIN = 80
+LEAST_MAIN, BODY = 80, 0
 
 
 class _Reader(HTMLParser):
@@ -22,8 +24,8 @@ class _Reader(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, int]] = []
-        self.lines: list[tuple[str, int]] = []
+        self.open: list[tuple[str, bool, tuple[int, ...]]] = []
+        self.lines: list[tuple[str, tuple[int, ...]]] = []
         self.mains, self.links, self.anchor = 0, [], None
 
     def handle_starttag(self, tag, attrs):
@@ -33,13 +35,15 @@ class _Reader(HTMLParser):
             self.links.append(self.anchor)
         if tag in VOID:
             return
-        marks = f"{given.get('id', '')} {given.get('class', '')} {given.get('role', '')}".split()
-        gone = tag in DROPPED or any(m in MARKED for m in marks) or bool(self.open and self.open[-1][1])
-        main = self.open[-1][2] if self.open else 0
-        if not main and (tag in MAIN or given.get("role") == "main"):
+        marks = f"{given.get('id', '')} {given.get('class', '')} {given.get('role', '')}"
+        gone = tag in DROPPED or any(m in marks for m in MARKED) or bool(self.open and self.open[-1][1])
+        mains = self.open[-1][2] if self.open else ()
+        if tag == "body" and not gone:
+            mains = (*mains, BODY)
+        if tag in MAIN_TAGS or given.get("role") == "main" or MAIN_CLASSES.intersection(given.get("class", "").split()) or given.get("id") in MAIN_IDS:
             self.mains += 1
-            main = self.mains
-        self.open.append((tag, gone, main))
+            mains = (*mains, self.mains)
+        self.open.append((tag, gone, mains))
 
     def handle_endtag(self, tag):
         if tag == "a":
@@ -54,17 +58,20 @@ class _Reader(HTMLParser):
         if text and self.anchor is not None:
             self.anchor[1].append(text)
         if text and not (self.open and (self.open[-1][1] or self.open[-1][0] in ("script", "style"))):
-            self.lines.append((text, self.open[-1][2] if self.open else 0))
+            self.lines.append((text, self.open[-1][2] if self.open else ()))
 
 
 def read_text(html: str | None) -> str:
-    """Text nodes, one a line; those of the longest main part if that has substance."""
+    """Text nodes, one a line: those of the longest main part if that has substance, else of the body, else all."""
     reader = _Reader()
     reader.feed(html or "")
     reader.close()
-    parts = {n: "\n".join(t for t, m in reader.lines if m == n) for n in range(1, reader.mains + 1)}
-    best = max(parts.values(), key=len, default="")
-    return best if len(best) >= LEAST_MAIN else "\n".join(t for t, _ in reader.lines)
+    parts: dict[int, list[str]] = {}
+    for text, mains in reader.lines:
+        for n in mains:
+            parts.setdefault(n, []).append(text)
+    best = max(("\n".join(p) for n, p in parts.items() if n != BODY), key=len, default="")
+    return best if len(best) >= LEAST_MAIN else "\n".join(parts.get(BODY) or [t for t, _ in reader.lines])
 
 
 def read_links(html: str | None) -> list[dict[str, str]]:

@@ -165,3 +165,9 @@ def norm_python_key(value: str) -> str:
 
     bare = "".join(c for c in unicodedata.normalize("NFKD", value) if not unicodedata.combining(c))
     return re.sub("[^a-z0-9]+", "_", bare.strip().lower()).strip("_")
+
+
+def norm_python(text: str) -> str:
+    """``norm_search`` for text that Python holds."""
+    bare = text if text.isascii() else "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
+    return " ".join(bare.lower().split())

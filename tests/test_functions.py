@@ -55,7 +55,7 @@ def test_urls(spark):
     assert many(spark, urls.is_root, ["https://h.example/", "https://h.example/Home/", "https://h.example/x"]) == [True, True, False]
     assert many(spark, urls.link_priority, ["https://h/equipe-de-governo", "https://h/gabinete", "https://h/financas", "https://h/contato", "https://h/noticias", "https://h/x"]) == [0, 1, 2, 3, 4, 5]
     reasons = many(spark, urls.ignore_reason, ["https://saude.h.example/", "https://www.facebook.com/h", "https://h.example/a.pdf", "https://h.example/2020/05/x", "https://h.example/secretaria/educacao", "https://h.example/secretaria/fazenda", "https://h.example/sitemap"])
-    assert reasons == ["subdomain", "network", "file", "dated", "off topic", None, "index"]
+    assert reasons == ["subdomain", "network", "file", "dated", "off topic unit", None, "index"]
     long_page = "Prefeitura e secretaria de contato. " * 20
     assert one(spark, urls.block_page, "Access Denied", "") and one(spark, urls.block_page, "captcha", "") and not one(spark, urls.block_page, long_page, "<form captcha>")
 
@@ -65,14 +65,16 @@ def test_extraction(spark):
     found = many(spark, extract.phones, ["Tel (11) 3333-4444, 2019-2024, 12345678, 98765-4321, +55 (21) 99999-8888"])
     assert found == [["(11) 3333-4444", "98765-4321", "+55 (21) 99999-8888"]]
     assert many(spark, extract.blocks, ["a\n b \n\n\nc", "", None, "\n".join(["x" * 100] * 20)]) == [["a\nb", "c"], [], [], ["\n".join(["x" * 100] * n) for n in (8, 8, 4)]]
-    assert many(spark, extract.before_noise, ["a\nNotícias\nb", "a\nb"]) == ["a", "a\nb"]
-    assert many(spark, extract.roles, ["Vice-prefeito: X", "O Prefeito e a Fazenda", "nothing"]) == [["Vice-prefeito"], ["Prefeito", "Secretaria de Finanças/Fazenda"], []]
+    assert many(spark, extract.before_noise, ["a\nÚltimas notícias\nb", "a\nb"]) == ["a", "a\nb"]
+    assert many(spark, extract.roles, ["Vice-prefeito: X", "O Prefeito e a Secretaria da Fazenda", "nothing"]) == [["Vice-prefeito"], ["Prefeito", "Secretaria de Finanças/Fazenda"], []]
 
 
 def test_html():
     page = "<html><nav><a href='/x'>Menu</a></nav><main><h1>Title</h1><p>" + "Body text. " * 12 + "<p>More</main><script>no()</script><footer>End</footer>"
     got = html.read_text(page)
     assert got.startswith("Title\nBody text.") and got.endswith("More") and "Menu" not in got and "no()" not in got
+    assert html.read_text("<title>T</title><body><form>kept</form><div class='site-menu'>no</div><svg><text>no</text></svg><div id='content'>short</div>") == "kept\nshort"
+    assert html.read_text(f"<body>out<div class='x entry-content'>{'long ' * 20}<p>in</div>") == ("long " * 20).strip() + "\nin"
     assert html.read_text("<div class='social-share'>s</div><div class='assistencia-social'>kept<br>too") == "kept\ntoo"
     assert html.read_text(None) == "" and html.read_links("<a href='/a'>One <b>two</b></a>") == [{"href": "/a", "anchor": "One two"}]
 
@@ -108,21 +110,21 @@ def test_contact_without_role_is_general_and_partial():
 
 
 def test_role_without_contact_is_partial():
-    got = records("Vice-prefeito: Carlos Dias Neto")
+    got = records("Vice-prefeito: Carlos Dias Neto", "https://v.example.org/equipe")
     assert got["Vice-prefeito"][1] == "Carlos Dias Neto" and got["Vice-prefeito"][5] == "Parcial"
 
 
 def test_noise_ends_a_text():
-    assert records("Notícias\nPrefeito: Ana Lima Souza\na@x.example.org") == {}
+    assert records("Últimas notícias\nPrefeito: Ana Lima Souza\na@x.example.org") == {}
 
 
 def test_caps_on_pages_of_many_contacts():
     five = "Secretaria de Planejamento\nBruno Costa Alves\n" + "\n".join(f"p{i}@v.example.org" for i in range(5))
-    assert records(five)["Secretaria de Planejamento"][2] == ""
+    assert records(five, "https://v.example.org/equipe")["Secretaria de Planejamento"][2] == ""
 
 
 def test_vice_address_is_not_the_mayors():
-    assert records("Prefeito: Ana Lima Souza\nvice@v.example.org")["Prefeito"][2] == ""
+    assert records("Prefeito: Ana Lima Souza\nvice@v.example.org", "https://v.example.org/equipe")["Prefeito"][2] == ""
 
 
 @pytest.mark.parametrize(("name", "ok"), [("Ana Lima", True), ("Ana", False), ("da Silva Ana", False), ("Secretaria Ana", False), ("Ana Ana", False), ("Ana 2", False), ("", False)])
