@@ -64,7 +64,7 @@ class Against:
     unless: tuple[str, ...] = ()
 
 
-#: Fixed values, a row a rule; no role named: every role but the general contact.
+#: Fixed values, a row a rule; no role named: every role but the general contact. Roles are those of the extraction and the categories made from them.
 AGAINST = [
     Against((), path=("carta-servicos", "cartaservicos", "legislacao", "leis", "sileg"), url=("download?type=txt", ".pdf")),
     Against((), path=("servico",), unless=("carta-de-servico orgao", "desenvolvimento")),
@@ -78,14 +78,14 @@ AGAINST = [
         url=("secretaria.php", "secretarias.php"),
         unless=_OF_EXECUTIVE,
     ),
-    Against(("Secretaria de Planejamento",), path=("assistencia", "cultura", "educacao", "esporte", "saude", "sauacute"), unless=("planejamento",)),
-    Against((_AGENCY,), path=("gabinete", "prefeito", "vice", "assistencia", "cultura", "educacao", "esporte", "financas", "saude", "sauacute", "secretaria"), unless=_DEVELOPMENT),
+    Against(("Secretaria de Planejamento", "Planejamento"), path=("assistencia", "cultura", "educacao", "esporte", "saude", "sauacute"), unless=("planejamento",)),
+    Against((_AGENCY, "Agências municipais de desenvolvimento"), path=("gabinete", "prefeito", "vice", "assistencia", "cultura", "educacao", "esporte", "financas", "saude", "sauacute", "secretaria"), unless=_DEVELOPMENT),
     Against(
-        (_NAMED_ECONOMY,),
+        (_NAMED_ECONOMY, "Desenvolvimento econômico"),
         path=("secretariaview", "assistencia", "contabilidade", "cultura", "educacao", "esporte", "financas", "gabinete", "infraestrutura", "mulheres", "obras", "social", "viacao"),
         unless=_OF_ECONOMY,
     ),
-    Against(("Secretaria de Finanças/Fazenda",), path=("cultura", "esporte", "educacao")),
+    Against(("Secretaria de Finanças/Fazenda", "Finanças/Fazenda"), path=("cultura", "esporte", "educacao")),
 ]
 
 _FOLD = str.maketrans(ACCENTED, PLAIN)

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
-from gazetta.functions.lexicon import ADDRESS_WORDS, ADDRESSES, CREDITS, EDGE_FIRST, EDGE_LAST, FAMILY, NOT_NAME_STARTS, Lexicon, folded
-from gazetta.functions.text import PARTICLES, norm_python
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from gazetta.functions.lexicon import ADDRESS_WORDS, ADDRESSES, CREDITS, EDGE_FIRST, EDGE_LAST, FAMILY, NOT_NAME_PHRASES, NOT_NAME_STARTS, NOT_NAMES, Lexicon, folded
+from gazetta.functions.text import PARTICLES, norm_python, norm_search
 
 # The shape of a name, and the words that end one on its line.
 NAME = re.compile(r"([A-ZÁÀÂÃÉÈÊÍÌÓÒÔÕÚÙÇ][a-záàâãéèêíìóòôõúùç']+(?:\s+(?:(?:de|da|do|dos|das|e)\s+)?[A-ZÁÀÂÃÉÈÊÍÌÓÒÔÕÚÙÇ][a-záàâãéèêíìóòôõúùç']+){1,5})")
@@ -176,6 +179,17 @@ class Names:
         return None
 
 
+def valid_name(c: Column, words: Iterable[str] = NOT_NAMES, phrases: Iterable[str] = NOT_NAME_PHRASES) -> Column:
+    """``Names.valid`` as a Column."""
+    bare = F.btrim(F.coalesce(c, F.lit("")), F.lit(" \t\r\n:-|,.;"))
+    low = norm_search(bare)
+    each = F.filter(F.transform(F.split(low, " "), lambda w: F.btrim(w, F.lit(".,:;"))), lambda w: w != "")
+    core = F.filter(each, lambda w: ~w.isin(PARTICLES))
+    sound = ~bare.rlike(r"[@\d]") & ~low.rlike("^(" + "|".join(NOT_NAME_STARTS) + ")") & ~low.rlike("|".join(map(re.escape, phrases)))
+    parts = F.size(core).between(2, 6) & (F.size(F.array_distinct(core)) == F.size(core)) & ~F.arrays_overlap(core, F.array(*map(F.lit, sorted(words)))) & ~F.element_at(each, 1).isin(PARTICLES)
+    return F.coalesce(F.when(bare == "", F.lit(False)).otherwise(sound & parts), F.lit(False))
+
+
 def is_credit(line: str) -> bool:
     return _CREDIT.match(line_key(line)) is not None
 

@@ -7,17 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gazetta.functions import urls
+from gazetta.functions.lexicon import AGAINST, GENERAL
+from gazetta.functions.names import valid_name
 from gazetta.functions.text import blank, identity, norm_search
-from gazetta.functions.urls import FALLBACK_PATHS, clean_url, has_any, host, ignore_reason, root_url
+from gazetta.functions.urls import FALLBACK_PATHS, clean_url, has_any, host, ignore_reason, let, root_url
 from gazetta.operators.records import CATEGORIES, IDENTITY
 from gazetta.operators.scope import CONNECTORS, names_a_place, slugs
 
 # Hosts of search results that are never official, and tokens of directory hosts.
 SEARCH_HOSTS = ["wikipedia.org", "facebook.com", "instagram.com", "youtube.com", "linkedin.com", "ibge.gov.br"]
 HOST_TOKENS = ["camara", "camaramunicipal", "tribunal", "guia", "noticias", "turismo"]
-# Path tokens that no role's source has, and those that rule a role out.
-NEVER = ["licitacao", "licitacoes", "concurso", "iptu", "nfe", "diario_oficial"]
-AGAINST = {"Prefeito": ["vice_prefeito", "secretaria_de"], "Finanças/Fazenda": ["educacao", "saude", "planejamento"], "Planejamento": ["educacao", "saude", "fazenda"]}
+# Parts of addresses of which a record is run again where the source speaks against its role.
+RERUN_TOKENS = [".pdf", "carta servicos", "download type txt", "educacao", "departamento index", "departamento view", "leis municipais", "mobilidade", "pdu", "unidades", "/prefeitos", "cidade/prefeitos"]
 
 
 def apply_overrides(targets: DataFrame, overrides: DataFrame) -> DataFrame:
@@ -53,8 +55,7 @@ def official_roots(results: DataFrame) -> DataFrame:
 
 def fallback_urls(site: Column) -> Column:
     """Standard paths to try where a site's home is blocked."""
-    made = F.array(*(F.concat(F.regexp_replace(root_url(clean_url(site)), "/$", ""), F.lit(p)) for p in FALLBACK_PATHS))
-    return F.filter(made, lambda u: ignore_reason(u).isNull())
+    return let(root_url(clean_url(site)), lambda root: F.filter(F.array(*(F.concat(root, F.lit(p)) for p in FALLBACK_PATHS)), lambda u: ignore_reason(u).isNull()))
 
 
 def parse_categories(listed: Column) -> Column:
@@ -86,21 +87,40 @@ def target_status(targets: DataFrame, crawl: DataFrame, contacts: DataFrame, key
 
 
 def against_role(role: Column, url: Column) -> Column:
-    """Whether a source's path speaks against a role."""
-    scope = F.translate(norm_search(url), "-", "_")
-    out = has_any(scope, NEVER)
-    for name, tokens in AGAINST.items():
-        out = out | ((role == name) & has_any(scope, tokens) & ~scope.contains(F.translate(norm_search(F.lit(name)), "-", "_")))
+    """Whether a source speaks against a role, by the same table as ``lexicon.against``."""
+    path = F.translate(F.translate(norm_search(urls.path(url)), "_", "-"), "/", " ")
+    whole, out = norm_search(url), F.lit(False)
+    for rule in AGAINST:
+        roles = role.isin(*rule.roles) if rule.roles else role != GENERAL
+        holds = F.lit(False)
+        holds = holds | has_any(path, rule.path) if rule.path else holds
+        holds = holds | has_any(whole, rule.url) if rule.url else holds
+        out = out | (roles & holds & ~has_any(path, rule.unless) if rule.unless else roles & holds)
     return F.coalesce(out, F.lit(False))
 
 
+def strong(record_status: Column, name: Column, *contacts: Column) -> Column:
+    """Found, with a person and a contact."""
+    return F.coalesce((record_status == "Encontrado") & ~blank(name) & F.exists(F.array(*contacts), lambda x: ~blank(x)), F.lit(False))
+
+
 def invalid_rows(records: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows to run again with their reasons: no data, a place for a name, a source that speaks against the role."""
-    claims = F.col("status").isin("Encontrado", "Parcial")
-    no_data = claims & F.forall(F.array("name", "email", "phone", "mobile"), lambda x: blank(x))
-    place = names_a_place(F.col("name"), F.col("target"), F.col("state"))
-    reasons = F.array_compact(F.array(F.when(no_data, "no data"), F.when(place, "place"), F.when(claims & against_role(F.col("role"), F.col("source_url")), "source")))
-    return records.select(*keys, reasons.alias("reasons")).where(F.size("reasons") > 0)
+    """Rows to run again with their reasons: no data, no person or a place for a name, a source that speaks against the role.
+
+    A source alone counts only where its address holds one of ``RERUN_TOKENS``.
+    """
+    claims = F.col("status").isin("Encontrado", "Parcial") & (F.col("role") != IDENTITY)
+    no_data = F.forall(F.array("name", "email", "phone", "mobile"), lambda x: blank(x))
+    named = ~blank(F.col("name"))
+    plain = F.array_compact(
+        F.array(
+            F.when(no_data, "no data"), F.when(named & ~valid_name(F.col("name")), "no person"), F.when(named & names_a_place(F.col("name"), F.col("target"), F.col("state")), "place")
+        )
+    )
+    hard = has_any(norm_search(F.col("source_url")), RERUN_TOKENS)
+    out = records.where(claims).withColumn("_reasons", plain)
+    source = against_role(F.col("role"), F.col("source_url")) & ((F.size("_reasons") > 0) | hard)
+    return out.select(*keys, F.when(source, F.array_append("_reasons", F.lit("source"))).otherwise(F.col("_reasons")).alias("reasons")).where(F.size("reasons") > 0)
 
 
 def to_rerun(inputs: DataFrame, invalid: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -116,3 +136,13 @@ def gate(audit: DataFrame, verified: DataFrame) -> tuple[bool, list[str]]:
     if not verified.where(F.col("verdict") != "Validado").isEmpty():
         problems.append("verification")
     return not problems, problems
+
+
+def best_attempt(attempts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Of several recordings of a page the best: found before others, then that with most text, the first among equals.
+
+    Attempts: keys, status, text, attempt (its number).
+    """
+    rest = [c for c in attempts.columns if c not in keys]
+    worth = F.struct((F.col("status") == "Encontrado").alias("ok"), F.length(F.coalesce("text", F.lit(""))).alias("n"), (-F.col("attempt")).alias("first"))
+    return attempts.groupBy(*keys).agg(F.max_by(F.struct(*rest), worth).alias("row")).select(*keys, "row.*")

@@ -2,45 +2,65 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gazetta.functions.urls import clean_url, ignore_reason, link_priority, same_domain, url_key
+from gazetta.functions.html import html_links
+from gazetta.functions.urls import KEYWORDS, clean_url, ignore_reason, link_priority, relevant_link, resolve, same_domain, url_key
+from gazetta.operators.delivery import fallback_urls
+from gazetta.scratch import materialise
+
 
+def page_links(pages: DataFrame, keywords: Iterable[str] | None = KEYWORDS) -> DataFrame:
+    """The links of pages that lead on within their site: ``from_url``, ``to_url``, ``pos``, ``priority``, best first by (priority, pos).
 
-def _cut(df: DataFrame) -> DataFrame:
-    """``df``, computed once: a round must not repeat those before it."""
-    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.localCheckpoint()
+    ``pages``: url, html. Links are resolved against their page and defragmented; of a page's links to one address the first
+    counts; mail, telephone and script links, other sites, addresses that a rule ignores and, with ``keywords``, links without a keyword go.
+    """
+    each = pages.select(F.col("url").alias("from_url"), F.posexplode(html_links(F.col("html"))).alias("pos", "link"))
+    each = each.select("from_url", "pos", F.col("link.anchor").alias("anchor"), resolve(F.col("from_url"), F.col("link.href")).alias("to_url")).where("to_url <> ''")
+    each = each.where(same_domain(F.col("to_url"), F.col("from_url")))
+    if keywords is not None:
+        each = each.where(relevant_link(F.col("anchor"), F.col("to_url"), keywords))
+    first = each.groupBy("from_url", "to_url").agg(F.min("pos").alias("pos"))
+    return first.where(ignore_reason(F.col("to_url")).isNull()).withColumn("priority", link_priority(F.col("to_url")))
 
 
-def crawl(seeds: DataFrame, links: DataFrame, most_pages: int = 60, rounds: int | None = None) -> DataFrame:
+def crawl(seeds: DataFrame, links: DataFrame, most_pages: int = 60, rounds: int | None = None, blocked: DataFrame | None = None) -> DataFrame:
     """Breadth-first visits of each target: ``target``, ``url``, ``round``, ``rank``.
 
-    ``seeds``: target, url. ``links``: from_url, to_url, pos. A URL is visited once for each
-    target, whatever its scheme; at most ``most_pages`` for each. Links within the target's site that no rule
-    ignores are taken, best kind first. Each round is one join with the links and one anti-join with what is visited.
+    ``seeds``: target, url. ``links``: from_url, to_url, pos, as ``page_links`` gives them. A URL is visited once for each target, whatever its
+    scheme; at most ``most_pages`` for each. Links within the target's site are taken best kind first. Targets in ``blocked``
+    (target), whose home turns robots away, begin with the standard paths of their site as well. Each round is one join with the links and one
+    anti-join with what is visited, and is written to a shared table, so that no round is computed again.
     Rounds go on until one finds nothing new (at most ``most_pages`` of them, as each adds a page to some target), or for ``rounds``.
     """
-    start = seeds.select("target", clean_url(F.col("url")).alias("url")).where("url <> ''")
-    seen = start.withColumns({"key": url_key(F.col("url")), "site": F.col("url"), "round": F.lit(0)})
-    seen = seen.withColumn("rank", F.row_number().over(Window.partitionBy("target").orderBy("url")))
+    start = seeds.select("target", clean_url(F.col("url")).alias("url")).where("url <> ''").withColumn("nth", F.lit(0))
+    if blocked is not None:
+        homes = start.groupBy("target").agg(F.min("url").alias("url")).join(blocked.select("target").distinct(), "target", "left_semi")
+        start = start.unionByName(homes.select("target", F.posexplode(fallback_urls(F.col("url"))).alias("nth", "url")).withColumn("nth", F.col("nth") + 1))
+    keyed = start.withColumns({"key": url_key(F.col("url")), "site": F.col("url"), "round": F.lit(0)})
+    once = keyed.withColumn("n", F.row_number().over(Window.partitionBy("target", "key").orderBy("nth", "url"))).where("n = 1")
+    begun = materialise(once.withColumn("rank", F.row_number().over(Window.partitionBy("target").orderBy("nth", "url"))).drop("n", "nth").where(F.col("rank") <= most_pages))
     edges = links.select(url_key(clean_url(F.col("from_url"))).alias("key"), clean_url(F.col("to_url")).alias("next"), "pos").where("next <> ''")
-    edges = edges.where(ignore_reason(F.col("next")).isNull())
-    newest = seen = _cut(seen)
-    edges = _cut(edges)
-    number = 0
+    edges = materialise(edges.where(ignore_reason(F.col("next")).isNull()).withColumns({"priority": link_priority(F.col("next")), "next_key": url_key(F.col("next"))}))
+    tables, newest, number = [begun], begun, 0
     while rounds is None or number < rounds:
         number += 1
+        seen = reduce(DataFrame.unionByName, tables)
         out = newest.select("target", "site", "key", F.col("rank").alias("parent")).join(edges, "key").where(same_domain(F.col("next"), F.col("site")))
-        out = out.select("target", "site", F.col("next").alias("url"), url_key(F.col("next")).alias("key"), "parent", link_priority(F.col("next")).alias("priority"), "pos")
+        out = out.select("target", "site", F.col("next").alias("url"), F.col("next_key").alias("key"), "parent", "priority", "pos")
         fresh = out.join(seen.select("target", "key"), ["target", "key"], "left_anti")
         first = F.row_number().over(Window.partitionBy("target", "key").orderBy("parent", "priority", "pos", "url"))
         fresh = fresh.withColumn("nth", first).where("nth = 1")
         room = seen.groupBy("target").agg((F.lit(most_pages) - F.count(F.lit(1))).alias("room"), F.max("rank").alias("last"))
         order = F.row_number().over(Window.partitionBy("target").orderBy("parent", "priority", "pos", "url"))
         fresh = fresh.withColumn("nth", order).join(room, "target").where("nth <= room")
-        newest = _cut(fresh.select("target", "url", "key", "site", F.lit(number).alias("round"), (F.col("last") + F.col("nth")).alias("rank")))
+        newest = materialise(fresh.select("target", "url", "key", "site", F.lit(number).alias("round"), (F.col("last") + F.col("nth")).alias("rank")))
         if newest.isEmpty():
             break
-        seen = seen.select("target", "url", "key", "site", "round", "rank").unionByName(newest)
-    return seen.select("target", "url", "round", "rank")
+        tables.append(newest)
+    return reduce(DataFrame.unionByName, tables).select("target", "url", "round", "rank")

@@ -6,6 +6,7 @@ here, and its behaviour is tested in ``tests/``.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -129,14 +130,6 @@ def email_domains(spark, sf):
     return e.groupBy(F.split_part("email", F.lit("@"), F.lit(2)).alias("domain")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("doc_id").alias("n_docs"))
 
 
-@query()
-def phone_extract(spark, sf):
-    d = table(spark, sf, "documents").where(F.col("text").rlike("[0-9]{4}"))
-    return d.select("doc_id", F.posexplode(extract.phones(F.col("text"))).alias("pos", "phone")).withColumns(
-        {"formatted": text.format_phone(F.col("phone")), "mobile": text.is_mobile(F.col("phone"))}
-    )
-
-
 @query("""
 WITH l AS (SELECT doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x)), lambda x: x <> '') AS ls FROM documents),
 b AS (SELECT doc_id, CASE WHEN length(array_to_string(ls, ' ')) > 1200
@@ -149,19 +142,13 @@ def split_blocks(spark, sf):
 
 @query(f"""
 WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
-p AS (SELECT doc_id, ls, list_position(list_transform(ls, lambda x: {NORM.format('x')} IN ('that.', 'the.', 'is.', 'of.')), true) AS first_noise FROM l)
+p AS (SELECT doc_id, ls, list_position(list_transform(ls, lambda x: regexp_matches({NORM.format('x')}, '^(that[.]|the[.]|is[.]|of[.])')), true) AS first_noise FROM l)
 SELECT doc_id, md5(array_to_string(CASE WHEN first_noise > 0 THEN ls[1 : first_noise - 1] ELSE ls END, chr(10))) AS kept_md5 FROM p""")
 def truncate_noise(spark, sf):
     kept = extract.before_noise(F.col("text"), ["that.", "the.", "is.", "of."])
     return table(spark, sf, "documents").select("doc_id", F.md5(kept.cast("binary")).alias("kept_md5"))
 
 
-@query()
-def role_detect(spark, sf):
-    d = table(spark, sf, "documents")
-    return d.select("doc_id", extract.roles(F.col("text")).alias("roles")).where(F.size("roles") > 0)
-
-
 # --- URLs and pages --------------------------------------------------------------------
 
 CLEAN = r"lower(regexp_extract(url, '^([A-Za-z]+)://', 1)) || '://' || lower(regexp_extract(url, '://([^/?#]*)', 1)) || CASE WHEN regexp_extract(url, '://[^/?#]*([^?#;]*)', 1) = '' THEN '/' ELSE regexp_extract(url, '://[^/?#]*([^?#;]*)', 1) END || regexp_extract(url, '(\?[^#]*)', 1)"
@@ -198,10 +185,28 @@ def link_extract(spark, sf):
     return _links(spark, sf)
 
 
-@query(rf"""SELECT page_id, pos, {HOST.format('href')} AS host, {HOST.format('href')} = {HOST.format('url')} OR ends_with({HOST.format('href')}, '.' || {HOST.format('url')}) AS same FROM ({LINKS}) WHERE href LIKE 'http%'""")
+# Beside its own links a page gets the address of the page after it, so that there are other sites among them.
+ASKED = f"SELECT page_id, url, href, pos FROM ({LINKS}) UNION ALL SELECT p.page_id, p.url, n.url, 1000 FROM pages p JOIN pages n ON n.page_id = p.page_id + 1"
+RESOLVED = r"""CASE WHEN href LIKE 'http%' THEN lower(regexp_extract(href, '^([A-Za-z]+)://', 1)) || '://' || lower(regexp_extract(href, '://([^/?#]*)', 1)) || CASE WHEN regexp_extract(href, '://[^/?#]*([^?#;]*)', 1) = '' THEN '/' ELSE regexp_extract(href, '://[^/?#]*([^?#;]*)', 1) END || regexp_extract(href, '(\?[^#]*)', 1)
+ELSE lower(regexp_extract(url, '^([A-Za-z]+)://', 1)) || '://' || lower(regexp_extract(url, '://([^/?#]*)', 1)) || regexp_extract(regexp_replace(href, '\s+', '', 'g'), '^([^?#;]*)', 1) || regexp_extract(regexp_replace(href, '\s+', '', 'g'), '(\?[^#]*)', 1) END"""
+TO = f"SELECT page_id, pos, url, {RESOLVED} AS to_url FROM ({ASKED})"
+
+
+def _asked(spark, sf) -> DataFrame:
+    p = table(spark, sf, "pages").select("page_id", "url")
+    after = p.join(p.select((F.col("page_id") - 1).alias("page_id"), F.col("url").alias("href")), "page_id").withColumn("pos", F.lit(1000))
+    every = _links(spark, sf).select("page_id", "url", "href", "pos").unionByName(after)
+    return every.select("page_id", "pos", "url", urls.resolve(F.col("url"), F.col("href")).alias("to_url"))
+
+
+@query(TO)
+def link_resolve(spark, sf):
+    return _asked(spark, sf)
+
+
+@query(rf"""SELECT page_id, pos, {HOST.format('to_url')} AS host, {HOST.format('to_url')} = {HOST.format('url')} OR ends_with({HOST.format('to_url')}, '.' || {HOST.format('url')}) AS same FROM ({TO})""")
 def same_domain_links(spark, sf):
-    a = _links(spark, sf).where(F.col("href").startswith("http"))
-    return a.select("page_id", "pos", urls.host(F.col("href")).alias("host"), urls.same_domain(F.col("href"), F.col("url")).alias("same"))
+    return _asked(spark, sf).select("page_id", "pos", urls.host(F.col("to_url")).alias("host"), urls.same_domain(F.col("to_url"), F.col("url")).alias("same"))
 
 
 def _priority_sql(c: str) -> str:
@@ -215,9 +220,48 @@ def link_priority_rank(spark, sf):
     return p.select("page_id", "href", "pos", "priority", F.row_number().over(Window.partitionBy("page_id").orderBy("priority", "pos")).alias("rank"))
 
 
-@query()
+def _any(c: str, tokens) -> str:
+    listed = "|".join(re.escape(t).replace("'", "''") for t in tokens)
+    return f"regexp_matches({c}, '{listed}')"
+
+
+def _ignored_sql(source: str, keep: str) -> str:
+    """The rules in turn over a query with ``to_url``; the words come from the same lists, the rules are written out."""
+    off = lambda c: f"({_any(c, urls.OFF_TOPIC)} AND NOT {_any(c, urls.RELEVANT)})"
+    path = NORM.format(r"url_decode(replace(regexp_extract(to_url, '://[^/?#]*([^?#;]*)', 1), '+', '%2B'))")
+    asked = r"lower(regexp_extract(to_url, '\?([^#]*)', 1))"
+    slugs, files, prefixes = "|".join(urls.UNIT_SLUGS), "|".join(map(re.escape, urls.FILES)), "|".join(map(re.escape, urls.PREFIXES))
+    wide = [t for t in urls.RELEVANT if t not in ("gabinete", "governo", "prefeito", "vice")]
+    return f"""SELECT {keep}, CASE
+WHEN regexp_matches(raw, '[<>*]|:3000') THEN 'characters' WHEN regexp_matches(raw, 'notice|trying to get property') THEN 'error text' WHEN {_any("raw", urls.SUBDOMAINS)} THEN 'subdomain'
+WHEN contains(raw, 'resource.faces') THEN 'vendor' WHEN {_any("raw", urls.NETWORKS)} THEN 'network' WHEN regexp_matches(p, '({files})$') THEN 'file' WHEN contains(p, '@') THEN 'address'
+WHEN regexp_matches(p, '^({prefixes})') THEN 'prefix' WHEN {_any("p", urls.SEGMENTS)} THEN 'segment' WHEN regexp_matches(p, '(/conteudo/.*){{3}}|(/secretaria/.*){{2}}') THEN 'nested'
+WHEN contains(p, '/gabinete/') AND regexp_matches(p, '/gabinete/gabinete|/secretarias/|/secretaria/') THEN 'cabinet' WHEN regexp_matches(p, '/(file|videos|faq)/*$') THEN 'section'
+WHEN regexp_matches(q, 'noticias.asp|cont_not|idsomar=') THEN 'news' WHEN contains(raw, 'desenvolvimento_social') OR regexp_matches(p, '/desenvolvimento-social/*$') THEN 'social'
+WHEN regexp_matches(p, '^/*[0-9]{{4}}/+[0-9]{{2}}(/|$)') THEN 'dated' WHEN last IN ('pagina-principal', 'servicos', 'sitemap') THEN 'index' WHEN contains(whole, 'conselho_municipal') AND NOT contains(p, 'desenvolvimento') THEN 'council'
+WHEN (regexp_matches(p, '/secretaria/|/secretarias/|/secretariados/') OR starts_with(last, 'secretaria-')) AND {off("scope || '?' || qs")} THEN 'off topic unit' WHEN {off("scope")} THEN 'off topic'
+WHEN regexp_matches(whole, '/({"|".join(urls.OFF_TOPIC)})/') AND NOT {_any("whole", wide)} THEN 'off topic path' WHEN {off("qs")} THEN 'off topic query'
+WHEN dashes >= 5 AND (length(last) >= 45 OR NOT regexp_matches(last, '^({slugs})')) THEN 'long slug' WHEN dashes >= 3 AND {_any("last", urls.NEWS_VERBS)} THEN 'news slug' WHEN {_any("q", urls.QUERIES)} THEN 'query' END AS reason
+FROM (SELECT *, replace(last, '-', '_') AS scope, length(last) - length(replace(last, '-', '')) AS dashes FROM (SELECT *, regexp_extract(regexp_replace(p, '/+$', ''), '([^/]*)$', 1) AS last, replace(p, '-', '_') AS whole, replace({NORM.format("q")}, '-', '_') AS qs
+FROM (SELECT *, lower(url_decode(replace(to_url, '+', '%2B'))) AS raw, {path} AS p, {asked} AS q FROM ({source}))))"""
+
+
+@query(_ignored_sql(TO, "page_id, pos, to_url"))
 def ignore_urls(spark, sf):
-    return _links(spark, sf).select("page_id", "pos", "href", urls.ignore_reason(F.col("href")).alias("reason"))
+    return _asked(spark, sf).select("page_id", "pos", "to_url", urls.ignore_reason(F.col("to_url")).alias("reason"))
+
+
+WORDS = ["the", "la", "de", "un", "and"]
+
+
+@query(f"SELECT from_url, to_url, min(pos)::INTEGER AS pos, any_value(priority)::INTEGER AS priority FROM (SELECT *, {_priority_sql('to_url')} AS priority FROM ({_ignored_sql(TO.replace(ASKED, LINKS), 'url AS from_url, to_url, pos')})) WHERE reason IS NULL GROUP BY from_url, to_url")
+def link_rows(spark, sf):
+    return frontier.page_links(table(spark, sf, "pages").select("url", "html"), None)
+
+
+@query()
+def link_relevance(spark, sf):
+    return frontier.page_links(table(spark, sf, "pages").select("url", "html"), WORDS)
 
 
 @query(f"""SELECT page_id, regexp_matches({NORM.format("regexp_replace(html, '<[^>]*>', ' ', 'g') || ' ' || substr(html, 1, 3000)")}, 'access denied|acesso negado|forbidden|verify you are human|verifique se voce e humano|cloudflare error|attention required|temporarily blocked') AS blocked FROM pages""")
@@ -289,11 +333,11 @@ def site_candidates(spark, sf):
     return n.select("n_nationkey", F.posexplode(scope.site_candidates(F.col("n_name"), F.lit("SP"))).alias("rank", "url"))
 
 
-@query("SELECT c_custkey, c_name FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_name = 'BRAZIL' ORDER BY c_custkey LIMIT 25")
+@query("SELECT c_custkey, c_name FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_name = 'NATION_3' ORDER BY c_custkey LIMIT 25")
 def choose_limit(spark, sf):
-    n = table(spark, sf, "nation").where("n_name = 'BRAZIL'")
+    n = table(spark, sf, "nation").where("n_name = 'NATION_3'")
     c = table(spark, sf, "customer").join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"))
-    return scope.choose(c.withColumn("state", F.col("n_name")), state="brazil", most=25, order="c_custkey").select("c_custkey", "c_name")
+    return scope.choose(c.withColumn("state", F.col("n_name")), state="nation_3", most=25, order="c_custkey").select("c_custkey", "c_name")
 
 
 # --- records ---------------------------------------------------------------------------
@@ -340,13 +384,13 @@ def coverage_grid(spark, sf):
     return records.fill_coverage(found, targets, required, ["c_nationkey"], "Não publicado", "").select("c_nationkey", "category", "c_custkey", "status")
 
 
-@query("""SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY CASE o_orderstatus WHEN 'F' THEN 4 WHEN 'P' THEN 2 ELSE 0 END DESC, (o_totalprice > 100000)::INT DESC, lower(o_orderpriority) DESC, o_orderkey)::INTEGER AS rank FROM orders QUALIFY rank <= 3""")
+@query("""SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY CASE o_orderstatus WHEN 'F' THEN 4 WHEN 'P' THEN 2 ELSE 0 END DESC, (o_totalprice > 100000)::INT DESC, lower(o_orderpriority) DESC, o_orderkey)::INTEGER AS rank FROM orders""")
 def candidate_rank(spark, sf):
     o = table(spark, sf, "orders")
     state = F.when(F.col("o_orderstatus") == "F", "Encontrado").when(F.col("o_orderstatus") == "P", "Parcial").otherwise("")
     contact = F.when(F.col("o_totalprice") > 100000, "x").otherwise("")
     keys = records.score(state, contact, F.lit("n"), F.col("o_orderpriority"))
-    return records.rank_candidates(o, ["o_custkey"], keys, "o_orderkey").where("rank <= 3").select("o_custkey", "o_orderkey", "rank")
+    return records.rank_candidates(o, ["o_custkey"], keys, "o_orderkey").select("o_custkey", "o_orderkey", "rank")
 
 
 @query("SELECT user_id, event_type, event_id, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) = 1")
@@ -466,23 +510,32 @@ def contact_extract(spark, sf):
     return contacts.extract_contacts(table(spark, sf, "documents"), ["doc_id"])
 
 
-@query()
-def contact_extract_turns(spark, sf):
-    return contacts.extract_contacts(table(spark, sf, "conversations"), ["conv_id", "turn"])
-
-
 @query()
 def contact_extract_pages(spark, sf):
     pages = table(spark, sf, "pages").select("page_id", "url", html.html_text(F.col("html")).alias("text"))
     return contacts.extract_contacts(pages, ["page_id"], url_col="url")
 
 
-@query()
+def _frontier_sql(rounds: int = 3) -> str:
+    """The rounds written out one after another; the corpus has no longer ways than the last of them."""
+    key = rf"{HOST.format('{0}')} || '|' || CASE WHEN regexp_replace(regexp_extract({{0}}, '://[^/?#]*([^?#;]*)', 1), '/+$', '') = '' THEN '/' ELSE regexp_replace(regexp_replace(regexp_extract({{0}}, '://[^/?#]*([^?#;]*)', 1), '/+$', ''), '/{{{{2,}}}}', '/', 'g') END || '|' || regexp_extract({{0}}, '\?([^#]*)', 1)"
+    key_of = lambda c: key.format(c)
+    parts = [
+        f"e AS MATERIALIZED (SELECT {key_of('from_url')} AS k, to_url AS url, {key_of('to_url')} AS nk, pos, priority FROM ({ORACLES['link_rows']}))",
+        f"r0 AS MATERIALIZED (SELECT page_id AS target, {CLEAN} AS url, {key_of(CLEAN)} AS k, 0 AS round, 1::BIGINT AS rank FROM pages)",
+    ]
+    for n in range(1, rounds + 1):
+        seen = " UNION ALL ".join(f"SELECT target, k, rank FROM r{i}" for i in range(n))
+        parts.append(f"""r{n} AS MATERIALIZED (SELECT target, url, nk AS k, {n} AS round, last + row_number() OVER (PARTITION BY target ORDER BY parent, priority, pos, url) AS rank FROM (
+SELECT target, e.url, nk, r.rank AS parent, priority, pos, (SELECT max(s.rank) FROM ({seen}) s WHERE s.target = r.target) AS last FROM r{n - 1} r JOIN e USING (k) WHERE (target, nk) NOT IN (SELECT target, k FROM ({seen}))
+QUALIFY row_number() OVER (PARTITION BY target, nk ORDER BY r.rank, priority, pos, e.url) = 1))""")
+    return "WITH " + ", ".join(parts) + " " + " UNION ALL ".join(f"SELECT target, url, round, rank FROM r{n}" for n in range(rounds + 1))
+
+
+@query(_frontier_sql())
 def frontier_bfs(spark, sf):
     pages = table(spark, sf, "pages")
-    seeds = pages.select(F.col("page_id").alias("target"), "url")
-    links = pages.select(F.col("url").alias("from_url"), F.posexplode(urls_of_page()).alias("pos", "to_url"))
-    return frontier.crawl(seeds, links)
+    return frontier.crawl(pages.select(F.col("page_id").alias("target"), "url"), frontier.page_links(pages.select("url", "html"), None)).withColumn("rank", F.col("rank").cast("long"))
 
 
 @query("SELECT user_id, ts, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1")
@@ -528,3 +581,6 @@ def overrides_join(spark, sf):
     targets = s.select("s_suppkey", "s_name", "n_name", F.col("n_name").alias("state"), F.lit("x").alias("name"), F.lit("m").alias("sphere"))
     known = n.where("n_nationkey < 5").select(F.lower("n_name").alias("state"), F.lit("X ").alias("name"), F.lit("M").alias("sphere"))
     return delivery.apply_overrides(targets, known).select("s_suppkey", "s_name", "n_name")
+
+
+from gazetta.plans import catalog_records  # noqa: E402, F401

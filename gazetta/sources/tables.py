@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gazetta.functions.geo import is_capital, state_code, state_name
 from gazetta.functions.text import blank, fold, norm_python_key, parse_count, parse_flag
 
 # Header names that stand for the columns of a target list.
@@ -18,17 +19,60 @@ ALIASES = {
 TARGET = ["state", "state_name", "name", "population", "capital", "site"]
 
 
-def read_targets(spark: SparkSession, path: str) -> DataFrame:
-    """A CSV list of targets with any separator of ``,``, ``;``, tab or ``|`` and flexible headers.
+#: Encodings of a target list, tried in turn.
+ENCODINGS = ("UTF-8", "ISO-8859-1")
+DEFAULT_INPUTS = ("data/targets.csv", "input/targets.csv", "targets.csv")
 
-    Raises ValueError with the number of rows that have no name or no state.
-    """
-    if not path.endswith((".csv", ".txt")):
-        raise ValueError(f"{path}: only delimited text is read; export workbooks to CSV")
+
+def _delimited(spark: SparkSession, path: str) -> DataFrame:
+    """A delimited text with any separator of ``,``, ``;``, tab or ``|``; text that is no UTF-8 is read as Latin-1."""
     head = spark.read.text(path).limit(1).collect()
-    first = head[0][0] if head else ""
+    first = head[0][0].lstrip("\ufeff") if head else ""
     sep = max(",;\t|", key=first.count)
-    out = map_headers(spark.read.option("header", True).option("sep", sep).csv(path))
+    broken = not spark.read.text(path).where(~F.is_valid_utf8("value")).isEmpty()
+    df = spark.read.option("header", True).option("sep", sep).option("multiLine", True).option("encoding", ENCODINGS[broken]).csv(path)
+    return df.toDF(*(c.lstrip("\ufeff") for c in df.columns))
+
+
+READERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    ".csv": _delimited,
+    ".txt": _delimited,
+    ".parquet": lambda spark, path: spark.read.parquet(path),
+    ".json": lambda spark, path: spark.read.option("multiLine", True).json(path),
+}
+
+
+def read_any(spark: SparkSession, path: str) -> DataFrame:
+    """A table by the end of its name; workbooks are to be exported first."""
+    reader = next((r for end, r in READERS.items() if path.lower().rstrip("/").endswith(end)), None)
+    if reader is None:
+        raise ValueError(f"{path}: not one of {', '.join(READERS)}; export workbooks to CSV")
+    return reader(spark, path)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def resolve_input(spark: SparkSession, path: str | None = None, candidates: Sequence[str] = DEFAULT_INPUTS) -> str:
+    """The path that was given, else the first of the usual places that exists."""
+    if path:
+        return path
+    found = next((c for c in candidates if exists(spark, c)), None)
+    if found is None:
+        raise FileNotFoundError(f"no target list among {', '.join(candidates)}")
+    return found
+
+
+def read_targets(spark: SparkSession, path: str) -> DataFrame:
+    """A list of targets with flexible headers.
+
+    Raises FileNotFoundError where there is none, and ValueError with the number of rows that have no name or no state.
+    """
+    if not exists(spark, path):
+        raise FileNotFoundError(path)
+    out = map_headers(read_any(spark, path))
     missing = out.where(blank(F.col("name")) | blank(F.col("state"))).count()
     if missing:
         raise ValueError(f"{missing} rows without name or state")
@@ -42,14 +86,15 @@ def map_headers(df: DataFrame) -> DataFrame:
         name = ALIASES.get(norm_python_key(c))
         if name and name not in found:
             found[name] = c
-    col = lambda n: F.trim(F.col(f"`{found[n]}`").cast("string")) if n in found else F.lit("")
+    col = lambda n: F.coalesce(F.trim(F.col(f"`{found[n]}`").cast("string")), F.lit("")) if n in found else F.lit("")
+    code = F.coalesce(F.nullif(F.upper(col("state")), F.lit("")), state_code(col("state_name")))
     return df.select(
-        F.upper(F.coalesce(col("state"), F.lit(""))).alias("state"),
-        F.coalesce(col("state_name"), F.lit("")).alias("state_name"),
-        F.coalesce(col("name"), F.lit("")).alias("name"),
+        code.alias("state"),
+        F.coalesce(F.nullif(col("state_name"), F.lit("")), state_name(code)).alias("state_name"),
+        col("name").alias("name"),
         parse_count(col("population")).alias("population"),
-        parse_flag(col("capital")).alias("capital"),
-        F.coalesce(col("site"), F.lit("")).alias("site"),
+        (parse_flag(col("capital")) | is_capital(col("name"), code)).alias("capital"),
+        col("site").alias("site"),
     )
 
 
@@ -111,3 +156,51 @@ def frozen_list(places: DataFrame, population: DataFrame, stamp: str) -> DataFra
     """Places with their population (0 where none is known), ready to be written in order."""
     joined = places.join(population, "code", "left").withColumn("population", F.coalesce("population", F.lit(0)))
     return joined.withColumn("frozen_on", F.lit(stamp)).orderBy("state", fold(F.col("name")))
+
+
+def write_list(df: DataFrame, path: str) -> None:
+    """One CSV part with a header, in the order of the frame; lists of targets are small by nature."""
+    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+
+
+def write_frozen(places: DataFrame, population: DataFrame, stamp: str, path: str) -> None:
+    """The frozen list as a sink."""
+    write_list(frozen_list(places, population, stamp), path)
+
+
+def read_localities(spark: SparkSession, path: str) -> DataFrame:
+    """Localities of a statistics office's nested JSON: code, name and state, by either of the two paths of regions.
+
+    Raises ValueError with the number of places of which neither path names a state.
+    """
+    schema = (
+        "id long, nome string, `regiao-imediata` struct<`regiao-intermediaria`: struct<UF: struct<sigla: string>>>, "
+        "microrregiao struct<mesorregiao: struct<UF: struct<sigla: string>>>"
+    )
+    raw = spark.read.option("multiLine", True).schema(schema).json(path)
+    uf = F.coalesce(F.col("`regiao-imediata`.`regiao-intermediaria`.UF.sigla"), F.col("microrregiao.mesorregiao.UF.sigla"))
+    out = raw.select(F.col("id").cast("string").alias("code"), F.col("nome").alias("name"), uf.alias("state"))
+    missing = out.where("state IS NULL").count()
+    if missing:
+        raise ValueError(f"{missing} places without a state")
+    return out
+
+
+def write_sites(resolved: DataFrame, stamp: str, path: str, pending_path: str | None = None) -> None:
+    """Targets with their sites and how these were found, and beside them those that are still to be found."""
+    out = resolved.withColumn("validated_on", F.lit(stamp))
+    write_list(out, path)
+    if pending_path:
+        write_list(out.where(F.col("site_status") != "Encontrado"), pending_path)
+
+
+def write_report(issues: DataFrame, path: str) -> int:
+    """Write a report of issues; the exit code of a run: 1 where there are any."""
+    issues.write.mode("overwrite").parquet(path)
+    return int(not issues.sparkSession.read.parquet(path).isEmpty())
+
+
+def write_manifest(tables: dict[str, DataFrame], folder: str) -> None:
+    """JSON lines of what a run found and did: one folder a table."""
+    for name, df in tables.items():
+        df.write.mode("overwrite").json(f"{folder}/{name}")

@@ -169,9 +169,9 @@ def test_official_sites(spark):
 def test_invalid_rows_and_gate(spark):
     from gazetta.operators import delivery
 
-    t = spark.createDataFrame([(1, "Encontrado", "", "", "", "", "Prefeito", "u", "Vila", "SP"), (2, "Encontrado", "Vila", "a@x", "", "", "Prefeito", "u", "Vila", "SP"), (3, "Encontrado", "Ana Lima", "a@x", "", "", "Planejamento", "https://h/saude", "Vila", "SP"), (4, "Encontrado", "Ana Lima", "a@x", "", "", "Prefeito", "u", "Vila", "SP")], "k int, status string, name string, email string, phone string, mobile string, role string, source_url string, target string, state string")
+    t = spark.createDataFrame([(1, "Encontrado", "", "", "", "", "Prefeito", "u", "Vila", "SP"), (2, "Encontrado", "Vila", "a@x", "", "", "Prefeito", "u", "Vila", "SP"), (3, "Encontrado", "Ana Lima", "a@x", "", "", "Planejamento", "https://h/educacao", "Vila", "SP"), (4, "Encontrado", "Ana Lima", "a@x", "", "", "Prefeito", "u", "Vila", "SP")], "k int, status string, name string, email string, phone string, mobile string, role string, source_url string, target string, state string")
     bad = delivery.invalid_rows(t, ["k"])
-    assert rows(bad, "k", "reasons") == [(1, ["no data"]), (2, ["place"]), (3, ["source"])]
+    assert rows(bad, "k", "reasons") == [(1, ["no data"]), (2, ["no person", "place"]), (3, ["source"])]
     assert rows(delivery.to_rerun(t, bad, ["k"]), "k") == [(1,), (2,), (3,)]
     verified = spark.createDataFrame([("Validado",)], "verdict string")
     assert delivery.gate(t.where("false"), verified) == (True, [])
@@ -182,11 +182,179 @@ def test_directory_covers_every_category(spark):
     from gazetta.plans import directory
 
     page = "<main><p>Prefeito: Ana Lima Souza</p><p>E-mail: prefeita@v.example.org</p>" + "<p>texto institucional da vila</p>" * 5 + "</main>"
-    targets = spark.createDataFrame([("Vila", "SP", "Municipal", "https://v.example/"), ("Outra", "SP", "Municipal", "")], "target string, state string, sphere string, site string")
-    pages = spark.createDataFrame([(1, "Vila", "https://v.example/gabinete", page)], "page_id long, target string, url string, html string")
+    targets = spark.createDataFrame([("Vila", "SP", "Municipal", "https://v.example/"), ("Outra", "SP", "Municipal", ""), ("Fechada", "SP", "Municipal", "https://f.example/")], "target string, state string, sphere string, site string")
+    rows_ = [(1, "Vila", "https://v.example/gabinete", page, 200), (2, "Fechada", "https://f.example/", "<p>Access denied</p>", 200), (3, "Vila", "https://v.example/x", "", 404)]
+    pages = spark.createDataFrame(rows_, "page_id long, target string, url string, html string, http_status int")
     out = directory.build(targets, pages, "2024-01-01")
     data = out["data"]
-    assert data.count() == 16
-    assert rows(data.where("status = 'Encontrado'"), "target", "role", "name", "email") == [("Vila", "Prefeito", "Ana Lima Souza", "prefeita@v.example.org")]
-    assert rows(out["targets"], "target", "target_status") == [("Outra", "Site não localizado"), ("Vila", "Encontrado")]
+    assert data.count() == 27
+    assert rows(data.where("status = 'Encontrado' AND role <> 'Município/Capital e UF'"), "target", "role", "name", "email") == [("Vila", "Prefeito", "Ana Lima Souza", "prefeita@v.example.org")]
+    assert rows(out["targets"], "target", "status") == [("Fechada", "Bloqueio técnico"), ("Outra", "Site não localizado"), ("Vila", "Encontrado")]
+    assert {r["status"] for r in data.where("target = 'Fechada' AND name = ''").collect()} == {"Bloqueio técnico"}
+    assert rows(out["sources"], "page_id", "status") == [(1, "Encontrado"), (2, "Bloqueio técnico"), (3, "Página sem informação pública")]
+    assert rows(out["pending"], "kind", "target") == [("Coleta", "Fechada"), ("Site", "Outra")]
     assert out["audit"].isEmpty()
+    figures = {r["indicator"]: r["value"] for r in out["summary"].where("section = 'Indicadores gerais'").collect()}
+    assert figures["Total de municípios no escopo"] == "3" and figures["Total de bloqueios técnicos"] == "1" and figures["Total de municípios com algum dado encontrado"] == "1"
+    known = spark.createDataFrame([("sp", "outra", "municipal", "Vice-prefeito", "Bia Melo Reis", "vice@o.example", "https://o.example/vice", "Encontrado")], "state string, name string, sphere string, role string, person string, email string, source_url string, status string")
+    with_known = directory.build(targets, pages, "2024-01-01", known)
+    assert rows(with_known["data"].where("role = 'Vice-prefeito' AND email <> ''"), "target", "name") == [("Outra", "Bia Melo Reis")]
+
+
+def test_cover_ranks_candidates_and_drops_places(spark):
+    schema = "state string, target string, sphere string, role string, unit string, name string, email string, phone string, mobile string, source_url string, page_url string, status string, notes string, ordinal int"
+    def row(n, role, name, email, url, status):
+        return ("SP", "Vila", "Municipal", role, "", name, email, "", "", url, "", status, "", n)
+    contacts = spark.createDataFrame([
+        row(1, "Prefeito", "Ana Lima", "", "https://v/x", "Parcial"), row(2, "Prefeito", "Ana Lima", "a@v", "https://v/equipe-de-governo", "Encontrado"), row(3, "Prefeito", "Vila", "", "https://v/y", "Parcial"),
+        row(4, "Contato geral", "", "g@v", "https://v/z", "Parcial"), row(5, "Prefeito", "Vila", "b@v", "https://v/w", "Encontrado")], schema)
+    targets = spark.createDataFrame([("SP", "São Paulo", "Vila", "Vila", 5, "r", "Municipal", "https://v/", [], "Não publicado", "n"), ("SP", "São Paulo", "Órgão", "Órgão", None, "", "Estadual", "https://o/", ["Planejamento"], "Não publicado", "n")],
+        "state string, state_name string, target string, municipality string, population long, reason string, sphere string, site string, categories array<string>, filler_status string, filler_note string")
+    out = records.cover(targets, contacts, "2024-01-01")
+    got = [(r["role"], r["name"], r["email"], r["status"]) for r in out.where("target = 'Vila'").orderBy("ordinal").collect()]
+    assert got[:4] == [("Município/Capital e UF", "Vila/SP", "", "Encontrado"), ("Prefeito", "Ana Lima", "a@v", "Encontrado"), ("Prefeito", "", "b@v", "Encontrado"), ("Prefeito", "Ana Lima", "", "Parcial")]
+    assert len(got) == 11 and {s for _, n, _, s in got[4:]} == {"Não publicado"}
+    assert rows(out.where("target = 'Órgão'"), "role", "source_url") == [("Município/Capital e UF", records.TERRITORY_URL), ("Planejamento", "https://o/")]
+    organ = contacts.where("ordinal = 4").withColumns({"target": F.lit("Órgão"), "sphere": F.lit("Estadual")})
+    assert rows(records.cover(targets, organ, "x").where("target = 'Órgão' AND email <> ''"), "role", "email") == [("Planejamento", "g@v")]
+
+
+def test_verification_wants_values_near_their_category(spark):
+    far = "\n".join(f"linha {i}" for i in range(30))
+    texts = {
+        "near": "Prefeito\nAna Lima Souza\na@v.example",
+        "far": f"Prefeito\n{far}\nAna Lima Souza\na@v.example",
+        "hop": f"a@v.example\nAna Lima Souza\n{far}\nPrefeito\nAna Lima Souza",
+        "split": "Prefeito\nAna\nLima Souza\na@v.example",
+        "credit": "Prefeito\nFoto: Ana Lima Souza\na@v.example",
+    }
+    pages = spark.createDataFrame([*((k, t, "Encontrado") for k, t in texts.items()), ("down", "x", "Site fora do ar"), ("near", "", "Site fora do ar")], "url string, text string, status string")
+    def row(url, sphere="Municipal", name="Ana Lima Souza", email="a@v.example"):
+        return ("SP", "Vila", sphere, "Prefeito", "Gabinete", name, email, "", "", url, "", "Encontrado")
+    data = spark.createDataFrame([row("near"), row("far"), row("far", "Estadual"), row("hop"), row("split"), row("credit"), row("down"), row(""), row("near", name="Menu"), row("near", email="b@v.example")],
+        "state string, target string, sphere string, role string, unit string, name string, email string, phone string, mobile string, source_url string, page_url string, status string")
+    got = [(r["source_url"], r["sphere"], r["name"], r["email"][0], r["verdict"]) for r in quality.verify_records(data, pages).collect()]
+    verdicts = {k[:4]: k[4] for k in got}
+    assert verdicts == {
+        ("near", "Municipal", "Ana Lima Souza", "a"): "Validado", ("far", "Municipal", "Ana Lima Souza", "a"): "Divergente", ("far", "Estadual", "Ana Lima Souza", "a"): "Validado", ("hop", "Municipal", "Ana Lima Souza", "a"): "Validado",
+        ("split", "Municipal", "Ana Lima Souza", "a"): "Validado", ("credit", "Municipal", "Ana Lima Souza", "a"): "Divergente", ("down", "Municipal", "Ana Lima Souza", "a"): "Não validado", ("", "Municipal", "Ana Lima Souza", "a"): "Divergente",
+        ("near", "Municipal", "Menu", "a"): "Divergente", ("near", "Municipal", "Ana Lima Souza", "b"): "Divergente",
+    }
+
+
+def test_verification_sample_takes_every_state_first(spark):
+    base = [("SP" if n < 8 else "RJ", f"t{n}", "Prefeito" if n else "Município/Capital e UF", "n" if n != 3 else "", "", "", "", "Encontrado" if n != 5 else "Não publicado", n) for n in range(12)]
+    data = spark.createDataFrame(base, "state string, target string, role string, name string, email string, phone string, mobile string, status string, ordinal int")
+    assert {r["target"] for r in quality.verification_sample(data, 2).collect()} == {"t1", "t8"}
+    four = quality.verification_sample(data, 4, seed=7)
+    assert {"t1", "t8"} < {r["target"] for r in four.collect()} and four.count() == 4
+    assert quality.verification_sample(data, 0).count() == quality.verification_sample(data, 100).count() == 9
+
+
+def test_audit_of_a_delivery(spark):
+    data = spark.createDataFrame([("SP", "Vila", "Municipal", "Prefeito", "ok?", "", "", "", "", 1), ("SP", "Gov", "Estadual", "Prefeito", "Encontrado", "u", "", "d", "", 2)], "state string, target string, sphere string, role string, status string, source_url string, page_url string, collected_on string, notes string, ordinal int")
+    tables = {"data": data, "targets": data.select("state", "target", "sphere")}
+    expected = spark.createDataFrame([("sp", "Vila", "Municipal"), ("SP", "Serra", "Municipal")], "state string, target string, sphere string")
+    out = quality.audit(tables, ["ordinal"], expected)
+    kinds = {r["kind"]: r["n"] for r in out.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert kinds == {"Aba": 5, "Status": 1, "Fonte": 1, "Data": 1, "Cobertura": 8, "Escopo": 4}
+    assert {r["line"] for r in out.where("kind IN ('Status', 'Fonte')").collect()} == {2}
+    state = spark.createDataFrame([("SP", "Gov", "Estadual"), ("SP", "Org", "Estadual")], "state string, target string, sphere string")
+    texts = {r["description"] for r in quality.audit(tables, ["ordinal"], expected, state).where("kind = 'Escopo'").collect()}
+    assert texts == {"Município/capital esperado ausente em targets.", "Município/capital esperado ausente em data.", "Alvo estadual configurado ausente em targets.", "Alvo estadual configurado ausente em data."}
+
+
+def test_summary_of_nothing_says_so(spark):
+    data = spark.createDataFrame([], "state string, municipality string, role string, status string")
+    targets = spark.createDataFrame([], "state string, target string, sphere string, status string")
+    got = quality.summary(data, targets, targets, "now").where("indicator = 'Sem dados'")
+    assert rows(got, "section") == [("Por Cargo/Área",), ("Por Esfera",), ("Por Município/Capital",), ("Por Status",), ("Por UF",)]
+
+
+def test_expected_scope(spark):
+    config = spark.createDataFrame([("sp", "Governo", "https://g/", [("Org", "https://o/", None), ("", "https://p/", None), ("Q", "", None)]), ("RJ", "Sem site", "", [])], "state string, government string, site string, organs array<struct<name: string, site: string, categories: array<string>>>")
+    assert rows(quality.expected_state(config), "state", "target", "sphere") == [("SP", "Governo", "Estadual"), ("SP", "Org", "Estadual")]
+    places = spark.createDataFrame([("SP", "Grande", 40000, False), ("SP", "Pequena", 100, False), ("AC", "Rio Branco", 5, True)], "state string, name string, population long, capital boolean")
+    assert rows(quality.expected_municipal(places, scope.limits(spark)), "state", "target") == [("AC", "Rio Branco"), ("SP", "Grande")]
+
+
+def test_lots_resume_and_reprocess(spark, tmp_path):
+    from gazetta.operators import batch
+
+    targets = spark.createDataFrame([("SP", f"t{i}", "Municipal", i) for i in range(5)] + [("RJ", "r", "Municipal", 9)], "state string, target string, sphere string, ordinal int")
+    ran: list[list[str]] = []
+
+    def work(some):
+        ran.append(sorted(r["target"] for r in some.collect()))
+        extra = some.select("state", "target", "sphere", F.lit("Prefeito").alias("role"), F.lit("Encontrado").alias("status"), F.when(F.col("target") == "t1", "Menu").otherwise("Ana Lima").alias("name"), *(F.lit("").alias(c) for c in ("email", "phone", "mobile", "source_url")))
+        return {"data": extra, "targets": some}
+
+    folder = str(tmp_path / "lots")
+    assert batch.run_lots(targets, work, folder, chunk_size=2) == ["RJ-001", "SP-001", "SP-002", "SP-003"]
+    assert ran == [["r"], ["t0", "t1"], ["t2", "t3"], ["t4"]] and batch.run_lots(targets, work, folder, chunk_size=2) == []
+    (tmp_path / "lots" / "SP-002" / "data" / "_SUCCESS").unlink()
+    assert batch.run_lots(targets, work, folder, chunk_size=2) == ["SP-002"]
+    whole = batch.consolidate(spark, folder, ["RJ-001", "SP-001", "SP-002", "SP-003", "XX-001"], "municipal")
+    assert whole["data"].count() == 6
+    again = batch.reprocess(targets, whole["data"], work, str(tmp_path / "re"))
+    assert again.count() == 6 and ran[-1] == ["t1"]
+    assert [r["target"] for r in spark.read.json(str(tmp_path / "re" / "manifest" / "invalid_rows")).collect()] == ["t1"]
+
+
+def test_command_line(spark, tmp_path):
+    from gazetta.operators import batch
+
+    (tmp_path / "t.csv").write_bytes("Município;UF;População;Site\nVila;SP;40.000;https://v.example/\nPequena;SP;10;\nGoiânia;GO;9;\n".encode("latin-1"))
+    spark.createDataFrame([(1, "Vila", "https://v.example/equipe", "<p>Prefeita: Ana Lima Souza</p><p>a@v.example</p>")], "page_id long, target string, url string, html string").write.parquet(str(tmp_path / "pages"))
+    out = str(tmp_path / "out")
+    code = batch.main(["--targets", str(tmp_path / "t.csv"), "--pages", str(tmp_path / "pages"), "--output", out, "--collected-on", "2024-01-01"])
+    data = spark.read.parquet(f"{out}/tables/data")
+    assert code == 1 and {r["kind"] for r in spark.read.parquet(f"{out}/audit").collect()} <= {"Aba"} or code == 0
+    assert rows(data.where("email <> ''"), "state", "target", "name") == [("SP", "Vila", "Ana Lima Souza")] and data.count() == 18
+    assert batch.main(["--pages", "x", "--targets", str(tmp_path / "t.csv"), "--output", out, "--filter-only"]) == 0
+
+
+def test_lookups_of_states(spark):
+    from gazetta.functions import geo
+
+    df = spark.createDataFrame([("São Paulo", "sp"), ("sao paulo", "SP"), ("RJ", "xx"), (None, None), ("Goiânia", " go ")], "n string, c string")
+    got = [tuple(r) for r in df.select(geo.state_code(F.col("n")), geo.state_name(F.col("c")), geo.is_capital(F.col("n"), F.col("c"))).collect()]
+    assert got == [("SP", "São Paulo", True), ("SP", "São Paulo", True), ("RJ", "", False), ("", "", False), ("", "Goiás", True)]
+    assert geo.states(spark).count() == 27
+
+
+def test_sources_and_sinks(spark, tmp_path):
+    path = str(tmp_path / "l.json")
+    place = '{"id": %d, "nome": "%s", %s}'
+    near, far = '"regiao-imediata": {"regiao-intermediaria": {"UF": {"sigla": "SP"}}}', '"microrregiao": {"mesorregiao": {"UF": {"sigla": "RJ"}}}'
+    (tmp_path / "l.json").write_text(f"[{place % (1, 'A', near)}, {place % (2, 'B', far)}]")
+    assert rows(tables.read_localities(spark, path), "code", "state") == [("1", "SP"), ("2", "RJ")]
+    (tmp_path / "l.json").write_text('[{"id": 3, "nome": "C"}]')
+    with pytest.raises(ValueError, match="1 places"):
+        tables.read_localities(spark, path)
+    with pytest.raises(ValueError, match="export workbooks"):
+        tables.read_any(spark, "x.xlsx")
+    with pytest.raises(FileNotFoundError):
+        tables.read_targets(spark, str(tmp_path / "none.csv"))
+    with pytest.raises(FileNotFoundError):
+        tables.resolve_input(spark, None, [str(tmp_path / "none.csv")])
+    assert tables.resolve_input(spark, None, [str(tmp_path / "none.csv"), path]) == path
+    sites = spark.createDataFrame([("a", "https://a/", "Encontrado"), ("b", "", "Site não localizado")], "name string, site string, site_status string")
+    tables.write_sites(sites, "2024-01-01", str(tmp_path / "s"), str(tmp_path / "p"))
+    assert rows(spark.read.option("header", True).csv(str(tmp_path / "p")), "name", "validated_on") == [("b", "2024-01-01")]
+    assert tables.write_report(sites, str(tmp_path / "r")) == 1 and tables.write_report(sites.where("false"), str(tmp_path / "r")) == 0
+    tables.write_frozen(spark.createDataFrame([("1", "Ávila", "SP")], "code string, name string, state string"), spark.createDataFrame([], "code string, population long"), "x", str(tmp_path / "f"))
+    assert rows(spark.read.option("header", True).csv(str(tmp_path / "f")), "name", "population") == [("Ávila", "0")]
+
+
+def test_best_attempt_and_links(spark):
+    from gazetta.operators import delivery
+
+    t = spark.createDataFrame([("u", "Encontrado", "abc", 2), ("u", "Encontrado", "abc", 1), ("u", "Site fora do ar", "abcdef", 0)], "url string, status string, text string, attempt int")
+    assert rows(delivery.best_attempt(t, ["url"]), "url", "attempt") == [("u", 1)]
+    html = "<a href='/gabinete'>Gabinete</a><a href='x/../contato#top'>Contato</a><a href='/contato'>again</a><a href='mailto:a@b'>contato</a><a href='//o.example/contato'>contato</a><a href='/noticias/1'>contato</a><a href='/sobre'>nada</a><a href='javascript:x'>contato</a>"
+    pages = spark.createDataFrame([("https://v.example/", html)], "url string, html string")
+    assert rows(frontier.page_links(pages), "to_url", "pos", "priority") == [("https://v.example/contato", 1, 3), ("https://v.example/gabinete", 0, 1)]
+    seeds = spark.createDataFrame([("t", "https://v.example/")], "target string, url string")
+    got = frontier.crawl(seeds, frontier.page_links(pages), blocked=spark.createDataFrame([("t",)], "target string"))
+    assert got.where("round = 0").count() == 11 and got.where("url = 'https://v.example/contato'").count() == 1
