@@ -64,6 +64,11 @@ def identity(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(ascii_only), "[^a-z0-9]+", " "))
 
 
+def norm_ascii(c: Column) -> Column:
+    """ASCII in lower case, trimmed: letters without their accents, other characters dropped."""
+    return F.trim(F.lower(F.regexp_replace(fold(F.coalesce(c, F.lit(""))), r"[^\x00-\x7F]", "")))
+
+
 def parse_flag(c: Column) -> Column:
     return F.coalesce(norm_search(c.cast("string")).isin(TRUE_WORDS), F.lit(False))
 

@@ -53,6 +53,12 @@ def official_roots(results: DataFrame) -> DataFrame:
     return r.groupBy("id", root_url(clean_url(F.col("url"))).alias("root")).agg(F.min("rank").alias("rank"))
 
 
+def search_sites(results: DataFrame, live: DataFrame) -> DataFrame:
+    """``id``, ``root``, ``rank``: the first official root of each target's search results that ``live`` (url, ok) names as up."""
+    up = official_roots(results).join(live.where("ok").select(F.col("url").alias("root")).distinct(), "root", "left_semi")
+    return up.groupBy("id").agg(F.min(F.struct("rank", "root")).alias("best")).select("id", "best.root", "best.rank")
+
+
 def fallback_urls(site: Column) -> Column:
     """Standard paths to try where a site's home is blocked."""
     return let(root_url(clean_url(site)), lambda root: F.filter(F.array(*(F.concat(root, F.lit(p)) for p in FALLBACK_PATHS)), lambda u: ignore_reason(u).isNull()))

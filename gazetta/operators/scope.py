@@ -78,14 +78,20 @@ def site_candidates(name: Column, state: Column) -> Column:
     return F.array_distinct(F.flatten(F.transform(slugs(name), of_slug)))
 
 
-def resolve_sites(targets: DataFrame, live: DataFrame) -> DataFrame:
-    """The given site, else the first candidate that ``live`` (url, ok) names as up; with the state of the search."""
+def resolve_sites(targets: DataFrame, live: DataFrame, searched: DataFrame | None = None) -> DataFrame:
+    """The given site, else the first candidate that ``live`` (url, ok) names as up, else what a search found; with the state of the search.
+
+    ``targets``: id, name, state, site. ``searched``: id, root, as ``delivery.search_sites`` gives it.
+    """
     given = targets.withColumn("has", F.coalesce(F.trim("site") != "", F.lit(False)))
     asked = given.where("NOT has").select("id", F.posexplode(site_candidates(F.col("name"), F.col("state"))).alias("rank", "url"))
-    found = asked.join(live.where("ok").select("url"), "url").groupBy("id").agg(F.min_by("url", "rank").alias("found"))
+    found = asked.join(live.where("ok").select("url").distinct(), "url").groupBy("id").agg(F.min_by("url", "rank").alias("found"))
     out = given.join(found, "id", "left")
-    site = F.when(F.col("has"), F.col("site")).otherwise(F.coalesce("found", F.lit("")))
-    return out.withColumn("site", site).withColumn("site_status", F.when(F.col("site") == "", "Site não localizado").otherwise("Encontrado")).drop("has", "found")
+    out = out.join(searched.select("id", F.col("root").alias("searched")), "id", "left") if searched is not None else out.withColumn("searched", F.lit(None).cast("string"))
+    how = F.when(F.col("has"), "").when(F.col("found").isNotNull(), "Site inferido.").when(F.col("searched").isNotNull(), "Site localizado por busca.").otherwise("Site oficial não localizado.")
+    site = F.when(F.col("has"), F.trim("site")).otherwise(F.coalesce("found", "searched", F.lit("")))
+    out = out.withColumns({"site": site, "site_notes": how})
+    return out.withColumn("site_status", F.when(F.col("site") == "", "Site não localizado").otherwise("Encontrado")).drop("has", "found", "searched")
 
 
 def names_a_place(person: Column, place: Column, state: Column) -> Column:

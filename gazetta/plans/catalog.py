@@ -276,7 +276,8 @@ def html_text(spark, sf):
     return p.select("page_id", "text", F.size(F.split("text", "\n")).alias("n_lines"))
 
 
-@query()
+@query(r"""SELECT page_id, pos, href, trim(regexp_replace(replace(replace(replace(replace(regexp_replace(a, '<[^>]*>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g')) AS anchor FROM (
+SELECT page_id, unnest(hs) AS href, unnest(ts) AS a, generate_subscripts(hs, 1)::INTEGER - 1 AS pos FROM (SELECT page_id, regexp_extract_all(html, '<a\s[^>]*href="([^"]*)"[^>]*>(.*?)</a>', 1) AS hs, regexp_extract_all(html, '<a\s[^>]*href="([^"]*)"[^>]*>(.*?)</a>', 2) AS ts FROM pages))""")
 def html_link_rows(spark, sf):
     return table(spark, sf, "pages").select("page_id", F.posexplode(html.html_links(F.col("html"))).alias("pos", "link")).select("page_id", "pos", "link.href", "link.anchor")
 
@@ -327,7 +328,8 @@ def state_targets_expand(spark, sf):
     return scope.state_targets(municipal, config).select("state", "name", "site", "sphere")
 
 
-@query()
+@query("""SELECT n_nationkey, (g - 1)::INTEGER AS rank, ['https://' || s || '.sp.gov.br/', 'https://www.' || s || '.sp.gov.br/', 'http://' || s || '.sp.gov.br/', 'http://www.' || s || '.sp.gov.br/', 'https://prefeitura.' || s || '.sp.gov.br/',
+'https://www.prefeitura.' || s || '.sp.gov.br/', 'http://prefeitura.' || s || '.sp.gov.br/', 'http://www.prefeitura.' || s || '.sp.gov.br/'][g] AS url FROM (SELECT n_nationkey, replace(lower(n_name), '_', '') AS s, unnest(range(1, 9)) AS g FROM nation)""")
 def site_candidates(spark, sf):
     n = table(spark, sf, "nation")
     return n.select("n_nationkey", F.posexplode(scope.site_candidates(F.col("n_name"), F.lit("SP"))).alias("rank", "url"))

@@ -95,6 +95,46 @@ def source_against_role(spark, sf):
     return table(spark, sf, "supplier").select("s_suppkey", delivery.against_role(role, F.concat(F.lit("https://h"), path)).alias("against"))
 
 
+@query(r"""SELECT page_id, lower(regexp_extract(url, '^([A-Za-z]+)://', 1)) || '://' || lower(regexp_extract(url, '://([^/?#]*)', 1)) || '/' AS root, trim(lower(regexp_extract(url, '://[^/?#]*([^?#;]*)', 1)), '/') IN ('', 'index.php', 'index.html', 'home', 'portal') AS is_root,
+CASE WHEN page_id % 2 = 0 THEN url WHEN contains(url, '://www.') THEN replace(url, '://www.', '://') ELSE '' END AS bare FROM pages""")
+def url_parts(spark, sf):
+    url = F.when(F.col("page_id") % 2 == 0, F.regexp_replace("url", "://", "://www.")).otherwise(F.col("url"))
+    return table(spark, sf, "pages").select("page_id", urls.root_url(F.col("url")).alias("root"), urls.is_root(F.col("url")).alias("is_root"), urls.bare_host(url).alias("bare"))
+
+
+@query("SELECT s_suppkey, " + case("s_suppkey", ["'https://h.example/a b'", "'https://h.example/'", "''", "''"]) + " AS target, " + case("s_suppkey", ["true", "false", "true", "false"]) + " AS official FROM supplier")
+def search_results(spark, sf):
+    k = F.col("s_suppkey")
+    href = pick(k, ["//r.example/l/?uddg=https%3A%2F%2Fh.example%2Fa+b&x=1", "https://h.example/", "/x", None])
+    url = pick(k, ["https://www.vilaserra.sp.gov.br/x", "https://camara.vilaserra.sp.gov.br/", "https://pm.sp.gov.br/", "https://vilaserra.example/"])
+    said = pick(k, ["", "", "Prefeitura de Vila Serra", ""])
+    return table(spark, sf, "supplier").select("s_suppkey", delivery.unwrap_result(F.coalesce(href, F.lit(""))).alias("target"), delivery.official_site(url, F.lit("Vila da Serra"), F.lit("SP"), said).alias("official"))
+
+
+@query("""SELECT n_nationkey, CASE n_nationkey % 4 WHEN 0 THEN 'https://given/' WHEN 1 THEN 'http://nation' || n_nationkey || '.sp.gov.br/' WHEN 2 THEN 'https://nation' || n_nationkey || 'x.sp.gov.br/' ELSE '' END AS site, CASE WHEN n_nationkey % 4 = 3 THEN 'Site não localizado' ELSE 'Encontrado' END AS site_status FROM nation""")
+def site_resolve(spark, sf):
+    n, k = table(spark, sf, "nation"), F.col("n_nationkey")
+    slug = F.concat(F.lit("nation"), k.cast("string"))
+    targets = n.select(k.alias("id"), F.col("n_name").alias("name"), F.lit("SP").alias("state"), F.when(k % 4 == 0, "https://given/").otherwise("").alias("site"))
+    guessed = n.where("n_nationkey % 4 = 1").select(F.inline(F.array(*(F.struct(F.concat(F.lit(a), slug, F.lit(b)).alias("url"), F.lit(ok).alias("ok")) for a, b, ok in (("https://", ".sp.gov.br/", False), ("http://", ".sp.gov.br/", True), ("http://www.", ".sp.gov.br/", True))))))
+    own = F.concat(F.lit("https://"), slug, F.lit("x.sp.gov.br/"))
+    results = n.where("n_nationkey % 4 = 2").select(k.alias("id"), F.col("n_name").alias("name"), F.lit("SP").alias("state"), F.inline(F.array(F.struct(F.lit(0).alias("rank"), F.lit("https://facebook.com/x").alias("href")), F.struct(F.lit(1).alias("rank"), own.alias("href")))), F.lit("").alias("snippet"))
+    live = guessed.unionByName(n.where("n_nationkey % 4 = 2").select(own.alias("url"), F.lit(True).alias("ok")))
+    out = scope.resolve_sites(targets, live, delivery.search_sites(results, live))
+    return out.select(F.col("id").alias("n_nationkey"), "site", "site_status")
+
+
+@query("SELECT n_nationkey, pos, 'https://n' || n_nationkey || '.example/' || ['equipe_governo.aspx', 'equipe-de-governo', 'equipe-governo', 'estrutura-organizacional', 'secretarias', 'secretaria', 'gabinete', 'prefeito', 'contato', 'fale-conosco'][pos + 1] AS url FROM (SELECT n_nationkey, unnest(range(0, 10))::INTEGER AS pos FROM nation)")
+def fallback_paths(spark, sf):
+    site = F.concat(F.lit("https://N"), F.col("n_nationkey").cast("string"), F.lit(".example/home?x=1"))
+    return table(spark, sf, "nation").select("n_nationkey", F.posexplode(delivery.fallback_urls(site)).alias("pos", "url"))
+
+
+@query("SELECT p_partkey, substr(p_name, 1, 5) AS capped FROM part")
+def byte_cap(spark, sf):
+    return table(spark, sf, "part").select("p_partkey", urls.capped_text(F.col("p_name").cast("binary"), 5).alias("capped"))
+
+
 # --- records -----------------------------------------------------------------------------
 
 _SUPPLIED = """SELECT s_suppkey, n_name, CASE s_suppkey % 4 WHEN 0 THEN 'Prefeito' WHEN 1 THEN 'Planejamento' WHEN 2 THEN '' ELSE 'Vice-prefeito' END AS role, CASE WHEN s_suppkey % 5 = 0 THEN '' ELSE s_name END AS name,
@@ -134,6 +174,27 @@ def coverage_rows(spark, sf):
     return out.select("target", "role", "name", "email", "status", F.col("ordinal.rank").alias("rank"))
 
 
+@query("SELECT s_suppkey, " + case("s_suppkey", ["true", "true", "true", "true", "false", "false", "false"]) + " AS place FROM supplier")
+def place_names(spark, sf):
+    k = F.col("s_suppkey")
+    name = pick(k, ["Nova Vila Serra", "nova vila serra/SP", "Nova Vila Serra Norte", "Nova Vila", "Vila Serra", "Ana Lima", ""])
+    return table(spark, sf, "supplier").select("s_suppkey", scope.names_a_place(name, F.lit("Nova Vila Serra"), F.lit("SP")).alias("place"))
+
+
+@query("""SELECT min(s_suppkey) AS s_suppkey, 'Rio das Ostras' AS target, 'a@b.cc; c@d.ee' AS email, '(11) 3333-4444; (21) 99999-8888' AS phone, 'Contato geral' AS role, 'Contato geral' AS unit, 'Necessita validação manual' AS status, 'https://h.example/x' AS source_url FROM supplier GROUP BY s_nationkey""")
+def normalise_rows(spark, sf):
+    s = table(spark, sf, "supplier").select("s_suppkey", F.col("s_nationkey").cast("string").alias("state"))
+    given = {"target": "RIO das ostras", "sphere": "", "role": " ", "name": "n", "email": "A@b.cc;C@d.ee; a@B.cc", "phone": "11 33334444;+55 21 99999 8888", "mobile": "", "source_url": "", "page_url": "HTTPS://H.example/x#f", "status": "odd", "notes": ""}
+    out = records.normalise(s.withColumns({c: F.lit(v) for c, v in given.items()}), "s_suppkey")
+    return out.select("s_suppkey", "target", "email", "phone", "role", "unit", "status", "source_url")
+
+
+@query("SELECT s_suppkey FROM supplier WHERE s_suppkey % 3 = 0")
+def sphere_filter(spark, sf):
+    rows = table(spark, sf, "supplier").select("s_suppkey", pick(F.col("s_suppkey"), [" municipal", "Estadual", None]).alias("sphere"))
+    return scope.sphere(scope.sphere(rows, "Municipal").drop("sphere"), "Estadual")
+
+
 @query("""SELECT user_id, event_type, min(event_id) AS event_id FROM (SELECT *, max((value > 10)::INT) OVER (PARTITION BY user_id) AS strong FROM events) WHERE value > 10 OR strong = 0 GROUP BY user_id, event_type, value > 10""")
 def dedupe_extraction(spark, sf):
     e = table(spark, sf, "events")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -31,3 +31,18 @@ def upsert(read: Callable[[], DataFrame], write: Callable[[DataFrame], None], ke
         write(latest(read().unionByName(batch, allowMissingColumns=True), keys, time))
 
     return apply
+
+
+def resume(spark: SparkSession, folder: str, schema: str, work: Callable[[DataFrame], DataFrame], out: str, checkpoint: str) -> int:
+    """Run ``work`` on the Parquet files of ``folder`` that no earlier run has done, and append its rows to ``out``.
+
+    What is done is kept in ``checkpoint``; a batch that failed is run again as a whole and takes the place of what it had written. Returns the number of batches of this run.
+    """
+    ran: list[int] = []
+
+    def apply(batch: DataFrame, number: int) -> None:
+        work(batch).write.mode("overwrite").parquet(f"{out}/batch={number}")
+        ran.append(number)
+
+    spark.readStream.schema(schema).parquet(folder).writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return len(ran)

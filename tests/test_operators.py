@@ -358,3 +358,13 @@ def test_best_attempt_and_links(spark):
     seeds = spark.createDataFrame([("t", "https://v.example/")], "target string, url string")
     got = frontier.crawl(seeds, frontier.page_links(pages), blocked=spark.createDataFrame([("t",)], "target string"))
     assert got.where("round = 0").count() == 11 and got.where("url = 'https://v.example/contato'").count() == 1
+
+
+def test_resume_runs_new_files_only(spark, tmp_path):
+    folder, out, done = (str(tmp_path / x) for x in ("in", "out", "done"))
+    schema = "k int, v string"
+    run = lambda: incremental.resume(spark, folder, schema, lambda df: df.withColumn("v", F.upper("v")), out, done)
+    spark.createDataFrame([(1, "a")], schema).coalesce(1).write.parquet(folder)
+    assert run() == 1 and run() == 0
+    spark.createDataFrame([(2, "b")], schema).coalesce(1).write.mode("append").parquet(folder)
+    assert run() == 1 and rows(spark.read.parquet(out), "k", "v") == [(1, "A"), (2, "B")]
