@@ -1,8 +1,15 @@
 """The corpus pipeline: toxicity, near duplicates, decontamination, mixing, token files.
 
 Each stage takes what the one before kept and, but for the last, returns the columns
-of ``documents``. ``run`` writes each stage's result to the shared folder and rereads
+of ``documents``; other columns go. ``run`` writes each stage's result to the shared folder and rereads
 it, so a lost executor costs a part of one stage and no stage runs twice.
+
+For all stages: an empty table gives an empty result. Nulls may stand in any column. Texts are
+read whole, however long. A null, an empty text or one without words is clean, is no
+near duplicate, overlaps nothing, has probability 1 in the mixture and is the end id alone
+in a token file. Repeated rows count as one document in the near-duplicate stage and
+stand side by side in all others; ties go to the smaller id, then to hashes of the text. Names of extra columns can't clash with
+the operators' own, as the documents' columns travel in one struct.
 """
 
 from __future__ import annotations
@@ -17,7 +24,10 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go; it learns from the labels of documents that are not held out."""
+    """Documents that the classifier rejects go; it learns from the labels of documents that are not held out.
+
+    Without labels of both classes everything stays or, where all labels are toxic, goes. Documents without an id are judged as others are.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     scored = toxicity.score_toxicity(docs, toxicity.fit(docs, labels), carry=COLUMNS)
     return scored.where("predicted = 0").select("row.*")
@@ -40,18 +50,21 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that overlap a benchmark item go."""
+    """Documents that overlap a benchmark item go. Null and empty items are ignored; without items everything stays."""
     bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontaminate.decontaminate(docs, bench, carry=COLUMNS).where("NOT contaminated").select("row.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents are kept with the calibrated probability of their cell."""
+    """Documents are kept with the calibrated probability of their cell, by a hash of their id: documents without an id share one draw.
+
+    Documents of a null source or language, and those of a language without a target, are cells of their own.
+    """
     return mixing.mix(docs, carry=COLUMNS).where("sampled").select("row.*")
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files of what is left, and what they say when read back."""
+    """Token files of what is left, and what they say when read back: a row a document, in the order of the ids, those without an id last."""
     return token_files.token_round_trip(docs)
 
 
