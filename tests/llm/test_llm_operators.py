@@ -9,6 +9,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -159,8 +160,10 @@ def test_minhash_dedup(docs, none, percent):
     assert minhash_dedup.minhash_dedup(none).count() == 0
 
 
-def test_minhash_blocks_of_large_components(spark, monkeypatch):
+@pytest.mark.parametrize("pivots", [1, 5, 64])
+def test_minhash_blocks_of_large_components(spark, monkeypatch, pivots):
     monkeypatch.setattr(minhash_dedup, "BLOCK_CLASSES", 8)
+    monkeypatch.setattr(minhash_dedup, "PIVOTS", pivots)
     rng = np.random.default_rng(5)
     base = list(rng.choice(WORDS, 120))
     rows = []
@@ -413,6 +416,42 @@ def test_sharding_keeps_groups_that_fit_whole(spark):
     assert not [t for t, s in shards.items() if len(s) > 1]
 
 
+def fewest_split(sizes, room):
+    """Fewest groups that any placement splits, by trying all of them; documents alone fill what is left."""
+    best = len(sizes)
+
+    def place(k, left, split):
+        nonlocal best
+        if split >= best:
+            return
+        if k == len(sizes):
+            best = split
+            return
+        for s in {left[i]: i for i in range(len(left)) if left[i] >= sizes[k]}.values():
+            place(k + 1, [x - sizes[k] * (i == s) for i, x in enumerate(left)], split)
+        rest, after = sizes[k], list(left)
+        for i in sorted(range(len(after)), key=lambda i: after[i]):  # the fullest first: what a split leaves is in few shards
+            part = min(rest, after[i])
+            after[i] -= part
+            rest -= part
+        place(k + 1, after, split + 1)
+
+    place(0, list(room), 0)
+    return best
+
+
+@pytest.mark.parametrize("sizes", [[5, 5, 5, 5], [6, 6, 3, 3, 2], [9, 4, 4, 4, 2, 2], [3] * 7, [8, 7, 2, 2, 2, 2]])
+def test_sharding_splits_as_few_groups_as_any_placement(spark, sizes):
+    total = sum(sizes) + 4
+    rows = [f"group {g}" for g, n in enumerate(sizes) for _ in range(n)] + [f"alone {i}" for i in range(4)]
+    out = sharding.shard_documents(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"), shards=3).collect()
+    shards = collections.defaultdict(set)
+    for r in out:
+        shards[rows[r["doc_id"]]].add(r["shard"])
+    room = [total // 3 + (s < total % 3) for s in range(3)]
+    assert sum(len(s) > 1 for s in shards.values()) <= fewest_split(sorted(sizes, reverse=True), room) + 1
+
+
 def test_quotas_keep_rooms():
     wish = {(0, 1): 10, (1, 0): 4, (2, 1): 10, (1, 2): 1}
     got = sharding.quotas(wish, [5, 5, 10], [9, 8, 10])
@@ -483,6 +522,18 @@ def test_mixing_meets_targets(spark):
     assert (cells.groupby("source").weight.sum() - tokens / tokens.sum()).abs().max() < 1e-3
 
 
+def test_mixing_residual_with_production_rounds(spark):
+    """After the production number of rounds every marginal is within a thousandth of its target."""
+    rng = np.random.default_rng(16)
+    rows = [(i, " ".join(["w"] * int(rng.integers(1, 1500))), ["en", "de", "fr", "es"][int(rng.integers(0, 4))], f"s{int(rng.integers(0, 20))}") for i in range(1500)]
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"))
+    cells = out.select("source", "lang", "topic", "weight").distinct().toPandas()
+    for name, targets in (("lang", mixing.LANGUAGES), ("topic", mixing.TOPICS)):
+        assert (cells.groupby(name).weight.sum() - pd.Series(targets)).abs().max() < 1e-3
+    tokens = out.groupBy("source").agg(F.sum("n_tokens").alias("t")).toPandas().set_index("source").t ** 0.5
+    assert (cells.groupby("source").weight.sum() - tokens / tokens.sum()).abs().max() < 1e-3
+
+
 def test_mixing_rakes_every_source(spark, monkeypatch):
     rng = np.random.default_rng(7)
     rows = [(i, " ".join(["w"] * int(rng.integers(0, 1500))), ["en", "de", "fr", "es", "it", None][int(rng.integers(0, 6))], [f"s{i % 9}", None][i % 31 == 0]) for i in range(300)]
