@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gazetta.operators import delivery, quality, scope
-from gazetta.sources.tables import exists, write_manifest, write_report, write_tables
+from gazetta.sources.tables import config_table, exists, write_manifest, write_report, write_tables
 
 Tables = dict[str, DataFrame]
 LOT_TABLES = ("data", "targets", "pending", "sources")
@@ -122,9 +122,9 @@ def main(argv: Sequence[str] | None = None) -> int:
     run_lots(targets, lambda some: build(some.drop("ordinal"), pages.join(some.select("target"), "target", "left_semi"), args.collected_on), folder, args.chunk_size, args.force)
     names = [r["lot"] for r in lots(targets, args.chunk_size).select("lot").distinct().orderBy("lot").collect()]
     tables = consolidate(spark, folder, names)
-    tables |= {"consolidated": tables["data"], "summary": quality.summary(tables["data"], tables["targets"], tables["pending"], args.collected_on), "configuration": pages.limit(0)}
+    tables |= {"consolidated": tables["data"], "summary": quality.summary(tables["data"], tables["targets"], tables["pending"], args.collected_on), "configuration": config_table(spark, {"run": vars(args)})}
     issues = quality.audit(tables, ["state", "target", "sphere", "ordinal"], quality.expected_municipal(places, scope.limits(spark)) if not (args.state or args.target or args.limit) else None)
-    write_tables({n: df.drop("ordinal") for n, df in tables.items() if n != "configuration"}, f"{args.output}/tables")
+    write_tables({n: df.drop("ordinal") for n, df in tables.items()}, f"{args.output}/tables")
     return write_report(issues, f"{args.output}/audit")
 
 
