@@ -6,25 +6,24 @@ round. What comes out is a weight for each cell, its target share of the tokens
 the mixture. Documents are then kept with the calibrated probability of their cell,
 by a hash of their id, so that the same documents stay in every run.
 
-Every source has a target of its own. Where there are few sources, the cell table is
-put into one partition, where all rounds run without a shuffle, and is broadcast back
-to the documents. Where there are more, the table has one row a source with its
-tokens for each language and topic: the factor of a source follows from its row, so a
-round is one sum over the rows, and the result is joined without a broadcast. Both
-take the same steps.
+Every source has a target of its own, and there may be any number of sources. The table
+that is raked has one row a source with its tokens for each language and topic: the
+factor of a source follows from its row, so a round is one sum over the rows. What the
+driver sees is a number for each pair of language and topic. Spark broadcasts the weights back to the
+documents while their size allows, and shuffles beyond.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gazetta.llm.common import column, materialise
 
-#: Production parameters: rounds, the power that tempers the shares of sources, cells and sources of a table in one partition at most.
-ROUNDS, TEMPER, MOST_CELLS, MOST_VALUES = 12, 0.5, 200_000, 5_000
+#: Production parameters: rounds, the power that tempers the shares of sources.
+ROUNDS, TEMPER = 12, 0.5
 LANGUAGES = {"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15}
 TOPICS = {"short": 0.03, "medium": 0.55, "long": 0.42}
 REST = "(rest)"
@@ -44,19 +43,12 @@ def uniform(key: Column) -> Column:
     return F.conv(F.substring(F.md5(key.cast("string").cast("binary")), 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
 
 
-def rake(cells: DataFrame, names: list[str], rounds: int) -> DataFrame:
-    """Scale ``w`` until each marginal of ``names`` meets its column ``t_<name>``, in proportion."""
-    for _ in range(rounds):
-        for name in names:
-            w = Window.partitionBy(name)
-            cells = cells.withColumn("w", F.col("w") * F.col(f"t_{name}") / F.sum("w").over(w))
-    return cells
-
-
 def rake_rows(cells: DataFrame, targets: tuple[dict[str, float] | None, ...], temper: float, rounds: int) -> DataFrame:
     """Cells (source, lang_class, topic, w, p) raked to all sources: a row a source, a sum over the rows each round."""
     sums = {(r["lang_class"], r["topic"]): float(r["t"]) for r in cells.groupBy("lang_class", "topic").agg(F.sum("tokens").alias("t")).collect()}
     pairs, total = sorted(sums), sum(sums.values())
+    if not pairs:
+        return cells.select("source", "lang_class", "topic", F.lit(0.0).alias("w"), F.lit(1.0).alias("p"))
     wanted, factor = [], []
     for i, given in enumerate(targets):
         own: dict[str, float] = {}
@@ -87,29 +79,6 @@ def rake_rows(cells: DataFrame, targets: tuple[dict[str, float] | None, ...], te
     return told.select("source", "lang_class", "topic", (F.col("ratio") * F.col("tokens")).alias("w"), (F.col("ratio") / F.lit(most)).alias("p"))
 
 
-def _rake_at_once(cells: DataFrame, names: list[str], languages: dict[str, float], topics: dict[str, float], temper: float, rounds: int) -> DataFrame:
-    """Cells with ``w`` and ``p``, for a cell table of bounded size."""
-    # One partition from here on: the windows of all rounds run without a shuffle.
-    everything = Window.partitionBy()
-    one = cells.coalesce(1)
-    for name, given in zip(names, (None, languages, topics), strict=True):
-        own = F.sum("tokens").over(Window.partitionBy(name)).cast("double")
-        if given is None:
-            wanted = F.pow(own, F.lit(temper))
-        else:
-            wanted = own / F.sum("tokens").over(everything)
-            for value, share in given.items():
-                wanted = F.when(F.col(name) == value, F.lit(float(share))).otherwise(wanted)
-        # A value's target counts once, at the first of its cells; shares are of the values that are there.
-        once = F.row_number().over(Window.partitionBy(name).orderBy(*names)) == 1
-        one = one.withColumn("wanted", wanted).withColumn("once", F.when(once, F.col("wanted")))
-        one = one.withColumn(f"t_{name}", F.col("wanted") / F.sum("once").over(everything)).drop("wanted", "once")
-    one = one.withColumn("w", F.col("tokens") / F.sum("tokens").over(everything))
-    raked = materialise(rake(one, names, rounds).select(*names, "tokens", "w"))
-    ratio = F.col("w") / F.col("tokens")
-    return raked.coalesce(1).select(*names, "w", (ratio / F.max(ratio).over(everything)).alias("p"))
-
-
 def mix(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -140,13 +109,11 @@ def mix(
     base = docs.select(column(docs, id_col).cast("long").alias("id"), F.coalesce(column(docs, source_col), F.lit(REST)).alias("source"), F.coalesce(column(docs, lang_col), F.lit(REST)).alias("lang"), n.alias("n_tokens"), row.alias("row"))
     lang_class = F.when(F.col("lang").isin(list(languages)), F.col("lang")).otherwise(REST)
     base = base.withColumns({"lang_class": lang_class, "topic": topic(F.col("n_tokens"))})
-    tokens = materialise(base.groupBy("source", "lang_class", "topic").agg(F.sum("n_tokens").alias("tokens")))
-    cells = materialise(tokens.where("tokens > 0"))
+    if not carry:  # without the texts the table is narrow: words are counted once
+        base = materialise(base)
     names = ["source", "lang_class", "topic"]
-    if cells.select("source").distinct().count() <= MOST_VALUES and cells.count() <= MOST_CELLS:
-        told = base.join(F.broadcast(_rake_at_once(cells, names, languages, topics, temper, rounds)), names, "left")
-    else:
-        told = base.join(rake_rows(cells, (languages, topics), temper, rounds).hint("rebalance"), names, "left")
+    cells = materialise(base.groupBy(*names).agg(F.sum("n_tokens").alias("tokens")).where("tokens > 0"))
+    told = base.join(rake_rows(cells, (languages, topics), temper, rounds), names, "left")
     p = F.round(F.coalesce("p", F.lit(1.0)), 9)
     return told.select(
         F.col("id").alias(id_col),
