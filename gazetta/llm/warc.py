@@ -29,6 +29,8 @@ from gazetta.llm.common import NO_ID, column, materialise, qualified, scratch_di
 from gazetta.llm.shared_files import read_files, write_file
 
 LEAST, SUFFIX, FILE_BYTES = 1000, ".warc.gz", 8 << 20
+#: Parts into which rows without an id are dealt.
+SALTS = 64
 KINDS = ("request", "response", "metadata")
 DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -177,10 +179,13 @@ def write_archives(pages: DataFrame, folder: str, page_col: str = "page_id", url
     first = keys.groupBy("digest").agg(F.max("page").alias("last"), F.count(F.lit(1)).alias("k")).where("k > 1").select("digest", "last").hint("rebalance")
     revisits = keys.join(first, "digest").where("page != last").groupBy("page").agg(F.collect_set(F.struct("digest", "last")).alias("known"))
     original = F.filter("known", lambda x: x["digest"] == F.col("digest"))
-    named = base.join(revisits, "page", "left").withColumn("original", F.when(F.size(original) > 0, original[0]["last"])).drop("known")
+    # Rows without an id never revisit (theirs is the largest); they are dealt by a salt, which is 0 for all others.
+    base = base.withColumn("salt", F.when(F.col("page") == NO_ID, F.pmod(F.xxhash64("digest", "url"), F.lit(SALTS)).cast("int")).otherwise(0))
+    named = base.join(revisits.withColumn("salt", F.lit(0)), ["page", "salt"], "left").withColumn("original", F.when(F.size(original) > 0, original[0]["last"])).drop("known")
     # Only ids that several rows share need a number, which tells their records apart.
-    numbered = F.row_number().over(Window.partitionBy("page").orderBy(F.col("original").isNotNull(), "url", "digest"))
-    ready = named.withColumn("copy", numbered - 1).select("page", "copy", "url", "html", "digest", "original")
+    nth = F.row_number().over(Window.partitionBy("page", "salt").orderBy(F.col("original").isNotNull(), "url", "digest")) - 1
+    copy = F.when(F.col("page") == NO_ID, nth * SALTS + F.col("salt")).otherwise(nth)
+    ready = named.withColumn("copy", copy).select("page", "copy", "url", "html", "digest", "original")
     return materialise(ready.mapInArrow(_write(qualified(pages.sparkSession, folder)), "written long")).agg(F.sum("written")).first()[0] or 0
 
 
