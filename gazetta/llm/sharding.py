@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 
 from gazetta.llm.common import NO_ID, column, materialise, unsigned_crc32, wide_key
 
-#: Parts into which ranks are cut, hash classes of equal gain, and rounds at most.
-PARTS, CLASSES, ROUNDS = 1024, 16, 8
+#: Parts into which ranks are cut at least, documents of a part about, hash classes of equal gain, and rounds at most.
+PARTS, PART_ROWS, CLASSES, ROUNDS = 1024, 1_000_000, 16, 8
 
 
 def ranked(df: DataFrame, within: list[str], by: Column, order: list[Column], name: str, parts: int) -> DataFrame:
@@ -216,7 +216,7 @@ def shard_documents(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", t
     room = [total // shards + (s < total % shards) for s in range(shards)]
 
     # Linked documents in group order, dealt one by one: rank r goes to shard r mod shards.
-    parts = PARTS
+    parts = max(PARTS, -(-total // PART_ROWS))
     many = groups.where("n > 1").withColumn("part", F.pmod("g1", F.lit(parts)).cast("int"))
     whole = many.groupBy("part").agg(F.sum("n").alias("many"))
     whole = whole.withColumn("base", F.coalesce(F.sum("many").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("many")
