@@ -160,10 +160,8 @@ def test_minhash_dedup(docs, none, percent):
     assert minhash_dedup.minhash_dedup(none).count() == 0
 
 
-@pytest.mark.parametrize("pivots", [1, 5, 64])
-def test_minhash_blocks_of_large_components(spark, monkeypatch, pivots):
+def test_minhash_blocks_of_large_components(spark, monkeypatch):
     monkeypatch.setattr(minhash_dedup, "BLOCK_CLASSES", 8)
-    monkeypatch.setattr(minhash_dedup, "PIVOTS", pivots)
     rng = np.random.default_rng(5)
     base = list(rng.choice(WORDS, 120))
     rows = []
@@ -534,19 +532,33 @@ def test_mixing_residual_with_production_rounds(spark):
     assert (cells.groupby("source").weight.sum() - tokens / tokens.sum()).abs().max() < 1e-3
 
 
-def test_mixing_rakes_every_source(spark, monkeypatch):
+@pytest.mark.parametrize("sources", [9, 200])
+def test_mixing_against_plain_raking(spark, sources):
+    """Every cell against iterative proportional fitting in numpy, with nulls, languages without a target and empty texts."""
     rng = np.random.default_rng(7)
-    rows = [(i, " ".join(["w"] * int(rng.integers(0, 1500))), ["en", "de", "fr", "es", "it", None][int(rng.integers(0, 6))], [f"s{i % 9}", None][i % 31 == 0]) for i in range(300)]
-    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
-    values = lambda: {r["doc_id"]: (r["source"], r["topic"], r["weight"], r["probability"]) for r in mixing.mix(df).collect()}
-    want = values()
-    for name in ("MOST_VALUES", "MOST_CELLS"):
-        with monkeypatch.context() as m:
-            m.setattr(mixing, name, 3)
-            got = values()
-        assert got.keys() == want.keys()
-        for i, (source, kind, weight, p) in want.items():
-            assert got[i][:2] == (source, kind) and abs(got[i][2] - weight) < 2e-9 and abs(got[i][3] - p) < 2e-9
+    rows = [(i, " ".join(["w"] * int(rng.integers(0, 1500))), ["en", "de", "fr", "es", "it", None][int(rng.integers(0, 6))], [f"s{i % sources}", None][i % 31 == 0]) for i in range(400)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
+    kind = lambda n: "short" if n < 100 else "medium" if n < 1000 else "long"
+    cell = {i: (s or "(rest)", g if g in mixing.LANGUAGES else "(rest)", kind(len(t.split()))) for i, t, g, s in rows}
+    axes = [sorted({c[k] for c in cell.values()}) for k in range(3)]
+    tokens = np.zeros([len(a) for a in axes])
+    for i, t, _, _ in rows:
+        tokens[tuple(a.index(v) for a, v in zip(axes, cell[i], strict=True))] += len(t.split())
+    w, targets = tokens / tokens.sum(), []
+    for k, given in enumerate((None, mixing.LANGUAGES, mixing.TOPICS)):
+        own = tokens.sum(axis=tuple({0, 1, 2} - {k}))
+        want = own**mixing.TEMPER if given is None else np.array([given.get(v, own[n] / own.sum()) for n, v in enumerate(axes[k])])
+        targets.append(np.where(own > 0, want, 0) / np.where(own > 0, want, 0).sum())
+    for _ in range(mixing.ROUNDS):
+        for k in range(3):
+            own = w.sum(axis=tuple({0, 1, 2} - {k}), keepdims=True)
+            w = w * np.divide(np.reshape(targets[k], own.shape), own, out=np.zeros_like(own), where=own > 0)
+    p = np.divide(w, tokens, out=np.zeros_like(w), where=tokens > 0)
+    p = np.where(tokens > 0, p / p.max(), 1.0)
+    assert len(got) == len(rows)
+    for r in got:
+        at = tuple(a.index(v) for a, v in zip(axes, cell[r["doc_id"]], strict=True))
+        assert abs(r["weight"] - w[at]) < 2e-9 and abs(r["probability"] - p[at]) < 2e-9
 
 
 def test_warc(spark):
@@ -596,6 +608,15 @@ def test_warc_long_pages(spark):
     assert got == [(1, 800_000, "revisit", 2), (2, 800_000, "response", None)]
 
 
+def test_warc_pages_without_id(spark, tmp_path):
+    rows = [(None, f"u{n % 7}", "z" * 1200 if n % 2 else "short") for n in range(90)] + [(1, "v", "z" * 1200), (1, "w", "other"), (1, "w", "other")]
+    folder = f"file://{tmp_path}/w"
+    assert warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string"), folder) == 93
+    got = warc.read_records(spark, folder).collect()
+    assert len({r["record_id"] for r in got}) == len(got) == 3 * 93
+    assert collections.Counter(r["kind"] for r in got) == {"request": 93, "metadata": 93, "response": 92, "revisit": 1}
+
+
 @pytest.mark.parametrize(("page", "copy", "kind"), [(0, 0, "request"), (-1, 3, "response"), ((1 << 63) - 1, 9, "metadata"), (-(1 << 63), 0, "request"), (123456789, 1 << 40, "response")])
 def test_record_ids_hold_the_page(page, copy, kind):
     assert warc.page_of(warc.record_id(page, copy, kind)) == page
