@@ -9,9 +9,10 @@ address, four digits or a word of a role can't have a record and never leave the
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field, replace
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -476,17 +477,23 @@ def extract_contacts(pages: DataFrame, keys: list[str], text_col: str = "text",
 
 
 def register(spark: SparkSession, config: dict[str, list[str]] | None = None) -> None:
-    """The extraction for SQL: the table function ``extract_contacts(text, url)`` and scalar helpers."""
+    """The extraction for SQL, by Arrow batches: the table function ``extract_contacts(text, url)`` and scalar helpers."""
     from pyspark.sql.functions import udtf
 
-    @udtf(returnType="pos int, " + SCHEMA)
+    @udtf(returnType="pos int, " + SCHEMA, useArrow=True)
     class ExtractContacts:
         def eval(self, text: str, url: str):
             yield from ((pos, *row) for pos, row in enumerate(contacts_of_text(text, url, config)))
 
+    def scalar(name: str, kind: str, of: Callable[[str], object]) -> None:
+        def column(values: pd.Series) -> pd.Series:
+            return values.map(lambda v: of(v or ""))
+
+        spark.udf.register(name, F.pandas_udf(column, kind))
+
     spark.udtf.register("extract_contacts", ExtractContacts)
-    spark.udf.register("extract_emails", lambda text: emails(text or ""), "array<string>")
-    spark.udf.register("extract_phones", lambda text: phones(text or ""), "array<string>")
-    spark.udf.register("detect_roles", lambda text: lexicon(config).roles(norm_python(text or "")), "array<string>")
-    spark.udf.register("nearest_name", lambda text: extraction(config).names.near(text or ""), "string")
-    spark.udf.register("valid_name", lambda name: Names(lexicon(config)).valid(name or ""), "boolean")
+    scalar("extract_emails", "array<string>", emails)
+    scalar("extract_phones", "array<string>", phones)
+    scalar("detect_roles", "array<string>", lambda text: lexicon(config).roles(norm_python(text)))
+    scalar("nearest_name", "string", lambda text: extraction(config).names.near(text))
+    scalar("valid_name", "boolean", lambda name: Names(lexicon(config)).valid(name))

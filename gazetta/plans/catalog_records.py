@@ -309,6 +309,24 @@ def contact_rows(spark, sf):
     return contacts.extract_contacts(s, ["s_suppkey"], url_col="url").select("s_suppkey", "role", "name", "email")
 
 
+@query("SELECT s_suppkey, " + case("s_suppkey", ["'Ana Lima Souza'", "'Bruno Costa'", "''", "''", "''", "'Ana Lima'"]) + " AS name FROM supplier")
+def nearest_names(spark, sf):
+    contacts.register(spark)
+    block = pick(F.col("s_suppkey"), ["nome: Ana Lima Souza, 40", "Titular: Bruno Costa\nx", "Foto: Bruno Costa", "Rua Bruno Costa, 30", "o prefeito e sua esposa Ana Lima", "Ana Lima é a prefeita"])
+    return table(spark, sf, "supplier").select("s_suppkey", F.call_function("nearest_name", block).alias("name"))
+
+
+@query("""SELECT s_suppkey, 'Secretaria de Planejamento' AS role, 'Bruno Costa Alves' AS name, CASE WHEN s_suppkey % 2 = 0 THEN 'p@x.example' ELSE '' END AS email, CASE WHEN s_suppkey % 2 = 1 THEN '(11) 3333-4444' ELSE '' END AS phone FROM supplier
+UNION ALL SELECT s_suppkey, 'Secretaria de Finanças/Fazenda', 'Carla Dias Melo', 'f' || s_suppkey || '@x.example', '' FROM supplier WHERE s_suppkey % 2 = 1""")
+def unit_contacts(spark, sf):
+    """Units that present who leads them, and lists of units."""
+    k = F.col("s_suppkey")
+    presented = F.lit("Secretaria de Planejamento\nConheça o Secretário\nBruno Costa Alves\nSecretário Municipal de Planejamento\np@x.example\nEndereço: Rua Um\ny@x.example")
+    listed = F.concat(F.lit("Secretaria Municipal de Planejamento\nSecretário: Bruno Costa Alves\n(11) 3333-4444\nSecretaria Municipal da Fazenda\nResponsável\nCarla Dias Melo\nf"), k.cast("string"), F.lit("@x.example\nDepartamento de Obras\no@x.example"))
+    s = table(spark, sf, "supplier").select("s_suppkey", F.when(k % 2 == 0, presented).otherwise(listed).alias("text"), F.lit("https://h/estrutura").alias("url"))
+    return contacts.extract_contacts(s, ["s_suppkey"], url_col="url").select("s_suppkey", "role", "name", "email", "phone")
+
+
 @query("SELECT s_suppkey, 'Prefeito' AS role, 'Ana Lima' AS name, 's' || s_suppkey || '@x.example' AS email FROM supplier")
 def contact_table_function(spark, sf):
     contacts.register(spark)
