@@ -427,10 +427,11 @@ class Extraction:
 
     def records(self, text: str | None, url: str | None = "") -> list[Record]:
         url, text = url or "", without_noise(text)
-        units = distinct([*self.presentations(text, url), *self.unit_list(text, url)])
+        named = self.lex.any.search(norm_python(text)) is not None
+        units = distinct([*self.presentations(text, url), *self.unit_list(text, url)]) if named else []
         if units:
             return units
-        out = found = self.profiles(text, url)
+        out = found = self.profiles(text, url) if named else []
         for block in blocks(text):
             out = [*out, *self.block_records(block, url, found)]
         out = distinct(merged(out, url))

@@ -115,6 +115,9 @@ class Lexicon:
                 if tokens:
                     self.starts.setdefault(tokens[0], []).append((tokens, role))
                 self.whole.setdefault(v.replace("-", " "), role)
+        # A text that names a role, however, holds the longest word of some form of it.
+        longest = {max(re.split(r"[\s-]+", v), key=len) for role, variants in self.variants.items() for v in (norm_python(role), *variants)}
+        self.any = re.compile("|".join(sorted(map(re.escape, longest | {"gabinete"}))))
         self.cabinet = next((r for r, vs in self.variants.items() if "gabinete do prefeito" in vs), None)
 
     @staticmethod
@@ -128,7 +131,7 @@ class Lexicon:
 
     def roles(self, low: str) -> list[str]:
         """The roles that a normal form names as whole words, in the order of the configuration."""
-        found = [role for role, pattern in self.mentions if pattern.search(low)]
+        found = [role for role, pattern in self.mentions if pattern.search(low)] if self.any.search(low) else []
         if _NAMED_ECONOMY in found and "desenvolvimento economico" in low:
             found = [r for r in found if r != "Secretaria de Desenvolvimento"]
         return found
