@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 from pyspark.sql import Column
@@ -172,7 +173,11 @@ def norm_python_key(value: str) -> str:
     return re.sub("[^a-z0-9]+", "_", bare.strip().lower()).strip("_")
 
 
+#: Combining marks, as one class.
+_MARKS = re.compile("[" + "".join(chr(c) for c in range(0x300, 0x1F000) if unicodedata.combining(chr(c))) + "]")
+
+
 def norm_python(text: str) -> str:
     """``norm_search`` for text that Python holds."""
-    bare = text if text.isascii() else "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
+    bare = text if text.isascii() else _MARKS.sub("", unicodedata.normalize("NFKD", text))
     return " ".join(bare.lower().split())
