@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazetta.llm import decontaminate, embedding_dedup, line_dedup, minhash_dedup, mixing, sharding, substring_dedup, token_files, toxicity, warc
+from gazetta.llm import collocations, decontaminate, embedding_dedup, filter_audit, line_dedup, minhash_dedup, mixing, quality, sharding, substring_dedup, token_files, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,5 +55,19 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {"op1_line_dedup": op1_line_dedup, "op2_substring_dedup": op2_substring_dedup, "op3_decontaminate": op3_decontaminate, "op4_embedding_dedup": op4_embedding_dedup, "op5_minhash_dedup": op5_minhash_dedup, "op6_sharding": op6_sharding, "op7_token_files": op7_token_files, "op8_mixing": op8_mixing, "op9_warc": op9_warc, "op10_toxicity": op10_toxicity}
+QUERIES |= {"op11_collocations": op11_collocations, "op12_quality": op12_quality, "op13_filter_audit": op13_filter_audit}
 ORACLES = {"op1_line_dedup": line_dedup.ORACLE, "op2_substring_dedup": substring_dedup.ORACLE, "op8_mixing": mixing.oracle(), "op9_warc": warc.ORACLE}
+ORACLES |= {"op11_collocations": collocations.ORACLE, "op13_filter_audit": filter_audit.ORACLE}
