@@ -2,25 +2,27 @@
 
 A text is read in three ways, in this order: units that present who leads them, role
 lines with the profile below them, and blocks of text that hold contacts. Rules for names
-are in ``names``, words in ``lexicon``; both are compiled once a worker. Texts without an
-address, four digits or a word of a role can't have a record and never leave the JVM.
+are in ``names``, words in ``lexicon``; both are compiled once a worker. ASCII texts without an
+address, a number or a word of a role can't have a record and never leave the JVM; others are told so before they are read.
 """
 
 from __future__ import annotations
 
+import functools
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field, replace
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gazetta.functions.extract import EMAIL, GLUED, NOISE, PHONE, ROLES
-from gazetta.functions.lexicon import AGENCY_NAMES, CONTACT_LINES, DATA_SECTIONS, EXECUTIVE, GENERAL, GENERIC_BOXES, PROFILE_STARTS, SUBUNITS, UNIT_TITLES, Lexicon, folded, is_agency, is_root_path, lexicon, out_of_place, path_scope
+from gazetta.functions.lexicon import AGENCY_NAMES, CONTACT_LINES, DATA_SECTIONS, EXECUTIVE, GENERAL, GENERIC_BOXES, PROFILE_STARTS, SUBUNITS, UNIT_TITLES, Lexicon, folded, is_agency, is_root_path, lexicon, out_of_place, path_scope, role_stems
 from gazetta.functions.names import NAME, Names, full_lines, line_key, near_address, only_in_addresses
-from gazetta.functions.text import norm_python, norm_search
+from gazetta.functions.text import norm_python
+from gazetta.functions.urls import let
 
 WINDOW, NAME_REACH, LABEL_REACH, MOST_CONTACTS = 80, 4, 9, 4
 NO_CONTACT, NO_ROLE = "Cargo ou nome identificado, mas sem contato direto no mesmo bloco.", "Contato geral sem associação clara a cargo específico."
@@ -427,7 +429,7 @@ class Extraction:
 
     def records(self, text: str | None, url: str | None = "") -> list[Record]:
         url, text = url or "", without_noise(text)
-        named = self.lex.any.search(norm_python(text)) is not None
+        named = self.lex.named(norm_python(text))
         units = distinct([*self.presentations(text, url), *self.unit_list(text, url)]) if named else []
         if units:
             return units
@@ -441,12 +443,14 @@ class Extraction:
         return out
 
 
-_EXTRACTIONS: dict[int, Extraction] = {}
+@functools.lru_cache(maxsize=8)
+def _extraction(lex: Lexicon) -> Extraction:
+    return Extraction(lex)
 
 
-def extraction(config: dict[str, list[str]] | None = None) -> Extraction:
-    lex = lexicon(config)
-    return _EXTRACTIONS.setdefault(id(lex), Extraction(lex))
+def extraction(config: dict[str, list[str]] | None = None, words: Iterable[str] | None = None, phrases: Iterable[str] | None = None) -> Extraction:
+    """The readings with the lexicon of a configuration, made once a worker."""
+    return _extraction(lexicon(config, words, phrases))
 
 
 def contacts_of_text(text: str | None, url: str | None = "", config: dict[str, list[str]] | None = None) -> list[tuple]:
@@ -454,29 +458,67 @@ def contacts_of_text(text: str | None, url: str | None = "", config: dict[str, l
     return [r.row() for r in extraction(config).records(text, url)]
 
 
-def extract_contacts(pages: DataFrame, keys: list[str], text_col: str = "text", url_col: str | None = None, config: dict[str, list[str]] | None = None) -> DataFrame:
-    """One row per record of each text, in order (``pos``), with the key columns. Nulls have no records."""
+def may_hold_records(text: Column, config: dict[str, list[str]] | None = None) -> Column:
+    """Whether a text has a mark of a contact or may name a role: without either it has no record.
+
+    Of ASCII texts that is told by substring searches in lower case. Texts with other characters may have to be folded, which workers do faster.
+    """
+    named = let(F.lower(text), lambda low: functools.reduce(Column.__or__, (low.contains(s) for s in role_stems(config or ROLES))))
+    ascii_only = F.octet_length(text) == F.char_length(text)
+    return text.contains("@") | text.rlike(r"[0-9]{4}[\s.\-]?[0-9]{4}") | ~ascii_only | named
+
+
+_NUMBER = re.compile(r"\d{4}[\s.\-]?\d{4}")
+
+
+def extract_contacts(pages: DataFrame, keys: list[str], text_col: str = "text", url_col: str | None = None, config: dict[str, list[str]] | None = None, words: Iterable[str] | None = None, phrases: Iterable[str] | None = None) -> DataFrame:
+    """One row per record of each text, in order (``pos``), with the key columns. Nulls have no records.
+
+    ``config``: roles with the words that name them; ``words``, ``phrases``: what no name holds (``rules.name_rules`` reads both from a table).
+    """
     schema = ", ".join(f"{k} {dict(pages.dtypes)[k]}" for k in keys) + ", pos int, " + SCHEMA
+    words, phrases = None if words is None else frozenset(words), None if phrases is None else tuple(phrases)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = extraction(config, words, phrases)
         for batch in batches:
             at, rows = [], []
             for i, (t, u) in enumerate(zip(batch.column("_text").to_pylist(), batch.column("_url").to_pylist(), strict=True)):
-                found = contacts_of_text(t, u, config)
-                at += [i] * len(found)
-                rows += [(pos, *row) for pos, row in enumerate(found)]
+                if "@" in t or _NUMBER.search(t) or own.lex.may_name(t):
+                    found = own.records(t, u)
+                    at += [i] * len(found)
+                    rows += [(pos, *r.row()) for pos, r in enumerate(found)]
             cols = [batch.column(k).take(pa.array(at, pa.int64())) for k in keys]
             parts = list(zip(*rows, strict=True)) if rows else [[] for _ in range(len(FIELDS) + 1)]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(parts[0], pa.int32()), *(pa.array(p, pa.string()) for p in parts[1:])], [*keys, "pos", *FIELDS])
 
-    # A record has a contact or is of a role; a text without the marks of either stays behind.
-    terms = sorted({re.escape(norm_python(v)).replace(r"\ ", "[ -]") for role, variants in (config or ROLES).items() for v in (role, *variants)} | {"gabinete"})
     text = F.col(text_col)
-    some = text.contains("@") | text.rlike(r"[0-9]{4}[\s.\-]?[0-9]{4}") | norm_search(text).rlike("|".join(terms))
-    base = pages.where(some).select(*keys, text.alias("_text"), (F.col(url_col) if url_col else F.lit("")).alias("_url"))
+    base = pages.where(may_hold_records(text, config)).select(*keys, text.alias("_text"), (F.col(url_col) if url_col else F.lit("")).alias("_url"))
     return base.mapInArrow(run, schema)
 
 
+def role_mentions(pages: DataFrame, keys: list[str], text_col: str = "text", config: dict[str, list[str]] | None = None) -> DataFrame:
+    """One row per mention of a role: the key columns, ``start`` and ``size`` in the folded text with single spaces, ``role``; nulls have none."""
+    schema = ", ".join(f"{k} {dict(pages.dtypes)[k]}" for k in keys) + ", start int, size int, role string"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lex = lexicon(config)
+        for batch in batches:
+            at, rows = [], []
+            for i, t in enumerate(batch.column("_text").to_pylist()):
+                for start, end, role in lex.places(norm_python(t)) if lex.may_name(t) else ():
+                    at.append(i)
+                    rows.append((start, end - start, role))
+            cols = [batch.column(k).take(pa.array(at, pa.int64())) for k in keys]
+            start, size, role = zip(*rows, strict=True) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(start, pa.int32()), pa.array(size, pa.int32()), pa.array(role, pa.string())], [*keys, "start", "size", "role"])
+
+    text = F.col(text_col)
+    named = let(F.lower(text), lambda low: functools.reduce(Column.__or__, (low.contains(s) for s in role_stems(config or ROLES))))
+    some = named | (F.octet_length(text) != F.char_length(text))
+    return pages.where(some).select(*keys, text.alias("_text")).mapInArrow(run, schema)
+
+
 def register(spark: SparkSession, config: dict[str, list[str]] | None = None) -> None:
     """The extraction for SQL, by Arrow batches: the table function ``extract_contacts(text, url)`` and scalar helpers."""
     from pyspark.sql.functions import udtf

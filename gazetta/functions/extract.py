@@ -86,9 +86,9 @@ def before_noise(text: Column, noise: list[str] = NOISE) -> Column:
 
 def roles(text: Column, config: dict[str, list[str]] = ROLES) -> Column:
     """The roles that a text names as whole words, in the order of the configuration."""
-    from gazetta.functions.lexicon import Lexicon
+    from gazetta.functions.lexicon import role_pattern
 
     low = norm_search(text)
-    listed = F.array_compact(F.array(*(F.when(low.rlike(pattern.pattern), F.lit(role)) for role, pattern in Lexicon(config).mentions)))
+    listed = F.array_compact(F.array(*(F.when(low.rlike(role_pattern(variants)), F.lit(role)) for role, variants in config.items())))
     wide, narrow = "Secretaria de Desenvolvimento", "Secretaria de Desenvolvimento Econômico"
     return F.when(F.array_contains(listed, narrow) & low.contains("desenvolvimento economico"), F.array_remove(listed, wide)).otherwise(listed)

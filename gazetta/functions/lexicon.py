@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import functools
 import re
+import unicodedata
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 from gazetta.functions.extract import ROLES
+from gazetta.functions.patterns import Automaton, Mentions, stems
 from gazetta.functions.text import ACCENTED, PLAIN, norm_python
 
 GENERAL, EXECUTIVE = "Contato geral", ("Prefeito", "Vice-prefeito", "Chefe de gabinete")
-# Words that no person's name holds. Lists tuned to a country's sites run to
-# hundreds; they are passed as the parameters ``words`` and ``phrases`` of a lexicon.
+# Defaults: words that no person's name holds. Lists tuned to a country's sites run to
+# hundreds; they are rows of a table of rules (``operators.rules``), in place of these.
 NOT_NAMES = {
     "acessar", "acesso", "administracao", "agenda", "agricultura", "andar", "assessor", "assessoria", "assistencia", "atendimento", "avenida", "bairro", "biografia", "camara", "casa", "centro",
     "chefe", "chefia", "cidadania", "cidade", "comercio", "concursos", "conselho", "contato", "contatos", "controladoria", "coordenacao", "cultura", "dados", "defesa", "departamento", "deputada",
@@ -98,53 +101,91 @@ def folded(text: str) -> str:
     return low if len(low) == len(text) else "".join(c.lower()[:1] or c for c in text.translate(_FOLD))
 
 
+_OFFICES = ("prefeito", "prefeita")
+_CHIEF = re.compile("chef(?:e|ia) de gabinete")
+#: A chief of staff of anything but the executive is another role.
+_OF_OTHERS = re.compile(r"\s+d[aeo]\s+(?!prefeit[oa]\b|executivo\b|municipio\b|municipal\b)")
+
+
 class Lexicon:
-    """Roles with their variants, ready for lines and texts."""
+    """Roles with their variants, and the words and phrases that are no names, ready for lines and texts.
+
+    All of them are found in one pass each, whatever their number: mentions of roles by their words, words by hash, phrases by an automaton.
+    """
 
-    def __init__(self, config: dict[str, list[str]], words: set[str] = NOT_NAMES, phrases: list[str] = NOT_NAME_PHRASES):
-        self.words, self.phrases = words, tuple(phrases)
+    def __init__(self, config: dict[str, list[str]], words: Iterable[str] = NOT_NAMES, phrases: Iterable[str] = NOT_NAME_PHRASES):
+        self.words, self.phrases = frozenset(words), Automaton(phrases)
         self.variants = {role: sorted({norm_python(v) for v in listed}, key=lambda v: (-len(v), v)) for role, listed in config.items()}
-        self.mentions: list[tuple[str, re.Pattern]] = []
+        self.mentions = Mentions((v, role) for role, variants in self.variants.items() for v in variants)
         self.starts: dict[str, list[tuple[tuple[str, ...], str]]] = {}
         self.whole: dict[str, str] = {}
         for role, variants in self.variants.items():
-            forms = "|".join(self._form(v) for v in variants)
-            self.mentions.append((role, re.compile(rf"(?<![\w-])(?:{forms})(?![\w-])")))
             for v in sorted({norm_python(role), *variants}, key=lambda v: (-len(v), v)):
                 tokens = tuple(_TOKEN.findall(v))
                 if tokens:
                     self.starts.setdefault(tokens[0], []).append((tokens, role))
                 self.whole.setdefault(v.replace("-", " "), role)
-        # A text that names a role, however, holds the longest word of some form of it.
-        longest = {max(re.split(r"[\s-]+", v), key=len) for role, variants in self.variants.items() for v in (norm_python(role), *variants)}
-        self.any = re.compile("|".join(sorted(map(re.escape, longest | {"gabinete"}))))
+        self.stems = role_stems(config)
         self.cabinet = next((r for r, vs in self.variants.items() if "gabinete do prefeito" in vs), None)
 
-    @staticmethod
-    def _form(variant: str) -> str:
-        form = r"[ -]".join(re.escape(x) for x in variant.split(" "))
-        if variant in ("prefeito", "prefeita"):
-            return rf"(?<!vice-)(?<!vice ){form}"
-        if re.fullmatch("chef(e|ia) de gabinete", variant):  # a chief of staff of anything but the executive is another role
-            return rf"{form}(?!\s+d[aeo]\s+(?!prefeit[oa]\b|executivo\b|municipio\b|municipal\b))"
-        return form
+    def named(self, low: str) -> bool:
+        """Whether a folded text may name a role; where not, nothing else needs to look."""
+        return any(s in low for s in self.stems)
+
+    def may_name(self, text: str) -> bool:
+        """The same of a raw text, before it is folded: what isn't ASCII after its accents are off can't be part of a literal."""
+        low = (text if text.isascii() else unicodedata.normalize("NFKD", text).encode("ascii", "ignore").decode()).lower()
+        return any(s in low for s in self.stems)
+
+    def places(self, low: str) -> Iterator[tuple[int, int, str]]:
+        """``(start, end, role)`` of each mention of a role in a folded text, by start; at one start the longest first."""
+        for start, end, role in self.mentions.find(low):
+            said = low[start:end].replace("-", " ")
+            if said in _OFFICES and low[max(0, start - 5) : start] in ("vice-", "vice "):
+                continue
+            if _CHIEF.fullmatch(said) and _OF_OTHERS.match(low, end):
+                continue
+            yield start, end, role
 
     def roles(self, low: str) -> list[str]:
         """The roles that a normal form names as whole words, in the order of the configuration."""
-        found = [role for role, pattern in self.mentions if pattern.search(low)] if self.any.search(low) else []
-        if _NAMED_ECONOMY in found and "desenvolvimento economico" in low:
-            found = [r for r in found if r != "Secretaria de Desenvolvimento"]
-        return found
+        seen = {role for _, _, role in self.places(low)} if self.named(low) else set()
+        if _NAMED_ECONOMY in seen and "desenvolvimento economico" in low:
+            seen.discard("Secretaria de Desenvolvimento")
+        return [role for role in self.variants if role in seen]
+
+
+def role_pattern(variants: Iterable[str]) -> str:
+    """The mentions of one role in a folded text as a pattern, for the JVM: what ``Lexicon.places`` finds, a role at a time."""
+
+    def form(variant: str) -> str:
+        words = r"[ -]".join(re.escape(x) for x in variant.split(" "))
+        if variant in _OFFICES:
+            return rf"(?<!vice-)(?<!vice ){words}"
+        return words + rf"(?!{_OF_OTHERS.pattern})" if _CHIEF.fullmatch(variant) else words
+
+    folded_ones = sorted({norm_python(v) for v in variants}, key=lambda v: (-len(v), v))
+    return rf"(?<![\w-])(?:{'|'.join(map(form, folded_ones))})(?![\w-])"
+
+
+def role_stems(config: dict[str, list[str]]) -> list[str]:
+    """Literals of which a text that names a role, however, holds one when folded."""
+    return stems([*(v for role, listed in config.items() for v in (role, *listed)), "gabinete"])
+
+
+def frozen(config: dict[str, list[str]] | None) -> tuple[tuple[str, tuple[str, ...]], ...]:
+    """A configuration as a key."""
+    return tuple((role, tuple(variants)) for role, variants in (config or ROLES).items())
 
 
 @functools.lru_cache(maxsize=8)
-def _compiled(items: tuple[tuple[str, tuple[str, ...]], ...]) -> Lexicon:
-    return Lexicon({role: list(variants) for role, variants in items})
+def _compiled(items: tuple[tuple[str, tuple[str, ...]], ...], words: frozenset[str] | None, phrases: tuple[str, ...] | None) -> Lexicon:
+    return Lexicon({role: list(variants) for role, variants in items}, NOT_NAMES if words is None else words, NOT_NAME_PHRASES if phrases is None else phrases)
 
 
-def lexicon(config: dict[str, list[str]] | None = None) -> Lexicon:
+def lexicon(config: dict[str, list[str]] | None = None, words: Iterable[str] | None = None, phrases: Iterable[str] | None = None) -> Lexicon:
     """The lexicon of a configuration, compiled once a worker."""
-    return _compiled(tuple((role, tuple(variants)) for role, variants in (config or ROLES).items()))
+    return _compiled(frozen(config), None if words is None else frozenset(words), None if phrases is None else tuple(phrases))
 
 
 def path_scope(url: str) -> str:

@@ -48,7 +48,7 @@ class Names:
         core = [w for w in words if w not in PARTICLES]
         if words[0] in PARTICLES or not 2 <= len(core) <= 6 or len(set(core)) < len(core) or self.lex.words.intersection(core):
             return False
-        return not any(p in low for p in self.lex.phrases) and not low.startswith(tuple(NOT_NAME_STARTS))
+        return not low.startswith(tuple(NOT_NAME_STARTS)) and not self.lex.phrases.any(low)
 
     @staticmethod
     def proper(text: str) -> bool:

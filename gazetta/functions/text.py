@@ -173,11 +173,15 @@ def norm_python_key(value: str) -> str:
     return re.sub("[^a-z0-9]+", "_", bare.strip().lower()).strip("_")
 
 
-#: Combining marks, as one class.
+#: The combining marks of Latin letters, which a search for one range finds fast, and all of them.
+_LATIN_MARKS = re.compile("[\u0300-\u034e\u0350-\u036f]+")
 _MARKS = re.compile("[" + "".join(chr(c) for c in range(0x300, 0x1F000) if unicodedata.combining(chr(c))) + "]")
 
 
 def norm_python(text: str) -> str:
     """``norm_search`` for text that Python holds."""
-    bare = text if text.isascii() else _MARKS.sub("", unicodedata.normalize("NFKD", text))
-    return " ".join(bare.lower().split())
+    if not text.isascii():
+        text = _LATIN_MARKS.sub("", unicodedata.normalize("NFKD", text))
+        if not text.isascii() and max(text) > "\u036f":
+            text = _MARKS.sub("", text)
+    return " ".join(text.lower().split())

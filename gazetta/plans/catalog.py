@@ -512,6 +512,27 @@ def contact_extract(spark, sf):
     return contacts.extract_contacts(table(spark, sf, "documents"), ["doc_id"])
 
 
+#: Phrases of the default roles as a text may write them, with their role; the last two name none.
+SPLICED = [
+    ("Prefeita", "Prefeito"), ("VICE-PREFEITO", "Vice-prefeito"), ("Chefia de Gabinete", "Chefe de gabinete"), ("secretário municipal da fazenda", "Secretaria de Finanças/Fazenda"), ("Gestão e Planejamento", "Secretaria de Planejamento"),
+    ("sala do  empreendedor", "Agência/Sala de Desenvolvimento"), ("desenvolvimento urbano", "Secretaria de Desenvolvimento"), ("prefeitura", None), ("vice-gabinete", None),
+]
+_PHRASE = "CASE h % 9 " + " ".join(f"WHEN {n} THEN '{p}'" for n, (p, _) in enumerate(SPLICED)) + " END"
+_ROLE = "CASE h % 9 " + " ".join(f"WHEN {n} THEN {f"'{r}'" if r else 'NULL'}" for n, (_, r) in enumerate(SPLICED)) + " END"
+
+
+@query(f"""WITH d AS (SELECT doc_id, text, (('0x' || md5(doc_id::VARCHAR)[1:8])::BIGINT) AS h FROM documents),
+s AS (SELECT doc_id, h, {NORM.format(f"text[1:h % 200] || ' ' || {_PHRASE} || ' '")} AS before, {NORM.format(_PHRASE)} AS said FROM d)
+SELECT doc_id, (length(before) - length(said))::INTEGER AS start, length(said)::INTEGER AS size, {_ROLE} AS role FROM s WHERE {_ROLE} IS NOT NULL""")
+def role_mentions(spark, sf):
+    """Role phrases put into every document at a place that a hash of its id gives; the documents themselves name no role."""
+    h = F.conv(F.substring(F.md5(F.col("doc_id").cast("string")), 1, 8), 16, 10).cast("long")
+    phrase = F.element_at(F.array(*(F.lit(p) for p, _ in SPLICED)), (h % len(SPLICED)).cast("int") + 1)
+    at = (h % 200).cast("int")
+    made = F.concat(F.substr("text", F.lit(1), at), F.lit(" "), phrase, F.lit(" "), F.substr("text", at + 1))
+    return contacts.role_mentions(table(spark, sf, "documents").select("doc_id", made.alias("text")), ["doc_id"])
+
+
 @query()
 def contact_extract_pages(spark, sf):
     pages = table(spark, sf, "pages").select("page_id", "url", html.html_text(F.col("html")).alias("text"))

@@ -1,8 +1,18 @@
 """Extraction of contacts: cases a directory of town halls meets."""
 
+import re
+
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from gazetta.functions import contacts, lexicon, names
+from gazetta.functions import contacts, lexicon as lexicon_module, names
+from gazetta.functions.contacts import contacts_of_text, extract_contacts, may_hold_records
+from gazetta.functions.extract import ROLES
+from gazetta.functions.lexicon import lexicon, role_pattern
+from gazetta.functions.patterns import Automaton, stems
+from gazetta.functions.text import norm_python
 
 MAYOR = {"Prefeito": ["prefeito", "prefeita"], "Vice-prefeito": ["vice-prefeito", "vice prefeito"]}
 TOWN = "https://vila.example.org"
@@ -85,7 +95,7 @@ def test_a_list_of_units():
 
 
 def test_names_one_word_a_line():
-    assert names.Names(lexicon.lexicon()).stacked(["Ana", "de", "Souza", "x@y.zz"], 0) == ("Ana de Souza", 2)
+    assert names.Names(lexicon()).stacked(["Ana", "de", "Souza", "x@y.zz"], 0) == ("Ana de Souza", 2)
     got = by_role("Prefeito\nAna\nLima\nana@vila.example.org", f"{TOWN}/equipe", MAYOR)
     assert (got["Prefeito"]["name"], got["Prefeito"]["email"]) == ("Ana Lima", "ana@vila.example.org")
 
@@ -104,7 +114,7 @@ def test_names_one_word_a_line():
     ],
 )
 def test_the_name_that_a_block_is_about(block, name):
-    assert names.Names(lexicon.lexicon()).near(block) == name
+    assert names.Names(lexicon()).near(block) == name
 
 
 @pytest.mark.parametrize(
@@ -121,7 +131,7 @@ def test_the_name_that_a_block_is_about(block, name):
     ],
 )
 def test_lines_that_begin_with_a_role(line, found):
-    assert names.Names(lexicon.lexicon()).role_start(line) == found
+    assert names.Names(lexicon()).role_start(line) == found
 
 
 @pytest.mark.parametrize(
@@ -130,7 +140,7 @@ def test_lines_that_begin_with_a_role(line, found):
 )
 def test_roles_of_a_text(text, roles):
     config = {"Prefeito": ["prefeito"], "Vice-prefeito": ["vice-prefeito"], "Chefe de gabinete": ["chefe de gabinete"], "Secretaria de Desenvolvimento Econômico": ["desenvolvimento econômico"], "Secretaria de Desenvolvimento": ["secretaria de desenvolvimento"]}
-    assert lexicon.Lexicon(config).roles(text) == roles
+    assert lexicon_module.Lexicon(config).roles(text) == roles
 
 
 @pytest.mark.parametrize(
@@ -138,7 +148,7 @@ def test_roles_of_a_text(text, roles):
     [("Prefeito", "/vice", True), ("Prefeito", "/prefeito-e-vice", False), ("Prefeito", "/secretaria/x", True), ("Prefeito", "/gabinete/secretaria", False), ("Secretaria de Planejamento", "/saude", True), ("Contato geral", "/servicos", False), ("Vice-prefeito", "/primeira-dama", True)],
 )
 def test_sources_that_speak_against_a_role(role, path, bad):
-    assert lexicon.against(role, TOWN + path) is bad
+    assert lexicon_module.against(role, TOWN + path) is bad
 
 
 def test_the_front_page_gives_no_one_without_contact():
@@ -156,3 +166,63 @@ def test_sql_functions(spark):
     assert [tuple(r) for r in df.collect()] == [("Prefeito", "Ana Lima")]
     got = spark.sql("SELECT extract_emails('A@b.cc'), extract_phones('11 3333-4444'), detect_roles('a prefeita'), nearest_name('nome: Ana Lima'), valid_name('Rua Um')").first()
     assert tuple(got) == (["a@b.cc"], ["11 3333-4444"], ["Prefeito"], "Ana Lima", False)
+
+
+def _by_pattern(low):
+    """Mentions of roles as the patterns of the JVM find them, a role at a time."""
+    found = [role for role, variants in ROLES.items() if re.search(role_pattern(variants), low)]
+    if "Secretaria de Desenvolvimento Econômico" in found and "desenvolvimento economico" in low:
+        found = [r for r in found if r != "Secretaria de Desenvolvimento"]
+    return found
+
+
+_PIECES = sorted({w for variants in ROLES.values() for v in variants for w in re.split(r"([ ,-])", norm_python(v)) if w}) + ["do", "executivo", "cidade", "x", "_", ".", "vice", " ", " ", "-", "municipio", "1"]
+
+
+@given(st.lists(st.sampled_from(_PIECES), max_size=14))
+@settings(max_examples=400, deadline=None)
+def test_mentions_are_those_of_the_patterns(pieces):
+    low = norm_python("".join(pieces))
+    assert lexicon().roles(low) == _by_pattern(low)
+    for start, end, role in lexicon().places(low):
+        assert low[start:end].replace("-", " ") in {norm_python(v).replace("-", " ") for v in ROLES[role]}
+    assert lexicon().named(low) or not _by_pattern(low)
+
+
+@given(st.lists(st.text("ab ", min_size=1, max_size=4), max_size=12), st.text("ab ", max_size=40))
+@settings(max_examples=300, deadline=None)
+def test_automaton_finds_every_phrase_at_every_place(phrases, text):
+    want = {(i + len(p), p) for p in phrases for i in range(len(text)) if text.startswith(p, i)}
+    assert set(Automaton(phrases).find(text)) == want
+
+
+def test_stems_are_held_by_every_form():
+    held = stems([v for variants in ROLES.values() for v in variants])
+    assert all(any(s in norm_python(v) for s in held) for variants in ROLES.values() for v in variants)
+    assert len(held) < 16 and lexicon().may_name("SECRETÁRIO do município") and not lexicon().may_name("nada aqui é de ninguém")
+
+
+def test_time_of_a_match_is_flat_in_the_number_of_phrases():
+    """Steps are counted, not seconds: an automaton of 20,000 phrases looks at each character as often as one of 20."""
+    few, many = (Automaton(f"phrase number {i:05d}x" for i in range(n)) for n in (20, 20_000))
+    text = "a phrase with number and phrase numbers " * 50
+
+    def steps(a):
+        looked, state = 0, 0
+        for c in text:
+            while state and c not in a.next[state]:
+                state, looked = a.fail[state], looked + 1
+            state, looked = a.next[state].get(c, 0), looked + 1
+        return looked
+
+    assert steps(many) == steps(few) <= 2 * len(text)
+
+
+def test_texts_without_a_mark_stay_behind_and_lose_nothing(spark):
+    texts = ["Prefeito João da Silva", "PRÉFEITÔ", "Gabinete\nfone 3333-4444", "nothing", "a@b.org", "ﬁnanças e planejamento", "12345678", None, "", "é só isto"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    found = {(r.id, r.pos, r.role, r.name) for r in extract_contacts(rows, ["id"]).collect()}
+    want = {(i, pos, r[0], r[1]) for i, t in enumerate(texts) for pos, r in enumerate(contacts_of_text(t))}
+    assert found == want and {2, 4} <= {i for i, *_ in found}
+    kept = {r.id for r in rows.where(may_hold_records(F.col("text"))).collect()}
+    assert not kept & {3, 7, 8}
