@@ -22,14 +22,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gazetta.llm.common import ascii_lower, column, find_words, materialise, mix, text_bytes
+from gazetta.llm.common import column, find_words, lowered, materialise, mix, text_bytes
 
 #: Bytes that end a piece, beside the end of a text.
 _BREAK = np.isin(np.arange(256), [ord(c) for c in ".,;:!?\n\x0b\x0c\r"])
 #: Bytes of text counted at a time, phrases held before they are handed on, cells of a sketch held before that.
-STEP, HELD, FLUSH = 1 << 19, 200_000, 2_000_000
+STEP, HELD, FLUSH = 1 << 19, 200_000, 1_000_000
 #: Slices of a bitmap, the bounds of log2 of its bits, and bytes of text for a bit.
-SLICE_BITS, LEAST_BITS, MOST_BITS, BYTES_A_BIT = 6, 16, 28, 4
+SLICE_BITS, LEAST_BITS, MOST_BITS, BYTES_A_BIT = 6, 16, 28, 8
 #: Counts of buckets stop here where ``least`` is higher: more comes through to the exact count.
 MOST_COUNT = 30_000
 #: Salts of the first of two rankings: the second one ranks at most so many times the rows wanted.
@@ -163,7 +163,7 @@ def _count(size: int, longest: int, least: int, bits: int, buckets, frequent):
             langs, of_row = names.dictionary.to_pylist(), names.indices.to_numpy(zero_copy_only=False)
             salts = lang_salts(langs)
             for lo, hi in stretches(data, bounds, STEP):
-                part = np.ascontiguousarray(data[lo:hi])
+                part = lowered(data[lo:hi])
                 own = np.clip(bounds, lo, hi) - lo
                 first, last = np.searchsorted(bounds, lo, "right") - 1, np.searchsorted(bounds, hi)
                 texts = pa.Array.from_buffers(pa.string(), int(last - first), [None, pa.py_buffer(own[first : last + 1].astype(np.int32)), pa.py_buffer(part)])
@@ -266,7 +266,7 @@ def _frequent_bits(counts: DataFrame, bits: int):
 
 def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", longest: int = 3, least: int = 10) -> tuple[DataFrame, DataFrame]:
     """Frequent phrases of 1 to ``longest`` words (``lang``, ``size``, ``phrase``, ``f``), and all words a language (``lang``, ``n``)."""
-    base = docs.select(F.coalesce(column(docs, lang_col).cast("string"), F.lit("und")).alias("lang"), ascii_lower(F.coalesce(column(docs, text_col), F.lit(""))).alias("text")).where("text <> ''")
+    base = docs.select(F.coalesce(column(docs, lang_col).cast("string"), F.lit("und")).alias("lang"), column(docs, text_col).alias("text")).where("text <> ''")
     bits = bitmap_bits(base.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
     tables, buckets, frequent, totals, mark = [], None, None, None, min(least, MOST_COUNT)
     for size in range(1, longest + 1):

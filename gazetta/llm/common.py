@@ -88,6 +88,11 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
+def lowered(data: np.ndarray) -> np.ndarray:
+    """Bytes with A-Z in lower case."""
+    return _LOWER[data]
+
+
 def find_words(texts: pa.Array, lower: bool = False, hashes: int = 1, breaks: np.ndarray | None = None) -> Words:
     """Words ``[^\\x20\\x09-\\x0D]+`` of each text and ``hashes`` 64-bit hashes of each, all by numpy.
 

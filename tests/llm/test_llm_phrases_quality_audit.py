@@ -82,7 +82,7 @@ def test_collocations_in_small_steps_and_full_buckets(spark, monkeypatch):
     want = sorted(slow_collocations(rows))
     monkeypatch.setattr(collocations, "bitmap_bits", lambda size: 9)
     assert sorted(map(tuple, collocations.collocations(docs).collect())) == want
-    batch = pa.RecordBatch.from_arrays([pa.array([r[2] or "und" for r in rows]), pa.array([low(r[1] or "") for r in rows])], ["lang", "text"])
+    batch = pa.RecordBatch.from_arrays([pa.array([r[2] or "und" for r in rows]), pa.array([r[1] for r in rows], pa.string())], ["lang", "text"])
     monkeypatch.setattr(collocations, "STEP", 40)
     monkeypatch.setattr(collocations, "HELD", 20)
     monkeypatch.setattr(collocations, "FLUSH", 50)
