@@ -23,6 +23,7 @@ from gazetta.functions.lexicon import AGENCY_NAMES, CONTACT_LINES, DATA_SECTIONS
 from gazetta.functions.names import NAME, Names, full_lines, line_key, near_address, only_in_addresses
 from gazetta.functions.text import norm_python
 from gazetta.functions.urls import let
+from gazetta.scratch import spread
 
 WINDOW, NAME_REACH, LABEL_REACH, MOST_CONTACTS = 80, 4, 9, 4
 NO_CONTACT, NO_ROLE = "Cargo ou nome identificado, mas sem contato direto no mesmo bloco.", "Contato geral sem associação clara a cargo específico."
@@ -493,7 +494,7 @@ def extract_contacts(pages: DataFrame, keys: list[str], text_col: str = "text",
             yield pa.RecordBatch.from_arrays([*cols, pa.array(parts[0], pa.int32()), *(pa.array(p, pa.string()) for p in parts[1:])], [*keys, "pos", *FIELDS])
 
     text = F.col(text_col)
-    base = pages.where(may_hold_records(text, config)).select(*keys, text.alias("_text"), (F.col(url_col) if url_col else F.lit("")).alias("_url"))
+    base = spread(pages).where(may_hold_records(text, config)).select(*keys, text.alias("_text"), (F.col(url_col) if url_col else F.lit("")).alias("_url"))
     return base.mapInArrow(run, schema)
 
 

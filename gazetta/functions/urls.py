@@ -33,8 +33,8 @@ QUERIES = [
     "idnot=", "itemid=", "filename=", "entry=wp_", "mime-type=", "page_id=", "q=noticia", "departamentosearch", "theme=", "ajaxprevent=", "binary=true", "classe=uploadmidia", "processo=viewfile",
     "n5b0", "spb0", "vfb0", "9fb0", "z5b0", "servicos-secretarias", "iprem",
 ]
-# The general ones of the parts of paths that no page of interest has. Lists tuned to a
-# country's sites run to hundreds; they are passed as the parameter ``segments``.
+# Defaults: the general ones of the parts of paths that no page of interest has. Lists tuned to a
+# country's sites run to hundreds; they are rows of a table of rules (``operators.rules``), beside these or in their place.
 SEGMENTS = [
     "/page/", "/pagina/", "/category/", "/categoria/", "/account/", "/acessibilidade", "/blog/", "/blogs/", "/aviso/", "/arquivos/", "/audiencias-publicas", "/busca", "/competencias", "/contrato/",
     "/contratos", "/convenios", "/carta-de-servicos", "/dados-abertos", "/documentos", "/download/", "/downloads/", "/despesa", "/diarias", "/e-sic", "/fotos/", "/filtro/", "/folha-pagamento",
@@ -142,13 +142,14 @@ def unquoted(c: Column) -> Column:
     return F.coalesce(F.try_url_decode(F.regexp_replace(c, r"\+", "%2B")), c)
 
 
-def ignore_reason(c: Column, segments: Iterable[str] = SEGMENTS, hosts: Iterable[str] = ()) -> Column:
+def ignore_reason(c: Column, segments: Iterable[str] = SEGMENTS, hosts: Iterable[str] = (), hits: Column | None = None) -> Column:
     """The first rule by which a URL is no page of interest; null where none holds.
 
-    ``segments``: parts of paths to leave out; ``hosts``: parts of URLs of vendors and single sites to leave out.
+    ``segments``: parts of paths to leave out; ``hosts``: parts of URLs of vendors and single sites to leave out. With ``hits``, the
+    kinds of listed rules that hold as ``rules.judge_urls`` found them in a table, no list is read here.
     """
     read = F.struct(F.lower(unquoted(c)).alias("raw"), norm_search(unquoted(path(c))).alias("path"), F.lower(query(c)).alias("query"))
-    return let(read, lambda u: let(_scopes(u), lambda v: _first_rule(u, v, segments, hosts)))
+    return let(read, lambda u: let(_scopes(u), lambda v: _first_rule(u, v, segments, hosts, hits)))
 
 
 def _scopes(u: Column) -> Column:
@@ -157,25 +158,28 @@ def _scopes(u: Column) -> Column:
     return F.struct(last.alias("last"), tidy(last).alias("scope"), tidy(u["path"]).alias("whole"), tidy(norm_search(unquoted(u["query"]))).alias("query"), (F.length(last) - F.length(F.translate(last, "-", ""))).alias("dashes"))
 
 
-def _first_rule(u: Column, v: Column, segments: Iterable[str], hosts: Iterable[str]) -> Column:
+def _first_rule(u: Column, v: Column, segments: Iterable[str], hosts: Iterable[str], hits: Column | None) -> Column:
     raw, p, asked = u["raw"], u["path"], u["query"]
     last, scope, whole, query_scope, dashes = (v[k] for k in ("last", "scope", "whole", "query", "dashes"))
 
     def out_of_scope(text: Column) -> Column:
         return has_any(text, OFF_TOPIC) & ~has_any(text, RELEVANT)
 
+    def listed(kind: str, own: Column) -> Column:
+        return own if hits is None else F.array_contains(hits, kind)
+
     unit = has_any(p, ["/secretaria/", "/secretarias/", "/secretariados/"]) | last.startswith("secretaria-")
     units = [t for t in RELEVANT if t not in ("gabinete", "governo", "prefeito", "vice")]
     rules: list[tuple[str, Column]] = [
         ("characters", raw.rlike(r"[<>*]|:3000")),
         ("error text", has_any(raw, ["notice", "trying to get property"])),
-        ("subdomain", has_any(raw, SUBDOMAINS)),
-        ("vendor", has_any(raw, [*hosts, "resource.faces"])),
-        ("network", has_any(raw, NETWORKS)),
-        ("file", p.rlike("(" + "|".join(map(re.escape, FILES)) + ")$")),
+        ("subdomain", listed("subdomain", has_any(raw, SUBDOMAINS))),
+        ("vendor", listed("host", has_any(raw, [*hosts, "resource.faces"]))),
+        ("network", listed("network", has_any(raw, NETWORKS))),
+        ("file", listed("file", p.rlike("(" + "|".join(map(re.escape, FILES)) + ")$"))),
         ("address", p.contains("@")),
-        ("prefix", p.rlike("^(" + "|".join(map(re.escape, PREFIXES)) + ")")),
-        ("segment", has_any(p, segments)),
+        ("prefix", listed("prefix", p.rlike("^(" + "|".join(map(re.escape, PREFIXES)) + ")"))),
+        ("segment", listed("segment", has_any(p, segments))),
         ("nested", p.rlike("(/conteudo/.*){3}|(/secretaria/.*){2}")),
         ("cabinet", p.contains("/gabinete/") & has_any(p, ["/gabinete/gabinete", "/secretarias/", "/secretaria/"])),
         ("section", p.rlike("/(file|videos|faq)/*$")),
@@ -190,7 +194,7 @@ def _first_rule(u: Column, v: Column, segments: Iterable[str], hosts: Iterable[s
         ("off topic query", out_of_scope(query_scope)),
         ("long slug", (dashes >= 5) & ((F.length(last) >= 45) | ~last.rlike("^(" + "|".join(UNIT_SLUGS) + ")"))),
         ("news slug", (dashes >= 3) & has_any(last, NEWS_VERBS)),
-        ("query", has_any(asked, QUERIES)),
+        ("query", listed("query", has_any(asked, QUERIES))),
     ]
     out = F.when(F.lit(False), "")
     for reason, holds in rules:
@@ -198,10 +202,14 @@ def _first_rule(u: Column, v: Column, segments: Iterable[str], hosts: Iterable[s
     return out
 
 
-def redirected_off(url: Column, final_url: Column, **lists: Iterable[str]) -> Column:
-    """Whether a page that isn't the site's root led to one that is to be left out."""
-    moved = ~blank(final_url) & (clean_url(url) != clean_url(final_url))
-    return F.coalesce(moved & (F.regexp_replace(path(url), "/+$", "") != "") & ignore_reason(final_url, **lists).isNotNull(), F.lit(False))
+def moved(url: Column, final_url: Column) -> Column:
+    """Whether a page that isn't the site's root led to another."""
+    return F.coalesce(~blank(final_url) & (clean_url(url) != clean_url(final_url)) & (F.regexp_replace(path(url), "/+$", "") != ""), F.lit(False))
+
+
+def redirected_off(url: Column, final_url: Column, reason: Column | None = None) -> Column:
+    """Whether a page that isn't the site's root led to one that is to be left out; ``reason``: what a table of rules says of that one."""
+    return moved(url, final_url) & (ignore_reason(final_url) if reason is None else reason).isNotNull()
 
 
 def resolve(base: Column, href: Column) -> Column:

@@ -209,12 +209,16 @@ def unavailable(url: Column, tokens: Sequence[str]) -> Column:
     return has_any(F.lower(F.coalesce(url, F.lit(""))), tokens) if tokens else F.lit(False)
 
 
-def downgrade(df: DataFrame, unavailable: Column | None = None) -> DataFrame:
-    """Found or partial records without any published value say so; those of sources that are down are emptied, and names that are none go."""
+def downgrade(df: DataFrame, unavailable: Column | None = None, wrong_name: Column | None = None) -> DataFrame:
+    """Found or partial records without any published value say so; those of sources that are down are emptied, and names that are none go.
+
+    ``wrong_name``: names that a table of rules speaks against, beside those that the shape of names or the default words do.
+    """
     fields = ["name", *CONTACT]
     claims = F.col("status").isin("Encontrado", "Parcial") & (F.col("role") != IDENTITY)
     down = claims & (unavailable if unavailable is not None else F.lit(False))
-    wrong = claims & ~down & ~blank(F.col("name")) & ~valid_name(F.col("name"))
+    listed = F.coalesce(wrong_name, F.lit(False)) if wrong_name is not None else F.lit(False)
+    wrong = claims & ~down & ~blank(F.col("name")) & (listed | ~valid_name(F.col("name")))
     out = df.withColumns({"_claims": claims, "_down": down, "_wrong": wrong})
     out = out.withColumns({f: F.when(F.col("_down") | (F.col("_wrong") if f == "name" else F.lit(False)), "").otherwise(F.col(f)) for f in fields})
     out = out.withColumn("_empty", F.col("_claims") & ~F.col("_down") & F.forall(F.array(*fields), lambda x: blank(x)))

@@ -256,12 +256,12 @@ WORDS = ["the", "la", "de", "un", "and"]
 
 @query(f"SELECT from_url, to_url, min(pos)::INTEGER AS pos, any_value(priority)::INTEGER AS priority FROM (SELECT *, {_priority_sql('to_url')} AS priority FROM ({_ignored_sql(TO.replace(ASKED, LINKS), 'url AS from_url, to_url, pos')})) WHERE reason IS NULL GROUP BY from_url, to_url")
 def link_rows(spark, sf):
-    return frontier.page_links(table(spark, sf, "pages").select("url", "html"), None)
+    return frontier.page_links(table(spark, sf, "pages").select("url", "html"), None).drop("to_key")
 
 
 @query()
 def link_relevance(spark, sf):
-    return frontier.page_links(table(spark, sf, "pages").select("url", "html"), WORDS)
+    return frontier.page_links(table(spark, sf, "pages").select("url", "html"), WORDS).drop("to_key")
 
 
 @query(f"""SELECT page_id, regexp_matches({NORM.format("regexp_replace(html, '<[^>]*>', ' ', 'g') || ' ' || substr(html, 1, 3000)")}, 'access denied|acesso negado|forbidden|verify you are human|verifique se voce e humano|cloudflare error|attention required|temporarily blocked') AS blocked FROM pages""")

@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 from gazetta.functions.contacts import extract_contacts
 from gazetta.functions.html import html_text
 from gazetta.functions.text import STATUSES, blank
-from gazetta.functions.urls import block_page, clean_url, fetch_status, redirected_off
+from gazetta.functions.urls import block_page, clean_url, fetch_status, moved, redirected_off
 from gazetta.operators import delivery, quality, records
-from gazetta.scratch import materialise
+from gazetta.operators.rules import down_sources, judge_urls, name_rules, wrong_names
+from gazetta.scratch import materialise, spread
 from gazetta.sources.tables import config_table
 
 #: What pages may say about how they were fetched; absent columns are null.
@@ -24,15 +25,21 @@ MISSING, SILENT = "Páginas oficiais consultadas, mas sem dado oficial claro par
 NO_SITE = "Site oficial não informado."
 
 
-def attempts(pages: DataFrame) -> DataFrame:
+def attempts(pages: DataFrame, rules: DataFrame | None = None) -> DataFrame:
     """Every recorded fetch with its text and state: blocked, redirected off, down, without text, or found.
 
-    ``pages``: page_id, target, url, html and any of ``FETCH``.
+    ``pages``: page_id, target, url, html and any of ``FETCH``. ``rules``: a table of rules in place of the library's lists.
     """
+    pages = spread(pages)
     full = pages.select("page_id", "target", "url", "html", *(F.col(c).cast(t) if c in pages.columns else F.lit(None).cast(t).alias(c) for c, t in FETCH.items()))
     full = full.withColumn("state", fetch_status(F.col("http_status"), F.col("content_type"), F.col("error")))
     read = full.withColumn("text", F.when(F.col("state") == "Encontrado", html_text(F.col("html"))))
     off = redirected_off(F.col("url"), F.col("final_url"))
+    if rules is not None:
+        # What is left of the redirects are addresses that a rule speaks against: few, and read from the narrow columns alone.
+        bad = judge_urls(pages.where(moved(F.col("url"), F.col("final_url"))), "final_url", rules).where("reason IS NOT NULL") if "final_url" in pages.columns else None
+        read = read.join(bad.withColumnRenamed("url", "final_url"), "final_url", "left") if bad is not None else read.withColumn("reason", F.lit(None).cast("string"))
+        off = redirected_off(F.col("url"), F.col("final_url"), F.col("reason"))
     state = (
         F.when(F.col("state") != "Encontrado", F.col("state"))
         .when(off, "Página sem informação pública")
@@ -73,19 +80,20 @@ def pending_rows(states: DataFrame, data: DataFrame) -> DataFrame:
     return open_.unionByName(rows).unionByName(lacking)
 
 
-def build(targets: DataFrame, pages: DataFrame, collected_on: str, overrides: DataFrame | None = None, unavailable: Sequence[str] = (), configuration: dict[str, object] | None = None) -> dict[str, DataFrame]:
+def build(targets: DataFrame, pages: DataFrame, collected_on: str, overrides: DataFrame | None = None, unavailable: Sequence[str] = (), configuration: dict[str, object] | None = None, rules: DataFrame | None = None) -> dict[str, DataFrame]:
     """The tables of a delivery: ``data``, ``consolidated`` (the same rows), ``targets``, ``pending``, ``summary``, ``sources``, ``configuration``, and ``audit``.
 
     ``targets``: target, state, sphere, site and any of the other target columns and ``categories``. ``pages``: see ``attempts``.
-    ``overrides``: known contacts: state, name (of the target), sphere and the columns of a record. A target is known by its name.
+    ``rules``: a table of rules (``operators.rules``) on addresses, names and sources in place of the library's lists. ``overrides``: known contacts: state, name (of the target), sphere and the columns of a record. A target is known by its name.
     """
     given = {"state_name": "string", "municipality": "string", "population": "long", "reason": "string", "categories": "array<string>"}
     for c, kind in given.items():
         if c not in targets.columns:
             targets = targets.withColumn(c, F.col("target") if c == "municipality" else F.lit(None).cast(kind))
-    log = materialise(attempts(pages))
+    words, phrases = name_rules(rules) if rules is not None else (None, None)
+    log = materialise(attempts(pages, rules))
     texts = log.where("has_text").select("page_id", "target", F.col("final_url").alias("source_url"), "text")
-    found = records.dedupe_extraction(extract_contacts(texts, ["page_id", "target", "source_url"], url_col="source_url"), "pos")
+    found = records.dedupe_extraction(extract_contacts(texts, ["page_id", "target", "source_url"], url_col="source_url", words=words, phrases=phrases), "pos")
     found = found.join(targets.select(*records.TARGET_KEY), "target").withColumns({"unit": F.lit(""), "page_url": F.col("source_url"), "ordinal": F.struct(F.lit(1).alias("late"), F.coalesce("page_id", F.lit(1 << 62)).alias("page"), "pos")})
     columns = [*records.TARGET_KEY, "role", "unit", "name", "email", "phone", "mobile", "source_url", "page_url", "status", "notes", "ordinal"]
     contacts = found.select(columns)
@@ -98,7 +106,16 @@ def build(targets: DataFrame, pages: DataFrame, collected_on: str, overrides: Da
     states = materialise(target_states(targets, log, contacts))
     covered = records.cover(states, contacts, collected_on)
     down = records.unavailable(F.col("source_url"), unavailable) if unavailable else None
-    data = materialise(records.downgrade(records.normalise(covered), down))
+    normal = records.normalise(covered)
+    if rules is None:
+        data = materialise(records.downgrade(normal, down))
+    else:
+        normal = materialise(normal)
+        lost = down_sources(normal, "source_url", rules).select(F.col("url").alias("source_url"), F.lit(True).alias("_lost"))
+        wrong = wrong_names(normal, "name", rules).withColumn("_wrong_name", F.lit(True))
+        judged = normal.join(lost, "source_url", "left").join(wrong, "name", "left")
+        is_down = F.coalesce("_lost", F.lit(False)) | (down if down is not None else F.lit(False))
+        data = materialise(records.downgrade(judged, is_down, F.col("_wrong_name")).drop("_lost", "_wrong_name").select(normal.columns))
     pending = pending_rows(states, data)
     status = states.select(*records.TARGET_COLUMNS, "status", "notes")
     ordered = data.select(*records.DATA_COLUMNS, "ordinal")
