@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 import argparse
+import json
 import sys
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gazetta.operators import delivery, quality, scope
-from gazetta.sources.tables import config_table, exists, write_manifest, write_report, write_tables
+from gazetta.sources.tables import config_table, exists, observed_write, read_any, remove, write_manifest, write_report, write_tables
 
 Tables = dict[str, DataFrame]
-LOT_TABLES = ("data", "targets", "pending", "sources")
+LOT_TABLES = ("data", "targets", "pending", "sources", "texts")
 
 
 def lots(targets: DataFrame, chunk_size: int = 0) -> DataFrame:
@@ -22,54 +25,94 @@ def lots(targets: DataFrame, chunk_size: int = 0) -> DataFrame:
     return chunked.withColumn("lot", F.concat_ws("-", F.upper("state"), F.lpad(F.col("chunk").cast("string"), 3, "0")))
 
 
+def _names(df: DataFrame) -> list[str]:
+    """The lots of a table, in order; they are some hundreds at most, as states and their chunks."""
+    return [r["lot"] for r in df.select("lot").distinct().orderBy("lot").collect()]
+
+
+def _partitions(spark: SparkSession, path: str) -> DataFrame | None:
+    """A table of lots, whatever columns each has; None where no lot has a row."""
+    if not exists(spark, path):
+        return None
+    try:
+        df = spark.read.option("mergeSchema", True).parquet(path)
+    except AnalysisException:  # a folder without a file has no schema
+        return None
+    return df.withColumn("lot", F.col("lot").cast("string"))
+
+
+def lots_done(spark: SparkSession, folder: str) -> list[str]:
+    """The lots that were written to the end: each has a mark, which is written after all of its tables."""
+    marks = _partitions(spark, f"{folder}/marks")
+    return _names(marks) if marks is not None else []
+
+
 def lot_done(spark: SparkSession, folder: str, lot: str) -> bool:
-    """Whether a lot was written to the end: its results carry the mark of a finished job."""
-    return exists(spark, f"{folder}/{lot}/data/_SUCCESS")
+    return lot in lots_done(spark, folder)
+
+
+def lay_out_pages(pages: DataFrame, placed: DataFrame, folder: str) -> DataFrame:
+    """Pages written in one partition a lot, by the target that they were recorded for: who reads one lot reads its partition alone.
+
+    ``placed``: targets with their lot. Partitions that are there are replaced where ``pages`` brings pages of theirs, and stay otherwise.
+    """
+    put = pages.join(placed.select("target", "lot").distinct(), "target").repartition("lot", F.pmod(F.xxhash64("page_id"), F.lit(16)))
+    put.write.mode("overwrite").partitionBy("lot").option("partitionOverwriteMode", "dynamic").parquet(folder)
+    return pages.sparkSession.read.parquet(folder)
 
 
-def run_lots(targets: DataFrame, work: Callable[[DataFrame], Tables], folder: str, chunk_size: int = 0, force: bool = False) -> list[str]:
-    """Run ``work`` on each lot that isn't done and write its tables; returns the lots that were run.
+def run_lots(targets: DataFrame, work: Callable[[DataFrame], Tables], folder: str, chunk_size: int = 0, force: bool = False, at_once: int | None = None) -> list[str]:
+    """Run ``work`` on the targets of all lots that aren't done, in one plan, and write its tables in one partition a lot; returns the lots that were run.
 
-    A lot is a unit of recovery, not of parallelism: within it everything is one plan. Lots are some hundreds at most, as states and their chunks.
+    ``work`` gets the targets with their ``lot`` and reads what it reads once, however many lots are open; its tables need a ``target`` or a ``lot``.
+    The partitions of the lots that run are cleared first and marked as done last, so that a run that was killed is taken up where it stood, a rerun of one
+    lot touches its own partitions only, and other lots stay as they are. ``at_once``: so many lots in one plan and under one set of marks, where a run is to be taken up in steps.
+    """
+    spark = targets.sparkSession
+    placed = lots(targets, chunk_size).drop("chunk")
+    done = set() if force else set(lots_done(spark, folder))
+    names = [n for n in _names(placed) if n not in done]
+    step = at_once or max(1, len(names))
+    for own in (names[i : i + step] for i in range(0, len(names), step)):
+        for name in ("marks", *LOT_TABLES):
+            remove(spark, [f"{folder}/{name}/lot={lot}" for lot in own])
+        some = placed.where(F.col("lot").isin(own))
+        where = some.select("target", "lot").distinct()
+        tables = {n: df if "lot" in df.columns else df.join(where, "target") for n, df in work(some).items()}
+        write_tables(tables, folder, dict.fromkeys(tables, ("lot",)))
+        schemas = {n: df.drop("lot").schema.json() for n, df in tables.items()}
+        spark.createDataFrame([(lot, schemas) for lot in own], "lot string, schemas map<string, string>").coalesce(1).write.mode("append").partitionBy("lot").parquet(f"{folder}/marks")
+    return names
+
+
+def consolidate(spark: SparkSession, folder: str, lots_wanted: Sequence[str], only: str | None = None) -> Tables:
+    """The tables of the lots together, whatever columns each has; ``only`` keeps one sphere.
+
+    A table of which no lot has a row is empty, with the columns that the marks tell; one that no lot knows is absent.
     """
-    spark, ran = targets.sparkSession, []
-    placed = lots(targets, chunk_size)
-    for row in placed.select("lot").distinct().orderBy("lot").collect():
-        lot = row["lot"]
-        if not force and lot_done(spark, folder, lot):
-            continue
-        tables = work(placed.where(F.col("lot") == lot).drop("lot", "chunk"))
-        # The results come last: their mark says that all of the lot is there.
-        for name in sorted(tables, key=lambda n: n == "data"):
-            write_tables({name: tables[name]}, f"{folder}/{lot}")
-        ran.append(lot)
-    return ran
-
-
-def consolidate(spark: SparkSession, folder: str, lots_done: Sequence[str], only: str | None = None) -> Tables:
-    """The tables of all lots together, whatever columns each has; ``only`` keeps one sphere."""
-    out = {}
-    for name in LOT_TABLES:
-        paths = [f"{folder}/{lot}/{name}" for lot in lots_done if exists(spark, f"{folder}/{lot}/{name}")]
-        if paths:
-            df = spark.read.option("mergeSchema", True).parquet(*paths)
-            out[name] = scope.sphere(df, only) if only else df
+    marks, out = _partitions(spark, f"{folder}/marks"), {}
+    if marks is None:
+        return out
+    known = dict(marks.where(F.col("lot").isin(*lots_wanted)).select(F.explode("schemas")).distinct().collect())
+    for name in (n for n in LOT_TABLES if n in known):
+        df = _partitions(spark, f"{folder}/{name}")
+        df = spark.createDataFrame([], StructType.fromJson(json.loads(known[name]))) if df is None else df.where(F.col("lot").isin(*lots_wanted)).drop("lot")
+        out[name] = scope.sphere(df, only) if only else df
     return out
 
 
 def deliver(tables: Tables, pages: DataFrame, folder: str, sample: int = 80, seed: int = 42) -> tuple[int, list[str]]:
     """Audit, verify and, if both are clean, publish. Returns the exit code and what is in the way.
 
-    Reports are written in any case; ``pages``: url, text, status of the sources.
+    Reports are written in any case, and the pass that writes one counts what is in it; ``pages``: url, text, status of the sources.
     """
-    audit_code = write_report(tables["audit"], f"{folder}/audit")
-    spark = pages.sparkSession
+    found = observed_write(tables["audit"], f"{folder}/audit")["rows"]
     verified = quality.verify_records(quality.verification_sample(tables["data"], sample, seed), pages)
-    write_tables({"verification": verified.drop("ordinal")}, folder)
-    ok, problems = delivery.gate(spark.read.parquet(f"{folder}/audit"), spark.read.parquet(f"{folder}/verification"))
-    if ok:
-        write_tables({n: df.drop("ordinal") for n, df in tables.items() if n != "audit"}, f"{folder}/published")
-    return int(bool(audit_code) or not ok), problems
+    bad = observed_write(verified.drop("ordinal"), f"{folder}/verification", differing=F.count_if(F.col("verdict") != "Validado"))["differing"]
+    problems = [name for name, n in (("audit", found), ("verification", bad)) if n]
+    if not problems:
+        write_tables({n: df.drop("ordinal") for n, df in tables.items() if n not in ("audit", "texts")}, f"{folder}/published")
+    return int(bool(problems)), problems
 
 
 def reprocess(targets: DataFrame, data: DataFrame, work: Callable[[DataFrame], Tables], folder: str) -> DataFrame:
@@ -92,17 +135,48 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     p.add_argument("--state", help="one state only")
     p.add_argument("--target", help="one target only, accents aside")
     p.add_argument("--limit", type=int, help="so many targets")
+    p.add_argument("--sphere", choices=["municipal", "estadual"], help="targets of one sphere only")
+    p.add_argument("--governments", help="JSON or Parquet of state governments: state, government, site, organs (name, site, categories)")
+    p.add_argument("--overrides", help="table of known contacts: state, name, sphere, and the columns of a record, the person as person")
+    p.add_argument("--rules", help="table of rules on addresses, names and sources: kind, pattern")
+    p.add_argument("--rules-only", action="store_true", help="the table's kinds of rules in place of the library's own, not beside them")
+    p.add_argument("--live", help="table of addresses that are up (url, ok): targets without a site get the first of theirs that is")
     p.add_argument("--collected-on", default="", help="date that the rows carry")
     p.add_argument("--chunk-size", type=int, default=0, help="targets a lot within a state")
+    p.add_argument("--lots-at-once", type=int, help="lots in one plan; all that are open without it")
+    p.add_argument("--layout", action="store_true", help="lay the pages out by lot first, so that reruns read their lots only")
     p.add_argument("--force", action="store_true", help="run lots again that are done")
+    p.add_argument("--verify", type=int, help="verify so many rows (0: all) and publish only what passes")
     p.add_argument("--filter-only", action="store_true", help="write the targets in scope and stop")
     p.add_argument("--dry-run", action="store_true", help="show the targets and stop")
     return p.parse_args(argv)
 
 
+def chosen_targets(spark: SparkSession, args: argparse.Namespace, places: DataFrame, inside: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The targets of a run, municipal ones and then those of the states that occur, and the governments' configuration, if one was given."""
+    from gazetta.operators.records import all_targets, municipal_targets
+
+    if args.live:
+        sites = scope.resolve_sites(inside.withColumn("id", F.col("ordinal")), read_any(spark, args.live))
+        inside = sites.drop("id", "site_notes", "site_status")
+    targets, config = municipal_targets(inside), None
+    if args.governments:
+        config = read_any(spark, args.governments)
+        last = F.lit(1 << 62)
+        state = scope.state_targets(inside.select(F.upper("state").alias("state")), config.withColumn("state", F.upper("state")))
+        state = state.withColumns({"target": F.col("name"), "municipality": F.col("name"), "ordinal": last}).drop("name")
+        if args.target:
+            state = state.where("false")
+        targets = all_targets(targets, state)
+    return (scope.sphere(targets, args.sphere) if args.sphere else targets), config
+
+
 def main(argv: Sequence[str] | None = None) -> int:
-    """``python -m gazetta.operators.batch``: scope, filters, lots, consolidation, audit; the exit code is 1 where the audit has issues."""
-    from gazetta.operators.records import municipal_targets
+    """``python -m gazetta.operators.batch``: scope, filters, targets of both spheres, lots, consolidation, audit, and with ``--verify`` the gate.
+
+    The exit code is 1 where the audit has issues or, with ``--verify``, a row differs from its source.
+    """
+    from gazetta.operators.rules import read_rules
     from gazetta.plans.directory import build
     from gazetta.sources.tables import read_targets, resolve_input, write_list
 
@@ -113,19 +187,42 @@ def main(argv: Sequence[str] | None = None) -> int:
     write_list(inside.drop("ordinal"), f"{args.output}/scope")
     if args.filter_only:
         return 0
-    targets = municipal_targets(inside)
+    targets, config = chosen_targets(spark, args, places, inside)
     if args.dry_run:
         targets.select("state", "target", "sphere", "site").show(1000, False)
         return 0
-    pages = spark.read.parquet(args.pages)
     folder = f"{args.output}/lots"
-    run_lots(targets, lambda some: build(some.drop("ordinal"), pages.join(some.select("target"), "target", "left_semi"), args.collected_on), folder, args.chunk_size, args.force)
-    names = [r["lot"] for r in lots(targets, args.chunk_size).select("lot").distinct().orderBy("lot").collect()]
+    pages = spark.read.parquet(args.pages)
+    if args.layout:
+        pages = lay_out_pages(pages, lots(targets, args.chunk_size), f"{args.output}/pages")
+    rules = read_rules(spark, args.rules, not args.rules_only) if args.rules else None
+    known = read_any(spark, args.overrides) if args.overrides else None
+
+    def work(some: DataFrame) -> Tables:
+        own = pages.where(F.col("lot").isin(_names(some))).drop("lot") if args.layout else pages
+        tables = build(some.drop("ordinal", "lot"), own.join(some.select("target").distinct(), "target", "left_semi"), args.collected_on, known, rules=rules)
+        return {n: tables[n] for n in LOT_TABLES}
+
+    run_lots(targets, work, folder, args.chunk_size, args.force, args.lots_at_once)
+    names = _names(lots(targets, args.chunk_size))
     tables = consolidate(spark, folder, names)
+    texts = tables.pop("texts")
     tables |= {"consolidated": tables["data"], "summary": quality.summary(tables["data"], tables["targets"], tables["pending"], args.collected_on), "configuration": config_table(spark, {"run": vars(args)})}
-    issues = quality.audit(tables, ["state", "target", "sphere", "ordinal"], quality.expected_municipal(places, scope.limits(spark)) if not (args.state or args.target or args.limit) else None)
+    whole = not (args.state or args.target or args.limit or args.sphere)
+    issues = quality.audit(tables, ["state", "target", "sphere", "ordinal"], quality.expected_municipal(places, scope.limits(spark)) if whole else None, expected_of(config, inside) if whole and config is not None else None)
     write_tables({n: df.drop("ordinal") for n, df in tables.items()}, f"{args.output}/tables")
-    return write_report(issues, f"{args.output}/audit")
+    if args.verify is None:
+        return write_report(issues, f"{args.output}/audit")
+    code, problems = deliver(tables | {"audit": issues}, texts.select(F.col("final_url").alias("url"), "text", "status"), f"{args.output}/delivery", args.verify)
+    if problems:
+        print("not published:", ", ".join(problems), file=sys.stderr)
+    return code
+
+
+def expected_of(config: DataFrame, inside: DataFrame) -> DataFrame:
+    """The configured targets of the states that occur."""
+    present = inside.select(F.upper("state").alias("state")).distinct()
+    return quality.expected_state(config.withColumn("state", F.upper("state")).join(present, "state", "left_semi"))
 
 
 if __name__ == "__main__":

@@ -202,23 +202,29 @@ def coverage_issues(data: DataFrame, targets: DataFrame) -> DataFrame:
 def scope_issues(sources: dict[str, DataFrame], expected: DataFrame, state_expected: DataFrame | None = None) -> DataFrame:
     """Expected targets that a source lacks and targets of the states that nobody configured, for every source.
 
-    Without ``state_expected`` any target that isn't municipal is out of scope.
+    Without ``state_expected`` any target that isn't municipal is out of scope. All tables are read once and meet in one shuffle: a target
+    has a bit for each of them that holds it, and the issues of all sources are read off the bits.
     """
     key = ["state", "target", "sphere"]
-    normal = lambda df: df.select(F.upper("state").alias("state"), "target", F.coalesce("sphere", F.lit("Municipal")).alias("sphere")).distinct()
-    out = None
-    for name, df in sources.items():
-        present = normal(df)
-        other = present.where("sphere <> 'Municipal'")
-        parts = [_issue(normal(expected).join(present, key, "left_anti"), "Escopo", F.lit(f"Município/capital esperado ausente em {name}."))]
+    wanted, configured, first = 1, 2, 4
+    marked = [(wanted, expected), *([(configured, state_expected)] if state_expected is not None else []), *((first << i, df) for i, df in enumerate(sources.values()))]
+    bits = None
+    for bit, df in marked:
+        own = df.select(F.upper("state").alias("state"), "target", F.coalesce("sphere", F.lit("Municipal")).alias("sphere"), F.lit(bit).cast("long").alias("bit"))
+        bits = own if bits is None else bits.unionByName(own)
+    held = bits.groupBy(*key).agg(F.bit_or("bit").alias("bits"))
+    has = lambda bit: F.col("bits").bitwiseAND(F.lit(bit)) != 0
+    other = F.col("sphere") != "Municipal"
+    said = []
+    for i, name in enumerate(sources):
+        here = has(first << i)
+        said.append(F.when(has(wanted) & ~here, F.lit(f"Município/capital esperado ausente em {name}.")))
         if state_expected is None:
-            parts.append(_issue(other, "Escopo", F.concat(F.lit(f"Alvo fora do escopo municipal em {name}: Esfera="), "sphere", F.lit("."))))
+            said.append(F.when(here & other, F.concat(F.lit(f"Alvo fora do escopo municipal em {name}: Esfera="), "sphere", F.lit("."))))
         else:
-            parts.append(_issue(other.join(normal(state_expected), key, "left_anti"), "Escopo", F.concat(F.lit(f"Alvo estadual não configurado em {name}: "), "target", F.lit("."))))
-            parts.append(_issue(normal(state_expected).join(other, key, "left_anti"), "Escopo", F.lit(f"Alvo estadual configurado ausente em {name}.")))
-        for part in parts:
-            out = part if out is None else out.unionByName(part)
-    return out
+            said.append(F.when(here & other & ~has(configured), F.concat(F.lit(f"Alvo estadual não configurado em {name}: "), "target", F.lit("."))))
+            said.append(F.when(has(configured) & ~(here & other), F.lit(f"Alvo estadual configurado ausente em {name}.")))
+    return _issue(held.select(*key, F.explode(F.array_compact(F.array(*said))).alias("said")), "Escopo", F.col("said"))
 
 
 def expected_municipal(places: DataFrame, rules: DataFrame) -> DataFrame:

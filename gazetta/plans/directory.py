@@ -81,7 +81,7 @@ def pending_rows(states: DataFrame, data: DataFrame) -> DataFrame:
 
 
 def build(targets: DataFrame, pages: DataFrame, collected_on: str, overrides: DataFrame | None = None, unavailable: Sequence[str] = (), configuration: dict[str, object] | None = None, rules: DataFrame | None = None) -> dict[str, DataFrame]:
-    """The tables of a delivery: ``data``, ``consolidated`` (the same rows), ``targets``, ``pending``, ``summary``, ``sources``, ``configuration``, and ``audit``.
+    """The tables of a delivery: ``data``, ``consolidated`` (the same rows), ``targets``, ``pending``, ``summary``, ``sources``, ``texts`` (what was read of the sources, for verification), ``configuration``, and ``audit``.
 
     ``targets``: target, state, sphere, site and any of the other target columns and ``categories``. ``pages``: see ``attempts``.
     ``rules``: a table of rules (``operators.rules``) on addresses, names and sources in place of the library's lists. ``overrides``: known contacts: state, name (of the target), sphere and the columns of a record. A target is known by its name.
@@ -126,6 +126,7 @@ def build(targets: DataFrame, pages: DataFrame, collected_on: str, overrides: Da
         "pending": pending,
         "summary": quality.summary(data, status, pending, collected_on),
         "sources": log.drop("text"),
+        "texts": log.select("page_id", "target", "final_url", "text", "status"),
         "configuration": config_table(targets.sparkSession, configuration or {"run": {"collected_on": collected_on}}),
     }
     tables["audit"] = quality.audit(tables, ["state", "target", "sphere", "ordinal"])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from gazetta.functions.geo import is_capital, state_code, state_name
@@ -55,6 +55,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
 
+def remove(spark: SparkSession, paths: Sequence[str]) -> None:
+    """Delete files or folders; those that are absent are passed over."""
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def resolve_input(spark: SparkSession, path: str | None = None, candidates: Sequence[str] = DEFAULT_INPUTS) -> str:
     """The path that was given, else the first of the usual places that exists."""
     if path:
@@ -127,14 +134,19 @@ def read_yaml(path: str) -> object:
         return yaml.safe_load(f) or {}
 
 
-def write_tables(tables: dict[str, DataFrame], folder: str, partition_by: dict[str, Sequence[str]] | None = None) -> None:
-    """One Parquet folder a table; partitioned tables replace only the partitions that they bring."""
-    for name, df in tables.items():
-        keys = (partition_by or {}).get(name, ())
-        writer = df.write.mode("overwrite")
-        if keys:
-            writer = writer.partitionBy(*keys).option("partitionOverwriteMode", "dynamic")
-        writer.parquet(f"{folder}/{name}")
+def observed_write(df: DataFrame, path: str, keys: Sequence[str] = (), **measures: Column) -> dict[str, int]:
+    """Write a table and count in the same pass: its ``rows`` and whatever ``measures`` (aggregates) ask for. Partitioned tables replace only the partitions that they bring."""
+    seen = Observation()
+    writer = df.observe(seen, F.count(F.lit(1)).alias("rows"), *(c.alias(name) for name, c in measures.items())).write.mode("overwrite")
+    if keys:
+        writer = writer.partitionBy(*keys).option("partitionOverwriteMode", "dynamic")
+    writer.parquet(path)
+    return {"rows": 0, **dict.fromkeys(measures, 0), **{k: v or 0 for k, v in seen.get.items()}}
+
+
+def write_tables(tables: dict[str, DataFrame], folder: str, partition_by: dict[str, Sequence[str]] | None = None) -> dict[str, int]:
+    """One Parquet folder a table; partitioned tables replace only the partitions that they bring. Returns the rows of each, counted as they were written."""
+    return {name: observed_write(df, f"{folder}/{name}", (partition_by or {}).get(name, ()))["rows"] for name, df in tables.items()}
 
 
 def read_table(spark: SparkSession, folder: str, name: str, schema: str) -> DataFrame:
@@ -195,9 +207,8 @@ def write_sites(resolved: DataFrame, stamp: str, path: str, pending_path: str |
 
 
 def write_report(issues: DataFrame, path: str) -> int:
-    """Write a report of issues; the exit code of a run: 1 where there are any."""
-    issues.write.mode("overwrite").parquet(path)
-    return int(not issues.sparkSession.read.parquet(path).isEmpty())
+    """Write a report of issues; the exit code of a run: 1 where there are any. The pass that writes counts."""
+    return int(observed_write(issues, path)["rows"] > 0)
 
 
 def write_manifest(tables: dict[str, DataFrame], folder: str) -> None:

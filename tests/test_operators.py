@@ -1,5 +1,7 @@
 """Behaviours of scope, records, quality, frontier, sources and streaming."""
 
+import shutil
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -291,9 +293,9 @@ def test_lots_resume_and_reprocess(spark, tmp_path):
 
     folder = str(tmp_path / "lots")
     assert batch.run_lots(targets, work, folder, chunk_size=2) == ["RJ-001", "SP-001", "SP-002", "SP-003"]
-    assert ran == [["r"], ["t0", "t1"], ["t2", "t3"], ["t4"]] and batch.run_lots(targets, work, folder, chunk_size=2) == []
-    (tmp_path / "lots" / "SP-002" / "data" / "_SUCCESS").unlink()
-    assert batch.run_lots(targets, work, folder, chunk_size=2) == ["SP-002"]
+    assert ran == [["r", "t0", "t1", "t2", "t3", "t4"]] and batch.run_lots(targets, work, folder, chunk_size=2) == []
+    shutil.rmtree(tmp_path / "lots" / "marks" / "lot=SP-002")
+    assert batch.run_lots(targets, work, folder, chunk_size=2) == ["SP-002"] and ran[-1] == ["t2", "t3"]
     whole = batch.consolidate(spark, folder, ["RJ-001", "SP-001", "SP-002", "SP-003", "XX-001"], "municipal")
     assert whole["data"].count() == 6
     again = batch.reprocess(targets, whole["data"], work, str(tmp_path / "re"))
