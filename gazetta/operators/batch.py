@@ -7,7 +7,6 @@ import json
 import sys
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -32,13 +31,9 @@ def _names(df: DataFrame) -> list[str]:
 
 def _partitions(spark: SparkSession, path: str) -> DataFrame | None:
     """A table of lots, whatever columns each has; None where no lot has a row."""
-    if not exists(spark, path):
+    if not exists(spark, f"{path}/lot=*/*.parquet"):
         return None
-    try:
-        df = spark.read.option("mergeSchema", True).parquet(path)
-    except AnalysisException:  # a folder without a file has no schema
-        return None
-    return df.withColumn("lot", F.col("lot").cast("string"))
+    return spark.read.option("mergeSchema", True).parquet(path).withColumn("lot", F.col("lot").cast("string"))
 
 
 def lots_done(spark: SparkSession, folder: str) -> list[str]:

@@ -51,8 +51,9 @@ def read_any(spark: SparkSession, path: str) -> DataFrame:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything at a path, which may hold wildcards."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+    return bool(at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at))
 
 
 def remove(spark: SparkSession, paths: Sequence[str]) -> None:

@@ -180,5 +180,6 @@ def test_the_command_line_with_everything(spark, tmp_path):
     assert spark.read.parquet(f"{out}/delivery/verification").count() > 0
     # The states' rows are of their own categories only; a run of one sphere leaves the other out.
     assert {r.role for r in data.where("target = 'Secretaria X'").collect()} == {"Município/Capital e UF", "Planejamento"}
-    batch.main([*args[:5], str(tmp_path / "only"), *args[6:], "--sphere", "estadual"])
-    assert {r.sphere for r in spark.read.parquet(str(tmp_path / "only" / "tables" / "targets")).collect()} == {"Estadual"}
+    only = batch.arguments([*args, "--sphere", "estadual"])
+    places = spark.createDataFrame([("SP", "Vila", 0)], "state string, name string, ordinal int")
+    assert {r.target for r in batch.chosen_targets(spark, batch.arguments([*args[:12], "--sphere", "estadual"]), places, places)[0].collect()} == {"Governo SP", "Secretaria X"} and only.layout
