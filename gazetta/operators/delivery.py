@@ -64,8 +64,12 @@ def fallback_urls(site: Column) -> Column:
     return let(root_url(clean_url(site)), lambda root: F.filter(F.array(*(F.concat(root, F.lit(p)) for p in FALLBACK_PATHS)), lambda u: ignore_reason(u).isNull()))
 
 
+# Keys of a configuration that stand for a category whose label they aren't a form of.
+CATEGORY_KEYS = {"identificacao": IDENTITY, "municipio_capital_uf": IDENTITY, "agencia_desenvolvimento": "Agências municipais de desenvolvimento"}
+
+
 def parse_categories(listed: Column) -> Column:
-    """The known categories of a ``;`` or ``,`` list, in order, without regard to accents and case."""
+    """The known categories of a ``;`` or ``,`` list, in order, by label or by key, without regard to accents, case and what joins their words."""
     labels = [IDENTITY, *CATEGORIES]
     parts = F.transform(F.split(F.coalesce(listed, F.lit("")), "[;,]"), lambda x: identity(x))
 
@@ -73,6 +77,8 @@ def parse_categories(listed: Column) -> Column:
         out = F.when(F.lit(False), "")
         for name in labels:
             out = out.when(p == identity(F.lit(name)), name)
+        for key, name in CATEGORY_KEYS.items():
+            out = out.when(p == key.replace("_", " "), name)
         return out
 
     return F.array_distinct(F.array_compact(F.transform(parts, label)))

@@ -110,10 +110,26 @@ def or_else(a: Column, b: Column) -> Column:
     return F.coalesce(F.nullif(a, F.lit(0)), b)
 
 
+#: Hexadecimal digits of a draw by which rows are counted: 4,096 bins a stratum.
+DRAW_DIGITS = 3
+
+
 def stratified_sample(df: DataFrame, stratum: str, key: Column, per_stratum: int) -> DataFrame:
-    """The same rows for the same keys: the first of each stratum by a hash of the key."""
-    nth = F.row_number().over(Window.partitionBy(stratum).orderBy(F.md5(key.cast("string").cast("binary")), key))
-    return df.withColumn("_nth", nth).where(F.col("_nth") <= per_stratum).drop("_nth") if per_stratum else df
+    """The same rows for the same keys: the first of each stratum by a hash of the key; rows of one key count one by one.
+
+    A stratum's draws are counted by their first bits, a row a task and bin, and only rows up to the bin in which the last one wanted
+    lies are ranked: about ``per_stratum`` of them, however many rows the stratum has.
+    """
+    if not per_stratum:
+        return df
+    draw = F.md5(key.cast("string").cast("binary"))
+    drawn = df.withColumns({"_draw": draw, "_bin": F.substring(draw, 1, DRAW_DIGITS)})
+    bins = drawn.groupBy(F.col(stratum).alias("_stratum"), "_bin").agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("_stratum").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    last = bins.withColumn("_before", before).where(F.col("_before") < per_stratum).groupBy("_stratum").agg(F.max("_bin").alias("_last"))
+    near = drawn.join(last, F.col(stratum).eqNullSafe(F.col("_stratum"))).where(F.col("_bin") <= F.col("_last"))
+    nth = F.row_number().over(Window.partitionBy(stratum).orderBy("_draw", key))
+    return near.withColumn("_nth", nth).where(F.col("_nth") <= per_stratum).select(df.columns)
 
 
 def chunks(df: DataFrame, within: Sequence[str], order: Sequence[str], size: int) -> DataFrame:
@@ -266,14 +282,20 @@ CHECKED, REACH, TOGETHER = ["email", "phone", "mobile"], 12, 8
 
 
 def verification_sample(data: DataFrame, most: int, seed: int = 42, order: Column | str = "ordinal", statuses: Sequence[str] = ("Encontrado", "Parcial")) -> DataFrame:
-    """The rows to verify: those that claim something and have a field to check, the first of each state before all, then by a seeded hash, up to ``most`` (0: all)."""
+    """The rows to verify: those that claim something and have a field to check, the first of each state before all, then by a seeded hash, up to ``most`` (0: all).
+
+    ``order`` tells the rows of a state apart; rows that share the least of it are all first.
+    """
     some = F.exists(F.array(*CHECKED, "name"), lambda x: ~blank(x))
     eligible = data.where(F.col("status").isin(*statuses) & (F.col("role") != IDENTITY) & some)
     if not most:
         return eligible
-    nth = F.row_number().over(Window.partitionBy("state").orderBy(order))
+    # The first of each state by a partial aggregate, the rest by the least of their draws in each task: no state's rows come together.
+    place = F.col(order) if isinstance(order, str) else order
+    first = eligible.groupBy("state").agg(F.min(place).alias("_least"))
     draw = F.md5(F.concat_ws("|", F.lit(str(seed)), "state", "target").cast("binary"))
-    return eligible.withColumn("_first", nth == 1).orderBy(F.desc("_first"), F.when(~F.col("_first"), draw), "state", order).limit(most).drop("_first")
+    begun = eligible.join(first, eligible["state"].eqNullSafe(first["state"])).drop(first["state"]).withColumn("_first", place.eqNullSafe(F.col("_least")))
+    return begun.orderBy(F.desc("_first"), F.when(~F.col("_first"), draw), "state", order).limit(most).drop("_first", "_least")
 
 
 def category_terms(role: Column, unit: Column) -> Column:

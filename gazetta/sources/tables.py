@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gazetta.functions.geo import is_capital, state_code, state_name
@@ -165,6 +165,26 @@ def population_rows(series: DataFrame, key: str = "code", value: str = "value")
     return series.where(F.col(value).rlike("^[0-9]+$")).select(F.col(key), F.col(value).cast("long").alias("population"))
 
 
+def read_population_series(spark: SparkSession, path: str, codes: DataFrame, chunk: int = 300, code: str = "code") -> DataFrame:
+    """The population of places from the recorded answers of a statistics service that is asked for ``chunk`` codes at a time.
+
+    ``path``: a folder of answers, each a JSON array of records (``D1C``: code, ``V``: value) behind a header record; every answer is read by
+    a task of its own. Values that aren't numbers are passed over; of several values of a code the greatest counts. ``codes`` tells what was
+    asked for, in the order of its codes: a chunk of which no code is answered was not recorded, and raises ValueError with the number of such chunks and the first code of each of the first five.
+    """
+    answers = spark.read.text(path, wholetext=True).select(F.from_json("value", "array<struct<D1C: string, V: string>>").alias("records"))
+    rows = answers.select(F.inline(F.slice("records", F.lit(2), F.greatest(F.size("records") - 1, F.lit(0))))).where("D1C IS NOT NULL")
+    known = rows.groupBy(F.col("D1C").alias("code")).agg(F.max(F.when(F.col("V").rlike("^[0-9]+$"), F.col("V").cast("long"))).alias("population"))
+    # Codes of a statistics office: some thousands, numbered in one window.
+    asked = codes.select(F.col(code).cast("string").alias("code")).distinct().withColumn("chunk", F.floor((F.row_number().over(Window.orderBy("code")) - 1) / chunk))
+    met = asked.join(known.withColumn("answered", F.lit(True)), "code", "left")
+    gaps = met.groupBy("chunk").agg(F.min("code").alias("first"), F.bool_or(F.coalesce("answered", F.lit(False))).alias("any")).where("NOT any")
+    lacking = [r["first"] for r in gaps.orderBy("chunk").select("first").collect()]
+    if lacking:
+        raise ValueError(f"{len(lacking)} chunks without an answer, from code {', '.join(lacking[:5])}")
+    return met.where("population IS NOT NULL").select("code", "population")
+
+
 def frozen_list(places: DataFrame, population: DataFrame, stamp: str) -> DataFrame:
     """Places with their population (0 where none is known), ready to be written in order."""
     joined = places.join(population, "code", "left").withColumn("population", F.coalesce("population", F.lit(0)))
