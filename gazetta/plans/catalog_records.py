@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gazetta.functions import contacts, extract, geo, names, text, urls
-from gazetta.operators import batch, delivery, quality, records, scope
-from gazetta.plans import directory
+from gazetta.operators import batch, delivery, quality, records, rules, scope
+from gazetta.plans import catalog, directory
 from gazetta.plans.catalog import query, table
+from gazetta.scratch import scratch_dir
 
 
 def pick(key: Column, values: list[object]) -> Column:
@@ -347,3 +348,54 @@ def directory_run(spark, sf):
     targets = s.select("target", F.lit("SP").alias("state"), F.lit("Municipal").alias("sphere"), F.when(F.col("page_id") % 4 == 0, "").otherwise(F.col("url")).alias("site"))
     pages = s.where("page_id % 4 <> 0")
     return directory.build(targets, pages, "2024-01-01")["data"].select("target", "role", "name", "email", "status")
+
+
+# --- rules as data, lots, scope of several sources ----------------------------------------
+
+#: Rules of a made list, which the SQL writes out again.
+RULES = [("segment", "/tion"), ("segment", "the"), ("segment", "-"), ("prefix", "/a"), ("file", ".html"), ("file", "er"), ("query", "id="), ("query", "=1"), ("host", "site1"), ("network", ".example"), ("subdomain", "://www."), ("segment", "/licença/")]
+
+
+@query(f"""WITH u AS (SELECT DISTINCT to_url FROM ({catalog.TO.replace(catalog.ASKED, catalog.LINKS)})), r(kind, pattern) AS (VALUES ('segment', '/tion'), ('segment', 'the'), ('segment', '-'), ('prefix', '/a'), ('file', '.html'), ('file', 'er'), ('query', 'id='), ('query', '=1'), ('host', 'site1'), ('network', '.example'), ('subdomain', '://www.'), ('segment', '/licenca/')),
+p AS (SELECT to_url, lower(url_decode(replace(to_url, '+', '%2B'))) AS raw, {catalog.NORM.format("url_decode(replace(regexp_extract(to_url, '://[^/?#]*([^?#;]*)', 1), '+', '%2B'))")} AS path, lower(regexp_extract(to_url, '[?]([^#]*)', 1)) AS asked FROM u)
+SELECT to_url, kind, pattern FROM p, r WHERE CASE WHEN kind = 'segment' THEN contains(path, pattern) WHEN kind = 'prefix' THEN prefix(path, pattern) WHEN kind = 'file' THEN suffix(path, pattern) WHEN kind = 'query' THEN contains(asked, pattern) ELSE contains(raw, pattern) END""")
+def rule_hits(spark, sf):
+    """Every rule of a table that holds for a link of the pages; the SQL compares each link with each rule."""
+    links = catalog._links(spark, sf).select(urls.resolve(F.col("url"), F.col("href")).alias("to_url")).distinct()
+    parts = links.withColumns({"raw": F.lower(urls.unquoted(F.col("to_url"))), "path": text.norm_search(urls.unquoted(urls.path(F.col("to_url")))), "asked": F.lower(urls.query(F.col("to_url")))})
+    return rules.matches(parts, "to_url", {"raw": "raw", "path": "path", "query": "asked"}, rules.rules_of(spark, RULES))
+
+
+@query("""SELECT n_name AS state, c_custkey, count(o_orderkey) AS n, lpad((((row_number() OVER (PARTITION BY n_name ORDER BY c_custkey) - 1) // 20) + 1)::VARCHAR, 3, '0') AS chunk
+FROM customer JOIN nation ON n_nationkey = c_nationkey LEFT JOIN orders ON o_custkey = c_custkey GROUP BY n_name, c_custkey""")
+def lot_tables(spark, sf):
+    """Customers as targets, their orders as pages: all lots in one plan, written by lot and read together again."""
+    c = table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    targets = c.select(F.col("n_name").alias("state"), F.col("c_custkey").alias("target"), F.col("c_custkey").alias("ordinal"))
+    orders = table(spark, sf, "orders").select(F.col("o_custkey").alias("target"), "o_orderkey")
+
+    def work(some: DataFrame) -> dict[str, DataFrame]:
+        counts = orders.join(some.select("target"), "target", "left_semi").groupBy("target").agg(F.count("o_orderkey").alias("n"))
+        joined = some.join(counts, "target", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+        return {"data": joined.select("state", "target", "n", F.right("lot", F.lit(3)).alias("chunk"))}
+
+    folder = scratch_dir(spark)
+    names = batch.run_lots(targets, work, folder, chunk_size=20)
+    return batch.consolidate(spark, folder, names)["data"].select("state", F.col("target").alias("c_custkey"), "n", "chunk")
+
+
+@query("""WITH e AS (SELECT DISTINCT n_name AS state, c_name AS target FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE c_acctbal > 0),
+a AS (SELECT DISTINCT n_name AS state, c_name AS target FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE c_custkey IN (SELECT o_custkey FROM orders)),
+b AS (SELECT DISTINCT n_name AS state, c_name AS target FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE c_mktsegment <> 'BUILDING'),
+s AS (SELECT n_name AS state, s_name AS target FROM supplier JOIN nation ON n_nationkey = s_nationkey), t AS (SELECT * FROM s WHERE substr(target, length(target), 1) IN ('1', '2', '3'))
+SELECT state, target, 'Município/capital esperado ausente em a.' AS description FROM (SELECT * FROM e EXCEPT SELECT * FROM a) UNION ALL SELECT state, target, 'Município/capital esperado ausente em b.' FROM (SELECT * FROM e EXCEPT SELECT * FROM b)
+UNION ALL SELECT state, target, 'Alvo estadual não configurado em a: ' || target || '.' FROM (SELECT * FROM s EXCEPT SELECT * FROM t) UNION ALL SELECT state, target, 'Alvo estadual configurado ausente em b.' FROM t""")
+def scope_sources(spark, sf):
+    """Two sources held against the expected targets and the configured state targets at once."""
+    n = table(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("state"))
+    c = table(spark, sf, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey")).withColumnRenamed("c_name", "target").withColumn("sphere", F.lit("Municipal"))
+    s = table(spark, sf, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey")).select("state", F.col("s_name").alias("target"), F.lit("Estadual").alias("sphere"))
+    ordered = c.join(table(spark, sf, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left_semi").select("state", "target", "sphere")
+    sources = {"a": ordered.unionByName(s), "b": c.where("c_mktsegment <> 'BUILDING'").select("state", "target", "sphere")}
+    expected, configured = c.where("c_acctbal > 0").select("state", "target", "sphere"), s.where(F.right("target", F.lit(1)).isin("1", "2", "3"))
+    return quality.scope_issues(sources, expected, configured).select("state", "target", "description")
