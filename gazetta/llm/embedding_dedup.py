@@ -63,6 +63,8 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterato
 
 def unit(vectors: list[bytes], kind: str) -> np.ndarray:
     v = np.frombuffer(b"".join(vectors), kind).reshape(len(vectors), -1).astype(np.float64)
+    # By a power of two to components of about 1, which is exact: squares of huge or tiny ones would overflow or vanish.
+    v = np.ldexp(v, -np.frexp(np.abs(v).max(axis=1, keepdims=True))[1])
     return v / np.linalg.norm(v, axis=1, keepdims=True)
 
 
@@ -292,8 +294,7 @@ def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     kind = "<f4" if element == "array<float>" else "<f8"
     v = column(vectors, vector_col) if element == "array<float>" else column(vectors, vector_col).cast("array<double>")
     base = vectors.select(F.coalesce(column(vectors, id_col).cast("long"), F.lit(NO_ID)).alias("owner"), column(vectors, label_col).cast("string").alias("label"), v.alias("v"))
-    square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
-    sound = F.col("label").isNotNull() & (F.size("v") > 0) & F.coalesce(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False)) & F.coalesce(square > 0, F.lit(False))
+    sound = F.col("label").isNotNull() & (F.size("v") > 0) & F.coalesce(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False)) & F.coalesce(F.exists("v", lambda x: x != 0), F.lit(False))
     base = base.withColumn("ok", F.coalesce(sound, F.lit(False))).withColumns({"v1": F.xxhash64("v"), "v2": F.xxhash64(F.lit("second"), "v"), "dim": F.size("v")})
     keys = ["label", "dim", "v1", "v2"]
     classes = base.where("ok").groupBy(*keys).agg(F.min("owner").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("v").alias("v"))

@@ -286,3 +286,31 @@ def test_chains_hand_on_when_full(monkeypatch):
     assert len([v for _, v in out if v[0] is not None]) == 40
     settled = list(filter_audit._settled(iter(out)))
     assert sorted(i for i, _, mask, _ in settled if not mask & filter_audit.COPY) == list(range(15))
+
+
+# Numbers and archives at their edges
+
+
+def test_vectors_of_huge_and_tiny_components(spark):
+    """Squares that overflow or vanish change nothing: the links are those of the same vectors at an ordinary size."""
+    from gazetta.llm import embedding_dedup
+
+    base = [[1.0, 1.0, 0.5], [1.0, 1.01, 0.5], [-1.0, 0.2, 3.0], [2.0, 2.0, 1.0]]
+    rows = [(100 * k + i, [x * s for x in v], k) for k, s in enumerate((1.0, 1e200, 1e-200, 1e307, 5e-322)) for i, v in enumerate(base)] + [(900, [0.0, 0.0, 0.0], 1), (901, [-0.0, 0.0, 0.0], 1)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.embedding_dedup(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    for k in range(4):
+        assert [got[100 * k + i] for i in range(4)] == [(2, 100 * k), (2, 100 * k), (0, 100 * k + 2), (2, 100 * k)]
+    assert got[900] == (0, 900) and got[901] == (0, 901) and got[400][0] == 2
+
+
+def test_warc_headers_of_others():
+    import gzip
+
+    from gazetta.llm import warc
+
+    odd = gzip.compress(b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: http://x/\xff\xfe\r\n\r\nHTTP/1.1 200 OK\r\n\r\nbody\r\n\r\n")
+    short = gzip.compress(b"WARC/1.0\r\nContent-Length: nothing\r\n\r\n\r\n\r\n")
+    rows = list(warc.parse_records(odd + short))
+    assert [(r[0], r[1], r[8], r[10]) for r in rows] == [("response", "", 4, b"body")] and rows[0][5].startswith("http://x/")
+    with pytest.raises(ValueError, match="not a WARC record"):
+        list(warc.parse_records(gzip.compress(b"no archive")))
