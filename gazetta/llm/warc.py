@@ -104,18 +104,19 @@ def parse_records(archive: bytes) -> Iterator[tuple]:
     """Rows of ``SCHEMA`` for the records of an archive; records of other types are passed over.
 
     Archives of other writers are read too: digests in base32 become hex, those of other algorithms stay as they are,
-    what a record leaves out is null, and ids that hold no page give none. A payload that
+    what a record leaves out is null (its id: empty), and ids that hold no page give none. Headers that aren't UTF-8 are read with replacements, and a record
+    without a length goes to the end of its member. A payload that
     contradicts its SHA-1 or the length that its HTTP head or metadata names is an error.
     """
     for data in members(archive):
-        end = data.index(b"\r\n\r\n")
-        lines = data[:end].decode().split("\r\n")
+        end = data.find(b"\r\n\r\n")
+        lines = data[: max(0, end)].decode("utf-8", "replace").split("\r\n")
         if not lines[0].startswith("WARC/"):
             raise ValueError("not a WARC record")
         head = {k.lower(): v.strip() for k, _, v in (line.partition(":") for line in lines[1:])}
-        size = int(head["content-length"])
-        block = data[end + 4 : end + 4 + size]
-        kind = head["warc-type"]
+        size = head.get("content-length", "")
+        block = data[end + 4 : end + 4 + int(size)] if size.isdigit() else data[end + 4 :].removesuffix(b"\r\n\r\n")
+        kind = head.get("warc-type")
         if kind not in ("request", "response", "revisit", "metadata"):
             continue
         digest, payload, length = None, None, None
@@ -127,11 +128,11 @@ def parse_records(archive: bytes) -> Iterator[tuple]:
             encoded = re.search(rb"(?im)^(transfer|content)-encoding:", http)
             length = int(named[1]) if named else (len(body) if kind == "response" else None)
             if kind == "response" and not encoded and (length != len(body) or (digest and len(digest) == 40 and hashlib.sha1(body).hexdigest() != digest)):
-                raise ValueError(f"the payload of {head['warc-record-id']} is damaged")
+                raise ValueError(f"the payload of {head.get('warc-record-id')} is damaged")
         elif kind == "metadata":
             named = re.search(rb"payloadLength: *(\d+)", block)
             length = int(named[1]) if named else None
-        identifier, refers = head["warc-record-id"], head.get("warc-refers-to")
+        identifier, refers = head.get("warc-record-id", ""), head.get("warc-refers-to")
         yield kind, identifier, head.get("warc-concurrent-to"), refers, page_of(refers) if refers else None, head.get("warc-target-uri"), head.get("warc-date"), digest, length, page_of(identifier), payload
 
 
