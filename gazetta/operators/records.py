@@ -11,6 +11,7 @@ from gazetta.functions.names import valid_name
 from gazetta.functions.text import add_note, blank, norm_emails, norm_phones, norm_role, norm_search, norm_status, title_name, unit_of_role
 from gazetta.functions.urls import clean_url, has_any, reference_url
 from gazetta.operators.scope import names_a_place
+from gazetta.scratch import materialise
 
 # The categories that every municipality needs, each with its unit.
 IDENTITY = "Município/Capital e UF"
@@ -137,7 +138,8 @@ def cover(targets: DataFrame, contacts: DataFrame, collected_on: str) -> DataFra
     some = F.exists(F.array(*CONTACT), lambda x: ~blank(x))
     known = known.where(~place | some).withColumn("name", F.when(place, "").otherwise(F.col("name")))
     keys = score(F.col("status"), F.concat_ws("", *CONTACT), F.col("name"), F.col("source_url"))
-    ranked = rank_candidates(known, [*TARGET_KEY, "category"], keys, "ordinal").drop("ordinal")
+    # Read twice below: classified and ranked once, and the plan ends here.
+    ranked = materialise(rank_candidates(known, [*TARGET_KEY, "category"], keys, "ordinal").drop("ordinal"))
     empty = {c: F.lit("") for c in ("name", *CONTACT)}
     units = F.create_map(*(F.lit(x) for pair in labels().items() for x in pair))
     lacking = required_categories(targets).join(ranked.select(*TARGET_KEY, "category").distinct(), [*TARGET_KEY, "category"], "left_anti").join(targets, TARGET_KEY)
