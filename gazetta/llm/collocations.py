@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gazetta.llm.common import column, find_words, lowered, materialise, mix, text_bytes
+from gazetta.llm.common import column, find_words, lowered, materialise, mix, spread, text_bytes
 
 #: Bytes that end a piece, beside the end of a text.
 _BREAK = np.isin(np.arange(256), [ord(c) for c in ".,;:!?\n\x0b\x0c\r"])
@@ -268,6 +268,7 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     """Frequent phrases of 1 to ``longest`` words (``lang``, ``size``, ``phrase``, ``f``), and all words a language (``lang``, ``n``)."""
     base = docs.select(F.coalesce(column(docs, lang_col).cast("string"), F.lit("und")).alias("lang"), column(docs, text_col).alias("text")).where("text <> ''")
     bits = bitmap_bits(base.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    base = spread(base)
     tables, buckets, frequent, totals, mark = [], None, None, None, min(least, MOST_COUNT)
     for size in range(1, longest + 1):
         found = materialise(base.mapInArrow(_count(size, longest, mark, bits, buckets, frequent), SCHEMA))

@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gazetta.scratch import clear_scratch, materialise, qualified, scratch_dir, scratch_root  # noqa: F401
+from gazetta.scratch import clear_scratch, materialise, qualified, scratch_dir, scratch_root, spread  # noqa: F401
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: The white space of every word and line rule here: \x20 and \x09-\x0D.

@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from gazetta.llm.common import column
+from gazetta.llm.common import column, spread
 
 LETTERS = "ABCDE"
 #: Bytes of text in a routed partition, and those that a task holds before it hands its chains on.
@@ -131,7 +131,7 @@ def failed_filters(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
     size = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
-    routed = base.rdd.mapPartitions(_local).partitionBy(n, lambda fingerprint: fingerprint)
+    routed = spread(base).rdd.mapPartitions(_local).partitionBy(n, lambda fingerprint: fingerprint)
     return docs.sparkSession.createDataFrame(routed.mapPartitions(_settled), "id long, part string, mask int, n long", verifySchema=False)
 
 

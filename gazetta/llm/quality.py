@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gazetta.llm.common import chunks, column, find_words, materialise, run_hashes
+from gazetta.llm.common import chunks, column, find_words, materialise, run_hashes, spread
 
 THRESHOLD = 0.3
 #: Folds of the labelled rows, and the share of the pooled covariance and of its diagonal in a class's own.
@@ -182,7 +182,7 @@ def held_out(id_text: Column) -> Column:
 
 
 def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id`` and ``x``, the vector of ``STATISTICS``, of every row; no shuffle."""
+    """``id`` and ``x``, the vector of ``STATISTICS``, of every row; no shuffle but of an input that is small for the number of cores."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
@@ -190,7 +190,7 @@ def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             ends = pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1])
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.ListArray.from_arrays(ends, pa.array(x.ravel()))], ["id", "x"])
 
-    return docs.select(column(docs, id_col).cast("long").alias("id"), column(docs, text_col).alias("text")).mapInArrow(run, "id long, x array<double>")
+    return spread(docs.select(column(docs, id_col).cast("long").alias("id"), column(docs, text_col).alias("text"))).mapInArrow(run, "id long, x array<double>")
 
 
 def _vectors(batch: pa.RecordBatch) -> np.ndarray:
