@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from gazetta.operators import delivery, quality, scope
+from gazetta.scratch import clear_scratch
 from gazetta.sources.tables import config_table, exists, observed_write, read_any, remove, write_manifest, write_report, write_tables
 
 Tables = dict[str, DataFrame]
@@ -221,4 +222,6 @@ def expected_of(config: DataFrame, inside: DataFrame) -> DataFrame:
 
 
 if __name__ == "__main__":
-    sys.exit(main())
+    code = main()
+    clear_scratch(SparkSession.active())
+    sys.exit(code)

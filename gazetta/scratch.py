@@ -54,9 +54,11 @@ def materialise(df: DataFrame) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """A small input dealt out to all cores before work that is long for its size (parsing in Python workers).
 
-    By Spark's estimate of its size, an input that fills a partition a core is left as it is: nothing is shuffled at scale.
+    By Spark's estimate of its size, an input that fills a partition a core is left as it is: nothing is shuffled at scale. Streams are left as they are.
     """
     spark = df.sparkSession
+    if df.isStreaming:
+        return df
     size, cores = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())), spark.sparkContext.defaultParallelism
     full = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
     return df.repartition(cores) if size < cores * full else df

@@ -87,3 +87,19 @@ def test_categories_by_label_and_by_key(spark):
     listed = [("agencia_desenvolvimento; financas_fazenda",), ("Desenvolvimento-Econômico, planejamento",), ("desenvolvimento_economico;desenvolvimento",), ("agência de coisas",), (None,)]
     got = [r[0] for r in spark.createDataFrame(listed, "c string").select(delivery.parse_categories(F.col("c"))).collect()]
     assert got == [["Agências municipais de desenvolvimento", "Finanças/Fazenda"], ["Desenvolvimento econômico", "Planejamento"], ["Desenvolvimento econômico", "Desenvolvimento"], [], []]
+
+
+def test_small_inputs_are_dealt_out_and_streams_and_large_ones_left(spark, tmp_path):
+    from gazetta.functions.contacts import extract_contacts
+    from gazetta.scratch import spread
+
+    spark.createDataFrame([(1, "Contato: a@v.example"), (2, "nada")], "id long, text string").coalesce(1).write.parquet(str(tmp_path / "in"))
+    small = spark.read.parquet(str(tmp_path / "in"))
+    assert spread(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and sorted(spread(small).collect()) == sorted(small.collect())
+    large = small.crossJoin(spark.range(10**9).select((F.col("id") * 2).alias("other")))
+    assert spread(large) is large
+    stream = spark.readStream.schema("id long, text string").parquet(str(tmp_path / "in"))
+    assert spread(stream) is stream
+    query = extract_contacts(stream, ["id"]).writeStream.format("memory").queryName("contacts_of_a_stream").option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert [(r.id, r.email) for r in spark.table("contacts_of_a_stream").collect()] == [(1, "a@v.example")]
