@@ -137,15 +137,20 @@ class Lexicon:
         low = (text if text.isascii() else unicodedata.normalize("NFKD", text).encode("ascii", "ignore").decode()).lower()
         return any(s in low for s in self.stems)
 
-    def places(self, low: str) -> Iterator[tuple[int, int, str]]:
-        """``(start, end, role)`` of each mention of a role in a folded text, by start; at one start the longest first."""
+    def phrases_of_roles(self, low: str) -> Iterator[tuple[int, int, str, bool]]:
+        """``(start, end, role, of_others)`` of each phrase of a role in a folded text, by start; at one start the longest first.
+
+        ``of_others``: what follows makes it the office of anyone but the executive ("chefe de gabinete do secretario").
+        """
         for start, end, role in self.mentions.find(low):
             said = low[start:end].replace("-", " ")
             if said in _OFFICES and low[max(0, start - 5) : start] in ("vice-", "vice "):
                 continue
-            if _CHIEF.fullmatch(said) and _OF_OTHERS.match(low, end):
-                continue
-            yield start, end, role
+            yield start, end, role, bool(_CHIEF.fullmatch(said) and _OF_OTHERS.match(low, end))
+
+    def places(self, low: str) -> Iterator[tuple[int, int, str]]:
+        """``(start, end, role)`` of each phrase that names the role itself, by start; at one start the longest first."""
+        return ((start, end, role) for start, end, role, of_others in self.phrases_of_roles(low) if not of_others)
 
     def roles(self, low: str) -> list[str]:
         """The roles that a normal form names as whole words, in the order of the configuration."""

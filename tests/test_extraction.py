@@ -2,6 +2,7 @@
 
 import re
 
+import duckdb
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -13,6 +14,7 @@ from gazetta.functions.extract import ROLES
 from gazetta.functions.lexicon import lexicon, role_pattern
 from gazetta.functions.patterns import Automaton, stems
 from gazetta.functions.text import norm_python
+from gazetta.plans import catalog
 
 MAYOR = {"Prefeito": ["prefeito", "prefeita"], "Vice-prefeito": ["vice-prefeito", "vice prefeito"]}
 TOWN = "https://vila.example.org"
@@ -226,3 +228,16 @@ def test_texts_without_a_mark_stay_behind_and_lose_nothing(spark):
     assert found == want and {2, 4} <= {i for i, *_ in found}
     kept = {r.id for r in rows.where(may_hold_records(F.col("text"))).collect()}
     assert not kept & {3, 7, 8}
+
+
+def test_mentions_are_kept_whatever_follows_them(spark, tmp_path):
+    """A chief of staff of others is a mention too, marked as one, and the query agrees with its SQL where texts go on so."""
+    text = "Chefia de Gabinete do Secretário; chefe de gabinete do prefeito"
+    got = contacts.role_mentions(spark.createDataFrame([(1, text), (2, None)], "id long, text string"), ["id"]).collect()
+    assert sorted((r.start, r.role, r.of_others) for r in got) == [(0, "Chefe de gabinete", True), (34, "Chefe de gabinete", False), (43, "Prefeito", False), (55, "Prefeito", False)]
+    assert lexicon().roles("chefia de gabinete do secretario") == []
+    spark.createDataFrame([(i, "de " * 100) for i in range(60)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    want = con.execute(catalog.ORACLES["role_mentions"]).fetchall()
+    assert sorted(map(tuple, catalog.QUERIES["role_mentions"](spark, str(tmp_path)).collect())) == sorted(want) and any(r[3] == "Chefe de gabinete" for r in want)
