@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import argparse
 import json
+import math
 import sys
+import uuid
 from collections.abc import Callable, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,34 +16,48 @@ from pyspark.sql.types import StructType
 
 from gazetta.operators import delivery, quality, scope
 from gazetta.scratch import clear_scratch
-from gazetta.sources.tables import config_table, exists, observed_write, read_any, remove, write_manifest, write_report, write_tables
+from gazetta.sources.tables import config_table, exists, listed, observed_write, read_any, remove, write_manifest, write_report, write_tables
 
 Tables = dict[str, DataFrame]
 LOT_TABLES = ("data", "targets", "pending", "sources", "texts")
+#: Partitions that a table of lots gets in one run, about; beyond it lots share them.
+MOST_PARTITIONS = 64
 
 
 def lots(targets: DataFrame, chunk_size: int = 0) -> DataFrame:
-    """Targets with their lot: the state and, with ``chunk_size``, a number from 1 within it."""
+    """Targets with their lot: the state and, with ``chunk_size``, a number from 1 within it, of three digits or as many as it takes."""
     chunked = quality.chunks(targets, ["state"], ["ordinal", "target"], chunk_size) if chunk_size else targets.withColumn("chunk", F.lit(1).cast("long"))
-    return chunked.withColumn("lot", F.concat_ws("-", F.upper("state"), F.lpad(F.col("chunk").cast("string"), 3, "0")))
+    number = F.col("chunk").cast("string")
+    return chunked.withColumn("lot", F.concat_ws("-", F.upper("state"), F.lpad(number, F.greatest(F.lit(3), F.length(number)), "0")))
 
 
-def _names(df: DataFrame) -> list[str]:
-    """The lots of a table, in order; they are some hundreds at most, as states and their chunks."""
-    return [r["lot"] for r in df.select("lot").distinct().orderBy("lot").collect()]
+def _names(df: DataFrame, col: str = "lot") -> list[str]:
+    """The lots of a table, in order; the driver holds their names, and nothing else of them."""
+    return [r[0] for r in df.select(col).distinct().orderBy(col).collect()]
 
 
 def _partitions(spark: SparkSession, path: str) -> DataFrame | None:
     """A table of lots, whatever columns each has; None where no lot has a row."""
     if not exists(spark, f"{path}/lot=*/*.parquet"):
         return None
-    return spark.read.option("mergeSchema", True).parquet(path).withColumn("lot", F.col("lot").cast("string"))
+    return spark.read.option("mergeSchema", True).parquet(path).drop("lot")
+
+
+def _current(spark: SparkSession, folder: str) -> DataFrame | None:
+    """The last mark of each lot: the partition and the run in which its rows are, and the schemas of its tables. None without marks."""
+    marks = _partitions(spark, f"{folder}/marks")
+    return None if marks is None else marks.groupBy("_lot").agg(F.max("_run").alias("_run"), F.max_by("_part", "_run").alias("_part"), F.max_by("schemas", "_run").alias("schemas"))
+
+
+def _few(spark: SparkSession, names: Sequence[str]) -> DataFrame:
+    """Names of lots as a table, to be joined with instead of a long condition."""
+    return F.broadcast(spark.createDataFrame([(n,) for n in names], "_lot string"))
 
 
 def lots_done(spark: SparkSession, folder: str) -> list[str]:
     """The lots that were written to the end: each has a mark, which is written after all of its tables."""
-    marks = _partitions(spark, f"{folder}/marks")
-    return _names(marks) if marks is not None else []
+    marks = _current(spark, folder)
+    return _names(marks, "_lot") if marks is not None else []
 
 
 def lot_done(spark: SparkSession, folder: str, lot: str) -> bool:
@@ -57,27 +74,45 @@ def lay_out_pages(pages: DataFrame, placed: DataFrame, folder: str) -> DataFrame
     return pages.sparkSession.read.parquet(folder)
 
 
+def _clear(spark: SparkSession, folder: str, own: Sequence[str], parts: set[str]) -> None:
+    """Delete the partitions that hold no lot but those of ``own``, marks first: those about to be written (``parts``) and those where the lots were before."""
+    marks, kept = _current(spark, folder), set()
+    if marks is not None:
+        kept = set(_names(marks.join(_few(spark, own), "_lot", "left_anti"), "_part"))
+        parts = parts | set(_names(marks.join(_few(spark, own), "_lot", "left_semi"), "_part"))
+    for name in ("marks", *LOT_TABLES):
+        remove(spark, [path for path in listed(spark, f"{folder}/{name}/lot=*") if unquote(path.rpartition("/lot=")[2]) in parts - kept])
+
+
 def run_lots(targets: DataFrame, work: Callable[[DataFrame], Tables], folder: str, chunk_size: int = 0, force: bool = False, at_once: int | None = None) -> list[str]:
     """Run ``work`` on the targets of all lots that aren't done, in one plan, and write its tables in one partition a lot; returns the lots that were run.
 
     ``work`` gets the targets with their ``lot`` and reads what it reads once, however many lots are open; its tables need a ``target`` or a ``lot``.
-    The partitions of the lots that run are cleared first and marked as done last, so that a run that was killed is taken up where it stood, a rerun of one
-    lot touches its own partitions only, and other lots stay as they are. ``at_once``: so many lots in one plan and under one set of marks, where a run is to be taken up in steps.
+    Beyond ``MOST_PARTITIONS`` lots neighbours share a partition, so that files don't become many and tiny. Rows carry their lot and their run, and a lot's rows are
+    those of the run that its last mark names. The partitions of the lots that run are cleared first, where no other lot has rows in them, and marked as done last, so that a run that
+    was killed is taken up where it stood, a rerun of one lot touches no file of another, and other lots stay as they are; a lot of a shared partition that is run by itself gets one of its own, and
+    its old rows count until its new mark is there. ``at_once``: so many lots in one plan and under one set of marks, where a run is to be taken up in steps.
     """
     spark = targets.sparkSession
     placed = lots(targets, chunk_size).drop("chunk")
     done = set() if force else set(lots_done(spark, folder))
     names = [n for n in _names(placed) if n not in done]
-    step = at_once or max(1, len(names))
+    step, width = at_once or max(1, len(names)), math.ceil(len(names) / MOST_PARTITIONS)
     for own in (names[i : i + step] for i in range(0, len(names), step)):
-        for name in ("marks", *LOT_TABLES):
-            remove(spark, [f"{folder}/{name}/lot={lot}" for lot in own])
-        some = placed.where(F.col("lot").isin(own))
+        groups = [own[i : i + width] for i in range(0, len(own), width)]
+        part_of = {lot: lot if len(g) == 1 else f"{g[0]}..{g[-1]}" for g in groups for lot in g}
+        _clear(spark, folder, own, set(part_of.values()))
+        marks = _current(spark, folder)
+        last = marks.agg(F.max("_run")).first()[0] if marks is not None else "0"
+        run = f"{int(last.partition('-')[0]) + 1:09d}-{uuid.uuid4().hex}"
+        parts = F.broadcast(spark.createDataFrame(list(part_of.items()), "lot string, _part string"))
+        some = placed.join(parts.select("lot"), "lot", "left_semi").select(*placed.columns)
         where = some.select("target", "lot").distinct()
         tables = {n: df if "lot" in df.columns else df.join(where, "target") for n, df in work(some).items()}
-        write_tables(tables, folder, dict.fromkeys(tables, ("lot",)))
-        schemas = {n: df.drop("lot").schema.json() for n, df in tables.items()}
-        spark.createDataFrame([(lot, schemas) for lot in own], "lot string, schemas map<string, string>").coalesce(1).write.mode("append").partitionBy("lot").parquet(f"{folder}/marks")
+        schemas = F.create_map(*(F.lit(x) for n, df in tables.items() for x in (n, df.drop("lot").schema.json()))).cast("map<string, string>")
+        for name, df in [*((n, df.join(parts, "lot")) for n, df in tables.items()), ("marks", parts.withColumn("schemas", schemas))]:
+            rows = df.withColumnRenamed("lot", "_lot").withColumns({"_run": F.lit(run), "lot": F.col("_part")})
+            rows.hint("rebalance", "lot").write.mode("append").partitionBy("lot").parquet(f"{folder}/{name}")
     return names
 
 
@@ -86,13 +121,14 @@ def consolidate(spark: SparkSession, folder: str, lots_wanted: Sequence[str], on
 
     A table of which no lot has a row is empty, with the columns that the marks tell; one that no lot knows is absent.
     """
-    marks, out = _partitions(spark, f"{folder}/marks"), {}
+    marks, out = _current(spark, folder), {}
     if marks is None:
         return out
-    known = dict(marks.where(F.col("lot").isin(*lots_wanted)).select(F.explode("schemas")).distinct().collect())
+    wanted = marks.join(_few(spark, lots_wanted), "_lot", "left_semi")
+    known = dict(wanted.select(F.explode("schemas")).distinct().collect())
     for name in (n for n in LOT_TABLES if n in known):
         df = _partitions(spark, f"{folder}/{name}")
-        df = spark.createDataFrame([], StructType.fromJson(json.loads(known[name]))) if df is None else df.where(F.col("lot").isin(*lots_wanted)).drop("lot")
+        df = spark.createDataFrame([], StructType.fromJson(json.loads(known[name]))) if df is None else df.join(wanted.select("_lot", "_run"), ["_lot", "_run"], "left_semi").drop("_lot", "_run", "_part")
         out[name] = scope.sphere(df, only) if only else df
     return out
 

@@ -56,6 +56,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at))
 
 
+def listed(spark: SparkSession, path: str) -> list[str]:
+    """What is at a path with wildcards."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return [s.getPath().toString() for s in at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at) or ()]
+
+
 def remove(spark: SparkSession, paths: Sequence[str]) -> None:
     """Delete files or folders; those that are absent are passed over."""
     for path in paths:

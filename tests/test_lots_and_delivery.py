@@ -91,6 +91,36 @@ def test_a_killed_run_is_taken_up(spark, targets, tmp_path):
     assert batch.lot_done(spark, folder, "SP-003") and not batch.lot_done(spark, folder, "XX-001")
 
 
+def test_many_lots_share_partitions(spark, tmp_path, monkeypatch):
+    """Files are bounded, lots of over three digits stay apart, and a rerun or a killed run in a shared partition changes its own lots only."""
+    monkeypatch.setattr(batch, "MOST_PARTITIONS", 3)
+    many = spark.range(1, 1012).select(F.lit("SP").alias("state"), F.concat(F.lit("t"), "id").alias("target"), F.col("id").alias("ordinal"))
+    folder, tables = tmp_path / "lots", lambda version: lambda some: {"data": some.withColumn("version", F.lit(version))}
+    names = batch.run_lots(many, tables(1), str(folder), chunk_size=1)
+    assert len(names) == 1011 and {"SP-001", "SP-101", "SP-999", "SP-1010"} <= set(names) and set(batch.lots_done(spark, str(folder))) == set(names)
+    parts = {p.name for p in (folder / "data").glob("lot=*")}
+    assert len(parts) == 3 and parts == {p.name for p in (folder / "marks").glob("lot=*")}
+
+    def versions(lots=names):
+        return {r.target: r.version for r in batch.consolidate(spark, str(folder), lots)["data"].collect()}
+
+    def dies(some):
+        tables(9)(some)["data"].join(some.select("target"), "target").withColumns({"_lot": F.col("lot"), "_part": F.col("lot"), "_run": F.lit("9"), "lot": F.lit("x")}).write.mode("append").partitionBy("lot").parquet(f"{folder}/data")
+        raise RuntimeError("killed")
+
+    assert versions() == {f"t{i}": 1 for i in range(1, 1012)} and versions(["SP-007"]) == {"t7": 1}
+    before = files(folder)
+    with pytest.raises(RuntimeError):
+        batch.run_lots(many.where("ordinal = 1"), dies, str(folder), chunk_size=1, force=True)
+    assert versions() == {f"t{i}": 1 for i in range(1, 1012)}
+    assert batch.run_lots(many.where("ordinal = 1"), tables(2), str(folder), chunk_size=1, force=True) == ["SP-001"]
+    assert versions() == {f"t{i}": 1 + (i == 1) for i in range(1, 1012)} and before.items() <= files(folder).items()
+    # A whole rerun leaves nothing of the runs before it.
+    batch.run_lots(many, tables(3), str(folder), chunk_size=1, force=True)
+    assert versions() == {f"t{i}": 3 for i in range(1, 1012)} and not set(before) & set(files(folder))
+    assert {p.name for p in (folder / "marks").glob("lot=*")} == parts
+
+
 def test_pages_laid_out_by_lot_are_pruned(spark, targets, tmp_path):
     pages = spark.createDataFrame([(f"t{i}", i, "h") for i in range(5)] + [("r", 9, "h"), ("stranger", 10, "h")], "target string, page_id long, html string")
     placed = batch.lots(targets, 2)
