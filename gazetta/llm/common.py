@@ -160,3 +160,20 @@ def run_starts(offsets: np.ndarray, width: int) -> np.ndarray:
     for edge in offsets[1:-1]:
         ok[max(0, edge - width + 1) : edge] = False
     return np.flatnonzero(ok)
+
+
+#: Bits of the bitmap of ``may_be_among``: 2 MB to broadcast. What falls on a set bit by chance passes too, and is for the join behind it to drop.
+AMONG_BITS = 1 << 24
+
+
+def may_be_among(rows: DataFrame, keys: DataFrame, col: str) -> DataFrame:
+    """The rows whose ``col`` may be among ``keys`` (none that is gets lost), told by a bitmap of hashes before anything is shuffled.
+
+    For a join that follows, where the rows are wide and most of them have no partner. Null is among nothing.
+    """
+    at = F.pmod(F.xxhash64(col), F.lit(AMONG_BITS)) + 1
+    bits = keys.select(at.alias("_at")).groupBy(F.bitmap_bucket_number("_at").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_at")).alias("_bits"))
+    place = F.bitmap_bit_position(at)
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    held = F.getbit(byte, (place % 8).cast("int")) == 1
+    return rows.where(F.col(col).isNotNull()).join(F.broadcast(bits), (F.bitmap_bucket_number(at) == F.col("_bucket")) & held).drop("_bucket", "_bits")

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gazetta.llm.common import NO_ID, chunks, column, materialise
+from gazetta.llm.common import NO_ID, chunks, column, materialise, may_be_among
 from gazetta.llm.components import connected_components
 from gazetta.llm.shingles import band_keys, shingle_sets, superminhash
 
@@ -213,7 +213,8 @@ def minhash_dedup(
     ties = own.where("rep != hub").distinct()
     groups = connected_components(ties, "hub", "rep").select(F.col("v").alias("owner"), F.col("label").alias("cc"))
     # A vertex may stand for several texts where rows share an id: all of them count.
-    sets = materialise(base.join(groups, "owner").mapInArrow(_sets(width), "owner long, cc long, elements binary").where(F.octet_length("elements") > 0).distinct())
+    # Most texts are in no component: a bitmap keeps them out of the shuffle of this join.
+    sets = materialise(may_be_among(base, groups, "owner").join(groups, "owner").mapInArrow(_sets(width), "owner long, cc long, elements binary").where(F.octet_length("elements") > 0).distinct())
     links = _blocked(_supported(sets, percent), percent)
     found = connected_components(links).select(F.col("v").alias("rep"), "label")
 
