@@ -64,24 +64,28 @@ def grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return offsets, np.concatenate(owners), np.concatenate(buckets).astype(np.int64)
 
 
-def worst_spans(offsets: np.ndarray, worth: np.ndarray, count: np.ndarray) -> np.ndarray:
+def worst_spans(offsets: np.ndarray, worth: np.ndarray, count: np.ndarray, step: int = 1 << 16) -> np.ndarray:
     """For each text the largest average worth of ``SPAN`` words in a row (all, if fewer); -inf without words.
 
-    ``worth`` and ``count`` are the sum over a word's n-grams and their number.
+    ``worth`` and ``count`` are the sum over a word's n-grams and their number. Texts of about ``step`` words are taken at a time.
     """
     total, many = np.concatenate([[0.0], np.cumsum(worth)]), np.concatenate([[0], np.cumsum(count)])
     sizes = np.diff(offsets)
-    ends = np.minimum(np.arange(int(offsets[-1])) + SPAN, np.repeat(offsets[1:], sizes))
-    starts = np.maximum(np.repeat(offsets[:-1], sizes), ends - SPAN)
-    mean = (total[ends] - total[starts]) / np.maximum(1, many[ends] - many[starts])
     out = np.full(len(sizes), -np.inf)
-    some = np.flatnonzero(sizes > 0)
-    if len(some):
-        out[some] = np.maximum.reduceat(mean, offsets[some])
+    i = 0
+    while i < len(sizes):
+        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + step, "right")) - 1)
+        own, some = slice(i, j), np.flatnonzero(sizes[i:j] > 0) + i
+        ends = np.minimum(np.arange(offsets[i], offsets[j]) + SPAN, np.repeat(offsets[1:][own], sizes[own]))
+        starts = np.maximum(np.repeat(offsets[own], sizes[own]), ends - SPAN)
+        mean = (total[ends] - total[starts]) / np.maximum(1, many[ends] - many[starts])
+        if len(some):
+            out[some] = np.maximum.reduceat(mean, offsets[some] - offsets[i])
+        i = j
     return out
 
 
-def summed(rows: np.ndarray, which: np.ndarray, begins: np.ndarray, step: int = 20_000) -> np.ndarray:
+def summed(rows: np.ndarray, which: np.ndarray, begins: np.ndarray, step: int = 4_000) -> np.ndarray:
     """Sums of ``rows[which]`` over the stretches that start at ``begins``, some stretches at a time."""
     out = np.empty((len(begins), rows.shape[1]), rows.dtype)
     for i in range(0, len(begins), step):
@@ -91,11 +95,24 @@ def summed(rows: np.ndarray, which: np.ndarray, begins: np.ndarray, step: int =
     return out
 
 
-def _adam(params: list[np.ndarray], state: list, grads: list[np.ndarray], t: int, rate: float) -> None:
-    for p, s, g in zip(params, state, grads, strict=True):
-        s[0] += 0.1 * (g - s[0])
-        s[1] += 0.01 * (g * g - s[1])
-        p -= rate * (s[0] / (1 - 0.9**t)) / (np.sqrt(s[1] / (1 - 0.99**t)) + 1e-8)
+def _adam(params: list[np.ndarray], state: list, grads: list[np.ndarray], t: int, rate: float, step: int = 1 << 14) -> None:
+    for whole in zip(params, *zip(*state, strict=True), grads, strict=True):
+        for i in range(0, len(whole[0]), step):
+            p, first, second, g = (x[i : i + step] for x in whole)
+            first += 0.1 * (g - first)
+            second += 0.01 * (g * g - second)
+            p -= rate * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.99**t)) + 1e-8)
+
+
+def word_grams(words: list[bytes], step: int = 4_096) -> tuple[np.ndarray, np.ndarray]:
+    """Of each n-gram its word and its bucket, word after word; some words at a time, as ``grams`` holds several wide numbers a byte."""
+    owners, buckets = [], []
+    for i in range(0, len(words), step):
+        _, owner, bucket = grams(pa.array(words[i : i + step], pa.binary()).cast(pa.string()))
+        order = np.argsort(owner, kind="stable")
+        owners.append((owner[order] + i).astype(np.int32))
+        buckets.append(bucket[order].astype(np.int32))
+    return np.concatenate(owners), np.concatenate(buckets)
 
 
 class Model:
@@ -131,23 +148,26 @@ def train(texts: list[str], labels: list[int], rounds: tuple[int, ...] = (8, 7,
     del docs
     if not len(words):
         return Model(np.zeros(1 << BUCKET_BITS), 0.0, -25.0, -25.0)
-    _, owner, bucket = grams(pa.array(list(vocabulary), pa.binary()).cast(pa.string()))
+    owner, bucket = word_grams(list(vocabulary))
     # A bucket that few texts hold teaches chance: it stays at no worth.
     taught = np.arange(len(y)) % 4 != 3
-    seen = np.unique(np.repeat(np.arange(len(y)), n_words) * len(vocabulary) + words) % len(vocabulary)
-    spread = np.bincount(bucket, np.bincount(seen, minlength=len(vocabulary))[owner], 1 << BUCKET_BITS)
-    order = np.argsort(owner, kind="stable")
-    order = order[spread[bucket[order]] >= FEWEST]
+    seen = np.zeros(len(vocabulary), np.int32)
+    for a, b in zip(offsets[:-1], offsets[1:], strict=True):
+        seen[np.unique(words[a:b])] += 1
+    spread = np.zeros(1 << BUCKET_BITS, np.int64)
+    np.add.at(spread, bucket, seen[owner])
     whole = np.bincount(owner, minlength=len(vocabulary))
-    owner = owner[order]
-    used, gram = np.unique(bucket[order].astype(np.int32), return_inverse=True)
-    gram = gram.astype(np.int32)
-    del bucket, order
+    held = spread >= FEWEST
+    often = held[bucket]
+    owner, bucket = owner[often], bucket[often]
+    used, gram = np.flatnonzero(held), (np.cumsum(held, dtype=np.int32) - 1)[bucket]
+    del bucket, often, spread
     if not len(used):
         return Model(np.zeros(1 << BUCKET_BITS), 0.0, -25.0, -25.0)
-    known, owner = np.unique(owner.astype(np.int32), return_inverse=True)
-    owner = owner.astype(np.int32)
-    word_begins = np.searchsorted(owner, np.arange(len(known)))
+    first = np.concatenate([[True], owner[1:] != owner[:-1]])
+    word_begins = np.flatnonzero(first)
+    known, owner = owner[word_begins], np.cumsum(first, dtype=np.int32) - 1
+    del first
     place = np.full(len(vocabulary), len(known), np.int32)
     place[known] = np.arange(len(known))
     vocabulary.clear()
@@ -204,7 +224,11 @@ def train(texts: list[str], labels: list[int], rounds: tuple[int, ...] = (8, 7,
     worth = np.zeros(1 << BUCKET_BITS)
     worth[used] = vectors @ (softmax[:, 1] - softmax[:, 0])
     # The score: a logistic curve over the worst span, set on texts that taught nothing; a clean text lost weighs twice a toxic one kept.
-    word_worth = np.append(np.bincount(owner, worth[used][gram], len(known)), 0.0)
+    word_worth = np.zeros(len(known) + 1)
+    for i in range(0, len(known), 1 << 14):
+        own = slice(word_begins[i], word_begins[i + (1 << 14)] if i + (1 << 14) < len(known) else len(owner))
+        word_worth[i : owner[own][-1] + 1] = np.bincount(owner[own] - i, worth[used[gram[own]]])
+    del params, state, vectors, owner, gram, word_by_gram, span_by_word
     worst = worst_spans(offsets, word_worth[place], whole[words])
     some = np.isfinite(worst) & ~taught
     if len(np.unique(y[some])) < 2:

@@ -6,6 +6,7 @@ import gzip
 import hashlib
 import itertools
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -665,6 +666,22 @@ def test_toxicity_sample_passes_over_long_texts(spark):
     assert sorted(ys) == [0, 1] and max(map(len, got)) < 20
 
 
+def test_toxicity_fit_holds_little_at_once():
+    """The fit runs on the driver: 1,680,000 n-grams of 40,000 words that come once take less than 60 bytes each."""
+    letters = np.random.default_rng(3).integers(97, 123, (40_000, 12), np.uint8)
+    words = [w.tobytes().decode() for w in letters]
+    texts = [" ".join(words[i : i + 100]) for i in range(0, len(words), 100)]
+    owner, bucket = toxicity.word_grams([w.encode() for w in words])
+    _, owners, buckets = toxicity.grams(pa.array(words))
+    order = np.argsort(owners, kind="stable")
+    assert (owner == owners[order]).all() and (bucket == buckets[order]).all()
+    tracemalloc.start()
+    toxicity.train(texts, [i % 2 for i in range(len(texts))], rounds=())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 * len(owner)
+
+
 def test_toxicity_scores_whole_texts_alike(spark):
     rows, labels = toxic_rows()
     model = toxicity.train([t for _, t in rows], [y for _, y in labels])
